@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, near_dedup, pii_crf, quality_rules
+from . import bpe, mixing, near_dedup, pii_crf, quality_rules, substring_dedup, suffix_dedup
 
 #: The vocabulary of op4.
 VOCABULARY = "byte_bpe_50k.json"
@@ -25,6 +25,16 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = vocabulary_path()
@@ -64,8 +74,54 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_bpe_round_trip, op7_mixture, op8_quality_rules, op9_near_duplicates, op10_personal_data)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op3_substring_dedup, op4_bpe_round_trip, op7_mixture, op8_quality_rules, op9_near_duplicates, op10_personal_data)}
+
+
+#: Words of documents in order, one row each.
+_WORDS = """
+words AS (
+  SELECT doc_id, i, list_extract(ws, i) AS w, len(ws) AS n
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents), unnest(range(1, len(ws) + 1)) AS t(i)
+)"""
+
+SQL_SUBSTRINGS = f"""
+WITH {_WORDS.strip()},
+windows AS (
+  SELECT doc_id, i, string_agg(w, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS k, i + 12 <= n AS whole FROM words
+),
+least AS (SELECT k, min(doc_id) AS first FROM windows WHERE whole GROUP BY k HAVING min(doc_id) < max(doc_id)),
+hits AS (SELECT x.doc_id, x.i FROM windows x JOIN least l ON x.k = l.k AND x.whole AND x.doc_id > l.first),
+marked AS (
+  SELECT w.doc_id, w.i, w.w, max(CASE WHEN h.i IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY w.doc_id ORDER BY w.i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone
+  FROM words w LEFT JOIN hits h ON w.doc_id = h.doc_id AND w.i = h.i
+),
+per AS (
+  SELECT doc_id, count(*) AS n_words, sum(gone) AS n_removed, coalesce(string_agg(w, ' ' ORDER BY i) FILTER (WHERE gone = 0), '') AS kept FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(p.n_words, 0)::BIGINT AS n_words, coalesce(p.n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(p.kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN per p ON d.doc_id = p.doc_id
+"""
+
+SQL_NEAR = """
+WITH RECURSIVE lists AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS s FROM lists, unnest(range(1, greatest(len(ws) - 3, 2))) AS t(i) WHERE len(ws) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * common >= 85 * (p.n + q.n - common)
+),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least AS (SELECT x, min(y) AS c FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, l.c AS component_id, d.doc_id = l.c AS kept
+FROM documents d JOIN least l ON l.x = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_substring_dedup": SQL_SUBSTRINGS, "op9_near_duplicates": SQL_NEAR}
