@@ -27,9 +27,9 @@ from pyspark.sql import types as T
 
 from .vectext import buffers, mix, powers
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 8_000_000
 SPLIT_CHARS = 1_000_000
-TABLE_WORDS = 600_000
+TABLE_WORDS = 300_000
 
 #: Classes of code points for the word pattern
 #: 's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
@@ -297,15 +297,18 @@ def _blocks(batch: pa.RecordBatch, size) -> Iterator[pa.RecordBatch]:
         yield batch.slice(a, b - a)
 
 
-def _without(batch: pa.RecordBatch, name: str) -> tuple[list[pa.Array], list[str]]:
-    keep = [x for x in batch.schema.names if x != name]
+def _without(batch: pa.RecordBatch, *names: str | None) -> tuple[list[pa.Array], list[str]]:
+    keep = [x for x in batch.schema.names if x not in names]
     return [batch.column(batch.schema.get_field_index(x)) for x in keep], keep
 
 
-def encode(docs: DataFrame, vocabulary: str, *, text: str = "text", ids: str = "ids") -> DataFrame:
-    """docs with ``ids array<int>``. vocabulary: path of a JSON file, read on the driver (some MB)."""
+def encode(docs: DataFrame, vocabulary: str, *, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """docs with ``ids array<int>``. vocabulary: path of a JSON file, read on the driver (some MB).
+
+    With ``decoded`` the ids are also decoded in the same Python worker, for round trips.
+    """
     held = docs.sparkSession.sparkContext.broadcast(_read(vocabulary))
-    schema = T.StructType([*(f for f in docs.schema.fields if f.name != ids), T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
+    schema = T.StructType([*(f for f in docs.schema.fields if f.name not in (ids, decoded)), T.StructField(ids, T.ArrayType(T.IntegerType(), False), False), *([T.StructField(decoded, T.StringType(), False)] if decoded else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(held.value)
@@ -314,9 +317,11 @@ def encode(docs: DataFrame, vocabulary: str, *, text: str = "text", ids: str = "
             for part in _blocks(batch, np.diff(buffers(column)[1])):
                 got = bpe.encode_batch([x or "" for x in part.column(batch.schema.get_field_index(text)).to_pylist()])
                 off = np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int32)
-                made = pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(got)))
-                columns, names = _without(part, ids)
-                yield pa.RecordBatch.from_arrays([*columns, made], names=[*names, ids])
+                made = [pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(got)))]
+                if decoded:
+                    made.append(pa.array(bpe.decode_batch(got), pa.string()))
+                columns, names = _without(part, ids, decoded)
+                yield pa.RecordBatch.from_arrays([*columns, *made], names=[*names, ids, *([decoded] if decoded else [])])
 
     return docs.mapInArrow(run, schema)
 

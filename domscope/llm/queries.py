@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,17 +33,9 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    path = vocabulary_path()
-    rows = bpe.decode(bpe.encode(docs, path).select("doc_id", "ids"), path)
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = [x.values.to_pylist() for x in b.column(1)]
-            sha = [hashlib.sha256(",".join(map(str, x)).encode()).hexdigest() for x in ids]
-            text = [hashlib.sha256((x or "").encode()).hexdigest() for x in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(sha, pa.string()), pa.array(text, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return rows.mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    rows = bpe.encode(docs, vocabulary_path(), decoded="decoded")
+    ids = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
