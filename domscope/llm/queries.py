@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, near_dedup, pii_crf, quality_rules, substring_dedup, suffix_dedup
+from . import bpe, langid, lm_score, mixing, near_dedup, pii_crf, quality_rules, substring_dedup, suffix_dedup, topk_search
 
 #: The vocabulary of op4.
 VOCABULARY = "byte_bpe_50k.json"
@@ -26,6 +26,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 20)
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -38,6 +42,16 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm_score.scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", F.round("log_sum", 4).alias("log_sum"), F.round("log_mean", 6).alias("log_mean"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs, langid.train(docs))
+
+
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "draws")
@@ -62,7 +76,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_suffix_dedup, op3_substring_dedup, op4_bpe_round_trip, op7_mixture, op8_quality_rules, op9_near_duplicates, op10_personal_data)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_top_k, op3_substring_dedup, op4_bpe_round_trip, op5_lm_scores, op6_language, op7_mixture, op8_quality_rules, op9_near_duplicates, op10_personal_data)}
 
 
 #: Words of documents in order, one row each.
@@ -111,5 +125,43 @@ FROM documents d JOIN least l ON l.x = d.doc_id LEFT JOIN sizes s ON s.doc_id =
 """
 
 
+SQL_TOP_K = """
+WITH used AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM used q JOIN used c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 20
+"""
+
+SQL_LM = f"""
+WITH {_WORDS.strip()},
+lowered AS (SELECT doc_id, i, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM words),
+pairs AS (SELECT doc_id, i, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS v FROM lowered),
+one AS (SELECT w, count(*) AS c FROM lowered GROUP BY w),
+own_one AS (SELECT doc_id, w, count(*) AS c FROM lowered GROUP BY doc_id, w),
+two AS (SELECT v, w, count(*) AS c FROM pairs WHERE v IS NOT NULL GROUP BY v, w),
+own_two AS (SELECT doc_id, v, w, count(*) AS c FROM pairs WHERE v IS NOT NULL GROUP BY doc_id, v, w),
+size AS (SELECT doc_id, count(*) AS n FROM lowered GROUP BY doc_id),
+rest AS (SELECT doc_id, n, greatest((SELECT count(*) FROM lowered) - n, 1) AS m FROM size),
+terms AS (
+  SELECT p.doc_id, p.i, p.v, r.m, a.c - ao.c AS cw, b.c - bo.c AS cv, t.c - o.c AS cvw
+  FROM pairs p JOIN rest r ON r.doc_id = p.doc_id JOIN one a ON a.w = p.w JOIN own_one ao ON ao.doc_id = p.doc_id AND ao.w = p.w
+  LEFT JOIN one b ON b.w = p.v LEFT JOIN own_one bo ON bo.doc_id = p.doc_id AND bo.w = p.v
+  LEFT JOIN two t ON t.v = p.v AND t.w = p.w LEFT JOIN own_two o ON o.doc_id = p.doc_id AND o.v = p.v AND o.w = p.w
+),
+logs AS (
+  SELECT doc_id, i, CASE WHEN v IS NULL THEN log10(greatest(cw, 1) / m::DOUBLE) WHEN cvw > 0 THEN log10(cvw / greatest(cv, 1)::DOUBLE) ELSE log10(0.4::DOUBLE) + log10(greatest(cw, 1) / m::DOUBLE) END AS s FROM terms
+),
+sums AS (SELECT doc_id, sum(s ORDER BY i) AS s FROM logs GROUP BY doc_id)
+SELECT d.doc_id, coalesce(r.n, 0)::BIGINT AS n_words, round(coalesce(x.s, 0.0), 4) AS log_sum, round(x.s / r.n, 6) AS log_mean
+FROM documents d LEFT JOIN rest r ON r.doc_id = d.doc_id LEFT JOIN sums x ON x.doc_id = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_substring_dedup": SQL_SUBSTRINGS, "op9_near_duplicates": SQL_NEAR}
+    return {"op2_top_k": SQL_TOP_K, "op5_lm_scores": SQL_LM, "op3_substring_dedup": SQL_SUBSTRINGS, "op9_near_duplicates": SQL_NEAR}
