@@ -2,7 +2,7 @@
 
 Each source is dealt by hash into at most ``BLOCKS`` blocks. A source with target t and size s is
 taken whole t // s times; the rest comes from its blocks in a keyed random order until the quota is
-met, the last block document by document. Block draws (one for each pass over a block) are dealt to
+met, the last block document by document (a block of one document that would pass the quota is left out). Block draws (one for each pass over a block) are dealt to
 the output shards by a splitting tree: at each node the exact per-source draw quotas split between
 the two halves by the multivariate hypergeometric law, so shards hold disjoint draws and each shard
 sees sources as a uniform random deal would give them. Within a shard rows come in keyed random
@@ -116,17 +116,24 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (1, 2, 3), cap: int = C
         whole = min(cap, int(target // size)) if size else 0
         rest = max(0, round(target - whole * size)) if whole < cap else 0
         rng = np.random.default_rng([seed, int(pdf["number"].iloc[0])])
-        turn = rng.permutation(len(pdf))
-        words = pdf["words"].to_numpy()[turn]
-        before = np.cumsum(words) - words
         passes = np.full(len(pdf), whole)
-        passes[turn] += before + words <= rest
         edge = np.zeros(len(pdf), np.int64)
-        edge[turn] = np.where((before < rest) & (before + words > rest), rest - before, 0)
+        words, rows = pdf["words"].to_numpy(), pdf["rows"].to_numpy()
+        skipped = []
+        for k in rng.permutation(len(pdf)).tolist():
+            if words[k] <= rest:  # the whole block
+                passes[k] += 1
+                rest -= words[k]
+            elif rows[k] > 1:  # the edge: part of a block
+                edge[k], rest = rest, 0
+            else:  # one document that is too large; smaller ones may still fit
+                skipped.append(k)
+        if rest and skipped and words[k := min(skipped, key=lambda k: words[k])] < 2 * rest:
+            passes[k] += 1
         return pd.DataFrame({"source": pdf["source"], "_block": pdf["_block"], "number": pdf["number"], "passes": passes.astype("int32"), "edge": edge, "source_size": size, "target": target})
 
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    joined = blocks.join(F.broadcast(goal), same(blocks, goal)).select(blocks["source"], "_block", "words", "number", "source_size", "target")
+    joined = blocks.join(F.broadcast(goal), same(blocks, goal)).select(blocks["source"], "_block", "words", "rows", "number", "source_size", "target")
     planned = written(joined.groupBy("number").applyInPandas(plan, "source string, _block int, number int, passes int, edge long, source_size long, target double"))
     # Whole passes plus the part pass of an edge block are draws; the tree deals them to shards.
     quota = planned.groupBy("number").agg(F.sum(F.col("passes") + (F.col("edge") > 0).cast("int")).alias("n")).collect()
