@@ -7,11 +7,14 @@
    they share a key among "chunk without one symbol" for all places of the symbol left out.
    At Jaccard 0.85 a symbol differs with probability 0.15; more than 17 of 40 differ about once in
    100,000 pairs.
-3. In each bucket members are first compared with one centre (another one for each key); candidate
-   pairs within the signature distance are confirmed on full sets, the nearest few of each class
-   first, and pairs inside one component are not looked at again. Members of one bucket that then
-   still lie in different components are compared in tiles of ``TILE`` signatures, so no link between
-   different components is missed and no group of copies is expanded into pairs.
+3. In each bucket, members within the signature distance are linked by a spanning forest (never all
+   pairs); the components of all forests are families. Any two linked documents are in one family.
+4. Inside each family full sets are compared, and links with 100 * intersection >= 85 * union are kept,
+   again as a spanning forest; their components are the result.
+
+Buckets and families above ``TILE`` members are dealt to tiles, twice by different hashes; what is
+then not in the group's largest component is compared with all its tiles, so no link is missed and no
+task holds more than two tiles.
 
 Defined results: a null or wordless text has an empty set and no links; repeated rows are linked as
 equal sets; null ids take part, and a component's id is its smallest non-null doc_id (null if it has
@@ -27,9 +30,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from .components import components
+from .seeds import bucketed
 from .storage import partitions, written
 from .vectext import LOWER, Words, buffers, chunks, gram_hash, mix
 
@@ -38,7 +41,6 @@ SYMBOLS = 40
 CHUNKS = 9
 DISTANCE = 17
 TILE = 2048
-FIRST = 4
 
 _RNG = np.random.default_rng(90210)
 _A = _RNG.integers(1, 1 << 62, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -140,20 +142,127 @@ def _exploded(classes: DataFrame) -> DataFrame:
     return classes.select("nid", "sig").mapInArrow(run, "key long, nid long")
 
 
-def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """pairs (a, b of nid) within the signature distance and the size ratio: a, b as nodes, and distance."""
-    side = lambda x: classes.select(F.col("nid").alias(x), F.col("node").alias(f"{x}_node"), F.col("n").alias(f"{x}_n"), F.col("sig").alias(f"{x}_sig"), F.col("rep").alias(f"{x}_rep"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").where("100 * least(a_n, b_n) >= 85 * greatest(a_n, b_n) AND a_node <> b_node")
+def _near_signature(sig: np.ndarray, n: np.ndarray):
+    def near(p: int, q: np.ndarray) -> np.ndarray:
+        ok = 100 * np.minimum(n[q], n[p]) >= 85 * np.maximum(n[q], n[p])
+        ok[ok] = (sig[q[ok]] != sig[p]).sum(axis=1) <= DISTANCE
+        return ok
+
+    return near
+
+
+def _near_sets(items: list[bytes]):
+    """Exact test on full sets: entries of all sets in one array, by document."""
+    size = np.fromiter(map(len, items), np.int64, len(items)) // 8
+    flat = np.frombuffer(b"".join(items), np.uint64)
+    distinct, local = np.unique(flat, return_inverse=True)
+    first = np.cumsum(size) - size
+    mine = np.zeros(len(distinct), bool)
+
+    def near(p: int, q: np.ndarray) -> np.ndarray:
+        own = local[first[p] : first[p] + size[p]]
+        mine[own] = True
+        ok = 100 * np.minimum(size[q], size[p]) >= 85 * np.maximum(size[q], size[p])
+        at = q[ok]
+        length = size[at]
+        total = np.cumsum(length)
+        hit = mine[local[np.arange(total[-1] if len(at) else 0) + np.repeat(first[at] - (total - length), length)]]
+        both = np.add.reduceat(hit, total - length, dtype=np.int64) if len(at) else np.zeros(0, np.int64)
+        ok[ok] = 100 * both >= 85 * (size[p] + length - both)
+        mine[own] = False
+        return ok
+
+    return near
+
+
+def forest(m: int, near) -> list[tuple[int, int]]:
+    """A spanning forest of m items under near(item, others): breadth first over the items not reached yet."""
+    out: list[tuple[int, int]] = []
+    left = np.arange(m)
+    while len(left) > 1:
+        todo, left = [int(left[0])], left[1:]
+        while todo and len(left):
+            p = todo.pop()
+            ok = near(p, left)
+            got = left[ok].tolist()
+            out += [(p, q) for q in got]
+            todo += got
+            left = left[~ok]
+    return out
+
+
+def across(component: np.ndarray, rest: np.ndarray, near) -> list[tuple[int, int]]:
+    """Links of the items in rest with items of other components, one for each pair of item and component."""
+    out = []
+    every = np.arange(len(component))
+    for p in np.flatnonzero(rest).tolist():
+        q = every[component != component[p]]
+        q = q[near(p, q)] if len(q) else q
+        _, first = np.unique(component[q], return_index=True)
+        out += [(p, int(x)) for x in q[first]]
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            sig = [np.frombuffer(b"".join(x.column(k).to_pylist()), np.uint16).reshape(-1, SYMBOLS) for k in (4, 5)]
-            d = (sig[0] != sig[1]).sum(axis=1)
-            near = pa.array(d <= DISTANCE)
-            out = pa.RecordBatch.from_arrays([x.column(0), x.column(1), x.column(2), x.column(3), pa.array(d.astype(np.int32))], names=["a", "b", "a_rep", "b_rep", "distance"])
-            yield out.filter(near)
 
-    return joined.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_rep", "b_rep", "a_sig", "b_sig").mapInArrow(run, "a string, b string, a_rep long, b_rep long, distance int")
+def _linked(rows: DataFrame, kind: str, payload: list[str], enough: int) -> DataFrame:
+    """(a, b): links between the items of each group that connect what is connected.
+
+    rows: group, item and payload: n and sig for kind "signature", items for kind "sets".
+    """
+    n_parts = partitions(rows.sparkSession)
+    item = dict(rows.dtypes)["item"]
+
+    def compare(t: pa.Table) -> pa.RecordBatch:
+        names = ["group", "t", "u"]
+        mark = t.select(names).to_pandas()
+        cut = np.flatnonzero((mark.values[1:] != mark.values[:-1]).any(axis=1)) + 1
+        bounds = [0, *cut.tolist(), t.num_rows]
+        items = t["item"].combine_chunks()
+        comp, rest = t["component"].to_numpy(), t["rest"].to_numpy()
+        if kind == "signature":
+            sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+            n = t["n"].to_numpy()
+        else:
+            blobs = t["items"].to_pylist()
+        a, b = [], []
+        for lo, hi in zip(bounds, bounds[1:], strict=False):
+            if hi - lo < 2:
+                continue
+            near = _near_signature(sig[lo:hi], n[lo:hi]) if kind == "signature" else _near_sets(blobs[lo:hi])
+            got = forest(hi - lo, near) if rest[lo] is None or np.isnan(rest[lo]) else across(comp[lo:hi], rest[lo:hi] > 0, near)
+            a += [lo + x for x, _ in got]
+            b += [lo + x for _, x in got]
+        return pa.RecordBatch.from_arrays([items.take(pa.array(a, pa.int64())), items.take(pa.array(b, pa.int64()))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in bucketed(batches, 0, enough):
+            yield compare(t)
+
+    def compared(dealt: DataFrame) -> DataFrame:
+        dealt = dealt.select(F.xxhash64("group", "t", "u").alias("g"), "group", "t", "u", "item", "component", "rest", *payload)
+        return dealt.repartition(n_parts, "g").sortWithinPartitions("g", "group", "t", "u").mapInArrow(run, f"a {item}, b {item}")
+
+    size = rows.groupBy("group").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"), F.count("*").alias("m")).where("m > 1").drop("m")
+    rows = rows.join(size, "group")
+    tile = lambda salt: F.pmod(F.xxhash64("item", F.lit(salt)), F.col("tiles")).cast("int")
+    plain = rows.withColumns({"component": F.lit(0).cast("long"), "rest": F.lit(None).cast("double"), "t": tile(1), "u": F.lit(-1)})
+    second = plain.where("tiles > 1").withColumns({"t": tile(2), "u": F.lit(-2)})
+    links = written(compared(plain.unionByName(second)))
+    large = size.where("tiles > 1")
+    if not large.head(1):
+        return links
+    found = components(links, "a", "b").select(F.col("node").alias("item"), F.xxhash64("component").alias("component"))
+    big = rows.where("tiles > 1").join(found, "item", "left").withColumn("component", F.coalesce("component", F.xxhash64("item")))
+    main = big.groupBy("group", "component").agg(F.count("*").alias("c")).groupBy("group").agg(F.max_by("component", F.struct("c", "component")).alias("main"))
+    split = big.join(main, "group").withColumn("rest", (F.col("component") != F.col("main")).cast("double")).withColumn("t", tile(1))
+    few = split.where("rest > 0").groupBy("group").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("item", F.lit(3)), F.col("parts")).cast("int")
+    sides = split.join(few, "group")
+    left = sides.where("rest > 0").withColumn("u", own).withColumn("t", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    # A rest item meets its own tile as a rest item already; it goes there once.
+    right = sides.withColumn("u", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where(~((F.col("rest") > 0) & (F.col("u") == own)))
+    right = right.withColumn("rest", F.lit(0.0))
+    names = ["group", "t", "u", "item", "component", "rest", *payload]
+    return links.unionByName(compared(left.select(*names).unionByName(right.select(*names))))
 
 
 def _sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -174,92 +283,6 @@ def _sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
     return picked.select("text").mapInArrow(run, "node string, items binary").groupBy("node").agg(F.first("items").alias("items"))
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) with 100 * intersection >= 85 * union on full sets."""
-    one = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
-    two = one.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            real = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                real.append(100 * both >= 85 * (len(p) + len(q) - both))
-            yield batch.select([0, 1]).filter(pa.array(real, pa.bool_()))
-
-    return two.mapInArrow(run, "a string, b string")
-
-
-def _labelled(classes: DataFrame, found: DataFrame | None) -> DataFrame:
-    if found is None:
-        return classes.withColumn("component", F.col("node"))
-    return classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-
-
-def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs whose ends lie in different components."""
-    side = lambda x: found.select(F.col("node").alias(x), F.col("component").alias(f"{x}_c"))
-    return pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").where("coalesce(a_c, a) <> coalesce(b_c, b)").drop("a_c", "b_c")
-
-
-def _tiled(multi: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs (a, b of nid) of bucket members in different components within the signature distance.
-
-    A bucket of m such members is dealt to tiles of TILE; each pair of tiles is one group of at most
-    2 * TILE signatures.
-    """
-    nodes = _labelled(classes, found).select("nid", "component", "n", "sig")
-    marked = multi.select("key", "nid").distinct().join(nodes.select("nid", F.xxhash64("component").alias("c")), "nid")
-    mixed = marked.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
-    rows = marked.select("key", "nid", "c").join(mixed.select("key", F.ceil(F.col("m") / TILE).cast("int").alias("tiles")), "key")
-    rows = rows.withColumn("t", F.pmod(F.xxhash64("nid", F.lit(5)), F.col("tiles")).cast("int"))
-    rows = rows.withColumn("u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    rows = rows.select("key", F.least("t", "u").alias("i"), F.greatest("t", "u").alias("j"), "t", "nid", "c").join(nodes.select("nid", "n", "sig"), "nid")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def flush(table: pa.Table) -> pa.RecordBatch:
-            group = np.stack([table["key"].to_numpy(), table["i"].to_numpy(), table["j"].to_numpy()])
-            cut = np.flatnonzero((np.diff(group) != 0).any(axis=0)) + 1
-            nid, c, n = (table[x].to_numpy() for x in ("nid", "c", "n"))
-            t, i, j = (table[x].to_numpy() for x in ("t", "i", "j"))
-            sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(-1, SYMBOLS)
-            a, b = [], []
-            for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(nid)], strict=True):
-                left = np.arange(lo, hi)[t[lo:hi] == i[lo]]
-                right = np.arange(lo, hi)[t[lo:hi] == j[lo]]
-                for p in left.tolist():
-                    q = right[(right > p) if i[lo] == j[lo] else slice(None)]
-                    q = q[(c[q] != c[p]) & (100 * np.minimum(n[q], n[p]) >= 85 * np.maximum(n[q], n[p]))]
-                    if len(q):
-                        q = q[(sig[q] != sig[p]).sum(axis=1) <= DISTANCE]
-                        a += [int(nid[p])] * len(q)
-                        b += nid[q].tolist()
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-        last = None
-        for batch in batches:  # sorted by group; whole groups are kept together
-            k = np.stack([batch.column(x).to_numpy() for x in (0, 1, 2)])
-            if last is not None and len(k[0]) and (k[:, 0] != last).any() and held:
-                yield flush(pa.Table.from_batches(held))
-                held = []
-            edge = np.flatnonzero((np.diff(k) != 0).any(axis=0))
-            if len(edge):
-                held.append(batch.slice(0, int(edge[-1]) + 1))
-                yield flush(pa.Table.from_batches(held))
-                held = [batch.slice(int(edge[-1]) + 1)]
-            else:
-                held.append(batch)
-            last = k[:, -1] if len(k[0]) else last
-        if held:
-            yield flush(pa.Table.from_batches(held))
-
-    dealt = rows.select("key", "i", "j", "t", "nid", "c", "n", "sig").repartition(partitions(multi.sparkSession), "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(run, "a long, b long").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
 def _free(spark) -> None:
     """Let Spark's cleaner drop the shuffle files of jobs that have ended."""
     spark.sparkContext._jvm.System.gc()
@@ -274,29 +297,15 @@ def dedup(docs: DataFrame) -> DataFrame:
         .withColumn("nid", F.conv(F.substring("node", 1, 15), 16, 10).cast("long"))
     )
     table = _exploded(classes)
-    centre = table.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "nid").alias("h"), "nid")).alias("m"), F.count("*").alias("c")).where("c > 1").select("key", F.col("m.nid").alias("centre"))
-    multi = written(table.join(centre, "key").select("key", "nid", "centre"))
-    pairs = multi.where("nid <> centre").select(F.least("nid", "centre").alias("a"), F.greatest("nid", "centre").alias("b")).distinct()
-    near = written(_close(pairs, classes))
-    reps = near.select(F.col("a_rep").alias("rid")).unionByName(near.select(F.col("b_rep").alias("rid"))).distinct()
-    _free(spark)
-    sets = written(_sets(docs, reps))
+    many = table.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    # Members of one bucket with equal ids would be the same class.
+    buckets = table.join(many, "key").join(classes.select("nid", "node", "n", "sig"), "nid").select(F.col("key").alias("group"), F.col("node").alias("item"), "n", "sig")
+    family = written(components(_linked(buckets, "signature", ["n", "sig"], 20_000), "a", "b"))
     _free(spark)
-    # The nearest few of each class first.
-    by = lambda x: F.row_number().over(W.partitionBy(x).orderBy("distance", F.xxhash64("a", "b")))
-    first = near.withColumns({"ka": by("a"), "kb": by("b")}).where(f"ka <= {FIRST} OR kb <= {FIRST}").drop("ka", "kb")
-    links = written(_confirmed(first, sets))
-    found = written(components(links, "a", "b"))
+    sets = written(_sets(docs, family.join(classes, "node").select(F.col("rep").alias("rid"))))
     _free(spark)
-    rest = written(_across(near.join(first.select("a", "b"), ["a", "b"], "left_anti"), found))
-    if rest.head(1):
-        links = written(links.unionByName(_confirmed(rest, sets)))
-        found = written(components(links, "a", "b"))
-    more = written(_close(_tiled(multi, classes, found), classes).join(near.select("a", "b"), ["a", "b"], "left_anti"))
-    if more.head(1):
-        need = more.select(F.col("a_rep").alias("rid")).unionByName(more.select(F.col("b_rep").alias("rid"))).distinct()
-        links = links.unionByName(_confirmed(more, written(_sets(docs, need))))
-        found = written(components(written(links), "a", "b"))
+    members = family.join(sets, "node").select(F.col("component").alias("group"), F.col("node").alias("item"), "items")
+    found = written(components(written(_linked(members, "sets", ["items"], 1000)), "a", "b"))
     _free(spark)
     # The smallest doc_id of each component, by way of its classes.
     least = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("d"))
