@@ -1,40 +1,5 @@
-"""Shared storage for intermediate results."""
+"""Shared storage, as the rest of the library uses it."""
 
-from __future__ import annotations
+from ..sources.shared import cut, partitions, shared_dir, written
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a local one only where the setting is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found is None:
-        found = "/tmp/checkpoints/domscope"
-        if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-            spark.sparkContext.setCheckpointDir(found)
-    elif not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df by a checkpoint in the shared folder: lineage ends there, and a lost executor costs only tasks.
-
-    Spark's cleaner removes the files when the frame is no longer referenced.
-    """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def written(df: DataFrame) -> DataFrame:
-    """df written as Parquet in the shared folder and read back."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}.parquet"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def partitions(spark: SparkSession) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+__all__ = ["cut", "partitions", "shared_dir", "written"]
