@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -51,16 +52,15 @@ def parse_float(c: Column, default: float = 0.0) -> Column:
 
 def confidence(*cells: Column) -> Column:
     """The first alias that says something: words, or a number; low ends the search with null."""
-    state = F.lit("open")
-    value = F.lit(None).cast("double")
-    for c in cells:
+
+    def said(c: Column) -> Column:
         s = F.lower(text(c))
         number = parse_float(s, float("nan"))
-        word = F.when(s.isin("high", "hi"), 0.92).when(s.isin("medium", "med", "mid"), 0.8)
-        open_ = state == "open"
-        value = F.when(open_ & word.isNotNull(), word).when(open_ & (s != "low") & ~F.isnan(number), number).otherwise(value)
-        state = F.when(open_ & ((s == "low") | word.isNotNull() | ~F.isnan(number)), "done").otherwise(state)
-    return value
+        value = F.when(s.isin("high", "hi"), 0.92).when(s.isin("medium", "med", "mid"), 0.8).when((s != "low") & ~F.isnan(number), number)
+        return F.struct(value.alias("v"), (s == "low").alias("low"))
+
+    every = F.filter(F.array(*(said(c) for c in cells)), lambda x: x["v"].isNotNull() | x["low"])
+    return F.get(every, F.lit(0))["v"] if cells else F.lit(None).cast("double")
 
 
 def norm_key(c: Column) -> Column:
@@ -113,10 +113,8 @@ def cluster_key(legal: Column, parent: Column) -> Column:
 
 def contains_any(c: Column, needles: Sequence[str]) -> Column:
     """Whether one of the needles, which are literals, stands in c. A null c holds none."""
-    out = F.lit(False)
-    for n in needles:
-        out = out | F.contains(c, F.lit(n))
-    return F.coalesce(out, F.lit(False))
+    pattern = "|".join(re.escape(n) for n in needles) or "(?!)"
+    return F.coalesce(F.rlike(c, F.lit(pattern)), F.lit(False))
 
 
 def term_hits(blob: Column, terms: Sequence[str]) -> Column:

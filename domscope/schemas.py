@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_S, _A = T.StringType(), T.ArrayType(T.StringType(), False)
+_S, _A = T.StringType(), T.ArrayType(T.StringType())
 
 
 def _struct(**fields) -> T.StructType:
