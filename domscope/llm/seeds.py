@@ -105,9 +105,18 @@ def marked(doc: np.ndarray, h: np.ndarray, lists: pa.ListArray) -> np.ndarray:
     return have[at] == want if len(have) else np.zeros(len(want), bool)
 
 
-def spans_by_document(found: DataFrame) -> DataFrame:
-    """(did, rid, spans) from (did, rid, first, last)."""
-    return found.groupBy("did", "rid").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+def with_spans(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows (of keyed) with ``spans array<struct<did, first, last>>`` from (did, rid, first, last); null: none.
+
+    Joined by rid alone, as the lists of anchors are, so that both joins share one exchange of the
+    texts; did tells apart what an rid might confuse.
+    """
+    spans = found.groupBy("rid").agg(F.collect_set(F.struct("did", "first", "last")).alias("spans"))
+    return rows.join(spans, "rid", "left").select("doc_id", "did", "rid", "text", "spans")
+
+
+def own(spans: list | None, did: int) -> list[tuple[int, int]]:
+    return [(s["first"], s["last"]) for s in spans or () if s["did"] == did]
 
 
 def bucketed(batches: Iterator[pa.RecordBatch], key: int, enough: int = 60_000) -> Iterator[pa.Table]:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .seeds import HOT, Anchors, bucketed, keyed, marked, repeated, spans_by_document
+from .seeds import HOT, Anchors, bucketed, keyed, marked, own, repeated, with_spans
 from .storage import partitions
 from .vectext import Words, buffers, chunks, gram_hash
 
@@ -49,12 +49,12 @@ def _seeds(rows: DataFrame, anchors: Anchors, column: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            did, rid = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            data, off = buffers(batch.column(2))
+            did, rid = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            data, off = buffers(batch.column(3))
             for a, b in chunks(off):
                 part = data[off[a] : off[b]]
                 doc, place, first, last, h, bounds, words = anchors(part, off[a : b + 1] - off[a])
-                keep = marked(doc, h, batch.column(3).slice(a, b - a))
+                keep = marked(doc, h, batch.column(4).slice(a, b - a))
                 doc, place, first, last, h = doc[keep], place[keep], first[keep], last[keep], h[keep]
                 raw = part.tobytes()
                 around = [raw[i:j] for i, j in zip(words.start[first].tolist(), words.end[last + anchors.width - 1].tolist(), strict=True)]
@@ -63,7 +63,7 @@ def _seeds(rows: DataFrame, anchors: Anchors, column: str) -> DataFrame:
                     names=["h", "did", "rid", "at", "before", "windows", "around"],
                 )
 
-    return rows.select("did", "rid", "text", column).mapInArrow(run, "h long, did long, rid long, at int, before short, windows short, around binary")
+    return rows.select("doc_id", "did", "rid", "text", column).mapInArrow(run, "h long, did long, rid long, at int, before short, windows short, around binary")
 
 
 def _classes(group: np.ndarray, words: np.ndarray, place: np.ndarray, inside: np.ndarray, step: int, depth: int) -> list[np.ndarray]:
@@ -146,14 +146,13 @@ def _counted(seeds: DataFrame, width: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """(doc_id, text, spans array<struct<first, last>>) in words, for every row of docs; null: none."""
+    """(doc_id, did, rid, text, spans in words) for every row of docs, see with_spans."""
     rows = keyed(docs)
     anchors = Anchors(_word_units(gram), width, gram)
     texts = rows.join(repeated(rows, anchors, False, hot), "rid")
     cool = _extended(_seeds(texts.where(F.size("cool") > 0), anchors, "cool"), width, gram)
     hots = _counted(_seeds(texts.where(F.size("hots") > 0), anchors, "hots"), width)
-    spans = spans_by_document(cool.unionByName(hots))
-    return rows.join(spans, ["did", "rid"], "left").select("doc_id", "text", "spans")
+    return with_spans(rows, cool.unionByName(hots))
 
 
 def dedup(docs: DataFrame, **options) -> DataFrame:
@@ -164,13 +163,13 @@ def dedup(docs: DataFrame, **options) -> DataFrame:
             for k in range(0, batch.num_rows, 2000):
                 part = batch.slice(k, 2000)
                 counts, gone, kept = [], [], []
-                for text, spans in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                for text, spans, d in zip(part.column(3).to_pylist(), part.column(4).to_pylist(), part.column(1).to_pylist(), strict=True):
                     words = (text or "").encode().split()
                     counts.append(len(words))
                     if spans:
                         keep = np.ones(len(words), bool)
-                        for s in spans:
-                            keep[s["first"] : s["last"]] = False
+                        for first, last in own(spans, d):
+                            keep[first:last] = False
                         words = list(compress(words, keep.tolist()))
                     gone.append(counts[-1] - len(words))
                     kept.append(b" ".join(words))

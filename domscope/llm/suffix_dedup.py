@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .seeds import HOT, Anchors, bucketed, keyed, marked, repeated, spans_by_document
+from .seeds import HOT, Anchors, bucketed, keyed, marked, own, repeated, with_spans
 from .storage import partitions
 from .vectext import buffers, chunks, prefix_hash, span_hash
 
@@ -131,12 +131,12 @@ def _suffixes(rows: DataFrame, anchors: Anchors) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            did, rid = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            data, off = buffers(batch.column(2))
+            did, rid = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            data, off = buffers(batch.column(3))
             for a, b in chunks(off):
                 part = data[off[a] : off[b]]
                 doc, place, first, last, h, bounds, _ = anchors(part, off[a : b + 1] - off[a])
-                keep = marked(doc, h, batch.column(3).slice(a, b - a))
+                keep = marked(doc, h, batch.column(4).slice(a, b - a))
                 doc, place, first, last = doc[keep], place[keep], first[keep], last[keep]
                 raw = part.tobytes()
                 around = [raw[i : j + anchors.width] for i, j in zip(first.tolist(), last.tolist(), strict=True)]
@@ -146,7 +146,7 @@ def _suffixes(rows: DataFrame, anchors: Anchors) -> DataFrame:
                     names=["lead", "did", "rid", "at", "before", "windows", "around"],
                 )
 
-    return rows.select("did", "rid", "text", "cool").mapInArrow(run, "lead binary, did long, rid long, at int, before int, windows int, around binary")
+    return rows.select("doc_id", "did", "rid", "text", "cool").mapInArrow(run, "lead binary, did long, rid long, at int, before int, windows int, around binary")
 
 
 def _compared(suffixes: DataFrame, width: int, gram: int) -> DataFrame:
@@ -171,12 +171,12 @@ def _counted(rows: DataFrame, anchors: Anchors) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            did, rid = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            data, off = buffers(batch.column(2))
+            did, rid = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            data, off = buffers(batch.column(3))
             for a, b in chunks(off):
                 part = data[off[a] : off[b]]
                 doc, place, first, last, h, bounds, _ = anchors(part, off[a : b + 1] - off[a])
-                keep = marked(doc, h, batch.column(3).slice(a, b - a))
+                keep = marked(doc, h, batch.column(4).slice(a, b - a))
                 doc, first, last = doc[keep], first[keep], last[keep]
                 raw = part.tobytes()
                 size = last - first + 1
@@ -185,21 +185,20 @@ def _counted(rows: DataFrame, anchors: Anchors) -> DataFrame:
                 key = [hashlib.blake2b(raw[s : s + anchors.width], digest_size=16).digest() for s in start.tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array(did[a + of]), pa.array(rid[a + of]), pa.array((start - bounds[of]).astype(np.int32))], names=["key", "did", "rid", "first"])
 
-    windows = rows.select("did", "rid", "text", "hots").mapInArrow(run, "key binary, did long, rid long, first int")
+    windows = rows.select("doc_id", "did", "rid", "text", "hots").mapInArrow(run, "key binary, did long, rid long, first int")
     many = windows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     return windows.join(many, "key").select("did", "rid", "first", (F.col("first") + anchors.width).alias("last"))
 
 
 def repeated_spans(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """(doc_id, text, spans array<struct<first, last>>) for every row of docs; spans may overlap, null: none."""
+    """(doc_id, did, rid, text, spans) for every row of docs, see with_spans; spans may overlap."""
     rows = keyed(docs)
     anchors = Anchors(_byte_units(gram), width, gram)
     lists = repeated(rows, anchors, True, hot)
     texts = rows.join(lists, "rid")
     cool = _compared(_suffixes(texts.where(F.size("cool") > 0), anchors), width, gram)
     hots = _counted(texts.where(F.size("hots") > 0), anchors)
-    spans = spans_by_document(cool.unionByName(hots))
-    return rows.join(spans, ["did", "rid"], "left").select("doc_id", "text", "spans")
+    return with_spans(rows, cool.unionByName(hots))
 
 
 def removed(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
@@ -222,8 +221,8 @@ def dedup(docs: DataFrame, **options) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, 2000):
                 part = batch.slice(k, 2000)
-                raw = [(x or "").encode() for x in part.column(1).to_pylist()]
-                made = [removed(t, [(s["first"], s["last"]) for s in spans or ()]) for t, spans in zip(raw, part.column(2).to_pylist(), strict=True)]
+                raw = [(x or "").encode() for x in part.column(3).to_pylist()]
+                made = [removed(t, own(spans, d)) for t, spans, d in zip(raw, part.column(4).to_pylist(), part.column(1).to_pylist(), strict=True)]
                 size = np.array([len(t) for t in raw], np.int64)
                 left = np.array([len(x) for x, _ in made], np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size), pa.array(size - left), pa.array([n for _, n in made], pa.int64()), pa.array([x for x, _ in made], pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 #: Word separators: space and \t \n \v \f \r.
 SEPARATOR = np.zeros(256, dtype=bool)
