@@ -110,7 +110,11 @@ class Keys:
     def generate(self) -> tuple[str, str]:
         """(private PEM, public PEM)."""
         pair = self.jvm.java.security.KeyPairGenerator.getInstance("Ed25519").generateKeyPair()
-        return _pem("PRIVATE KEY", bytes(pair.getPrivate().getEncoded())), _pem("PUBLIC KEY", bytes(pair.getPublic().getEncoded()))
+        # The key classes themselves are hidden from reflection; their specs are not.
+        factory = self.jvm.java.security.KeyFactory.getInstance("Ed25519")
+        spec = lambda name: self.jvm.java.lang.Class.forName(f"java.security.spec.{name}EncodedKeySpec")
+        private, public = factory.getKeySpec(pair.getPrivate(), spec("PKCS8")), factory.getKeySpec(pair.getPublic(), spec("X509"))
+        return _pem("PRIVATE KEY", bytes(private.getEncoded())), _pem("PUBLIC KEY", bytes(public.getEncoded()))
 
     def sign(self, data: bytes, private_pem: str) -> bytes:
         s = self.jvm.java.security.Signature.getInstance("Ed25519")
