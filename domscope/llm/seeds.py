@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import partitions
 from .vectext import buffers, chunks, mix, sliding
 
 _PLACE = np.uint64(31)
@@ -59,18 +60,26 @@ class Anchors:
         return doc, place, first, last, gram[place] if len(place) else np.zeros(0, np.uint64), bounds, more
 
 
+def _key(did, tag):
+    """The key texts are joined by: 48 bits of the id and 16 of the tag. Ids compress well, and an id that
+    many rows share (null, above all) is spread by the tag."""
+    return did.bitwiseAND(F.lit((1 << 48) - 1)).bitwiseOR(F.shiftleft(tag.cast("long").bitwiseAND(F.lit(0xFFFF)), 48))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, did, rid, text): did is never null (null ids come last), rid stands for id and text."""
-    return docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("did"), F.xxhash64("doc_id", "text").alias("rid"), "text")
+    """(doc_id, did, tag, key, text): did is never null (null ids come last); rows with the same id and
+    different texts are told apart by tag, a 32-bit hash."""
+    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("did"), F.hash("doc_id", "text").alias("tag"), "text")
+    return rows.select("doc_id", "did", "tag", _key(F.col("did"), F.col("tag")).alias("key"), "text")
 
 
 def anchor_rows(rows: DataFrame, anchors: Anchors, twice: bool) -> DataFrame:
-    """(h, rid): the distinct anchors of each document; with ``twice`` one that stands there several
+    """(h, key): the distinct anchors of each document; with ``twice`` one that stands there several
     times comes in two rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rid = batch.column(0).to_numpy()
+            key = batch.column(0).to_numpy()
             data, off = buffers(batch.column(1))
             for a, b in chunks(off):
                 doc, _, _, _, h, _, _ = anchors(data[off[a] : off[b]], off[a : b + 1] - off[a])
@@ -81,17 +90,63 @@ def anchor_rows(rows: DataFrame, anchors: Anchors, twice: bool) -> DataFrame:
                 if twice:  # the third and later ones go
                     same[1:] &= np.concatenate([[False], same[1:-1]]) if len(same) > 1 else same[1:]
                 keep = order[~same]
-                yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(rid[a + doc[keep]])], names=["h", "rid"])
+                yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(key[a + doc[keep]])], names=["h", "key"])
+
+    return rows.select("key", "text").mapInArrow(run, "h long, key long")
+
+
+def runs(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.RecordBatch]:
+    """(key, h, hot) of values h that come more than once, from rows (h, key) sorted by h.
+
+    At most ``hot`` + 1 rows of a value wait for its count; a longer run is passed on as it comes.
+    """
+    held_h, held_k = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    passing: int | None = None  # the hot value whose rows are passed on
+
+    def out(h: np.ndarray, k: np.ndarray, flag: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(k), pa.array(h), pa.array(flag)], names=["key", "h", "hot"])
+
+    def settled(h: np.ndarray, k: np.ndarray) -> pa.RecordBatch:
+        edge = np.concatenate([[0], np.flatnonzero(np.diff(h)) + 1, [len(h)]])
+        count = np.repeat(np.diff(edge), np.diff(edge))
+        many = count > 1
+        return out(h[many], k[many], count[many] > hot)
 
-    return rows.select("rid", "text").mapInArrow(run, "h long, rid long")
+    for batch in batches:
+        h, k = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        if passing is not None:
+            n = int(np.searchsorted(h, passing, side="right")) if len(h) else 0
+            if n:
+                yield out(h[:n], k[:n], np.ones(n, bool))
+            h, k = h[n:], k[n:]
+            if not len(h):
+                continue
+            passing = None
+        h, k = np.concatenate([held_h, h]), np.concatenate([held_k, k])
+        if not len(h):
+            continue
+        last = int(np.searchsorted(h, h[-1], side="left"))
+        if last:
+            yield settled(h[:last], k[:last])
+        held_h, held_k = h[last:], k[last:]
+        if len(held_h) > hot:
+            passing = int(held_h[0])
+            yield out(held_h, held_k, np.ones(len(held_h), bool))
+            held_h, held_k = held_h[:0], held_k[:0]
+    if len(held_h):
+        yield settled(held_h, held_k)
 
 
 def repeated(rows: DataFrame, anchors: Anchors, twice: bool, hot: int) -> DataFrame:
-    """(rid, cool, hots): for each document its anchors that stand more than once in the table."""
-    found = anchor_rows(rows, anchors, twice)
-    many = found.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
-    both = found.join(many, "h").select("rid", "h", (F.col("c") > hot).alias("hot"))
-    return both.groupBy("rid").agg(F.collect_set(F.when(~F.col("hot"), F.col("h"))).alias("cool"), F.collect_set(F.when(F.col("hot"), F.col("h"))).alias("hots"))
+    """(key, cool, hots): for each document its anchors that stand more than once in the table.
+
+    Anchors are shuffled once. A document sends an anchor once (twice at most), so no value holds more
+    than a small part of the rows, and a task streams over its values without gathering one.
+    """
+    n = partitions(rows.sparkSession)
+    found = anchor_rows(rows, anchors, twice).repartition(n, "h").sortWithinPartitions("h")
+    both = found.mapInArrow(lambda batches: runs(batches, hot), "key long, h long, hot boolean")
+    return both.groupBy("key").agg(F.collect_set(F.when(~F.col("hot"), F.col("h"))).alias("cool"), F.collect_set(F.when(F.col("hot"), F.col("h"))).alias("hots"))
 
 
 def marked(doc: np.ndarray, h: np.ndarray, lists: pa.ListArray) -> np.ndarray:
@@ -106,17 +161,16 @@ def marked(doc: np.ndarray, h: np.ndarray, lists: pa.ListArray) -> np.ndarray:
 
 
 def with_spans(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """rows (of keyed) with ``spans array<struct<did, first, last>>`` from (did, rid, first, last); null: none.
+    """rows (of keyed) with ``spans array<struct<did, tag, first, last>>`` from (did, tag, first, last); null: none.
 
-    Joined by rid alone, as the lists of anchors are, so that both joins share one exchange of the
-    texts; did tells apart what an rid might confuse.
+    Joined by key, as the lists of anchors are, so that both joins share one exchange of the texts.
     """
-    spans = found.groupBy("rid").agg(F.collect_set(F.struct("did", "first", "last")).alias("spans"))
-    return rows.join(spans, "rid", "left").select("doc_id", "did", "rid", "text", "spans")
+    spans = found.groupBy(_key(F.col("did"), F.col("tag")).alias("key")).agg(F.collect_set(F.struct("did", "tag", "first", "last")).alias("spans"))
+    return rows.join(spans, "key", "left").select("doc_id", "did", "tag", "text", "spans")
 
 
-def own(spans: list | None, did: int) -> list[tuple[int, int]]:
-    return [(s["first"], s["last"]) for s in spans or () if s["did"] == did]
+def own(spans: list | None, did: int, tag: int) -> list[tuple[int, int]]:
+    return [(s["first"], s["last"]) for s in spans or () if s["did"] == did and s["tag"] == tag]
 
 
 def bucketed(batches: Iterator[pa.RecordBatch], key: int, enough: int = 60_000) -> Iterator[pa.Table]:

@@ -45,11 +45,11 @@ def _word_units(size: int):
 
 
 def _seeds(rows: DataFrame, anchors: Anchors, column: str) -> DataFrame:
-    """(h, did, rid, at, before, windows, around): the words around each repeated anchor."""
+    """(h, did, tag, at, before, windows, around): the words around each repeated anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            did, rid = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            did, tag = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             data, off = buffers(batch.column(3))
             for a, b in chunks(off):
                 part = data[off[a] : off[b]]
@@ -59,11 +59,11 @@ def _seeds(rows: DataFrame, anchors: Anchors, column: str) -> DataFrame:
                 raw = part.tobytes()
                 around = [raw[i:j] for i, j in zip(words.start[first].tolist(), words.end[last + anchors.width - 1].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(did[a + doc]), pa.array(rid[a + doc]), pa.array((first - bounds[doc]).astype(np.int32)), pa.array((place - first).astype(np.int16)), pa.array((last - first + 1).astype(np.int16)), pa.array(around, pa.binary())],
-                    names=["h", "did", "rid", "at", "before", "windows", "around"],
+                    [pa.array(h.view(np.int64)), pa.array(did[a + doc]), pa.array(tag[a + doc]), pa.array((first - bounds[doc]).astype(np.int32)), pa.array((place - first).astype(np.int16)), pa.array((last - first + 1).astype(np.int16)), pa.array(around, pa.binary())],
+                    names=["h", "did", "tag", "at", "before", "windows", "around"],
                 )
 
-    return rows.select("doc_id", "did", "rid", "text", column).mapInArrow(run, "h long, did long, rid long, at int, before short, windows short, around binary")
+    return rows.select("doc_id", "did", "tag", "text", column).mapInArrow(run, "h long, did long, tag int, at int, before short, windows short, around binary")
 
 
 def _classes(group: np.ndarray, words: np.ndarray, place: np.ndarray, inside: np.ndarray, step: int, depth: int) -> list[np.ndarray]:
@@ -112,7 +112,7 @@ def removed_windows(h: np.ndarray, did: np.ndarray, texts: list[bytes], before:
 
 
 def _extended(seeds: DataFrame, width: int, gram: int) -> DataFrame:
-    """(did, rid, first, last): words first..last - 1 of the document go."""
+    """(did, tag, first, last): words first..last - 1 of the document go."""
     n = partitions(seeds.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,9 +121,9 @@ def _extended(seeds: DataFrame, width: int, gram: int) -> DataFrame:
             low, high = removed_windows(t["h"].to_numpy(), did, t["around"].to_pylist(), t["before"].to_numpy().astype(np.int64), t["windows"].to_numpy().astype(np.int64), width, gram)
             hit = np.flatnonzero(low >= 0)
             at = t["at"].to_numpy().astype(np.int64)[hit]
-            yield pa.RecordBatch.from_arrays([pa.array(did[hit]), pa.array(t["rid"].to_numpy()[hit]), pa.array((at + low[hit]).astype(np.int32)), pa.array((at + high[hit] + width).astype(np.int32))], names=["did", "rid", "first", "last"])
+            yield pa.RecordBatch.from_arrays([pa.array(did[hit]), pa.array(t["tag"].to_numpy()[hit]), pa.array((at + low[hit]).astype(np.int32)), pa.array((at + high[hit] + width).astype(np.int32))], names=["did", "tag", "first", "last"])
 
-    return seeds.repartition(n, "h").sortWithinPartitions("h").mapInArrow(run, "did long, rid long, first int, last int")
+    return seeds.repartition(n, "h").sortWithinPartitions("h").mapInArrow(run, "did long, tag int, first int, last int")
 
 
 def _counted(seeds: DataFrame, width: int) -> DataFrame:
@@ -138,18 +138,18 @@ def _counted(seeds: DataFrame, width: int) -> DataFrame:
                     key.append(hashlib.blake2b(b" ".join(words[s : s + width]), digest_size=16).digest())
                     row.append(k)
                     first.append(at + s)
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), batch.column(0).take(pa.array(row, pa.int64())), batch.column(1).take(pa.array(row, pa.int64())), pa.array(first, pa.int32())], names=["key", "did", "rid", "first"])
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), batch.column(0).take(pa.array(row, pa.int64())), batch.column(1).take(pa.array(row, pa.int64())), pa.array(first, pa.int32())], names=["key", "did", "tag", "first"])
 
-    windows = seeds.select("did", "rid", "at", "windows", "around").mapInArrow(run, "key binary, did long, rid long, first int")
+    windows = seeds.select("did", "tag", "at", "windows", "around").mapInArrow(run, "key binary, did long, tag int, first int")
     least = windows.groupBy("key").agg(F.min("did").alias("least"), F.max("did").alias("most")).where("least < most").select("key", "least")
-    return windows.join(least, "key").where("did > least").select("did", "rid", "first", (F.col("first") + width).alias("last"))
+    return windows.join(least, "key").where("did > least").select("did", "tag", "first", (F.col("first") + width).alias("last"))
 
 
 def repeated_spans(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """(doc_id, did, rid, text, spans in words) for every row of docs, see with_spans."""
+    """(doc_id, did, tag, text, spans in words) for every row of docs, see with_spans."""
     rows = keyed(docs)
     anchors = Anchors(_word_units(gram), width, gram)
-    texts = rows.join(repeated(rows, anchors, False, hot), "rid")
+    texts = rows.join(repeated(rows, anchors, False, hot), "key")
     cool = _extended(_seeds(texts.where(F.size("cool") > 0), anchors, "cool"), width, gram)
     hots = _counted(_seeds(texts.where(F.size("hots") > 0), anchors, "hots"), width)
     return with_spans(rows, cool.unionByName(hots))
@@ -163,12 +163,12 @@ def dedup(docs: DataFrame, **options) -> DataFrame:
             for k in range(0, batch.num_rows, 2000):
                 part = batch.slice(k, 2000)
                 counts, gone, kept = [], [], []
-                for text, spans, d in zip(part.column(3).to_pylist(), part.column(4).to_pylist(), part.column(1).to_pylist(), strict=True):
+                for text, spans, d, g in zip(part.column(3).to_pylist(), part.column(4).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
                     words = (text or "").encode().split()
                     counts.append(len(words))
                     if spans:
                         keep = np.ones(len(words), bool)
-                        for first, last in own(spans, d):
+                        for first, last in own(spans, d, g):
                             keep[first:last] = False
                         words = list(compress(words, keep.tolist()))
                     gone.append(counts[-1] - len(words))

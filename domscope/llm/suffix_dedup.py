@@ -127,11 +127,11 @@ def repeated_windows(texts: list[bytes], before: np.ndarray, windows: np.ndarray
 
 
 def _suffixes(rows: DataFrame, anchors: Anchors) -> DataFrame:
-    """(lead, did, rid, at, before, windows, around) from (did, rid, text, cool)."""
+    """(lead, did, tag, at, before, windows, around) from (did, tag, text, cool)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            did, rid = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            did, tag = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             data, off = buffers(batch.column(3))
             for a, b in chunks(off):
                 part = data[off[a] : off[b]]
@@ -142,15 +142,15 @@ def _suffixes(rows: DataFrame, anchors: Anchors) -> DataFrame:
                 around = [raw[i : j + anchors.width] for i, j in zip(first.tolist(), last.tolist(), strict=True)]
                 lead = [raw[i : i + anchors.size] for i in place.tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lead, pa.binary()), pa.array(did[a + doc]), pa.array(rid[a + doc]), pa.array((first - bounds[doc]).astype(np.int32)), pa.array((place - first).astype(np.int32)), pa.array((last - first + 1).astype(np.int32)), pa.array(around, pa.binary())],
-                    names=["lead", "did", "rid", "at", "before", "windows", "around"],
+                    [pa.array(lead, pa.binary()), pa.array(did[a + doc]), pa.array(tag[a + doc]), pa.array((first - bounds[doc]).astype(np.int32)), pa.array((place - first).astype(np.int32)), pa.array((last - first + 1).astype(np.int32)), pa.array(around, pa.binary())],
+                    names=["lead", "did", "tag", "at", "before", "windows", "around"],
                 )
 
-    return rows.select("doc_id", "did", "rid", "text", "cool").mapInArrow(run, "lead binary, did long, rid long, at int, before int, windows int, around binary")
+    return rows.select("doc_id", "did", "tag", "text", "cool").mapInArrow(run, "lead binary, did long, tag int, at int, before int, windows int, around binary")
 
 
 def _compared(suffixes: DataFrame, width: int, gram: int) -> DataFrame:
-    """(did, rid, first, last): bytes first..last - 1 of the document are repeated."""
+    """(did, tag, first, last): bytes first..last - 1 of the document are repeated."""
     n = partitions(suffixes.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,11 +159,11 @@ def _compared(suffixes: DataFrame, width: int, gram: int) -> DataFrame:
             hit = np.flatnonzero(low >= 0)
             at = t["at"].to_numpy().astype(np.int64)[hit]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(t["did"].to_numpy()[hit]), pa.array(t["rid"].to_numpy()[hit]), pa.array((at + low[hit]).astype(np.int32)), pa.array((at + high[hit] + width).astype(np.int32))],
-                names=["did", "rid", "first", "last"],
+                [pa.array(t["did"].to_numpy()[hit]), pa.array(t["tag"].to_numpy()[hit]), pa.array((at + low[hit]).astype(np.int32)), pa.array((at + high[hit] + width).astype(np.int32))],
+                names=["did", "tag", "first", "last"],
             )
 
-    return suffixes.repartitionByRange(n, "lead").sortWithinPartitions("lead").mapInArrow(run, "did long, rid long, first int, last int")
+    return suffixes.repartitionByRange(n, "lead").sortWithinPartitions("lead").mapInArrow(run, "did long, tag int, first int, last int")
 
 
 def _counted(rows: DataFrame, anchors: Anchors) -> DataFrame:
@@ -171,7 +171,7 @@ def _counted(rows: DataFrame, anchors: Anchors) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            did, rid = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            did, tag = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             data, off = buffers(batch.column(3))
             for a, b in chunks(off):
                 part = data[off[a] : off[b]]
@@ -183,19 +183,19 @@ def _counted(rows: DataFrame, anchors: Anchors) -> DataFrame:
                 start = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
                 of = np.repeat(doc, size)
                 key = [hashlib.blake2b(raw[s : s + anchors.width], digest_size=16).digest() for s in start.tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array(did[a + of]), pa.array(rid[a + of]), pa.array((start - bounds[of]).astype(np.int32))], names=["key", "did", "rid", "first"])
+                yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array(did[a + of]), pa.array(tag[a + of]), pa.array((start - bounds[of]).astype(np.int32))], names=["key", "did", "tag", "first"])
 
-    windows = rows.select("doc_id", "did", "rid", "text", "hots").mapInArrow(run, "key binary, did long, rid long, first int")
+    windows = rows.select("doc_id", "did", "tag", "text", "hots").mapInArrow(run, "key binary, did long, tag int, first int")
     many = windows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    return windows.join(many, "key").select("did", "rid", "first", (F.col("first") + anchors.width).alias("last"))
+    return windows.join(many, "key").select("did", "tag", "first", (F.col("first") + anchors.width).alias("last"))
 
 
 def repeated_spans(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """(doc_id, did, rid, text, spans) for every row of docs, see with_spans; spans may overlap."""
+    """(doc_id, did, tag, text, spans) for every row of docs, see with_spans; spans may overlap."""
     rows = keyed(docs)
     anchors = Anchors(_byte_units(gram), width, gram)
     lists = repeated(rows, anchors, True, hot)
-    texts = rows.join(lists, "rid")
+    texts = rows.join(lists, "key")
     cool = _compared(_suffixes(texts.where(F.size("cool") > 0), anchors), width, gram)
     hots = _counted(texts.where(F.size("hots") > 0), anchors)
     return with_spans(rows, cool.unionByName(hots))
@@ -222,7 +222,7 @@ def dedup(docs: DataFrame, **options) -> DataFrame:
             for k in range(0, batch.num_rows, 2000):
                 part = batch.slice(k, 2000)
                 raw = [(x or "").encode() for x in part.column(3).to_pylist()]
-                made = [removed(t, own(spans, d)) for t, spans, d in zip(raw, part.column(4).to_pylist(), part.column(1).to_pylist(), strict=True)]
+                made = [removed(t, own(spans, d, g)) for t, spans, d, g in zip(raw, part.column(4).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)]
                 size = np.array([len(t) for t in raw], np.int64)
                 left = np.array([len(x) for x, _ in made], np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size), pa.array(size - left), pa.array([n for _, n in made], pa.int64()), pa.array([x for x, _ in made], pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])

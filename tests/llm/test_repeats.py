@@ -104,3 +104,18 @@ def test_multikey_order():
     for k in range(1, 500):
         a, b = got[k - 1], got[k]
         assert lcp[k] == next((i for i in range(21) if a[i] != b[i]), 21)
+
+
+@pytest.mark.parametrize("hot", [1, 3, 100])
+def test_runs(hot):
+    import pyarrow as pa
+
+    from domscope.llm.seeds import runs
+
+    rng = random.Random(hot)
+    h = sorted(rng.choice([-5, 0, 1, 2, 3, 50, *range(100, 140)]) for _ in range(120))
+    rows = list(zip(h, range(120), strict=True))
+    for size in (1, 2, 7, 120):
+        batches = [pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows[i : i + size]], pa.int64()), pa.array([k for _, k in rows[i : i + size]], pa.int64())], names=["h", "key"]) for i in range(0, 120, size)]
+        got = sorted((r["h"], r["key"], r["hot"]) for b in runs(iter(batches), hot) for r in b.to_pylist())
+        assert got == sorted((x, k, h.count(x) > hot) for x, k in rows if h.count(x) > 1)
