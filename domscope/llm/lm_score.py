@@ -30,7 +30,7 @@ from .storage import partitions
 from .vectext import LOWER, Words, buffers, chunks, gram_hash, mix
 
 ALPHA = 0.4
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 10 << 20
 _ONE = np.uint64(0xA5A5A5A55A5A5A5A)
 
 

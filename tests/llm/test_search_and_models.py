@@ -101,7 +101,7 @@ def _lm(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("bucket", [200, 16 << 20])
+@pytest.mark.parametrize("bucket", [200, 10 << 20])
 def test_lm(spark, bucket, monkeypatch):
     monkeypatch.setattr(lm_score, "BUCKET_BYTES", bucket)
     rng = random.Random(3)
