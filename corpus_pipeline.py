@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest doc_id."""
-    return near_dedup.keep_one(docs).select(*COLUMNS)
+    """One document of each group stays, the one with the smallest doc_id. Pairs of similarity 0.8 or more are linked."""
+    return near_dedup.keep_one(docs, threshold=80).select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

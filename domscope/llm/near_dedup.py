@@ -1,16 +1,16 @@
 """MinHash near-dedup by a multi-index Hamming join, confirmed on full shingle sets.
 
 1. Each document gets its set of 5-word shingles (64-bit hashes), a 128-bit digest of the set, and a
-   signature of ``SYMBOLS`` minhashes of 16 bits. Documents of equal sets form one class.
-2. The signature is split into ``CHUNKS`` chunks. Two signatures that differ in at most ``DISTANCE``
-   symbols have, by the pigeonhole principle, a chunk with at most DISTANCE // CHUNKS = 1 error, so
-   they share a key among "chunk without one symbol" for all places of the symbol left out.
-   At Jaccard 0.85 a symbol differs with probability 0.15; more than 17 of 40 differ about once in
-   100,000 pairs.
+   signature of minhashes of 16 bits. Documents of equal sets form one class.
+2. The signature is split into chunks. Two signatures that differ in at most ``distance`` symbols
+   have, by the pigeonhole principle, a chunk with at most distance // chunks = 1 error, so they
+   share a key among "chunk without one symbol" for all places of the symbol left out. ``SCHEMES``
+   has the numbers by threshold: at Jaccard 0.85 a symbol differs with probability 0.15, and more
+   than 17 of 40 differ about once in 100,000 pairs; at 0.8 more than 23 of 48 differ still less often.
 3. In each bucket, members within the signature distance are linked by a spanning forest (never all
    pairs); the components of all forests are families. Any two linked documents are in one family.
-4. Inside each family full sets are compared, and links with 100 * intersection >= 85 * union are kept,
-   again as a spanning forest; their components are the result.
+4. Inside each family full sets are compared, and links with 100 * intersection >= threshold * union
+   are kept, again as a spanning forest; their components are the result.
 
 Buckets and families above ``TILE`` members are dealt to tiles, twice by different hashes; what is
 then not in the group's largest component is compared with all its tiles, so no link is missed and no
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,24 @@ CHUNKS = 9
 DISTANCE = 17
 TILE = 2048
 
+
+class Scheme(NamedTuple):
+    """Pairs of at least threshold per cent are linked; signatures of so many symbols, in chunks, at a distance."""
+
+    threshold: int
+    symbols: int
+    chunks: int
+    distance: int
+
+
+SCHEMES = {x.threshold: x for x in (Scheme(85, SYMBOLS, CHUNKS, DISTANCE), Scheme(80, 48, 12, 23))}
+MOST = max(x.symbols for x in SCHEMES.values())
+
 _RNG = np.random.default_rng(90210)
-_A = _RNG.integers(1, 1 << 62, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_A = _RNG.integers(1, 1 << 62, SYMBOLS, dtype=np.uint64)
 _B = _RNG.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64)
+_A = np.concatenate([_A, _RNG.integers(1, 1 << 62, MOST - SYMBOLS, dtype=np.uint64)]) * np.uint64(2) + np.uint64(1)
+_B = np.concatenate([_B, _RNG.integers(1, 1 << 63, MOST - SYMBOLS, dtype=np.uint64)])
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -75,30 +91,30 @@ def hash_words(hashes: np.ndarray) -> int:
     return out
 
 
-def signatures(key: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A row of SYMBOLS uint16 for each non-empty set (zeros for empty ones)."""
+def signatures(key: np.ndarray, bounds: np.ndarray, symbols: int = SYMBOLS) -> np.ndarray:
+    """A row of uint16 symbols for each non-empty set (zeros for empty ones)."""
     n = len(bounds) - 1
-    out = np.zeros((n, SYMBOLS), np.uint16)
+    out = np.zeros((n, symbols), np.uint16)
     full = np.flatnonzero(np.diff(bounds))
     if len(full):
         starts = bounds[:-1][full]
-        for k in range(SYMBOLS):
+        for k in range(symbols):
             out[full, k] = (mix(np.minimum.reduceat(key * _A[k] + _B[k], starts)) & np.uint64(0xFFFF)).astype(np.uint16)
     return out
 
 
-def places() -> list[tuple[int, list[int]]]:
+def places(scheme: Scheme = SCHEMES[85]) -> list[tuple[int, list[int]]]:
     """(chunk, symbols of a key): every chunk with each of its symbols left out."""
     out = []
-    for c, chunk in enumerate(np.array_split(np.arange(SYMBOLS), CHUNKS)):
+    for c, chunk in enumerate(np.array_split(np.arange(scheme.symbols), scheme.chunks)):
         out += [(c, [int(x) for x in chunk if x != gone]) for gone in chunk]
     return out
 
 
-def keys(sig: np.ndarray) -> np.ndarray:
-    """len(places()) 64-bit keys for each signature."""
-    out = np.zeros((len(sig), SYMBOLS), np.uint64)
-    for j, (_, at) in enumerate(places()):
+def keys(sig: np.ndarray, scheme: Scheme = SCHEMES[85]) -> np.ndarray:
+    """len(places(scheme)) 64-bit keys for each signature."""
+    out = np.zeros((len(sig), scheme.symbols), np.uint64)
+    for j, (_, at) in enumerate(places(scheme)):
         h = np.full(len(sig), j + 1, np.uint64)
         for s in at:
             h = mix(h * np.uint64(0x9E3779B97F4A7C15) + sig[:, s].astype(np.uint64))
@@ -110,7 +126,7 @@ def _rid():
     return F.xxhash64("doc_id", "text")
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, scheme: Scheme) -> DataFrame:
     """(doc_id, rid, n, node, sig): node is the digest of the set, null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,36 +138,36 @@ def sketches(docs: DataFrame) -> DataFrame:
                 cut = bounds.tolist()
                 sizes.append(np.diff(bounds))
                 nodes += [hashlib.blake2b(key[i:j].tobytes(), digest_size=16).hexdigest() if j > i else None for i, j in zip(cut, cut[1:], strict=False)]
-                sigs += [x.tobytes() for x in signatures(key, bounds)]
+                sigs += [x.tobytes() for x in signatures(key, bounds, scheme.symbols)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(sizes) if sizes else [], pa.int64()), pa.array(nodes, pa.string()), pa.array(sigs, pa.binary())], names=["doc_id", "rid", "n", "node", "sig"])
 
     return docs.select("doc_id", _rid().alias("rid"), "text").mapInArrow(run, "doc_id long, rid long, n long, node string, sig binary")
 
 
-def _exploded(classes: DataFrame) -> DataFrame:
-    """(key, nid): SYMBOLS rows for each class."""
+def _exploded(classes: DataFrame, scheme: Scheme) -> DataFrame:
+    """(key, nid): a row for each symbol of each class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, scheme.symbols)
             for a in range(0, len(sig), 2000):
-                k = keys(sig[a : a + 2000])
-                nid = np.repeat(batch.column(0).to_numpy()[a : a + 2000], SYMBOLS)
+                k = keys(sig[a : a + 2000], scheme)
+                nid = np.repeat(batch.column(0).to_numpy()[a : a + 2000], scheme.symbols)
                 yield pa.RecordBatch.from_arrays([pa.array(k.reshape(-1).view(np.int64)), pa.array(nid)], names=["key", "nid"])
 
     return classes.select("nid", "sig").mapInArrow(run, "key long, nid long")
 
 
-def _near_signature(sig: np.ndarray, n: np.ndarray):
+def _near_signature(sig: np.ndarray, n: np.ndarray, scheme: Scheme):
     def near(p: int, q: np.ndarray) -> np.ndarray:
-        ok = 100 * np.minimum(n[q], n[p]) >= 85 * np.maximum(n[q], n[p])
-        ok[ok] = (sig[q[ok]] != sig[p]).sum(axis=1) <= DISTANCE
+        ok = 100 * np.minimum(n[q], n[p]) >= scheme.threshold * np.maximum(n[q], n[p])
+        ok[ok] = (sig[q[ok]] != sig[p]).sum(axis=1) <= scheme.distance
         return ok
 
     return near
 
 
-def _near_sets(items: list[bytes]):
+def _near_sets(items: list[bytes], threshold: int):
     """Exact test on full sets: entries of all sets in one array, by document."""
     size = np.fromiter(map(len, items), np.int64, len(items)) // 8
     flat = np.frombuffer(b"".join(items), np.uint64)
@@ -162,13 +178,13 @@ def _near_sets(items: list[bytes]):
     def near(p: int, q: np.ndarray) -> np.ndarray:
         own = local[first[p] : first[p] + size[p]]
         mine[own] = True
-        ok = 100 * np.minimum(size[q], size[p]) >= 85 * np.maximum(size[q], size[p])
+        ok = 100 * np.minimum(size[q], size[p]) >= threshold * np.maximum(size[q], size[p])
         at = q[ok]
         length = size[at]
         total = np.cumsum(length)
         hit = mine[local[np.arange(total[-1] if len(at) else 0) + np.repeat(first[at] - (total - length), length)]]
         both = np.add.reduceat(hit, total - length, dtype=np.int64) if len(at) else np.zeros(0, np.int64)
-        ok[ok] = 100 * both >= 85 * (size[p] + length - both)
+        ok[ok] = 100 * both >= threshold * (size[p] + length - both)
         mine[own] = False
         return ok
 
@@ -203,7 +219,7 @@ def across(component: np.ndarray, rest: np.ndarray, near) -> list[tuple[int, int
     return out
 
 
-def _linked(rows: DataFrame, kind: str, payload: list[str], enough: int) -> DataFrame:
+def _linked(rows: DataFrame, kind: str, payload: list[str], enough: int, scheme: Scheme) -> DataFrame:
     """(a, b): links between the items of each group that connect what is connected.
 
     rows: group, item and payload: n and sig for kind "signature", items for kind "sets".
@@ -219,7 +235,7 @@ def _linked(rows: DataFrame, kind: str, payload: list[str], enough: int) -> Data
         items = t["item"].combine_chunks()
         comp, rest = t["component"].to_numpy(), t["rest"].to_numpy()
         if kind == "signature":
-            sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+            sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint16).reshape(-1, scheme.symbols)
             n = t["n"].to_numpy()
         else:
             blobs = t["items"].to_pylist()
@@ -227,7 +243,7 @@ def _linked(rows: DataFrame, kind: str, payload: list[str], enough: int) -> Data
         for lo, hi in zip(bounds, bounds[1:], strict=False):
             if hi - lo < 2:
                 continue
-            near = _near_signature(sig[lo:hi], n[lo:hi]) if kind == "signature" else _near_sets(blobs[lo:hi])
+            near = _near_signature(sig[lo:hi], n[lo:hi], scheme) if kind == "signature" else _near_sets(blobs[lo:hi], scheme.threshold)
             got = forest(hi - lo, near) if rest[lo] is None or np.isnan(rest[lo]) else across(comp[lo:hi], rest[lo:hi] > 0, near)
             a += [lo + x for x, _ in got]
             b += [lo + x for _, x in got]
@@ -288,24 +304,28 @@ def _free(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def dedup(docs: DataFrame) -> DataFrame:
-    """(doc_id, rid, n_shingles, component_id, kept), one row for each row of docs (doc_id, text)."""
+def dedup(docs: DataFrame, threshold: int = 85) -> DataFrame:
+    """(doc_id, rid, n_shingles, component_id, kept), one row for each row of docs (doc_id, text).
+
+    threshold: per cent of similarity from which two documents are linked, one of SCHEMES.
+    """
+    scheme = SCHEMES[threshold]
     spark = docs.sparkSession
-    rows = written(sketches(docs))
+    rows = written(sketches(docs, scheme))
     classes = written(
         rows.where("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.first("sig").alias("sig"), F.min("rid").alias("rep"))
         .withColumn("nid", F.conv(F.substring("node", 1, 15), 16, 10).cast("long"))
     )
-    table = _exploded(classes)
+    table = _exploded(classes, scheme)
     many = table.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     # Members of one bucket with equal ids would be the same class.
     buckets = table.join(many, "key").join(classes.select("nid", "node", "n", "sig"), "nid").select(F.col("key").alias("group"), F.col("node").alias("item"), "n", "sig")
-    family = written(components(_linked(buckets, "signature", ["n", "sig"], 20_000), "a", "b"))
+    family = written(components(_linked(buckets, "signature", ["n", "sig"], 20_000, scheme), "a", "b"))
     _free(spark)
     sets = written(_sets(docs, family.join(classes, "node").select(F.col("rep").alias("rid"))))
     _free(spark)
     members = family.join(sets, "node").select(F.col("component").alias("group"), F.col("node").alias("item"), "items")
-    found = written(components(written(_linked(members, "sets", ["items"], 1000)), "a", "b"))
+    found = written(components(written(_linked(members, "sets", ["items"], 1000, scheme)), "a", "b"))
     _free(spark)
     # The smallest doc_id of each component, by way of its classes.
     least = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("d"))
@@ -319,10 +339,10 @@ def dedup(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "rid", F.col("n").alias("n_shingles"), id_.alias("component_id"), F.col("doc_id").eqNullSafe(id_).alias("kept"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, threshold: int = 85) -> DataFrame:
     """docs without the near-duplicates of a document with a smaller doc_id; of repeated rows (same
     doc_id and text) one stays, and all rows without words stay."""
-    verdict = dedup(docs.select("doc_id", "text")).groupBy("rid").agg(F.max("kept").alias("_kept"), F.max("n_shingles").alias("_n")).where("_kept").withColumnRenamed("rid", "_rid")
+    verdict = dedup(docs.select("doc_id", "text"), threshold).groupBy("rid").agg(F.max("kept").alias("_kept"), F.max("n_shingles").alias("_n")).where("_kept").withColumnRenamed("rid", "_rid")
     out = docs.withColumn("_row", _rid()).join(verdict, F.col("_row") == F.col("_rid"))
     full = out.where("_n > 0").dropDuplicates(["_row"])
     return full.unionByName(out.where("_n = 0")).select(*docs.columns)

@@ -94,3 +94,37 @@ def test_pigeonhole():
         b[rng.permutation(near_dedup.SYMBOLS)[: near_dedup.DISTANCE]] ^= 1
         ka, kb = near_dedup.keys(np.stack([a, b]))
         assert (ka == kb).any()
+
+
+def test_threshold(spark):
+    """Pairs at 0.80 to 0.85: 200 words, 4 scattered edits, 176 of 216 shingles shared."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    rows = []
+    for k in range(150):
+        base = [word() for _ in range(200)]
+        for edits in (0, 4 if k % 3 else 6):
+            text = list(base)
+            for e in range(edits):
+                text[20 + 30 * e] = word()
+            rows.append((len(rows), " ".join(text), "x"))
+    for k in range(0, 300, 2):
+        a, b = _set(rows[k][1]), _set(rows[k + 1][1])
+        assert 80 * len(a | b) <= 100 * len(a & b) < 85 * len(a | b) if k // 2 % 3 else 100 * len(a & b) < 80 * len(a | b)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert sorted(r[0] for r in near_dedup.keep_one(docs, threshold=80).collect()) == [k for k in range(300) if not (k % 2 and k // 2 % 3)]
+    assert near_dedup.keep_one(docs.where("doc_id < 20")).count() == 20
+
+
+@pytest.mark.parametrize("scheme", near_dedup.SCHEMES.values())
+def test_pigeonhole_of_schemes(scheme):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    assert scheme.distance // scheme.chunks == 1
+    for _ in range(300):
+        a = rng.integers(0, 1 << 16, scheme.symbols).astype(np.uint16)
+        b = a.copy()
+        b[rng.permutation(scheme.symbols)[: scheme.distance]] ^= 1
+        ka, kb = near_dedup.keys(np.stack([a, b]), scheme)
+        assert (ka == kb).any()

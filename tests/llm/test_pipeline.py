@@ -57,3 +57,11 @@ def test_run(spark, folder):
     a = sorted((r["doc_id"], tuple(r["ids"])) for r in p.run(spark, folder).collect())
     assert a and a == sorted((r["doc_id"], tuple(r["ids"])) for r in p.run(spark, folder).collect())
     assert [n for n, _ in p.STAGES] == ["quality_rules", "near_dedup", "personal_data", "mixing", "bpe"]
+
+
+def test_near_copies_of_the_stage(spark, folder):
+    """A copy at similarity 0.815 goes."""
+    words = [f"word{k}" for k in range(200)]
+    copy = [f"new{k}" if k in (20, 60, 100, 140) else w for k, w in enumerate(words)]
+    docs = spark.createDataFrame([(1, " ".join(words), "en", "a", 0), (2, " ".join(copy), "en", "a", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert [r["doc_id"] for r in p.near_duplicates(spark, docs, folder).collect()] == [1]
