@@ -18,7 +18,8 @@ task holds more than two tiles.
 
 Defined results: a null or wordless text has an empty set and no links; repeated rows are linked as
 equal sets; null ids take part, and a component's id is its smallest non-null doc_id (null if it has
-none); an empty table gives an empty result. Other columns pass through ``keep_one``.
+none); an empty table gives an empty result. Other columns pass through ``keep_one``, which leaves one
+row of each component.
 """
 
 from __future__ import annotations
@@ -309,6 +310,11 @@ def dedup(docs: DataFrame, threshold: int = 85) -> DataFrame:
 
     threshold: per cent of similarity from which two documents are linked, one of SCHEMES.
     """
+    return _grouped(docs, threshold).drop("component")
+
+
+def _grouped(docs: DataFrame, threshold: int) -> DataFrame:
+    """What dedup returns, and component: the name of the row's group, null for an empty set."""
     scheme = SCHEMES[threshold]
     spark = docs.sparkSession
     rows = written(sketches(docs, scheme))
@@ -331,18 +337,21 @@ def dedup(docs: DataFrame, threshold: int = 85) -> DataFrame:
     least = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("d"))
     joined = least.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ids = joined.groupBy("component").agg(F.min("d").alias("component_id"))
-    of_node = joined.select("node", "component").join(ids, "component").select(F.col("node").alias("_node"), "component_id")
+    of_node = joined.select("node", "component").join(ids, "component").select(F.col("node").alias("_node"), "component", "component_id")
     # An empty set joins nothing: a key of its own keeps such rows apart.
     own = F.coalesce("node", F.concat(F.lit("-"), F.col("rid").cast("string")))
     out = rows.withColumn("_key", own).join(of_node, F.col("_key") == F.col("_node"), "left")
     id_ = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "rid", F.col("n").alias("n_shingles"), id_.alias("component_id"), F.col("doc_id").eqNullSafe(id_).alias("kept"))
+    return out.select("doc_id", "rid", F.col("n").alias("n_shingles"), id_.alias("component_id"), F.col("doc_id").eqNullSafe(id_).alias("kept"), "component")
 
 
 def keep_one(docs: DataFrame, threshold: int = 85) -> DataFrame:
-    """docs without the near-duplicates of a document with a smaller doc_id; of repeated rows (same
-    doc_id and text) one stays, and all rows without words stay."""
-    verdict = dedup(docs.select("doc_id", "text"), threshold).groupBy("rid").agg(F.max("kept").alias("_kept"), F.max("n_shingles").alias("_n")).where("_kept").withColumnRenamed("rid", "_rid")
-    out = docs.withColumn("_row", _rid()).join(verdict, F.col("_row") == F.col("_rid"))
-    full = out.where("_n > 0").dropDuplicates(["_row"])
-    return full.unionByName(out.where("_n = 0")).select(*docs.columns)
+    """One row of each group of near-duplicates stays, the one with the smallest doc_id (null last, then
+    by rid); all rows without words stay."""
+    rows = _grouped(docs.select("doc_id", "text"), threshold).withColumn("_full", F.col("n_shingles") > 0)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid"))["rid"]
+    one = rows.where("_full").groupBy("component").agg(first.alias("_rid")).select("_rid", F.lit(True).alias("_full"))
+    bare = rows.where("not _full").select(F.col("rid").alias("_rid"), "_full").distinct()
+    out = docs.withColumn("_row", _rid()).join(one.unionByName(bare), F.col("_row") == F.col("_rid"))
+    full = out.where("_full").dropDuplicates(["_row"])
+    return full.unionByName(out.where("not _full")).select(*docs.columns)

@@ -128,3 +128,15 @@ def test_pigeonhole_of_schemes(scheme):
         b[rng.permutation(scheme.symbols)[: scheme.distance]] ^= 1
         ka, kb = near_dedup.keys(np.stack([a, b]), scheme)
         assert (ka == kb).any()
+
+
+def test_keep_one_of_each_group(spark):
+    """Groups without ids, and different texts under the smallest id, leave one row."""
+    words = [f"w{k}" for k in range(60)]
+    near = [" ".join([*words[:-1], x]) for x in ("a", "b", "c")]
+    other = [" ".join(["o" + w for w in [*words[:-1], x]]) for x in ("a", "b", "c")]
+    rows = [*((None, t, "x") for t in near), (5, other[0], "x"), (5, other[1], "x"), (6, other[2], "x"), (None, other[2], "x"), (None, None, "x"), (None, "", "x"), (7, " ", "x")]
+    got = near_dedup.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
+    full = [r for r in got if (r["text"] or "").strip()]
+    assert len(full) == 2 and sorted(r["doc_id"] or 0 for r in full) == [0, 5]
+    assert len(got) == 5
