@@ -39,8 +39,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each document."""
-    return bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary_path()).select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """The ids of each document, and the hash of what they decode to."""
+    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary_path(), decoded="decoded")
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [("quality_rules", quality), ("near_dedup", near_duplicates), ("personal_data", personal_data), ("mixing", mixture), ("bpe", encoding)]

@@ -65,3 +65,12 @@ def test_near_copies_of_the_stage(spark, folder):
     copy = [f"new{k}" if k in (20, 60, 100, 140) else w for k, w in enumerate(words)]
     docs = spark.createDataFrame([(1, " ".join(words), "en", "a", 0), (2, " ".join(copy), "en", "a", 0)], "doc_id long, text string, lang string, source string, n_chars long")
     assert [r["doc_id"] for r in p.near_duplicates(spark, docs, folder).collect()] == [1]
+
+
+def test_round_trip_of_the_stage(spark, folder):
+    """The ids decode to the text of each document."""
+    import hashlib
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("text is not null")
+    texts = {r["doc_id"]: hashlib.sha256(r["text"].encode()).hexdigest() for r in docs.collect()}
+    assert {r["doc_id"]: r["decoded_sha256"] for r in p.encoding(spark, docs, folder).collect()} == texts
