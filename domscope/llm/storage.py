@@ -1,5 +1,5 @@
 """Shared storage, as the rest of the library uses it."""
 
-from ..sources.shared import cut, partitions, shared_dir, written
+from ..sources.shared import partitions, written
 
-__all__ = ["cut", "partitions", "shared_dir", "written"]
+__all__ = ["partitions", "written"]
