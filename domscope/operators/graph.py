@@ -4,7 +4,7 @@ First every partition contracts its own edges by union-find, which leaves at mos
 its nodes; a table of at most ``LOCAL_EDGES`` edges is one partition and done then. Larger tables go
 on in alternating large-star and small-star rounds: each star is a minimum per node (combined before
 the shuffle) joined back to the edges, so a node of any degree never gathers its neighbours in one
-task, and every round is cut by a checkpoint in the shared folder.
+task, and every round ends in a table in the shared folder, which replaces that of the round before.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import cut
+from ..sources.shared import kept_with, written
 
 LOCAL_EDGES = 200_000
 
@@ -73,14 +73,15 @@ def _small(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame, a: str, b: str, *, local_edges: int | None = None, max_rounds: int = 60) -> DataFrame:
     """(node, component) of each node that has an edge; component is the smallest node reachable.
-    Edges with a null end are left out; a node with self-links only has no row."""
+    Edges with a null end are left out; a node with self-links only has no row. The result can be
+    discarded (``shared.discard``) once it has been read."""
     size = LOCAL_EDGES if local_edges is None else local_edges
-    e = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
+    e = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
     parts = max(1, -(-e.count() // size))
-    e = cut(_contracted(e.coalesce(parts)))
+    e = written(_contracted(e.coalesce(parts)), e)
     before = None
     for _ in range(max_rounds if parts > 1 else 0):
-        e = cut(_small(_large(e)))
+        e = written(_small(_large(e)), e)
         mark = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == before:
             break
@@ -89,4 +90,4 @@ def components(edges: DataFrame, a: str, b: str, *, local_edges: int | None = No
         if parts > 1:
             raise RuntimeError("components did not settle")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    return kept_with(e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots), e)

@@ -14,7 +14,7 @@ from ..functions.html import address_hints, emails, legal_urls, links, parsed, s
 from ..functions.rules import evidence_tier
 from ..functions.text import strip
 from ..operators.keyed import keep_first, lookup_first, sightings
-from ..sources.shared import cut
+from ..sources.shared import discard, written
 
 
 def domain_index(entities: DataFrame) -> DataFrame:
@@ -63,7 +63,8 @@ def discover(
 
     seeds: url and ``ordinal``; pages: url, html, optionally final_url and status; deny, allow: host.
     Each round joins the frontier with the pages; the frontier keeps first-in-first-out order, since
-    the cap on pages of one host takes links in that order, repeats included.
+    the cap on pages of one host takes links in that order, repeats included. What a round gives is
+    written, so the plan does not grow. A crawl that is not done after max_rounds is an error.
     """
     have = pages.columns
     table = pages.select("url", F.col("html") if "html" in have else F.lit("").alias("html"), (F.coalesce("final_url", "url") if "final_url" in have else F.col("url")).alias("final_url"), (F.col("status") if "status" in have else F.lit(200)).alias("status"))
@@ -77,7 +78,7 @@ def discover(
             rows = rows.join(allow.select(F.col("host").alias(host)).distinct(), host, "left_semi")
         return rows
 
-    frontier = cut(keep_first(seeds.select("url", F.col("url").alias("source"), F.array(F.col("ordinal").cast("long")).alias("place")), ["url"], ["place"]))
+    frontier = written(keep_first(seeds.select("url", F.col("url").alias("source"), F.array(F.col("ordinal").cast("long")).alias("place")), ["url"], ["place"]))
     seen = frontier.select("url")
     used = None
     visits = found = None
@@ -85,7 +86,7 @@ def discover(
         open_ = allowed(frontier.withColumn("host", crawl_host(F.col("url"))), "host")
         got = open_.join(table, "url", "left")
         read = parsed(got.where("html <> '' AND status > 0").withColumn("base", F.col("final_url")), url="base")
-        read = cut(read.withColumn("final_host", crawl_host(F.col("final_url"))).select("url", "source", "place", "final_url", "status", "final_host", F.posexplode_outer(links(F.col("page"), F.col("final_url"), limit=600, mail=True)).alias("k", "link")).withColumn("link_host", crawl_host(F.col("link"))))
+        read = written(read.withColumn("final_host", crawl_host(F.col("final_url"))).select("url", "source", "place", "final_url", "status", "final_host", F.posexplode_outer(links(F.col("page"), F.col("final_url"), limit=600, mail=True)).alias("k", "link")).withColumn("link_host", crawl_host(F.col("link"))))
         out = allowed(read.where("link IS NOT NULL"), "link_host").select("url", "source", F.col("link_host").alias("domain"))
         landed = read.where("final_host IS NOT NULL").groupBy("url", "source", "place", "final_url").agg(F.first("final_host").alias("domain"))
         credit = out.select("domain", "source", F.lit(None).cast("array<string>").alias("chain"), F.lit(None).cast("array<bigint>").alias("place")).unionByName(
@@ -93,6 +94,7 @@ def discover(
         )
         outs = out.groupBy("url").agg(F.array_sort(F.collect_set("domain")).alias("outbound_domains"))
         visit = got.join(outs, "url", "left").select(F.col("url").alias("requested_url"), "final_url", F.coalesce("status", F.lit(-1)).alias("http_status"), F.col("source").alias("source_seed_or_page"), F.coalesce("outbound_domains", F.array().cast("array<string>")).alias("outbound_domains"))
+        visit, credit = written(visit), written(credit)
         visits = visit if visits is None else visits.unionByName(visit)
         found = credit if found is None else found.unionByName(credit)
         if max_depth < 1:
@@ -100,17 +102,21 @@ def discover(
         inner = read.where("link IS NOT NULL AND link_host = final_host").join(seen.withColumnRenamed("url", "link"), "link", "left_anti")
         # At most max_same_host_pages of a host pass, so ranks beyond the cap need not be told apart.
         rank = F.row_number().over(W.partitionBy("final_host").orderBy("place", "k"))
-        inner = inner.withColumn("r", rank)
+        inner = inner.withColumn("r", rank).where(F.col("r") <= max_same_host_pages)
         if used is not None:
             inner = inner.join(used, "final_host", "left")
         taken = F.coalesce(F.col("n"), F.lit(0)) if used is not None else F.lit(0)
-        passed = cut(inner.where(F.col("r") + taken <= max_same_host_pages).select("final_host", F.col("link").alias("url"), "source", F.concat("place", F.array(F.col("k").cast("long"))).alias("place")))
+        passed = written(inner.where(F.col("r") + taken <= max_same_host_pages).select("final_host", F.col("link").alias("url"), "source", F.concat("place", F.array(F.col("k").cast("long"))).alias("place")))
         count = passed.groupBy("final_host").agg(F.count("*").alias("n"))
-        used = cut(count if used is None else used.unionByName(count).groupBy("final_host").agg(F.sum("n").alias("n")))
-        frontier = cut(keep_first(passed.select("url", "source", "place"), ["url"], ["place"]))
+        before = [] if used is None else [used]
+        used = written(count if used is None else used.unionByName(count).groupBy("final_host").agg(F.sum("n").alias("n")), *before)
+        frontier = written(keep_first(passed.select("url", "source", "place"), ["url"], ["place"]))
+        discard(read, passed)
         if not frontier.head(1):
             break
-        seen = cut(seen.unionByName(frontier.select("url")))
+        seen = written(seen.unionByName(frontier.select("url")), seen)
+    else:
+        raise RuntimeError(f"the crawl did not end in {max_rounds} rounds")
     chains = found.where("chain IS NOT NULL").groupBy("domain").agg(F.max_by("chain", "place").alias("redirect_chain"))
     domains = found.groupBy("domain").agg(F.array_sort(F.collect_set("source")).alias("source_urls")).join(chains, "domain", "left")
     return domains.withColumn("redirect_chain", F.coalesce("redirect_chain", F.array().cast("array<string>"))).orderBy("domain"), visits

@@ -15,7 +15,7 @@ from ..functions import terms as t
 from ..functions.hosts import rule_domain, seed_hosts
 from ..functions.text import legal_keys, norm_blob, norm_key, strings, strip, text
 from ..operators.keyed import keep_first
-from ..sources.shared import cut
+from ..sources.shared import written
 from .cluster import primary_domain
 
 QUEUE = ("kind", "id", "priority_score", "review_status", "evidence_tier", "sources", "notes", "payload_ref")
@@ -275,7 +275,7 @@ def decisions(
     main = entity_decisions(staged, fingerprints, catalogue_keys(entities), facts, edge_counts(relationships), confirmed)
     for part in (fingerprint_decisions(fingerprints, staged), relationship_decisions(relationships), cluster_decisions(clusters, entities, confirmed)):
         main = main.unionByName(part)
-    main = cut(main)  # read twice below
+    main = written(main)  # read twice below
     own = queue_decisions(queue, extracted, facts, confirmed)
     known = main.select("source_type", "record_id").distinct()
     fresh = own.join(known, ["source_type", "record_id"], "left_anti").select(*main.columns)
