@@ -53,7 +53,8 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    sized = mixing.sizes(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    mixed = mixing.mix_sized(sized, "doc_id", "text", without=("text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "draws")
 
 

@@ -1,5 +1,5 @@
 """Shared storage, as the rest of the library uses it."""
 
-from ..sources.shared import partitions, written
+from ..sources.shared import discard, kept_with, partitions, written
 
-__all__ = ["partitions", "written"]
+__all__ = ["discard", "kept_with", "partitions", "written"]
