@@ -5,14 +5,19 @@ each language are clustered by spherical k-means, and a text takes the language
 the largest cosine. A text farther from its centroid than nearly all training texts of that cluster
 is marked ``rejected``; its nearest language is still given.
 
-The model is fitted on a bounded sample: at most ``SAMPLE`` labelled documents, in equal parts of at
-most ``PER_LANGUAGE`` by language, those of least id hash. It is a few hundred KB and goes with the
-tasks. Predictions read the text alone.
+The model is fitted on a bounded sample: at most ``SAMPLE`` different labelled texts, in equal parts of
+at most ``PER_LANGUAGE`` by language, those of least hash, and no more of a language than its part of
+``SAMPLE_BYTES`` (one text at least; texts over ``LONG`` code points come last). Equal texts count once,
+so a language that consists of copies is learned too. With more than ``SAMPLE`` languages the most
+frequent ones are learned. The model is a few hundred KB and goes with the tasks. Predictions read the
+text alone.
 
 Defined results: a null text and one without a letter are ``und`` with score 0; without any training
 document every text is ``und``; a null id counts as in the training part; texts shorter than three
-bytes or without a known trigram take the first language with score 0; repeated rows give repeated
-results; an empty table gives an empty result. Extra columns are not carried.
+bytes or without a known trigram take the language with the most training rows, with score 0; of equally
+near centroids the language that comes first by code point; repeated rows give repeated results; an
+empty table gives an empty result. Extra columns are not carried. A batch is walked in ``ROWS`` texts at
+most, so memory follows the longest text.
 """
 
 from __future__ import annotations
@@ -31,6 +36,9 @@ from .vectext import LOWER, buffers, chunks
 
 SAMPLE = 4000
 PER_LANGUAGE = 600
+SAMPLE_BYTES = 16 << 20
+LONG = 100_000
+ROWS = 512
 FEATURES = 2048
 CENTROIDS = 3
 _LETTER = regex.compile(r"\p{L}")
@@ -65,9 +73,10 @@ class Model:
     centroids: np.ndarray  # unit rows
     language: list[str]  # of each centroid
     radius: np.ndarray  # least cosine that is not rejected
+    common: str = ""  # the language of texts without a known trigram
 
     def vectors(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """Normalised TF-IDF rows; tf is 1 + ln(count)."""
+        """Normalised TF-IDF rows; tf is ln(1 + count)."""
         index = self.index()
         doc, code = trigrams(data, off)
         f = index[code]
@@ -114,7 +123,8 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 25) -> np.ndarray:
     return c
 
 
-def fit(texts: list[str], languages: list[str], *, features: int = FEATURES, centroids: int = CENTROIDS, quantile: float = 0.01) -> Model | None:
+def fit(texts: list[str], languages: list[str], *, common: str | None = None, features: int = FEATURES, centroids: int = CENTROIDS, quantile: float = 0.01) -> Model | None:
+    """A model of the texts, null if they have no trigram; common: the language of texts that have no known one."""
     if not texts:
         return None
     raw = [t.encode() for t in texts]
@@ -129,7 +139,7 @@ def fit(texts: list[str], languages: list[str], *, features: int = FEATURES, cen
     if not len(top):
         return None
     model = Model(top, np.log((1 + len(texts)) / (1 + df[top])).astype(np.float32) + np.float32(0.1), np.zeros((0, len(top)), np.float32), [], np.zeros(0))
-    x = np.concatenate([model.vectors(data[off[a] : off[b]], off[a : b + 1] - off[a]) for a, b in chunks(off)])
+    x = np.concatenate([model.vectors(data[off[a] : off[b]], off[a : b + 1] - off[a]) for a, b in chunks(off, rows=ROWS)])
     rows, names, radius = [], [], []
     lang = np.array(languages, dtype=object)
     for name in sorted(set(languages)):
@@ -141,6 +151,7 @@ def fit(texts: list[str], languages: list[str], *, features: int = FEATURES, cen
             rows.append(c[j])
             names.append(name)
             radius.append(float(np.quantile(near[at == j, j], quantile)) if (at == j).any() else 1.0)
+    model.common = min(languages, key=lambda x: (-languages.count(x), x)) if common is None else common
     model.centroids, model.language, model.radius = np.stack(rows).astype(np.float32), names, np.array(radius)
     return model
 
@@ -149,20 +160,31 @@ def fold(ident: str = "doc_id", folds: int = 3):
     return F.pmod(F.crc32(F.coalesce(F.col(ident).cast("string"), F.lit(""))), F.lit(folds))
 
 
-def sample(docs: DataFrame, *, total: int = SAMPLE, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """(text, lang) of the bounded training sample; a language's rows are thinned by hash before they are ranked."""
-    train = docs.where((fold() != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(total).collect()}
-    each = max(1, min(per_language, total // max(1, len(counts))))
-    share = train.sparkSession.createDataFrame([(k, min(1.0, 2.0 * each / n + 50.0 / n)) for k, n in counts.items()] or [], "lang string, share double")
-    h = F.xxhash64("doc_id", "text")
-    thin = train.join(F.broadcast(share), "lang").withColumn("h", F.shiftrightunsigned(h, 11) / F.lit(float(1 << 53))).where("h < share")
-    return thin.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("r") <= each).select("lang", "r", "text")
+def sample(docs: DataFrame, *, total: int = SAMPLE, per_language: int = PER_LANGUAGE, size: int = SAMPLE_BYTES, long: int = LONG) -> tuple[DataFrame, list[str]]:
+    """((lang, r, text) of the bounded training sample, its languages by falling number of rows).
+
+    A language's texts are thinned by hash before equal ones become one and before they are ranked; the
+    shares follow the number of different texts, so copies neither crowd others out nor vanish together.
+    """
+    x1, x2 = F.xxhash64("text"), F.xxhash64(F.lit(20240607), "text")
+    train = docs.where((fold() != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", x1.alias("x1"), x2.alias("x2"))
+    counted = train.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("x1", 0.05).alias("d")).orderBy(F.desc("n"), "lang").limit(total).collect()
+    each = max(1, min(per_language, total // max(1, len(counted))))
+    limit = size // max(1, len(counted))
+    share = train.sparkSession.createDataFrame([(r["lang"], min(1.0, (2.0 * each + 50.0) / max(1, r["d"]))) for r in counted] or [], "lang string, share double")
+    thin = train.join(F.broadcast(share), "lang").where(F.shiftrightunsigned("x1", 11) / F.lit(float(1 << 53)) < F.col("share"))
+    one = thin.groupBy("lang", "x1", "x2").agg(F.first("text").alias("text"))
+    order = W.partitionBy("lang").orderBy(F.length("text") > long, F.shiftrightunsigned("x1", 1), "x1", "x2")
+    ranked = one.withColumn("r", F.row_number().over(order)).where(F.col("r") <= each)
+    before = F.coalesce(F.sum(F.octet_length("text")).over(W.partitionBy("lang").orderBy("r").rowsBetween(W.unboundedPreceding, 0)), F.lit(0))
+    kept = ranked.withColumn("before", before).where((F.col("r") == 1) | (F.col("before") <= limit))
+    return kept.select("lang", "r", "text"), [r["lang"] for r in counted]
 
 
 def train(docs: DataFrame, **options) -> Model | None:
-    rows = sorted(sample(docs).collect(), key=lambda r: (r["lang"], r["r"], r["text"]))
-    return fit([r["text"] for r in rows], [r["lang"] for r in rows], **options)
+    some, languages = sample(docs)
+    rows = sorted(some.collect(), key=lambda r: (r["lang"], r["r"]))
+    return fit([r["text"] for r in rows], [r["lang"] for r in rows], common=languages[0] if languages else None, **options)
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -173,7 +195,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
             column = batch.column(2)
             data, off = buffers(column)
             names, scores, far = [], [], []
-            for a, b in chunks(off):
+            for a, b in chunks(off, rows=ROWS):
                 part, o = data[off[a] : off[b]], off[a : b + 1] - off[a]
                 letters = np.concatenate([[0], np.cumsum(_ASCII_LETTER[part])])
                 has = letters[o[1:]] > letters[o[:-1]]
@@ -185,7 +207,8 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
                     far.append(np.ones(b - a, bool))
                     continue
                 at, score, out = model.predict(part, o)
-                names += [model.language[c] if h else "und" for c, h in zip(at.tolist(), has.tolist(), strict=True)]
+                best = [model.language[c] if s > 0 else model.common for c, s in zip(at.tolist(), score.tolist(), strict=True)]
+                names += [x if h else "und" for x, h in zip(best, has.tolist(), strict=True)]
                 scores.append(np.where(has, score, 0.0))
                 far.append(out | ~has)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(np.concatenate(scores) if scores else np.zeros(0)), pa.array(np.concatenate(far) if far else np.zeros(0, bool))], names=["doc_id", "held_out", "lang_pred", "score", "rejected"])

@@ -62,16 +62,23 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8, int(off[-1] - off[0]), int(off[0])), off - off[0]
 
 
-def chunks(off: np.ndarray, limit: int = 0) -> Iterator[tuple[int, int]]:
-    """Ranges of whole documents holding about ``limit`` bytes each (one document at least)."""
+def chunks(off: np.ndarray, limit: int = 0, rows: int = 1 << 62) -> Iterator[tuple[int, int]]:
+    """Ranges of whole documents holding about ``limit`` bytes each (one document at least, ``rows`` at most)."""
     limit = limit or CHUNK_BYTES
     first, n = 0, len(off) - 1
     while first < n:
         last = max(first + 1, int(np.searchsorted(off, off[first] + limit, side="right")) - 1)
+        last = min(last, n, first + rows)
         yield first, last
         first = last
 
 
+def sliced(batch: pa.RecordBatch, column: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices with about ``limit`` bytes of text each, one row at least."""
+    for a, b in chunks(buffers(batch.column(column))[1], limit):
+        yield batch.slice(a, b - a)
+
+
 class Words:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a range of documents.
 
@@ -103,14 +110,15 @@ class Words:
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
+    """What span_hash needs of bytes, or of 64-bit numbers."""
     up, _ = powers(len(data) + 1)
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE[data] * up[: len(data)], out=out[1:])
+    np.cumsum((BYTE[data] if data.dtype == np.uint8 else data) * up[: len(data)], out=out[1:])
     return out
 
 
 def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of each data[start:end]."""
+    """Hash of each data[start:end], whose prefix_hash is given."""
     _, down = powers(len(prefix))
     return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
 
@@ -133,19 +141,3 @@ def sliding(values: np.ndarray, width: int, fold) -> np.ndarray:
         out = fold(out[: len(out) - step], out[step:])
         have += step
     return out
-
-
-def anchors(keys: np.ndarray, valid: np.ndarray, width: int) -> np.ndarray:
-    """Indices of keys that are the smallest of a window of ``width`` keys (ties: all of them).
-
-    ``valid[s]`` tells whether the window starting at s counts. Which positions of a window are
-    chosen depends on its content alone, so equal windows choose equal positions.
-    """
-    if len(keys) < width:
-        return np.zeros(0, np.int64)
-    keys = keys | np.uint64(1)
-    least = sliding(keys, width, np.minimum)
-    least[~valid[: len(least)]] = 0
-    pad = np.zeros(len(keys) + width - 1, np.uint64)
-    pad[width - 1 : width - 1 + len(least)] = least
-    return np.flatnonzero(sliding(pad, width, np.maximum) == keys)

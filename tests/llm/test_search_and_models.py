@@ -3,7 +3,7 @@
 import math
 import random
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -113,3 +113,76 @@ def test_lm(spark, bucket, monkeypatch):
 
 def test_lm_empty(spark):
     assert lm_score.scores(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def _grams(text):
+    """Byte trigrams of the lower-cased text."""
+    low = "".join(c.lower() if c.isascii() or "\u00c0" <= c <= "\u00de" and c != "\u00d7" else c for c in text).encode()
+    return Counter(low[i : i + 3] for i in range(len(low) - 2))
+
+
+def _tf_idf(text, idf):
+    """Brute force: normalised ln(1 + count) * idf."""
+    v = {g: math.log(1 + c) * idf[g] for g, c in _grams(text).items() if g in idf}
+    size = math.sqrt(sum(x * x for x in v.values())) or 1.0
+    return {g: x / size for g, x in v.items()}
+
+
+def _language_texts(seed=5, n=240):
+    rng = random.Random(seed)
+    words = {x: ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 8))) for _ in range(40)] for x, letters in (("aa", "abcdeÉ"), ("bb", "cdefgß"), ("cc", "efghij "))}
+    langs = [rng.choice(list(words)) for _ in range(n)]
+    return [" ".join(rng.choice(words[x]) for _ in range(rng.randrange(1, 20))).capitalize() for x in langs], langs
+
+
+def test_language_against_plain_tf_idf():
+    """Document frequencies, vectors, centroids and the nearest one agree with dictionaries."""
+    texts, langs = _language_texts()
+    model = langid.fit(texts, langs, features=300, centroids=3)
+    grams = [bytes([c >> 16, c >> 8 & 255, c & 255]) for c in model.codes.tolist()]
+    every = Counter(g for t in texts for g in _grams(t))
+    assert set(grams) == set(sorted(every, key=lambda g: (-every[g], g))[:300])
+    idf = {g: math.log((1 + len(texts)) / (1 + every[g])) + 0.1 for g in grams}
+    assert np.allclose(model.idf, [idf[g] for g in grams], atol=1e-5)
+    vectors = [_tf_idf(t, idf) for t in texts]
+    data = "".join(texts).encode()
+    off = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    got = model.vectors(np.frombuffer(data, np.uint8), off)
+    for row, v in zip(got, vectors, strict=True):
+        assert np.allclose(row, [v.get(g, 0.0) for g in grams], atol=1e-5)
+    # Each centroid is the unit mean of the texts of its language that are nearest to it.
+    for name in set(langs):
+        own = [v for v, x in zip(vectors, langs, strict=True) if x == name]
+        cs = [dict(zip(grams, c.tolist(), strict=True)) for c, x in zip(model.centroids, model.language, strict=True) if x == name]
+        near = [max(range(len(cs)), key=lambda j, v=v: sum(x * cs[j][g] for g, x in v.items())) for v in own]
+        for j, c in enumerate(cs):
+            mean = {g: sum(v.get(g, 0.0) for v, k in zip(own, near, strict=True) if k == j) for g in grams}
+            size = math.sqrt(sum(x * x for x in mean.values()))
+            assert size == 0 or all(abs(mean[g] / size - c[g]) < 1e-3 for g in grams)
+    new, _ = _language_texts(6, 60)
+    raw = "".join(new).encode()
+    at, score, rejected = model.predict(np.frombuffer(raw, np.uint8), np.concatenate([[0], np.cumsum([len(t.encode()) for t in new])]))
+    for t, k, s, far in zip(new, at.tolist(), score.tolist(), rejected.tolist(), strict=True):
+        v = _tf_idf(t, idf)
+        cos = [sum(x * c for x, c in ((v.get(g, 0.0), c) for g, c in zip(grams, row.tolist(), strict=True))) for row in model.centroids]
+        assert abs(max(cos) - s) < 1e-4 and cos[k] > max(cos) - 1e-4 and far == (s < model.radius[k])
+
+
+def test_language_sample(spark):
+    """A language of equal rows is learned, copies don't crowd others out, sizes are bounded."""
+    rows = [(k, "aba abba baab aba", "aa") for k in range(4000)] + [(5000 + k, f"cde edc ccd {'dec ' * (k % 9)}", "bb") for k in range(300)]
+    rows += [(6000 + k, "same text for all", "cc") for k in range(3000)] + [(9500 + k, f"other text {k}", "cc") for k in range(12)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string, extra string").repartition(3)
+    some, languages = langid.sample(docs)
+    got = some.collect()
+    assert languages == ["aa", "cc", "bb"]
+    assert Counter(r["lang"] for r in got)["aa"] == 1 and len({r["text"] for r in got if r["lang"] == "cc"}) > 5
+    found = {r["doc_id"]: r for r in langid.identify(docs, langid.train(docs)).collect()}
+    assert {found[d]["lang_pred"] for d, _, x in rows if x == "aa"} == {"aa"} and {found[d]["lang_pred"] for d, _, x in rows if x == "bb"} == {"bb"}
+    small, _ = langid.sample(docs, size=300)
+    by = defaultdict(list)
+    for r in small.collect():
+        by[r["lang"]].append(r["text"])
+    assert set(by) == {"aa", "bb", "cc"} and all(len(x) == 1 or sum(map(len, x)) <= 100 for x in by.values())
+    odd = spark.createDataFrame([(1, "щщщ щщ", None, ""), (2, "12", None, ""), (3, None, None, ""), (4, "", None, "")], "doc_id long, text string, lang string, extra string")
+    assert [(r["lang_pred"], r["score"]) for r in langid.identify(odd, langid.train(docs)).orderBy("doc_id").collect()] == [("aa", 0.0), ("und", 0.0), ("und", 0.0), ("und", 0.0)]
