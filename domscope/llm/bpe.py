@@ -27,9 +27,9 @@ from pyspark.sql import types as T
 
 from .vectext import buffers, mix, powers
 
-BLOCK_CHARS = 8_000_000
-SPLIT_CHARS = 1_000_000
-TABLE_WORDS = 300_000
+BLOCK_CHARS = 2_000_000
+SPLIT_CHARS = 250_000
+TABLE_WORDS = 100_000
 
 #: Classes of code points for the word pattern
 #: 's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
@@ -97,11 +97,24 @@ def byte_letters() -> list[str]:
     return out
 
 
+def refused(spec: dict) -> list[str]:
+    """What a vocabulary file asks for that this encoder does not do."""
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    out = [] if model.get("type", "BPE") == "BPE" else [f"model {model['type']}"]
+    out += [k for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges") if model.get(k)]
+    out += ["normalizer"] if spec.get("normalizer") else []
+    if before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+        out.append("pre_tokenizer")
+    return out + [f"{k} of {t['content']!r}" for t in spec.get("added_tokens", []) for k in ("lstrip", "rstrip", "single_word", "normalized") if t.get(k) and (k != "normalized" or spec.get("normalizer"))]
+
+
 class PairIndexBPE:
-    """Encoder and decoder for one vocabulary file (the JSON text)."""
+    """Encoder and decoder for one vocabulary file (the JSON text); files that ask for more are refused."""
 
     def __init__(self, file: str):
         spec = json.loads(file)
+        if bad := refused(spec):
+            raise ValueError(f"the vocabulary asks for what is not supported: {', '.join(bad)}")
         vocab: dict[str, int] = spec["model"]["vocab"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
         letters = byte_letters()

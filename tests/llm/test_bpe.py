@@ -1,6 +1,8 @@
 """Encoding and decoding against the tokenizers library."""
 
+import json
 import random
+from pathlib import Path
 
 import pytest
 from tokenizers import Tokenizer
@@ -71,3 +73,11 @@ def test_frames(spark, library):
         assert r["decoded"] == (text or "")
     empty = spark.createDataFrame([], SCHEMA)
     assert bpe.decode(bpe.encode(empty, path), path).collect() == []
+
+
+@pytest.mark.parametrize("change", [{"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}}, {"pre_tokenizer": None}])
+def test_other_files_are_refused(change):
+    spec = json.loads(Path(vocabulary_path()).read_text(encoding="utf-8"))
+    bpe.PairIndexBPE(json.dumps(spec))
+    with pytest.raises(ValueError, match="not supported"):
+        bpe.PairIndexBPE(json.dumps(spec | change))
