@@ -12,14 +12,15 @@
 4. Inside each family full sets are compared, and links with 100 * intersection >= threshold * union
    are kept, again as a spanning forest; their components are the result.
 
-Buckets and families above ``TILE`` members are dealt to tiles, twice by different hashes; what is
-then not in the group's largest component is compared with all its tiles, so no link is missed and no
-task holds more than two tiles.
+Buckets and families above ``TILE`` members, or ``TILE_BYTES`` of sets, are dealt to tiles, twice by
+different hashes; what is then not in the group's largest component is compared with all its tiles, so
+no link is missed and no task holds more than two tiles (a single set is never split). Groups are
+planned on narrow (group, item) rows; signatures and sets join them by item, dealt to tiles already.
 
 Defined results: a null or wordless text has an empty set and no links; repeated rows are linked as
 equal sets; null ids take part, and a component's id is its smallest non-null doc_id (null if it has
-none); an empty table gives an empty result. Other columns pass through ``keep_one``, which leaves one
-row of each component.
+none); an empty table gives an empty result. Other columns pass through ``keep_one``, whatever their
+names, which leaves one row of each component. Rows are told apart by doc_id and 128 bits of the text.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import components
 from .seeds import bucketed
-from .storage import partitions, written
+from .storage import discard, partitions, written
 from .vectext import LOWER, Words, buffers, chunks, gram_hash, mix
 
 WORDS = 5
@@ -43,6 +44,7 @@ SYMBOLS = 40
 CHUNKS = 9
 DISTANCE = 17
 TILE = 2048
+TILE_BYTES = 8 << 20
 
 
 class Scheme(NamedTuple):
@@ -123,26 +125,25 @@ def keys(sig: np.ndarray, scheme: Scheme = SCHEMES[85]) -> np.ndarray:
     return out
 
 
-def _rid():
-    return F.xxhash64("doc_id", "text")
+def _rids(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) with r1 and r2, 128 bits of doc_id and text."""
+    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("r1"), F.xxhash64(F.lit(20240607), "doc_id", "text").alias("r2"), "text")
 
 
 def sketches(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """(doc_id, rid, n, node, sig): node is the digest of the set, null for an empty set."""
+    """(doc_id, r1, r2, n, node, sig): node is the digest of the set, null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, off = buffers(batch.column(2))
-            sizes, nodes, sigs = [], [], []
+            data, off = buffers(batch.column(3))
             for a, b in chunks(off):
                 key, bounds = shingle_sets(data[off[a] : off[b]], off[a : b + 1] - off[a])
                 cut = bounds.tolist()
-                sizes.append(np.diff(bounds))
-                nodes += [hashlib.blake2b(key[i:j].tobytes(), digest_size=16).hexdigest() if j > i else None for i, j in zip(cut, cut[1:], strict=False)]
-                sigs += [x.tobytes() for x in signatures(key, bounds, scheme.symbols)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(sizes) if sizes else [], pa.int64()), pa.array(nodes, pa.string()), pa.array(sigs, pa.binary())], names=["doc_id", "rid", "n", "node", "sig"])
+                nodes = [hashlib.blake2b(key[i:j].tobytes(), digest_size=16).hexdigest() if j > i else None for i, j in zip(cut, cut[1:], strict=False)]
+                sigs = [x.tobytes() for x in signatures(key, bounds, scheme.symbols)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in range(3)), pa.array(np.diff(bounds)), pa.array(nodes, pa.string()), pa.array(sigs, pa.binary())], names=["doc_id", "r1", "r2", "n", "node", "sig"])
 
-    return docs.select("doc_id", _rid().alias("rid"), "text").mapInArrow(run, "doc_id long, rid long, n long, node string, sig binary")
+    return _rids(docs).mapInArrow(run, "doc_id long, r1 long, r2 long, n long, node string, sig binary")
 
 
 def _exploded(classes: DataFrame, scheme: Scheme) -> DataFrame:
@@ -220,13 +221,15 @@ def across(component: np.ndarray, rest: np.ndarray, near) -> list[tuple[int, int
     return out
 
 
-def _linked(rows: DataFrame, kind: str, payload: list[str], enough: int, scheme: Scheme) -> DataFrame:
+def _linked(members: DataFrame, payload: DataFrame, kind: str, scheme: Scheme) -> DataFrame:
     """(a, b): links between the items of each group that connect what is connected.
 
-    rows: group, item and payload: n and sig for kind "signature", items for kind "sets".
+    members: group, item, n (the size of its set); payload: item, and sig for kind "signature" or items
+    for kind "sets".
     """
-    n_parts = partitions(rows.sparkSession)
-    item = dict(rows.dtypes)["item"]
+    n_parts = partitions(members.sparkSession)
+    item = dict(members.dtypes)["item"]
+    value = "sig" if kind == "signature" else "items"
 
     def compare(t: pa.Table) -> pa.RecordBatch:
         names = ["group", "t", "u"]
@@ -235,78 +238,77 @@ def _linked(rows: DataFrame, kind: str, payload: list[str], enough: int, scheme:
         bounds = [0, *cut.tolist(), t.num_rows]
         items = t["item"].combine_chunks()
         comp, rest = t["component"].to_numpy(), t["rest"].to_numpy()
-        if kind == "signature":
-            sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint16).reshape(-1, scheme.symbols)
-            n = t["n"].to_numpy()
-        else:
-            blobs = t["items"].to_pylist()
+        blobs = t[value].to_pylist()
+        n = t["n"].to_numpy()
         a, b = [], []
         for lo, hi in zip(bounds, bounds[1:], strict=False):
             if hi - lo < 2:
                 continue
-            near = _near_signature(sig[lo:hi], n[lo:hi], scheme) if kind == "signature" else _near_sets(blobs[lo:hi], scheme.threshold)
+            if kind == "signature":
+                near = _near_signature(np.frombuffer(b"".join(blobs[lo:hi]), np.uint16).reshape(-1, scheme.symbols), n[lo:hi], scheme)
+            else:
+                near = _near_sets(blobs[lo:hi], scheme.threshold)
             got = forest(hi - lo, near) if rest[lo] is None or np.isnan(rest[lo]) else across(comp[lo:hi], rest[lo:hi] > 0, near)
             a += [lo + x for x, _ in got]
             b += [lo + x for _, x in got]
         return pa.RecordBatch.from_arrays([items.take(pa.array(a, pa.int64())), items.take(pa.array(b, pa.int64()))], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in bucketed(batches, 0, enough):
+        for t in bucketed(batches, 0):
             yield compare(t)
 
     def compared(dealt: DataFrame) -> DataFrame:
-        dealt = dealt.select(F.xxhash64("group", "t", "u").alias("g"), "group", "t", "u", "item", "component", "rest", *payload)
+        dealt = dealt.select(F.xxhash64("group", "t", "u").alias("g"), "group", "t", "u", "item", "n", "component", "rest").join(payload, "item")
+        dealt = dealt.select("g", "group", "t", "u", "item", "n", "component", "rest", value)
         return dealt.repartition(n_parts, "g").sortWithinPartitions("g", "group", "t", "u").mapInArrow(run, f"a {item}, b {item}")
 
-    size = rows.groupBy("group").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"), F.count("*").alias("m")).where("m > 1").drop("m")
-    rows = rows.join(size, "group")
+    each = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") * 8 / TILE_BYTES) if kind == "sets" else F.lit(1))
+    size = members.groupBy("group").agg(each.cast("int").alias("tiles"), F.count("*").alias("m")).where("m > 1").drop("m")
+    large = bool(size.where("tiles > 1").head(1))
+    rows = members.join(size, "group") if large else members.withColumn("tiles", F.lit(1))
     tile = lambda salt: F.pmod(F.xxhash64("item", F.lit(salt)), F.col("tiles")).cast("int")
     plain = rows.withColumns({"component": F.lit(0).cast("long"), "rest": F.lit(None).cast("double"), "t": tile(1), "u": F.lit(-1)})
+    if not large:
+        return written(compared(plain))
     second = plain.where("tiles > 1").withColumns({"t": tile(2), "u": F.lit(-2)})
     links = written(compared(plain.unionByName(second)))
-    large = size.where("tiles > 1")
-    if not large.head(1):
-        return links
-    found = components(links, "a", "b").select(F.col("node").alias("item"), F.xxhash64("component").alias("component"))
+    joined = components(links, "a", "b")
+    found = joined.select(F.col("node").alias("item"), F.xxhash64("component").alias("component"))
     big = rows.where("tiles > 1").join(found, "item", "left").withColumn("component", F.coalesce("component", F.xxhash64("item")))
     main = big.groupBy("group", "component").agg(F.count("*").alias("c")).groupBy("group").agg(F.max_by("component", F.struct("c", "component")).alias("main"))
-    split = big.join(main, "group").withColumn("rest", (F.col("component") != F.col("main")).cast("double")).withColumn("t", tile(1))
-    few = split.where("rest > 0").groupBy("group").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts"))
+    split = written(big.join(main, "group").withColumn("rest", (F.col("component") != F.col("main")).cast("double")).withColumn("t", tile(1)), joined)
+    parts = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") * 8 / TILE_BYTES) if kind == "sets" else F.lit(1))
+    few = split.where("rest > 0").groupBy("group").agg(parts.cast("int").alias("parts"))
     own = F.pmod(F.xxhash64("item", F.lit(3)), F.col("parts")).cast("int")
     sides = split.join(few, "group")
     left = sides.where("rest > 0").withColumn("u", own).withColumn("t", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     # A rest item meets its own tile as a rest item already; it goes there once.
     right = sides.withColumn("u", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where(~((F.col("rest") > 0) & (F.col("u") == own)))
     right = right.withColumn("rest", F.lit(0.0))
-    names = ["group", "t", "u", "item", "component", "rest", *payload]
-    return links.unionByName(compared(left.select(*names).unionByName(right.select(*names))))
+    names = ["group", "t", "u", "item", "n", "component", "rest"]
+    return written(links.unionByName(compared(left.select(*names).unionByName(right.select(*names)))), links, split)
 
 
 def _sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(node, items): the full sets of the classes whose representative row is in reps (rid)."""
-    picked = docs.select(_rid().alias("rid"), "text").join(reps, "rid", "left_semi")
+    """(item, items): the full sets of the classes whose representative row is in reps (r1, r2)."""
+    picked = _rids(docs).join(reps, ["r1", "r2"], "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = buffers(batch.column(0))
-            nodes, items = [], []
             for a, b in chunks(off):
                 key, bounds = shingle_sets(data[off[a] : off[b]], off[a : b + 1] - off[a])
                 cut = bounds.tolist()
-                items += [key[i:j].tobytes() for i, j in zip(cut, cut[1:], strict=False)]
-            nodes = [hashlib.blake2b(x, digest_size=16).hexdigest() for x in items]
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.string()), pa.array(items, pa.binary())], names=["node", "items"])
+                items = [key[i:j].tobytes() for i, j in zip(cut, cut[1:], strict=False)]
+                nodes = [hashlib.blake2b(x, digest_size=16).hexdigest() for x in items]
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.string()), pa.array(items, pa.binary())], names=["item", "items"])
 
-    return picked.select("text").mapInArrow(run, "node string, items binary").groupBy("node").agg(F.first("items").alias("items"))
-
-
-def _free(spark) -> None:
-    """Let Spark's cleaner drop the shuffle files of jobs that have ended."""
-    spark.sparkContext._jvm.System.gc()
+    # Equal rows of a representative give their set several times.
+    return picked.select("text").mapInArrow(run, "item string, items binary").groupBy("item").agg(F.first("items").alias("items"))
 
 
 def dedup(docs: DataFrame, threshold: int = 85) -> DataFrame:
-    """(doc_id, rid, n_shingles, component_id, kept), one row for each row of docs (doc_id, text).
+    """(doc_id, r1, r2, n_shingles, component_id, kept), one row for each row of docs (doc_id, text).
 
     threshold: per cent of similarity from which two documents are linked, one of SCHEMES.
     """
@@ -314,44 +316,46 @@ def dedup(docs: DataFrame, threshold: int = 85) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, threshold: int) -> DataFrame:
-    """What dedup returns, and component: the name of the row's group, null for an empty set."""
+    """(doc_id, r1, r2, n_shingles, component_id, kept, component) for each row of docs; component is the
+    name of the row's group, null for an empty set."""
     scheme = SCHEMES[threshold]
-    spark = docs.sparkSession
     rows = written(sketches(docs, scheme))
+    rep = F.min(F.struct("r1", "r2"))
     classes = written(
-        rows.where("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.first("sig").alias("sig"), F.min("rid").alias("rep"))
+        rows.where("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.first("sig").alias("sig"), rep.alias("rep"), F.min("doc_id").alias("least"))
         .withColumn("nid", F.conv(F.substring("node", 1, 15), 16, 10).cast("long"))
     )
     table = _exploded(classes, scheme)
     many = table.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    # Members of one bucket with equal ids would be the same class.
-    buckets = table.join(many, "key").join(classes.select("nid", "node", "n", "sig"), "nid").select(F.col("key").alias("group"), F.col("node").alias("item"), "n", "sig")
-    family = written(components(_linked(buckets, "signature", ["n", "sig"], 20_000, scheme), "a", "b"))
-    _free(spark)
-    sets = written(_sets(docs, family.join(classes, "node").select(F.col("rep").alias("rid"))))
-    _free(spark)
-    members = family.join(sets, "node").select(F.col("component").alias("group"), F.col("node").alias("item"), "items")
-    found = written(components(written(_linked(members, "sets", ["items"], 1000, scheme)), "a", "b"))
-    _free(spark)
+    # Classes that share a nid by chance are members of each other's buckets, which costs a comparison.
+    buckets = written(table.join(many, "key").join(classes.select("nid", "node", "n"), "nid").select(F.col("key").alias("group"), F.col("node").alias("item"), "n"))
+    links = _linked(buckets, classes.select(F.col("node").alias("item"), "sig"), "signature", scheme)
+    near = components(links, "a", "b")
+    family = written(near.join(classes, "node").select(F.col("component").alias("group"), F.col("node").alias("item"), "n", "rep.*"), near, links, buckets)
+    sets = written(_sets(docs, family.select("r1", "r2")))
+    links = _linked(family.select("group", "item", "n"), sets, "sets", scheme)
+    discard(family, sets)
+    found = components(links, "a", "b")
     # The smallest doc_id of each component, by way of its classes.
-    least = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("d"))
-    joined = least.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    ids = joined.groupBy("component").agg(F.min("d").alias("component_id"))
-    of_node = joined.select("node", "component").join(ids, "component").select(F.col("node").alias("_node"), "component", "component_id")
+    joined = written(classes.select("node", "least").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), found, links, classes)
+    ids = joined.groupBy("component").agg(F.min("least").alias("component_id"))
+    of_node = joined.select("node", "component").join(ids, "component").select(F.col("node").alias("of"), "component", "component_id")
     # An empty set joins nothing: a key of its own keeps such rows apart.
-    own = F.coalesce("node", F.concat(F.lit("-"), F.col("rid").cast("string")))
-    out = rows.withColumn("_key", own).join(of_node, F.col("_key") == F.col("_node"), "left")
+    own = F.coalesce("node", F.concat(F.lit("-"), F.col("r1").cast("string")))
+    out = rows.withColumn("own", own).join(of_node, F.col("own") == F.col("of"), "left")
     id_ = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "rid", F.col("n").alias("n_shingles"), id_.alias("component_id"), F.col("doc_id").eqNullSafe(id_).alias("kept"), "component")
+    return out.select("doc_id", "r1", "r2", F.col("n").alias("n_shingles"), id_.alias("component_id"), F.col("doc_id").eqNullSafe(id_).alias("kept"), "component")
 
 
 def keep_one(docs: DataFrame, threshold: int = 85) -> DataFrame:
-    """One row of each group of near-duplicates stays, the one with the smallest doc_id (null last, then
-    by rid); all rows without words stay."""
-    rows = _grouped(docs.select("doc_id", "text"), threshold).withColumn("_full", F.col("n_shingles") > 0)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid"))["rid"]
-    one = rows.where("_full").groupBy("component").agg(first.alias("_rid")).select("_rid", F.lit(True).alias("_full"))
-    bare = rows.where("not _full").select(F.col("rid").alias("_rid"), "_full").distinct()
-    out = docs.withColumn("_row", _rid()).join(one.unionByName(bare), F.col("_row") == F.col("_rid"))
-    full = out.where("_full").dropDuplicates(["_row"])
-    return full.unionByName(out.where("not _full")).select(*docs.columns)
+    """One row of each group of near-duplicates stays, one with the smallest doc_id (null last); all rows
+    without words stay. Of rows with equal ids and texts any may be the one."""
+    rows = _grouped(docs.select("doc_id", "text"), threshold)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "r1", "r2"))
+    one = rows.where("n_shingles > 0").groupBy("component").agg(first.alias("first")).select("first.r1", "first.r2", F.lit(True).alias("full"))
+    bare = rows.where("n_shingles = 0").select("r1", "r2", F.lit(False).alias("full")).distinct()
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", "text")
+    keys = (F.xxhash64("doc_id", "text").alias("r1"), F.xxhash64(F.lit(20240607), "doc_id", "text").alias("r2"))
+    out = packed.select("row", *keys).join(one.unionByName(bare), ["r1", "r2"])
+    full = out.where("full").groupBy("r1", "r2").agg(F.first("row").alias("row"))
+    return full.select("row.*").unionByName(out.where("not full").select("row.*"))

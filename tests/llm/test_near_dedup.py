@@ -140,3 +140,22 @@ def test_keep_one_of_each_group(spark):
     full = [r for r in got if (r["text"] or "").strip()]
     assert len(full) == 2 and sorted(r["doc_id"] or 0 for r in full) == [0, 5]
     assert len(got) == 5
+
+
+def test_long_sets_and_clashing_columns(spark, monkeypatch):
+    """Groups are dealt to tiles by bytes too; columns of any name pass through keep_one."""
+    monkeypatch.setattr(near_dedup, "TILE_BYTES", 20_000)
+    names = ["row", "r1", "r2", "full", "component", "node", "n", "own", "of", "first"]
+    base = [f"w{k}" for k in range(1500)]
+    rows = [(k, " ".join([*base[:-1], f"x{k}"]), *[f"{n}{k}" for n in names]) for k in range(12)] + [(50, "other " * 40, *names), (51, None, *names), (52, "", *names)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {', '.join(f'`{n}` string' for n in names)}").repartition(3)
+    got = sorted(near_dedup.keep_one(docs).collect(), key=lambda r: r["doc_id"])
+    assert [tuple(r) for r in got] == [rows[0], *rows[12:]]
+    assert sorted([tuple(r) for r in near_dedup.dedup(docs).select("doc_id", "n_shingles", "component_id", "kept").collect()], key=repr) == _expected([r[:2] for r in rows])
+
+
+def test_many_equal_rows(spark):
+    rows = [(None, "a b c d e f g h", "x")] * 500 + [(9, "a b c d e f g h", "x")] * 300 + [(4, "a b c d e f g h", "x"), (1, "not like the others at all", "x")]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert sorted(r["doc_id"] for r in near_dedup.keep_one(docs).collect()) == [1, 4]
+    assert sorted([tuple(r) for r in near_dedup.dedup(docs).select("doc_id", "n_shingles", "component_id", "kept").collect()], key=repr) == _expected([r[:2] for r in rows])
