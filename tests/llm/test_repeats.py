@@ -4,9 +4,11 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from domscope.llm import substring_dedup, suffix_dedup
+from domscope.llm.seeds import ids_of, marks, runs
 
 SCHEMA = "doc_id long, text string, extra string"
 
@@ -106,16 +108,62 @@ def test_multikey_order():
         assert lcp[k] == next((i for i in range(21) if a[i] != b[i]), 21)
 
 
+@pytest.mark.parametrize("within", [True, False])
 @pytest.mark.parametrize("hot", [1, 3, 100])
-def test_runs(hot):
-    import pyarrow as pa
-
-    from domscope.llm.seeds import runs
-
+def test_runs(hot, within):
+    """The streamed run lengths agree with counts over all rows, whatever the sizes of batches."""
     rng = random.Random(hot)
-    h = sorted(rng.choice([-5, 0, 1, 2, 3, 50, *range(100, 140)]) for _ in range(120))
-    rows = list(zip(h, range(120), strict=True))
-    for size in (1, 2, 7, 120):
-        batches = [pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows[i : i + size]], pa.int64()), pa.array([k for _, k in rows[i : i + size]], pa.int64())], names=["h", "key"]) for i in range(0, 120, size)]
-        got = sorted((r["h"], r["key"], r["hot"]) for b in runs(iter(batches), hot) for r in b.to_pylist())
-        assert got == sorted((x, k, h.count(x) > hot) for x, k in rows if h.count(x) > 1)
+    ids = [0, 1, 1 << 50, (1 << 50) + 1, -3, (1 << 63) - 1, 77, 78]
+    rows = sorted({(rng.choice([0, 1, 7, 0xFFFFFFFF, *range(100, 130)]) << 32 | rng.choice([0, 1, 2]) << 16 | rng.choice([0, 5, 6]), rng.choice(ids)): rng.choice([1, 1, 1, 2, 1 << 30]) for _ in range(150)}.items())
+    group = defaultdict(list)
+    for (v, d), c in rows:
+        for g in ((v >> 32,), (v >> 16, 0), (v >> 32, 1, v & 0xFFFF)):
+            group[g].append((d, c))
+    again = lambda g: sum(c for _, c in group[g]) > 1 if within else len({d for d, _ in group[g]}) > 1
+    sure = {(v, d) for (v, d), _ in rows if (v >> 16 & 0xFFFF and again((v >> 16, 0))) or (v & 0xFFFF and again((v >> 32, 1, v & 0xFFFF)))}
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    did = np.array([d for (_, d), _ in rows])
+    keys = did ^ np.int64(0x1234 << 48)
+    mark = marks(did, np.array([c % 4 for _, c in rows]), np.array([c for _, c in rows]))
+    assert (ids_of(keys, mark) == did.view(np.uint64)).all()
+    table = pa.RecordBatch.from_arrays([pa.array([signed(v) for (v, _), _ in rows], pa.int64()), pa.array(keys), pa.array(mark)], names=["value", "key", "mark"])
+    back = dict(zip(keys.tolist(), did.tolist(), strict=True))
+    for size in (1, 2, 7, 150):
+        got = [(r["value"] % (1 << 64), back[r["key"]], r["hot"]) for b in runs((table.slice(i, size) for i in range(0, len(rows), size)), within, hot) for r in b.to_pylist()]
+        assert len(got) == len(set(got)) and {(v, d) for v, d, _ in got} >= sure
+        for v, d, flag in got:
+            assert flag == (sum(c % 4 for _, c in group[v >> 32,]) > hot) or len(group[v >> 32,]) > hot
+            assert (v, d) in sure or len(group[v >> 32,]) > hot
+
+
+def test_equal_ids(spark):
+    """Rows that share an id, null above all, are told apart by their texts."""
+    words = lambda seed, n: " ".join(f"w{(seed * 7919 + k * 104729) % 1000003}" for k in range(n))
+    rows = [(None, words(k, 40)) for k in range(3000)] + [(7, words(k, 40)) for k in range(3000, 6000)] + [(1, words(5, 40)), (2, words(3005, 40))]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA).repartition(5)
+    got = sorted([(r[0], r[1], r[2], r[3], bytes(r[4])) for r in suffix_dedup.dedup(docs).collect()], key=repr)
+    assert got == _bytes_expected(rows, 200)
+    assert sum(r[2] > 0 for r in got) == 4
+    assert sorted([tuple(r) for r in substring_dedup.dedup(docs).collect()], key=repr) == _words_expected(rows, 13)
+
+
+def test_repeated_rows_and_one_hot_text(spark):
+    """Many equal rows, and one text of equal grams, beside texts of their own."""
+    own = [(k, " ".join(f"v{k}x{j}" for j in range(60))) for k in range(5)]
+    rows = [(None, own[0][1])] * 300 + [(4, own[1][1])] * 300 + own + [(90, "=" * 30_000), (91, "w " * 30_000), (92, "=" * 300 + " w w " * 10)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA).repartition(3)
+    for hot in (100, 50_000):
+        got = sorted([(r[0], r[1], r[2], r[3], bytes(r[4])) for r in suffix_dedup.dedup(docs, hot=hot).collect()], key=repr)
+        assert got == _bytes_expected(rows, 200)
+        assert sorted([tuple(r) for r in substring_dedup.dedup(docs, hot=hot).collect()], key=repr) == _words_expected(rows, 13)
+
+
+def test_bucketed():
+    from domscope.llm.seeds import bucketed
+
+    keys = [1] * 5 + [2] * 50 + [3, 4, 5, 5, 6] + [7] * 9
+    batch = pa.RecordBatch.from_arrays([pa.array(keys), pa.array([b"x" * 40] * len(keys))], names=["k", "v"])
+    for size in (1, 3, 100):
+        parts = list(bucketed(iter([batch.slice(i, size) for i in range(0, len(keys), size)]), 0, 200))
+        assert [k for t in parts for k in t["k"].to_pylist()] == keys
+        assert all(a["k"][-1] != b["k"][0] for a, b in zip(parts, parts[1:], strict=False)) and len(parts) > 3
