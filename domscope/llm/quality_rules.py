@@ -7,7 +7,8 @@ prunes an ordered list of threshold conjunctions by sequential covering on a lab
 Defined results: a null or empty text has zero of everything and fails the base rule; repeated
 rows give repeated results; an empty table gives an empty result; without labels (or with one
 class only) the list is empty and the base rule alone decides. A label row with a null is unused;
-of several labels of one document the smallest counts. Extra columns pass through ``apply``;
+of several labels of one document the smallest counts, of several documents with one id the one with the
+least statistics teaches. Extra columns pass through ``apply``;
 columns that clash with the statistics are replaced.
 """
 
@@ -219,7 +220,9 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample: int = 8000, **options)
     one = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     least = one.select("doc_id", "quality", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(sample)
     names = [*BASE, *MORE]
-    rows = statistics(docs.select("doc_id", "text").join(F.broadcast(least.select("doc_id", "quality")), "doc_id")).select("doc_id", "quality", *names).collect()
+    found = statistics(docs.select("doc_id", "text").join(F.broadcast(least.select("doc_id", "quality")), "doc_id"))
+    # One row for each label, however many documents share its id.
+    rows = found.groupBy("doc_id", "quality").agg(F.min(F.struct(*names)).alias("s")).select("doc_id", "quality", "s.*").collect()
     if not rows:
         return []
     rows.sort(key=lambda r: (hash_order(r[0]), *r[1:]))

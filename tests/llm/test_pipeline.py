@@ -1,12 +1,16 @@
 """The pipeline's stages, each against what its operator promises."""
 
+import hashlib
 import random
+import re
 from collections import Counter
 
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline as p
 from domscope.llm import pii_crf, quality_rules
+from domscope.llm.queries import vocabulary_path
 
 
 @pytest.fixture(scope="module")
@@ -53,6 +57,53 @@ def test_stages(spark, folder):
     assert {"doc_id", "ids", "n_tokens"} <= set(encoded.columns) and encoded.count() == mixed.count()
 
 
+def _encoded(text, library):
+    return tuple(library.encode(text or "", add_special_tokens=False).ids)
+
+
+def test_run_against_brute_force(spark, folder):
+    """The whole pipeline on planted documents: junk goes, one of each group of copies stays, addresses are
+    masked, sources come near their targets, ids are those of the tokenizers library."""
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    library = Tokenizer.from_file(vocabulary_path())
+    expected = {k: re.sub(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "[EMAIL]", docs[k]["text"]) for k in range(240) if k % 6}
+    got = p.run(spark, folder).collect()
+    taken = Counter(r["doc_id"] for r in got)
+    assert set(taken) <= set(expected) and max(taken.values()) <= 3
+    for r in got:
+        text = expected[r["doc_id"]]
+        assert tuple(r["ids"]) == _encoded(text, library) and r["n_tokens"] == len(r["ids"]) and r["source"] == docs[r["doc_id"]]["source"]
+        assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+    size = {k: len(t.split()) for k, t in expected.items()}
+    total = Counter()
+    for k, n in size.items():
+        total[docs[k]["source"]] += n
+    names = sorted(total, key=lambda s: (s is None, s or ""))
+    low, high = 0.0, 1e9
+    for _ in range(200):  # the level at which min(level * weight, 3 * size) fills the whole
+        level = (low + high) / 2
+        share = {s: min(level * (1 + k % 3), 3 * total[s]) for k, s in enumerate(names)}
+        low, high = (level, high) if sum(share.values()) < sum(total.values()) else (low, level)
+    for s in names:
+        have = sum(n * size[k] for k, n in taken.items() if docs[k]["source"] == s)
+        assert abs(have - share[s]) <= max(size.values()) / 2 + 1
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None, None, None, None)] * 3, [(1, "", "en", None, 0), (1, "", "en", None, 0), (None, " \n", None, "s", 0)]])
+def test_edges_of_stages(spark, folder, rows):
+    """Empty tables, nulls in every column, wordless and repeated rows, and clashing columns."""
+    names = ["masked", "ids", "decoded", "spans", "size", "draws", "kept", "rule", "row", "r1", "component", "shard", "_masked"]
+    docs = spark.createDataFrame([(*r, *names) for r in rows], f"doc_id long, text string, lang string, source string, n_chars long, {', '.join(f'{n} string' for n in names)}")
+    for _, stage in p.STAGES:
+        got = stage(spark, docs, folder)
+        if stage is not p.encoding:
+            assert got.columns == list(p.COLUMNS)
+        n = got.count()
+        assert n == 0 if stage is p.quality or not rows else n >= 0
+    assert p.near_duplicates(spark, docs, folder).count() == len(rows)
+    assert p.personal_data(spark, docs, folder).count() == len(rows) and p.encoding(spark, docs, folder).count() == len(rows)
+
+
 def test_run(spark, folder):
     a = sorted((r["doc_id"], tuple(r["ids"])) for r in p.run(spark, folder).collect())
     assert a and a == sorted((r["doc_id"], tuple(r["ids"])) for r in p.run(spark, folder).collect())
@@ -69,8 +120,6 @@ def test_near_copies_of_the_stage(spark, folder):
 
 def test_round_trip_of_the_stage(spark, folder):
     """The ids decode to the text of each document."""
-    import hashlib
-
     docs = spark.read.parquet(f"{folder}/documents.parquet").where("text is not null")
     texts = {r["doc_id"]: hashlib.sha256(r["text"].encode()).hexdigest() for r in docs.collect()}
     assert {r["doc_id"]: r["decoded_sha256"] for r in p.encoding(spark, docs, folder).collect()} == texts
