@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import queries_plans, queries_text
 from .functions import hosts, html, rules
 from .functions import terms as t
 from .functions import text as tx
 from .operators import keyed, pairs
 from .operators.graph import components
-from .plans import affiliations, cluster, crawl, publish, review, staging
+from .plans import affiliations, cluster, publish, review, staging
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -341,12 +342,12 @@ SQL_LAST = "SELECT user_id, max(event_id) AS event_id, max_by(value, event_id) A
 
 def first_match_lookup(spark, sf):
     index = _t(spark, sf, "supplier").select(F.col("s_nationkey").alias("k"), "s_suppkey", "s_name")
-    hit = keyed.lookup_first(_t(spark, sf, "customer").where("c_custkey % 2 = 0").select("c_custkey", "c_nationkey"), index, "c_nationkey", "k", ["s_suppkey"])
+    hit = keyed.lookup_first(_t(spark, sf, "customer").select("c_custkey", "c_nationkey"), index, "c_nationkey", "k", ["s_suppkey"])
     return hit.select("c_custkey", F.col("hit_s_suppkey").alias("s_suppkey"), F.coalesce("hit_s_name", F.lit("unknown")).alias("s_name"))
 
 
 SQL_LOOKUP = """
-SELECT c_custkey, f.s_suppkey, coalesce(f.s_name, 'unknown') AS s_name FROM customer LEFT JOIN (SELECT s_nationkey, min(s_suppkey) AS s_suppkey, min_by(s_name, s_suppkey) AS s_name FROM supplier GROUP BY 1) f ON c_nationkey = f.s_nationkey WHERE c_custkey % 2 = 0
+SELECT c_custkey, f.s_suppkey, coalesce(f.s_name, 'unknown') AS s_name FROM customer LEFT JOIN (SELECT s_nationkey, min(s_suppkey) AS s_suppkey, min_by(s_name, s_suppkey) AS s_name FROM supplier GROUP BY 1) f ON c_nationkey = f.s_nationkey
 """
 
 
@@ -456,13 +457,6 @@ def payload_hash(spark, sf):
 SQL_HASH = "SELECT conv_id, turn, sha256(text) AS hash FROM conversations"
 
 
-def bounded_crawl(spark, sf):
-    pages = _t(spark, sf, "pages").select("url", "html")
-    seeds = _t(spark, sf, "pages").where("page_id < 5").select("url", F.col("page_id").alias("ordinal"))
-    domains, _ = crawl.discover(seeds, pages, max_depth=1, max_same_host_pages=3)
-    return domains.select("domain", F.size("source_urls").alias("n_sources"), F.size("redirect_chain").alias("chain"))
-
-
 def script_clusters(spark, sf):
     """Clusters of hosts that share links, as script overlap makes them."""
     edges = pairs.overlaps(_host_paths(spark, sf), "path", "host", least=12)
@@ -481,12 +475,12 @@ FROM (SELECT c, count(*)::INTEGER AS n, string_agg(x, ',' ORDER BY x) AS members
 
 def research_staging(spark, sf):
     rows = _t(spark, sf, "customer").select(F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("-"))), F.lit(".test")).alias("domain"), F.lit("").alias("brand"), F.concat(F.lit(" "), F.upper("c_mktsegment"), F.col("c_nationkey").cast("string")).alias("legal_entity"), F.lit("").alias("notes"), F.lit("").alias("sources"), F.col("c_custkey").alias("ordinal"))
-    entities, _ = staging.stage(rows.where("ordinal < 9999"))
+    entities, _ = staging.stage(rows)
     return staging.corporate_edges(entities).select("from_candidate_id", "to_candidate_id", "confidence", "notes")
 
 
 SQL_STAGING = """
-WITH c AS (SELECT printf('research_%04d', c_custkey) AS id, 'legal:' || lower(c_mktsegment) || c_nationkey AS key FROM customer WHERE c_custkey < 9999)
+WITH c AS (SELECT printf('research_%04d', c_custkey) AS id, 'legal:' || lower(c_mktsegment) || c_nationkey AS key FROM customer)
 SELECT a.id AS from_candidate_id, b.id AS to_candidate_id, 0.55::DOUBLE AS confidence, 'Cluster key ''' || a.key || '''; verify before treating as production relationship.' AS notes FROM c a JOIN c b ON a.key = b.key AND a.id < b.id
 """
 
@@ -496,13 +490,16 @@ _ALL = {
     "decision_cascade": (decision_cascade, SQL_CASCADE), "dup_group_star": (dup_group_star, SQL_STAR), "dup_components": (dup_components, SQL_COMPONENTS), "bucket_pairs": (bucket_pairs, SQL_BUCKETS), "supplier_affiliation": (supplier_affiliation, SQL_SUPPLIERS),
     "reciprocal_pairs": (reciprocal_pairs, SQL_RECIPROCAL), "semi_anti_validate": (semi_anti_validate, SQL_VALIDATE), "keyed_merge_first": (keyed_merge_first, SQL_MERGE), "keyed_last": (keyed_last, SQL_LAST), "first_match_lookup": (first_match_lookup, SQL_LOOKUP),
     "sightings": (event_sightings, SQL_SIGHTINGS), "promote_counts": (promote_counts, SQL_PROMOTES), "review_queue": (review_queue, SQL_QUEUE), "block_candidates": (block_candidates, SQL_BLOCK), "hosts_lines": (hosts_lines, SQL_HOSTS), "count_by_key": (count_by_key, SQL_COUNTS),
-    "list_merge": (list_merge, SQL_LISTS), "json_props": (json_props, SQL_JSON), "payload_hash": (payload_hash, SQL_HASH), "bounded_crawl": (bounded_crawl, None), "script_clusters": (script_clusters, SQL_CLUSTERS), "research_staging": (research_staging, SQL_STAGING),
+    "list_merge": (list_merge, SQL_LISTS), "json_props": (json_props, SQL_JSON), "payload_hash": (payload_hash, SQL_HASH), "script_clusters": (script_clusters, SQL_CLUSTERS), "research_staging": (research_staging, SQL_STAGING),
 }
 
 
+_EVERY = _ALL | queries_text.ALL | queries_plans.ALL
+
+
 def queries() -> dict:
-    return {name: f for name, (f, _) in _ALL.items()}
+    return {name: f for name, (f, _) in _EVERY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _ALL.items() if sql}
+    return {name: sql for name, (_, sql) in _EVERY.items() if sql}

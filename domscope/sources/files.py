@@ -87,6 +87,22 @@ def domain_records(documents: DataFrame, value: str = "value") -> DataFrame:
     return keep_last(found, ["domain"], ["pos"]).drop("pos")
 
 
+def _given(rows: DataFrame, *names: str):
+    """The first of the columns with a value that says something; null if there is none."""
+    cells = [F.nullif(strip(F.col(n).cast("string")), F.lit("")) for n in names if n in rows.columns]
+    return F.coalesce(*cells) if cells else F.lit(None).cast("string")
+
+
+def dump_rows(rows: DataFrame) -> DataFrame:
+    """Rows of an affiliation dump under fixed names: from_domain (or left), to_domain (or right),
+    relationship (related_to), confidence (0.5), notes and sources. rows carry ``ordinal``."""
+    return rows.select(
+        "ordinal", F.coalesce(_given(rows, "from_domain", "left"), F.lit("")).alias("from_domain"), F.coalesce(_given(rows, "to_domain", "right"), F.lit("")).alias("to_domain"),
+        F.coalesce(_given(rows, "relationship"), F.lit("related_to")).alias("relationship"), F.coalesce(_given(rows, "confidence").try_cast("double"), F.lit(0.5)).alias("confidence"),
+        F.coalesce(_given(rows, "notes"), F.lit("")).alias("notes"), F.coalesce(_given(rows, "sources"), F.lit("")).alias("sources"),
+    )
+
+
 def pretty_json(path: str, value) -> None:
     """A small document on the driver: sorted keys, two spaces, a newline at the end."""
     Path(path).write_text(json.dumps(value, indent=2, sort_keys=True) + "\n", encoding="utf-8")
