@@ -33,3 +33,9 @@ ENTITY_EVIDENCE = (
 DOMAIN_WEIGHTS = {"tls_san_reciprocal": 15, "tls_san_one_way": 7, "shared_nameserver_filtered": 5, "shared_mx_filtered": 4}
 LABELS = ((80, "likely_same_network"), (50, "strong_affiliation"), (25, "possible_affiliation"))
 WEAKEST_LABEL = "weak_signal"
+
+#: Ids, sources and notes that staged documents carry.
+DUPLICATE_ID, DUPLICATE_TYPE = "scout_dup_%04d", "duplicate_alias_candidate"
+RESEARCH_ID, RESEARCH_SOURCE = "research_%04d", "research_cluster_corporate"
+DUMP_ID, DUMP_SOURCE = "claude_aff_%04d", "claude_affiliations_dump"
+CORPORATE_NOTE = ("Cluster key '", "'; verify before treating as production relationship.")

@@ -11,11 +11,12 @@ from ..functions import terms as t
 from ..functions.hosts import domain_shaped, plain_domain
 
 
-def block_provenance(entities: DataFrame, excluded: Sequence[str] = t.EXCLUDED_DOMAINS, payment_confidence: float = 0.75) -> DataFrame:
-    """(entity_id, entity_type, domain) of active, blockable operators, providers and sure payment paths."""
+def block_provenance(entities: DataFrame, excluded: Sequence[str] = t.EXCLUDED_DOMAINS, payment_confidence: float = 0.75, more: Sequence[str] = ()) -> DataFrame:
+    """(entity_id, entity_type, domain) of active, blockable operators, providers and sure payment paths;
+    ``more`` names columns to carry along."""
     ok = entities.where("status = 'active'").where(F.col("entity_type").isin("operator", "provider", "payment_path") & F.coalesce("attributes.blockable", F.lit(True)))
     ok = ok.where((F.col("entity_type") != "payment_path") | (F.coalesce("confidence", F.lit(0.0)) >= payment_confidence))
-    return ok.select(F.col("id").alias("entity_id"), "entity_type", F.explode("domains").alias("domain")).where(~F.col("domain").isin(*excluded))
+    return ok.select(F.col("id").alias("entity_id"), "entity_type", F.explode("domains").alias("domain"), *more).where(~F.col("domain").isin(*excluded))
 
 
 def block_candidates(entities: DataFrame, **options) -> DataFrame:
@@ -23,7 +24,8 @@ def block_candidates(entities: DataFrame, **options) -> DataFrame:
     return block_provenance(entities, **options).select("domain").distinct().orderBy("domain")
 
 
-def snapshot(entities: DataFrame, fingerprints: DataFrame, relationships: DataFrame, affiliations: DataFrame | None = None) -> dict[str, DataFrame]:
+def snapshot(entities, fingerprints, relationships, affiliations=None) -> dict:
+    """The parts of a snapshot, tables or documents; affiliations only if there are any."""
     out = {"entities": entities, "fingerprints": fingerprints, "relationships": relationships}
     return out if affiliations is None else out | {"affiliations": affiliations}
 

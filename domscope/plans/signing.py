@@ -8,11 +8,14 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
-from collections.abc import Mapping
+import logging
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from pathlib import Path
 from typing import Any
 
 ALGORITHM = "ed25519"
+log = logging.getLogger(__name__)
 
 
 class SigningError(Exception):
@@ -228,3 +231,59 @@ def opened(keys: Keys, doc: Any, *, store: TrustStore | None, artifact: str, req
             raise VerificationKeyError("a signed document is required, but there is no trust store")
         return doc["payload"]
     return verify_envelope(keys, doc, store, artifact)
+
+
+def read_pem(path: str | Path, *, private: bool = False) -> str:
+    """The text of a key file. A file that is missing, unreadable or of another kind is a key error."""
+    error, kind = (SigningKeyError, "PRIVATE KEY") if private else (VerificationKeyError, "PUBLIC KEY")
+    try:
+        text = Path(path).read_text(encoding="utf-8")
+    except (OSError, UnicodeDecodeError) as e:
+        raise error(f"cannot read {path}: {e}") from e
+    if f"-----BEGIN {kind}-----" not in text or f"-----END {kind}-----" not in text:
+        raise error(f"{path} holds no {kind.lower()}")
+    return text
+
+
+def load_trust_store(path: str | Path) -> TrustStore:
+    """A missing, unreadable or malformed file is a TrustStoreError."""
+    try:
+        doc = json.loads(Path(path).read_text(encoding="utf-8"))
+    except (OSError, ValueError) as e:
+        raise TrustStoreError(f"cannot read the trust store {path}: {e}") from e
+    return TrustStore.parse(doc)
+
+
+def fingerprint_map(keys: Keys, path: str | Path, *, store: TrustStore | None = None, require_signed: bool = False, expected_key_id: str = "scout-fingerprint-key-v1") -> dict[str, Any]:
+    """{domain: record} of a file: a plain object, or the fingerprints in the payload of a signed one.
+
+    A file that is missing, unreadable or no JSON object is an empty map with a warning; a signature that
+    does not hold, or is missing where one is required, is an error.
+    """
+    try:
+        doc = json.loads(Path(path).read_text(encoding="utf-8"))
+    except (OSError, ValueError) as e:
+        log.warning("no fingerprints in %s: %s", path, e)
+        return {}
+    if not isinstance(doc, dict):
+        log.warning("no fingerprints in %s: not an object", path)
+        return {}
+    if not is_envelope(doc):
+        return opened(keys, doc, store=store, artifact="domain_fingerprints", require_signed=require_signed)
+    ident = doc["signature"].get("key_id")
+    if not isinstance(ident, str) or not ident.strip():
+        raise EnvelopeShapeError("signature has no key_id")
+    if ident != expected_key_id:
+        raise SignatureVerificationError(f"signed by {ident!r}, not by {expected_key_id!r}")
+    if store is None:
+        log.warning("%s is signed, but there is no trust store: its signature is not checked", path)
+    payload = opened(keys, doc, store=store, artifact="domain_fingerprints", require_signed=require_signed)
+    found = payload.get("fingerprints")
+    return found if isinstance(found, dict) else {}
+
+
+def trust_entry(path: str | Path, key_id: str, authorized_for: Sequence[str], issued_at: str) -> dict[str, Any]:
+    """The entry of a public key file for a trust store."""
+    return {
+        "key_id": key_id, "algorithm": ALGORITHM, "public_key_pem": read_pem(path), "issued_at": issued_at, "authorized_for": list(authorized_for), "revoked_at": None, "revocation_reason": None,
+    }

@@ -90,7 +90,7 @@ def duplicate_edges(entities: DataFrame, order: Sequence[str]) -> DataFrame:
 def numbered(edges: DataFrame, order: Sequence[str]) -> DataFrame:
     """Duplicate edges with ids scout_dup_0001, ... in order of group and row (one sorted list, as the review file is)."""
     k = F.row_number().over(W.orderBy("duplicate_group_id", *order))
-    return edges.select(F.format_string("scout_dup_%04d", k).alias("relationship_id"), F.lit("duplicate_alias_candidate").alias("relationship_type"), "from_candidate_id", "to_candidate_id", "duplicate_group_id", F.lit(t.INFERRED).alias("evidence_tier"), F.lit("needs_review").alias("review_status"))
+    return edges.select(F.format_string(t.DUPLICATE_ID, k).alias("relationship_id"), F.lit(t.DUPLICATE_TYPE).alias("relationship_type"), "from_candidate_id", "to_candidate_id", "duplicate_group_id", F.lit(t.INFERRED).alias("evidence_tier"), F.lit("needs_review").alias("review_status"))
 
 
 def import_actions(entities: DataFrame) -> DataFrame:
@@ -127,7 +127,7 @@ def stage(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     sources = cell("sources")
     listed = F.when(F.contains(sources, F.lit("|")), split_pipe(sources)).when(sources != "", F.array(sources)).otherwise(strings())
     tier = evidence_tier(cell("notes"), sources)
-    ident = F.format_string("research_%04d", "ordinal")
+    ident = F.format_string(t.RESEARCH_ID, "ordinal")
     entities = base.select(
         ident.alias("candidate_id"), F.lit("needs_review").alias("review_status"), tier.alias("evidence_tier"), cell("domain").alias("domain"), F.when(cell("brand") == "", cell("domain")).otherwise(cell("brand")).alias("brand"),
         *(cell(n).alias(n) for n in ("legal_entity", "parent_company", "jurisdiction", "company_number", "notes")), sources.alias("sources"), listed.alias("sources_list"), raw_row(rows).alias("raw_row"), "ordinal",
@@ -147,8 +147,8 @@ def corporate_edges(entities: DataFrame) -> DataFrame:
     """All pairs of candidates with the same parent company, or else legal entity."""
     rows = entities.select(cluster_key(F.col("legal_entity"), F.col("parent_company")).alias("key"), "candidate_id")
     return complete(rows, "key", "candidate_id").select(
-        F.col("left").alias("from_candidate_id"), F.col("right").alias("to_candidate_id"), F.lit("related_to").alias("relationship"), F.lit(0.55).alias("confidence"), F.lit("research_cluster_corporate").alias("source"), F.lit(t.INFERRED).alias("evidence_tier"), F.lit("needs_review").alias("review_status"),
-        F.concat(F.lit("Cluster key '"), "key", F.lit("'; verify before treating as production relationship.")).alias("notes"), F.lit("").alias("sources"),
+        F.col("left").alias("from_candidate_id"), F.col("right").alias("to_candidate_id"), F.lit("related_to").alias("relationship"), F.lit(0.55).alias("confidence"), F.lit(t.RESEARCH_SOURCE).alias("source"), F.lit(t.INFERRED).alias("evidence_tier"), F.lit("needs_review").alias("review_status"),
+        F.concat(F.lit(t.CORPORATE_NOTE[0]), "key", F.lit(t.CORPORATE_NOTE[1])).alias("notes"), F.lit("").alias("sources"),
     )
 
 
@@ -160,8 +160,8 @@ def resolved_dump(dump: DataFrame, entities: DataFrame) -> DataFrame:
     rows = rows.join(index.select(F.col("d").alias("fd"), F.col("candidate_id").alias("from_candidate_id")), "fd", "left").join(index.select(F.col("d").alias("td"), F.col("candidate_id").alias("to_candidate_id")), "td", "left")
     known = (F.coalesce("from_candidate_id", F.lit("")) != "") & (F.coalesce("to_candidate_id", F.lit("")) != "")
     return rows.select(
-        F.format_string("claude_aff_%04d", "ordinal").alias("import_id"), "from_candidate_id", "to_candidate_id", text(F.col("from_domain")).alias("from_domain"), text(F.col("to_domain")).alias("to_domain"), F.when(text(F.col("relationship")) == "", "related_to").otherwise(text(F.col("relationship"))).alias("relationship"),
-        F.coalesce("confidence", F.lit(0.5)).alias("confidence"), F.lit("claude_affiliations_dump").alias("source"), evidence_tier(F.col("notes"), F.col("sources")).alias("evidence_tier"), F.lit("needs_review").alias("review_status"), F.coalesce("notes", F.lit("")).alias("notes"), F.coalesce("sources", F.lit("")).alias("sources"),
+        F.format_string(t.DUMP_ID, "ordinal").alias("import_id"), "from_candidate_id", "to_candidate_id", text(F.col("from_domain")).alias("from_domain"), text(F.col("to_domain")).alias("to_domain"), F.when(text(F.col("relationship")) == "", "related_to").otherwise(text(F.col("relationship"))).alias("relationship"),
+        F.coalesce("confidence", F.lit(0.5)).alias("confidence"), F.lit(t.DUMP_SOURCE).alias("source"), evidence_tier(F.col("notes"), F.col("sources")).alias("evidence_tier"), F.lit("needs_review").alias("review_status"), F.coalesce("notes", F.lit("")).alias("notes"), F.coalesce("sources", F.lit("")).alias("sources"),
         F.when(known, "resolved").otherwise("unresolved_domain").alias("resolution_status"),
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import json
 from collections.abc import Sequence
 from pathlib import Path
@@ -108,6 +109,19 @@ def pretty_json(path: str, value) -> None:
     Path(path).write_text(json.dumps(value, indent=2, sort_keys=True) + "\n", encoding="utf-8")
 
 
+def domain_lines(path: str, domains: Sequence[str], comment: str) -> None:
+    """A small text list on the driver: one comment line, then a domain a line."""
+    Path(path).write_text("".join(f"{x}\n" for x in (f"# {comment}", *domains)), encoding="utf-8")
+
+
+def csv_document(path: str, rows: Sequence[dict], header: Sequence[str]) -> None:
+    """A small CSV file on the driver, under a fixed header; cells that a row lacks are empty."""
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        out = csv.DictWriter(f, fieldnames=list(header), restval="", extrasaction="ignore")
+        out.writeheader()
+        out.writerows({k: "" if v is None else v for k, v in r.items()} for r in rows)
+
+
 def json_lines(df: DataFrame, path: str) -> None:
     """Large tables: JSON lines with nulls and columns in name order."""
     df.select(*sorted(df.columns)).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
