@@ -134,10 +134,6 @@ def _present(values: Column) -> Column:
     return F.filter(values, lambda x: x.isNotNull())
 
 
-def _firsts(values: Column, pattern: str) -> Column:
-    return F.flatten(F.transform(values, lambda v: F.regexp_extract_all(v, F.lit(pattern), F.lit(1))))
-
-
 def signals(page: Column, html: Column, providers: Sequence[str] = ()) -> Column:
     """Struct of technical, content and flow lists; technical lists keep repeats, as they come."""
     hosts = lambda f: _present(F.transform(page[f], signal_host))

@@ -1,7 +1,8 @@
 """Pairs by shared keys: inverted-index equi self-joins instead of nested loops.
 
 A key shared by n members makes n² pairs, because the result lists each pair; ``max_members`` leaves
-out keys with more members and is off by default. Skewed keys are split by AQE's skew join.
+out keys with more members and is off by default. Skewed keys are split by AQE's skew join. Where pairs
+must share several keys (``overlaps``), common keys are looked at last: see there.
 """
 
 from __future__ import annotations
@@ -24,15 +25,28 @@ def shared_keys(rows: DataFrame, key: str, member: str, *, order: str | None = N
 
 
 def overlaps(rows: DataFrame, key: str, member: str, *, least: int = 1, sample: int = 15, max_members: int | None = None) -> DataFrame:
-    """(left, right, n, least_key, sample) for pairs that share ``least`` keys or more. Members with
-    fewer keys can't be in such a pair and go first."""
+    """(left, right, n, least_key, sample) for pairs that share ``least`` keys or more.
+
+    Members with fewer keys can't be in such a pair and go first. With the keys of all members in one
+    order, here by rising frequency, two members that share ``least`` keys share one among the first
+    size - least + 1 keys of each. Only those are joined, so a key that everybody has makes pairs only
+    of members that have little else; each candidate pair is then counted on the members' full lists.
+    """
     base = rows.select(F.col(key).alias("key"), F.col(member).alias("member")).where("key IS NOT NULL AND member IS NOT NULL").distinct()
-    if least > 1:
-        enough = base.groupBy("member").agg(F.count("*").alias("c")).where(F.col("c") >= least).select("member")
-        base = base.join(enough, "member", "left_semi")
-    pairs = shared_keys(base, "key", "member", max_members=max_members).groupBy("left", "right")
-    out = pairs.agg(F.count("*").alias("n"), F.min("key").alias("least_key"), F.slice(F.array_sort(F.collect_set("key")), 1, sample).alias("sample"))
-    return out.where(F.col("n") >= least)
+    if max_members is not None:
+        few = base.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") <= max_members).select("key")
+        base = base.join(few, "key", "left_semi")
+    if least <= 1:
+        pairs = shared_keys(base, "key", "member").groupBy("left", "right")
+        return pairs.agg(F.count("*").alias("n"), F.min("key").alias("least_key"), F.slice(F.array_sort(F.collect_set("key")), 1, sample).alias("sample"))
+    counted = base.join(base.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "key")
+    lists = counted.groupBy("member").agg(F.array_sort(F.collect_list(F.struct("c", "key"))).alias("keys")).where(F.size("keys") >= least)
+    lists = lists.select("member", F.transform("keys", lambda k: k["key"]).alias("keys"))
+    first = lists.select("member", F.explode(F.slice("keys", F.lit(1), F.size("keys") - least + 1)).alias("key"))
+    candidates = shared_keys(first, "key", "member").select("left", "right").distinct()
+    both = candidates.join(lists.select(F.col("member").alias("left"), F.col("keys").alias("a")), "left").join(lists.select(F.col("member").alias("right"), F.col("keys").alias("b")), "right")
+    shared = both.select("left", "right", F.array_sort(F.array_intersect("a", "b")).alias("shared")).where(F.size("shared") >= least)
+    return shared.select("left", "right", F.size("shared").cast("long").alias("n"), F.get("shared", F.lit(0)).alias("least_key"), F.slice("shared", 1, sample).alias("sample"))
 
 
 def reciprocal(edges: DataFrame, a: str, b: str) -> DataFrame:

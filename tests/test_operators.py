@@ -102,3 +102,14 @@ def test_sightings(spark):
 
 def test_count_by(spark):
     assert [tuple(r) for r in keyed.count_by(spark.range(5).select((F.col("id") % 2).alias("k")), "k").collect()] == [(0, 3), (1, 2)]
+
+
+@pytest.mark.parametrize("least", [1, 2, 3, 5])
+def test_overlaps_against_all_pairs(spark, least):
+    """The filter by first keys loses no pair, whatever the frequencies."""
+    rng = random.Random(least)
+    sets = {f"m{k}": {f"k{min(int(rng.expovariate(0.15)), 30)}" for _ in range(rng.randrange(12))} | ({"all"} if k % 5 else set()) for k in range(60)}
+    rows = [(m, x) for m, s in sets.items() for x in s] + [("m1", None), (None, "all"), *(("m2", x) for x in sets["m2"])]
+    got = {(r["left"], r["right"]): (r["n"], r["least_key"], r["sample"]) for r in pairs.overlaps(spark.createDataFrame(rows, "member string, key string"), "key", "member", least=least, sample=2).collect()}
+    want = {(a, b): (len(s := sorted(sets[a] & sets[b])), s[0], s[:2]) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= least}
+    assert got == want
