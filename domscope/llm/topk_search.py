@@ -1,7 +1,7 @@
 """Exact top-k search: tiled matrix products, partial selection per tile, tree merging.
 
-Vectors become integers floor(scale * x). Rows are dealt to tiles of at most about ``TILE`` rows,
-queries to blocks of ``BLOCK``; each block meets each tile once (a stated query set against all rows,
+Vectors become integers floor(scale * x). Rows are dealt to tiles of about ``TILE`` rows or
+``TILE_BYTES`` at most, queries to blocks of ``BLOCK`` rows or as many bytes; each block meets each tile once (a stated query set against all rows,
 in blocks). A worker multiplies pieces of the two, keeps the k best of each piece for every query,
 and lists of one block are merged ``FAN_IN`` at a time until one is left. No task holds more than a
 tile, a block, or FAN_IN lists of one block.
@@ -25,6 +25,7 @@ from .storage import partitions, written
 
 TILE = 32_768
 BLOCK = 2048
+TILE_BYTES = 4 << 20
 FAN_IN = 8
 _PIECE = 4096
 _LONG = (-(1 << 63), (1 << 63) - 1)
@@ -93,9 +94,10 @@ def top_k(rows: DataFrame, k: int, *, scale: float = 64, every: int = 20, tile:
     """(query_id, rank, vec_id, score): the k best rows for each row whose vec_id is divisible by ``every``."""
     spark = rows.sparkSession
     base = written(quantised(rows, scale))
-    n = base.count()
-    tiles = max(-(-n // tile), min(2 * partitions(spark), -(-n // 1024)), 1)
-    blocks = max(-(-n // every // block), 1)
+    n, entries = base.agg(F.count("*"), F.coalesce(F.sum("dim"), F.lit(0))).first()
+    bytes_ = 8 * int(entries)
+    tiles = max(-(-n // tile), -(-bytes_ // TILE_BYTES), min(2 * partitions(spark), -(-n // 1024)), 1)
+    blocks = max(-(-n // every // block), -(-bytes_ // every // TILE_BYTES), 1)
     spread = lambda parts: F.pmod(F.xxhash64("rid"), F.lit(parts))
     tiled = _packed(base.withColumn("tile", spread(tiles)), "tile")
     asked = base.where(F.pmod("id", F.lit(every)) == 0)

@@ -34,6 +34,15 @@ def test_top_k(spark, tile):
     assert sorted(tuple(r) for r in got) == _top(rows, 20)
 
 
+def test_top_k_tiles_by_bytes(spark, monkeypatch):
+    """Many equal rows and long vectors, in tiles that hold a few of them."""
+    monkeypatch.setattr(topk_search, "TILE_BYTES", 40_000)
+    rng = random.Random(5)
+    rows = [(k, [rng.uniform(-1, 1) for _ in range(300)]) for k in range(90)] + [(k, [0.5] * 300) for k in range(100, 160)]
+    frame = spark.createDataFrame([(i, v, "x") for i, v in rows], VECTORS).repartition(3)
+    assert sorted(tuple(r) for r in topk_search.top_k(frame, 7).collect()) == _top(rows, 7)
+
+
 def test_top_k_edges(spark):
     assert topk_search.top_k(spark.createDataFrame([], VECTORS), 5).collect() == []
     big = spark.createDataFrame([(0, [3e30, 1.0], "x"), (1, [2e30, 5.0], "x"), (2, [-3e30, 1.0], "x")], VECTORS)
@@ -186,3 +195,11 @@ def test_language_sample(spark):
     assert set(by) == {"aa", "bb", "cc"} and all(len(x) == 1 or sum(map(len, x)) <= 100 for x in by.values())
     odd = spark.createDataFrame([(1, "щщщ щщ", None, ""), (2, "12", None, ""), (3, None, None, ""), (4, "", None, "")], "doc_id long, text string, lang string, extra string")
     assert [(r["lang_pred"], r["score"]) for r in langid.identify(odd, langid.train(docs)).orderBy("doc_id").collect()] == [("aa", 0.0), ("und", 0.0), ("und", 0.0), ("und", 0.0)]
+
+
+def test_lm_repeated_rows(spark, monkeypatch):
+    """Equal rows do not meet in one bucket, and count as documents of their own."""
+    monkeypatch.setattr(lm_score, "BUCKET_BYTES", 2000)
+    rows = [(1, "a b a c")] * 400 + [(k, f"x{k} b a") for k in range(2, 60)]
+    got = lm_score.scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))
+    assert sorted([(r[0], r[1], round(r[2], 6), round(r[3], 8)) for r in got.collect()], key=repr) == _lm(rows)
