@@ -26,7 +26,7 @@ names, which leaves one row of each component. Rows are told apart by doc_id and
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ..operators.graph import components
 from .seeds import bucketed
 from .storage import discard, partitions, written
-from .vectext import LOWER, Words, buffers, chunks, gram_hash, mix
+from .vectext import LOWER, Words, buffers, chunks, gram_hash, mix, sliced
 
 WORDS = 5
 SYMBOLS = 40
@@ -45,6 +45,8 @@ CHUNKS = 9
 DISTANCE = 17
 TILE = 2048
 TILE_BYTES = 8 << 20
+#: Plans of at most so many groups are broadcast; more are joined by a shuffle.
+MAX_BROADCAST = 100_000
 
 
 class Scheme(NamedTuple):
@@ -221,15 +223,20 @@ def across(component: np.ndarray, rest: np.ndarray, near) -> list[tuple[int, int
     return out
 
 
-def _linked(members: DataFrame, payload: DataFrame, kind: str, scheme: Scheme) -> DataFrame:
+#: Columns of a member that is dealt to a place of comparison.
+PLACE = ("g", "group", "t", "u", "item", "n", "component", "rest")
+
+
+def _linked(members: DataFrame, attached: Callable[[DataFrame], DataFrame], kind: str, scheme: Scheme) -> DataFrame:
     """(a, b): links between the items of each group that connect what is connected.
 
-    members: group, item, n (the size of its set); payload: item, and sig for kind "signature" or items
-    for kind "sets".
+    members: group, item, n (the size of its set) and what attached needs. It gives rows that are dealt
+    (PLACE, and what members have beside) their payload: sig for kind "signature", items for "sets".
     """
     n_parts = partitions(members.sparkSession)
     item = dict(members.dtypes)["item"]
     value = "sig" if kind == "signature" else "items"
+    more = [c for c in members.columns if c not in PLACE]
 
     def compare(t: pa.Table) -> pa.RecordBatch:
         names = ["group", "t", "u"]
@@ -258,14 +265,15 @@ def _linked(members: DataFrame, payload: DataFrame, kind: str, scheme: Scheme) -
             yield compare(t)
 
     def compared(dealt: DataFrame) -> DataFrame:
-        dealt = dealt.select(F.xxhash64("group", "t", "u").alias("g"), "group", "t", "u", "item", "n", "component", "rest").join(payload, "item")
-        dealt = dealt.select("g", "group", "t", "u", "item", "n", "component", "rest", value)
+        dealt = attached(dealt.withColumn("g", F.xxhash64("group", "t", "u")).select(*PLACE, *more)).select(*PLACE, value)
         return dealt.repartition(n_parts, "g").sortWithinPartitions("g", "group", "t", "u").mapInArrow(run, f"a {item}, b {item}")
 
     each = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") * 8 / TILE_BYTES) if kind == "sets" else F.lit(1))
-    size = members.groupBy("group").agg(each.cast("int").alias("tiles"), F.count("*").alias("m")).where("m > 1").drop("m")
-    large = bool(size.where("tiles > 1").head(1))
-    rows = members.join(size, "group") if large else members.withColumn("tiles", F.lit(1))
+    size = members.groupBy("group").agg(each.cast("int").alias("tiles")).where("tiles > 1")
+    large = size.count()
+    # One narrow row for each large group: sent to all tasks, so that no task gathers a group.
+    of_group = lambda df: F.broadcast(df) if large <= MAX_BROADCAST else df
+    rows = members.join(of_group(size), "group", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1))) if large else members.withColumn("tiles", F.lit(1))
     tile = lambda salt: F.pmod(F.xxhash64("item", F.lit(salt)), F.col("tiles")).cast("int")
     plain = rows.withColumns({"component": F.lit(0).cast("long"), "rest": F.lit(None).cast("double"), "t": tile(1), "u": F.lit(-1)})
     if not large:
@@ -276,35 +284,45 @@ def _linked(members: DataFrame, payload: DataFrame, kind: str, scheme: Scheme) -
     found = joined.select(F.col("node").alias("item"), F.xxhash64("component").alias("component"))
     big = rows.where("tiles > 1").join(found, "item", "left").withColumn("component", F.coalesce("component", F.xxhash64("item")))
     main = big.groupBy("group", "component").agg(F.count("*").alias("c")).groupBy("group").agg(F.max_by("component", F.struct("c", "component")).alias("main"))
-    split = written(big.join(main, "group").withColumn("rest", (F.col("component") != F.col("main")).cast("double")).withColumn("t", tile(1)), joined)
+    split = written(big.join(of_group(main), "group").withColumn("rest", (F.col("component") != F.col("main")).cast("double")).withColumn("t", tile(1)), joined)
     parts = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") * 8 / TILE_BYTES) if kind == "sets" else F.lit(1))
     few = split.where("rest > 0").groupBy("group").agg(parts.cast("int").alias("parts"))
     own = F.pmod(F.xxhash64("item", F.lit(3)), F.col("parts")).cast("int")
-    sides = split.join(few, "group")
+    sides = split.join(of_group(few), "group")
     left = sides.where("rest > 0").withColumn("u", own).withColumn("t", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     # A rest item meets its own tile as a rest item already; it goes there once.
     right = sides.withColumn("u", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where(~((F.col("rest") > 0) & (F.col("u") == own)))
     right = right.withColumn("rest", F.lit(0.0))
-    names = ["group", "t", "u", "item", "n", "component", "rest"]
+    names = [*PLACE[1:], *more]
     return written(links.unionByName(compared(left.select(*names).unionByName(right.select(*names)))), links, split)
 
 
-def _sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(item, items): the full sets of the classes whose representative row is in reps (r1, r2)."""
-    picked = _rids(docs).join(reps, ["r1", "r2"], "left_semi")
+def _with_sets(docs: DataFrame, dealt: DataFrame) -> DataFrame:
+    """dealt (PLACE, r1 and r2 of a class's representative row) with ``items``, the full sets.
+
+    Texts are joined by a merge, which keeps equal rows of a representative together: of those one is read.
+    """
+    kind = dict(dealt.dtypes)["group"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple[int, int] | None = None
+        seen: set[int] = set()
         for batch in batches:
-            data, off = buffers(batch.column(0))
-            for a, b in chunks(off):
-                key, bounds = shingle_sets(data[off[a] : off[b]], off[a : b + 1] - off[a])
+            keep = []
+            for k, (r1, r2, g) in enumerate(zip(*(batch.column(x).to_pylist() for x in range(3)), strict=True)):
+                if (r1, r2) != last:
+                    last, seen = (r1, r2), set()
+                if g not in seen:
+                    seen.add(g)
+                    keep.append(k)
+            for part in sliced(batch.take(pa.array(keep, pa.int64())), 3):
+                key, bounds = shingle_sets(*buffers(part.column(3)))
                 cut = bounds.tolist()
                 items = [key[i:j].tobytes() for i, j in zip(cut, cut[1:], strict=False)]
-                nodes = [hashlib.blake2b(x, digest_size=16).hexdigest() for x in items]
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.string()), pa.array(items, pa.binary())], names=["item", "items"])
+                yield pa.RecordBatch.from_arrays([part.column(2), *part.columns[4:], pa.array(items, pa.binary())], names=[*PLACE, "items"])
 
-    # Equal rows of a representative give their set several times.
-    return picked.select("text").mapInArrow(run, "item string, items binary").groupBy("item").agg(F.first("items").alias("items"))
+    joined = _rids(docs).select("r1", "r2", "text").join(dealt.hint("merge"), ["r1", "r2"]).select("r1", "r2", "g", "text", *PLACE[1:])
+    return joined.mapInArrow(run, f"g long, group {kind}, t int, u int, item {dict(dealt.dtypes)['item']}, n long, component long, rest double, items binary")
 
 
 def dedup(docs: DataFrame, threshold: int = 85) -> DataFrame:
@@ -329,12 +347,11 @@ def _grouped(docs: DataFrame, threshold: int) -> DataFrame:
     many = table.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     # Classes that share a nid by chance are members of each other's buckets, which costs a comparison.
     buckets = written(table.join(many, "key").join(classes.select("nid", "node", "n"), "nid").select(F.col("key").alias("group"), F.col("node").alias("item"), "n"))
-    links = _linked(buckets, classes.select(F.col("node").alias("item"), "sig"), "signature", scheme)
+    links = _linked(buckets, lambda dealt: dealt.join(classes.select(F.col("node").alias("item"), "sig"), "item"), "signature", scheme)
     near = components(links, "a", "b")
     family = written(near.join(classes, "node").select(F.col("component").alias("group"), F.col("node").alias("item"), "n", "rep.*"), near, links, buckets)
-    sets = written(_sets(docs, family.select("r1", "r2")))
-    links = _linked(family.select("group", "item", "n"), sets, "sets", scheme)
-    discard(family, sets)
+    links = _linked(family, lambda dealt: _with_sets(docs, dealt), "sets", scheme)
+    discard(family)
     found = components(links, "a", "b")
     # The smallest doc_id of each component, by way of its classes.
     joined = written(classes.select("node", "least").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), found, links, classes)
