@@ -22,20 +22,39 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each text that 200-byte strings at two places or more cover, and the hash of the rest.
+
+    One row for each row of documents. Null, empty and short texts lose nothing; repeated rows and null ids
+    are documents of their own; ids that many rows share don't mix their texts.
+    """
     found = suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest integer inner products of each vector whose vec_id is divisible by 20.
+
+    Ties go to the smaller vec_id; a repeated row is a candidate of its copies; null vectors, those with a
+    null or non-finite component, and null ids take no part; only vectors of equal length are compared.
+    """
     return topk_search.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 20)
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each text that windows of 13 words with an earlier doc_id cover, and the hash of the rest.
+
+    One row for each row of documents. Null and short texts lose nothing; rows of one id never remove each
+    other's words; null ids come last.
+    """
     found = substring_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and hash of each text's ids, and the hash of what they decode to.
+
+    Null and empty texts have no ids and decode to the empty text; repeated rows give repeated results.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = bpe.encode(docs, vocabulary_path(), decoded="decoded")
     ids = F.concat_ws(",", F.col("ids").cast("array<string>"))
@@ -43,32 +62,60 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff scores of each document under the bigrams of all others.
+
+    Wordless texts have sum 0 and a null mean; repeated rows are other documents to each other.
+    """
     found = lm_score.scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", F.round("log_sum", 4).alias("log_sum"), F.round("log_mean", 6).alias("log_mean"))
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest language of each text, learned from the documents that are not held out.
+
+    Null texts and those without a letter are und with score 0; without a known trigram the most frequent
+    language with score 0; ties go to the first language by code point.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return langid.identify(docs, langid.train(docs))
 
 
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix by weights 1, 2, 3 takes of each document.
+
+    Wordless texts have size 0 and are taken 0 words; null sources are one source, the last; equal rows may
+    be taken different numbers of times.
+    """
     sized = mixing.sizes(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     mixed = mixing.mix_sized(sized, "doc_id", "text", without=("text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "draws")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of each text, the base verdict and that of the learned decision list.
+
+    Null and wordless texts fail the base rules; repeated rows have one verdict; rule tells which rule decided
+    (0 the base, null none).
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = quality_rules.learn(docs, table(spark, sf_dir, "labels"))
     return quality_rules.apply(docs, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of each document under links of similarity 0.85 or more.
+
+    Wordless texts have an empty set and are linked with nothing; repeated rows are linked; null ids take
+    part, and a component without any id has a null one.
+    """
     return near_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of each text: counts of the base kinds, their hash, and all spans.
+
+    Null and empty texts have none; repeated rows give repeated results; offsets are code points.
+    """
     found = pii_crf.detect(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "spans")
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
