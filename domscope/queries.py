@@ -441,22 +441,6 @@ SELECT p.p_partkey, array_to_string(list_sort(list_distinct(list_transform(list_
 """
 
 
-def json_props(spark, sf):
-    v = F.try_parse_json("props")
-    e = _t(spark, sf, "events").withColumn("v", v)
-    return e.select("event_id", F.try_variant_get("v", "$.k", "int").alias("k"), F.coalesce(F.try_variant_get("v", "$.k", "string"), F.try_variant_get("v", "$.missing", "string"), F.lit("")).alias("k_text"), F.try_variant_get("v", "$.missing", "string").alias("missing"))
-
-
-SQL_JSON = "SELECT event_id, json_extract_string(props, '$.k')::INTEGER AS k, json_extract_string(props, '$.k') AS k_text, json_extract_string(props, '$.missing') AS missing FROM events"
-
-
-def payload_hash(spark, sf):
-    return _t(spark, sf, "conversations").select("conv_id", "turn", F.sha2("text", 256).alias("hash"))
-
-
-SQL_HASH = "SELECT conv_id, turn, sha256(text) AS hash FROM conversations"
-
-
 def script_clusters(spark, sf):
     """Clusters of hosts that share links, as script overlap makes them."""
     edges = pairs.overlaps(_host_paths(spark, sf), "path", "host", least=12)
@@ -490,7 +474,7 @@ _ALL = {
     "decision_cascade": (decision_cascade, SQL_CASCADE), "dup_group_star": (dup_group_star, SQL_STAR), "dup_components": (dup_components, SQL_COMPONENTS), "bucket_pairs": (bucket_pairs, SQL_BUCKETS), "supplier_affiliation": (supplier_affiliation, SQL_SUPPLIERS),
     "reciprocal_pairs": (reciprocal_pairs, SQL_RECIPROCAL), "semi_anti_validate": (semi_anti_validate, SQL_VALIDATE), "keyed_merge_first": (keyed_merge_first, SQL_MERGE), "keyed_last": (keyed_last, SQL_LAST), "first_match_lookup": (first_match_lookup, SQL_LOOKUP),
     "sightings": (event_sightings, SQL_SIGHTINGS), "promote_counts": (promote_counts, SQL_PROMOTES), "review_queue": (review_queue, SQL_QUEUE), "block_candidates": (block_candidates, SQL_BLOCK), "hosts_lines": (hosts_lines, SQL_HOSTS), "count_by_key": (count_by_key, SQL_COUNTS),
-    "list_merge": (list_merge, SQL_LISTS), "json_props": (json_props, SQL_JSON), "payload_hash": (payload_hash, SQL_HASH), "script_clusters": (script_clusters, SQL_CLUSTERS), "research_staging": (research_staging, SQL_STAGING),
+    "list_merge": (list_merge, SQL_LISTS), "script_clusters": (script_clusters, SQL_CLUSTERS), "research_staging": (research_staging, SQL_STAGING),
 }
 
 

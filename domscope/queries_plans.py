@@ -568,6 +568,159 @@ SELECT 'f' || k AS record_id, 'fingerprint' AS source_type, kind AS likely_entit
 """
 
 
+_NOTES = ("Social casino sweeps", "best casinos reviews", "slot studio x", "wallet deposit", "Not verified", "nothing", "poker slots redeem; top sweeps, promo code, affiliate", "evidence_only slot studio x", "rebrand of casino, 403")
+
+
+def _rules_input(spark, sf) -> dict[str, DataFrame]:
+    """Staged candidates with a catalogue, clusters, edges, fingerprints and sure domains to be held against."""
+    empty = F.array().cast("array<string>")
+    staged = _made(
+        spark, sf, "customer", k="c_custkey", ordinal="c_custkey", rid="c_custkey", candidate_id="concat('c', c_custkey)", brand="''", jurisdiction="''", sources="''", notes=_pick("c_custkey", _NOTES), evidence_tier=_pick("(c_custkey div 3)", _TIERS),
+        domain="CASE WHEN c_custkey % 19 = 0 THEN '' WHEN c_custkey % 17 = 0 THEN concat('pending', c_custkey, '.example') ELSE concat('D', c_custkey, '.example') END", legal_entity="CASE WHEN c_custkey % 2 = 0 THEN concat('Legal ', c_custkey % 50) ELSE '' END",
+        parent_company="CASE WHEN c_custkey % 5 = 0 THEN concat('Par ', c_custkey % 40) ELSE '' END", company_number="CASE WHEN c_custkey % 9 = 0 THEN concat('N', c_custkey % 30) ELSE '' END",
+    ).withColumn("raw_row", F.create_map(F.lit("entity_type"), F.when(F.col("k") % 29 == 0, "provider").otherwise("")))
+    prints = _made(spark, sf, "customer", candidate_id="concat('c', c_custkey)", ordinal="c_custkey").where("ordinal % 3 = 0").select(
+        "candidate_id", "ordinal", F.struct(F.array(F.lit("UA")).alias("analytics_ids"), empty.alias("support_widget_providers")).alias("technical"), F.struct(F.array(F.lit("Poker")).alias("title_terms"), empty.alias("footer_phrases"), empty.alias("provider_mentions")).alias("content"),
+        F.struct(F.array(F.lit("/pay")).alias("cashier_paths")).alias("flow"),
+    )
+    j = _made(spark, sf, "nation", j="n_nationkey")
+    entities = j.select(F.concat(F.lit("e"), "j").alias("id"), F.array(F.concat(F.lit("d"), (F.col("j") * 6).cast("string"), F.lit(".example"))).alias("domains"), F.struct(F.concat(F.lit("LEGAL "), "j").alias("legal_entity"), F.concat(F.lit("par "), "j").alias("parent_company"), F.concat(F.lit("n"), "j").alias("company_number")).alias("attributes"))
+    sup = _made(spark, sf, "supplier", s="s_suppkey")
+    text = lambda p, x: F.concat(F.lit(p), x.cast("string"), F.lit(".example"))
+    sk = F.col("s")
+    proof = F.when(sk % 2 == 0, F.array(F.struct(F.array(F.lit("x")).alias("domains"), F.lit("discovery_redirect_chain").alias("reason"), F.lit("{}").alias("detail")))).otherwise(F.array().cast("array<struct<domains:array<string>,reason:string,detail:string>>"))
+    groups = sup.select(sk.alias("ordinal"), F.array(text("d", sk * 3), text("x", sk)).alias("members"), proof.alias("evidence"))
+    sure = sup.where("s % 4 = 0").select(text("x", sk).alias("domain")).unionByName(staged.where("k % 23 = 0").select(text("d", F.col("k")).alias("domain")))
+    more = _made(spark, sf, "customer", k="c_custkey", n="c_nationkey").where("k % 11 = 0 OR k % 13 = 0")
+    edges = more.select(F.concat(F.lit("c"), "k").alias("from_candidate_id"), F.lit("").alias("from_domain"), F.explode(F.array(F.lit("a"), F.lit("b"))).alias("to_candidate_id"), F.lit("").alias("to_domain"), F.when(F.col("k") % 11 == 0, "promotes").otherwise("uses_provider").alias("relationship"))
+    return {"staged": staged, "prints": prints, "entities": entities, "clusters": groups, "sure": sure, "edges": edges}
+
+
+def entity_decisions(spark, sf):
+    """Decisions on staged candidates: type, confidence of fields, promotion, cluster and block rules."""
+    x = _rules_input(spark, sf)
+    facts = review.cluster_facts(x["clusters"], x["entities"], x["sure"])
+    return _decided(review.entity_decisions(x["staged"], x["prints"], review.catalogue_keys(x["entities"]), facts, review.edge_counts(x["edges"]), x["sure"]))
+
+
+def _level(present: str, weak: str = "") -> str:
+    low = f"CASE WHEN {weak} THEN CASE base WHEN 'high' THEN 'medium' ELSE 'low' END ELSE base END" if weak else "base"
+    return f"CASE WHEN {present} THEN {low} ELSE 'low' END"
+
+
+_FIELDS = (
+    ("analytics_ids", _level("fp", "weak"), True), ("brand", "'low'", False), ("cashier_path", _level("fp", "weak"), True), ("company_number", _level("k % 9 = 0"), False), ("domain", _level("dom <> '' AND NOT hold"), False), ("jurisdiction", "'low'", False),
+    ("legal_entity", _level("k % 2 = 0"), False), ("parent_company", _level("k % 5 = 0", "weak"), False), ("provider_mentions", "'low'", True), ("support_widget", "'low'", True),
+)
+_OP, _PR, _PV, _PAY = ([sum(w in n.lower() for w in words) for n in _NOTES] for words in (t.OPERATOR_TERMS, t.PROMOTER_TERMS, ("slot studio", "studio "), t.PAYMENT_TERMS))
+
+
+def _at(values, key: str = "c_custkey") -> str:
+    return f"([{', '.join(map(str, values))}])[{key} % {len(values)} + 1]"
+
+
+SQL_DECISIONS = f"""
+WITH a AS (
+  SELECT c_custkey AS k, CASE WHEN c_custkey % 19 = 0 THEN '' WHEN c_custkey % 17 = 0 THEN 'pending' || c_custkey || '.example' ELSE 'd' || c_custkey || '.example' END AS dom, c_custkey % 19 <> 0 AND c_custkey % 17 = 0 AS hold, c_custkey % 3 = 0 AS fp, (c_custkey // 3) % 4 AS tier, c_custkey % 9 AS note,
+    {_at(_OP)} + CASE WHEN c_custkey % 3 = 0 AND c_custkey % 9 <> 6 THEN 1 ELSE 0 END AS op, {_at(_PR)} AS pr, {_at(_PV)} AS pv, {_at(_PAY)} AS pay, c_custkey % 29 = 0 AS raw, c_custkey % 2 = 0 AS legal, c_custkey % 11 = 0 AS many, c_custkey % 13 = 0 AND c_custkey % 11 <> 0 AS uses FROM customer
+),
+b AS (
+  SELECT *, dom = 'd' || k || '.example' AS plain, (['high', 'medium', 'low', 'low'])[tier + 1] AS base, note IN (4, 8) AS weak, dom = 'd' || k || '.example' AND k % 3 = 0 AND k // 3 IN (SELECT s_suppkey FROM supplier) AS grouped, dom = 'd' || k || '.example' AND k % 23 = 0 AS own FROM a
+),
+c AS (
+  SELECT *, CASE WHEN grouped THEN CASE WHEN k % 6 = 0 AND k // 6 IN (SELECT n_nationkey FROM nation) THEN 'touches' WHEN (k // 3) % 2 = 0 THEN 'linked' ELSE 'create' END END AS verdict, grouped AND ((k // 3) % 4 = 0 OR k % 23 = 0) AS near, own AS sure,
+    CASE WHEN legal AND k % 50 IN (SELECT n_nationkey FROM nation) THEN 'e' || (k % 50) END AS l, CASE WHEN k % 5 = 0 AND k % 40 IN (SELECT n_nationkey FROM nation) THEN 'e' || (k % 40) END AS p, CASE WHEN k % 9 = 0 AND k % 30 IN (SELECT n_nationkey FROM nation) THEN 'e' || (k % 30) END AS n,
+    2 * op + CASE WHEN legal THEN 2 ELSE 0 END AS s1, 2 * pv + CASE WHEN raw THEN 6 ELSE 0 END + CASE WHEN uses THEN 6 ELSE 0 END AS s2, 2 * pay AS s3, 2 * pr + CASE WHEN many THEN 6 ELSE 0 END AS s4 FROM b
+),
+d AS (
+  SELECT *, greatest(s1, s2, s3, s4) AS top, CASE WHEN greatest(s1, s2, s3, s4) = 0 THEN 'unknown' WHEN s1 = greatest(s1, s2, s3, s4) THEN 'operator' WHEN s2 = greatest(s1, s2, s3, s4) THEN 'provider' WHEN s3 = greatest(s1, s2, s3, s4) THEN 'payment_path' ELSE 'promoter' END AS kind0,
+    op >= 2 AND pr >= 2 AND NOT sure AS contra, l IS NOT NULL OR p IS NOT NULL OR n IS NOT NULL OR verdict IN ('touches', 'linked') AS attach0 FROM c
+),
+e AS (SELECT *, coalesce(attach0, false) AS attach, CASE WHEN sure AND NOT raw THEN 'operator' ELSE kind0 END AS kind, NOT coalesce(attach0, false) AND coalesce(verdict = 'create', false) AS strong FROM d),
+f AS (
+  SELECT *, CASE WHEN contra THEN 'reject_contradictory_signals' WHEN dom = '' OR hold THEN 'reject_domain_placeholder_or_missing' WHEN note = 8 AND tier = 1 THEN 'stage_403_secondary' WHEN kind = 'unknown' AND strong AND tier = 1 THEN 'stage_unknown_but_cluster_and_secondary' WHEN kind = 'unknown' THEN 'reject_weak_or_unknown'
+      WHEN tier = 0 AND (legal OR attach OR strong) AND NOT weak THEN 'promote_first_party_strong_anchor' WHEN tier = 1 AND legal THEN 'promote_secondary_with_legal_anchor' WHEN strong AND tier <= 1 THEN 'promote_strong_cluster_multiple_signals' WHEN weak OR tier = 2 THEN 'stage_mixed_or_inferred' WHEN tier = 1 THEN 'stage_secondary_without_legal' ELSE 'stage_default' END AS prom,
+    CASE WHEN note = 7 AND kind = 'provider' THEN 'do_not_evidence_only_provider' WHEN kind = 'promoter' THEN 'do_not_promoter_listing_domain' WHEN kind = 'provider' THEN 'do_not_provider_studio_domain' WHEN sure THEN 'now_confirmed_operator_seed_or_catalog' WHEN kind = 'operator' AND tier = 0 THEN 'now_operator_first_party'
+      WHEN note = 8 AND kind = 'operator' AND ((legal AND base = 'high') OR tier <= 1 OR op >= 2) THEN 'now_redirect_shell_operator' WHEN note = 8 AND kind = 'operator' THEN 'after_review_redirect_shell_operator' WHEN kind = 'operator' AND near THEN 'after_review_operator_cluster_known_family'
+      WHEN kind = 'operator' AND op >= 4 THEN 'now_high_confidence_sweeps_operator_signals' WHEN kind = 'operator' AND op >= 2 THEN 'after_review_operator_sweeps_signals' WHEN kind = 'operator' THEN 'after_review_operator_mixed' ELSE 'do_not_weak_or_unknown' END AS blk FROM e
+)
+SELECT 'c' || k AS record_id, 'entity' AS source_type, kind AS likely_entity_type, '{{' || concat_ws(',', {", ".join(f"""{"CASE WHEN fp THEN " if only else ""}'"{name}":"' || {level} || '"'{" END" if only else ""}""" for name, level, only in _FIELDS)}) || '}}' AS fields,
+  CASE WHEN prom LIKE 'reject%' THEN 'reject_for_now' WHEN prom LIKE 'promote%' THEN 'promote_now' ELSE 'stage_only' END AS promotion_recommendation, CASE WHEN attach THEN 'attach_to_existing_cluster' WHEN strong THEN 'create_new_cluster_candidate' ELSE 'no_cluster_action' END AS cluster_recommendation,
+  CASE WHEN blk LIKE 'now%' THEN 'block_now' WHEN blk LIKE 'after%' THEN 'block_after_review' ELSE 'do_not_block' END AS block_recommendation,
+  concat_ws(';', CASE WHEN raw THEN 'rule:raw_entity_type_provider' END, CASE WHEN legal THEN 'rule:legal_entity_anchor_operator_hint' END, CASE WHEN op > 0 THEN 'rule:operator_term_hits:' || op END, CASE WHEN pr > 0 THEN 'rule:promoter_term_hits:' || pr END, CASE WHEN pv > 0 THEN 'rule:provider_term_hits:' || pv END,
+    CASE WHEN pay > 0 THEN 'rule:payment_term_hits:' || pay END, CASE WHEN many THEN 'rule:multiple_promote_targets:2' END, CASE WHEN uses THEN 'rule:multiple_uses_provider_refs:2' END, CASE WHEN top = 0 THEN 'rule:insufficient_entity_type_signals' ELSE 'rule:selected_type:' || kind0 || '_score_' || top END,
+    CASE WHEN sure AND NOT raw AND kind0 <> 'operator' THEN 'rule:confirmed_operator_catalog_override_type' END,
+    CASE WHEN l IS NOT NULL THEN 'rule:cluster_attach_shared_legal:' || l WHEN p IS NOT NULL THEN 'rule:cluster_attach_shared_parent:' || p WHEN n IS NOT NULL THEN 'rule:cluster_attach_company_number:' || n WHEN verdict = 'touches' THEN 'rule:cluster_attach_staged_cluster_touches_production_domain'
+      WHEN verdict = 'linked' THEN 'rule:cluster_attach_redirect_or_affiliation_evidence' WHEN verdict = 'create' THEN 'rule:cluster_create_new_staged_cluster_only' ELSE 'rule:cluster_no_action' END,
+    'rule:promotion_' || prom, CASE WHEN blk = 'now_operator_first_party' AND note = 8 THEN 'rule:block_now_redirect_shell_operator' END, 'rule:block_' || blk, CASE WHEN contra THEN 'rule:contradictory_operator_promoter_signals' END) AS reasons
+FROM f
+"""
+
+
+def queue_decisions(spark, sf):
+    """Decisions on discovered domains and extracted pages of the queue."""
+    x = _rules_input(spark, sf)
+    queue = _made(
+        spark, sf, "customer", kind=_pick("c_custkey", ("discovered_domain", "extracted_fingerprint")), id="CASE WHEN c_custkey % 17 = 0 THEN concat('tbd', c_custkey, '.example') ELSE concat('WWW.D', c_custkey, '.example/x.') END", notes=_pick("c_custkey", _NOTES), sources="''",
+        evidence_tier=_pick("(c_custkey div 3)", _TIERS), payload_ref="CASE WHEN c_custkey % 4 = 0 THEN concat('{\"domain\":\"d', c_custkey, '.example\"}') ELSE '{\"domain\":null}' END",
+    ).where("id NOT LIKE 'tbd%' OR payload_ref LIKE '%null%'")
+    words = lambda w: F.struct(F.struct(F.array(F.lit(w)).alias("title_terms"), F.array().cast("array<string>").alias("footer_phrases")).alias("content"), F.struct(F.array(F.lit("/pay")).alias("cashier_paths"), F.array().cast("array<string>").alias("redemption_paths")).alias("flow"))
+    pages = _made(spark, sf, "customer", ordinal="c_custkey", domain="concat('www.d', c_custkey, '.example')").where("ordinal % 3 = 0")
+    pages = pages.withColumn("fingerprint", words("Poker")).unionByName(pages.withColumns({"fingerprint": words("deposit wallet"), "ordinal": F.col("ordinal") - 1}))
+    facts = review.cluster_facts(x["clusters"], x["entities"], x["sure"])
+    return _decided(review.queue_decisions(queue, pages, facts, x["sure"]))
+
+
+SQL_QUEUE_DECISIONS = f"""
+WITH a AS (
+  SELECT c_custkey AS k, CASE WHEN c_custkey % 17 = 0 AND c_custkey % 4 <> 0 THEN 'tbd' || c_custkey || '.example' ELSE 'd' || c_custkey || '.example' END AS dom, c_custkey % 17 = 0 AS bad, (c_custkey // 3) % 4 AS tier, c_custkey % 9 AS note,
+    {_at(_OP)} + CASE WHEN c_custkey % 17 <> 0 AND c_custkey % 3 = 0 AND c_custkey % 9 <> 6 THEN 1 ELSE 0 END AS op, {_at(_PR)} AS pr, {_at(_PV)} AS pv, {_at(_PAY)} AS pay, c_custkey % 3 = 0 AND c_custkey % 17 <> 0 AS fp FROM customer WHERE c_custkey % 17 <> 0 OR c_custkey % 4 <> 0
+),
+b AS (SELECT *, note IN (4, 8) AS weak, NOT bad AND k % 3 = 0 AND k // 3 IN (SELECT s_suppkey FROM supplier) AS grouped, NOT bad AND k % 23 = 0 AS sure, 2 * op AS s1, 2 * pv AS s2, 2 * pay AS s3, 2 * pr AS s4 FROM a),
+c AS (
+  SELECT *, CASE WHEN grouped THEN CASE WHEN k % 6 = 0 AND k // 6 IN (SELECT n_nationkey FROM nation) THEN 'touches' WHEN (k // 3) % 2 = 0 THEN 'linked' ELSE 'create' END END AS verdict, grouped AND ((k // 3) % 4 = 0 OR k % 23 = 0) AS near, greatest(s1, s2, s3, s4) AS top,
+    CASE WHEN greatest(s1, s2, s3, s4) = 0 THEN 'unknown' WHEN s1 = greatest(s1, s2, s3, s4) THEN 'operator' WHEN s2 = greatest(s1, s2, s3, s4) THEN 'provider' WHEN s3 = greatest(s1, s2, s3, s4) THEN 'payment_path' ELSE 'promoter' END AS kind0 FROM b
+),
+e AS (SELECT *, CASE WHEN sure THEN 'operator' ELSE kind0 END AS kind, op >= 2 AND pr >= 2 AND NOT sure AS contra, coalesce(verdict IN ('touches', 'linked'), false) AS attach, coalesce(verdict = 'create', false) AS strong FROM c),
+f AS (
+  SELECT *, CASE WHEN contra THEN 'reject_contradictory_signals' WHEN note = 8 AND tier = 1 THEN 'stage_403_secondary' WHEN kind = 'unknown' AND strong AND tier = 1 THEN 'stage_unknown_but_cluster_and_secondary' WHEN kind = 'unknown' THEN 'reject_weak_or_unknown' WHEN tier = 0 AND (attach OR strong) AND NOT weak THEN 'promote_first_party_strong_anchor'
+      WHEN strong AND tier <= 1 THEN 'promote_strong_cluster_multiple_signals' WHEN weak OR tier = 2 THEN 'stage_mixed_or_inferred' WHEN tier = 1 THEN 'stage_secondary_without_legal' ELSE 'stage_default' END AS prom,
+    CASE WHEN kind = 'promoter' THEN 'do_not_promoter_listing_domain' WHEN kind = 'provider' THEN 'do_not_provider_studio_domain' WHEN sure THEN 'now_confirmed_operator_seed_or_catalog' WHEN kind = 'operator' AND tier = 0 THEN 'now_operator_first_party' WHEN note = 8 AND kind = 'operator' AND (tier <= 1 OR op >= 2) THEN 'now_redirect_shell_operator'
+      WHEN note = 8 AND kind = 'operator' THEN 'after_review_redirect_shell_operator' WHEN kind = 'operator' AND near THEN 'after_review_operator_cluster_known_family' WHEN kind = 'operator' AND op >= 4 THEN 'now_high_confidence_sweeps_operator_signals' WHEN kind = 'operator' AND op >= 2 THEN 'after_review_operator_sweeps_signals'
+      WHEN kind = 'operator' THEN 'after_review_operator_mixed' ELSE 'do_not_weak_or_unknown' END AS blk FROM e
+)
+SELECT 'queue:' || CASE WHEN k % 2 = 0 THEN 'discovered_domain' ELSE 'extracted_fingerprint' END || ':' || dom AS record_id, 'entity' AS source_type, kind AS likely_entity_type, '{{"domain":"' || (['high', 'medium', 'low', 'low'])[tier + 1] || '"}}' AS fields,
+  CASE WHEN bad OR prom LIKE 'reject%' THEN 'reject_for_now' WHEN prom LIKE 'promote%' THEN 'promote_now' ELSE 'stage_only' END AS promotion_recommendation, CASE WHEN attach THEN 'attach_to_existing_cluster' WHEN strong THEN 'create_new_cluster_candidate' ELSE 'no_cluster_action' END AS cluster_recommendation,
+  CASE WHEN blk LIKE 'now%' THEN 'block_now' WHEN blk LIKE 'after%' THEN 'block_after_review' ELSE 'do_not_block' END AS block_recommendation,
+  concat_ws(';', CASE WHEN op > 0 THEN 'rule:operator_term_hits:' || op END, CASE WHEN pr > 0 THEN 'rule:promoter_term_hits:' || pr END, CASE WHEN pv > 0 THEN 'rule:provider_term_hits:' || pv END, CASE WHEN pay > 0 THEN 'rule:payment_term_hits:' || pay END,
+    CASE WHEN top = 0 THEN 'rule:insufficient_entity_type_signals' ELSE 'rule:selected_type:' || kind0 || '_score_' || top END, CASE WHEN sure AND kind0 <> 'operator' THEN 'rule:confirmed_operator_catalog_override_type' END,
+    CASE verdict WHEN 'touches' THEN 'rule:cluster_attach_staged_cluster_touches_production_domain' WHEN 'linked' THEN 'rule:cluster_attach_redirect_or_affiliation_evidence' WHEN 'create' THEN 'rule:cluster_create_new_staged_cluster_only' ELSE 'rule:cluster_no_action' END,
+    CASE WHEN bad THEN 'rule:queue_discovered_reject_placeholder' ELSE 'rule:queue_research_item_stage;rule:promotion_' || prom END, CASE WHEN blk = 'now_operator_first_party' AND note = 8 THEN 'rule:block_now_redirect_shell_operator' END, 'rule:block_' || blk) AS reasons
+FROM f
+"""
+
+
+def evidence_clusters(spark, sf):
+    """Components of evidence edges, with their members and their evidence."""
+    k = F.col("c_custkey")
+    name = lambda x: F.concat(F.lit("d"), F.lpad(x.cast("string"), 9, "0"))
+    base = _t(spark, sf, "customer")
+    chain = base.where("c_custkey % 7 <> 6").select(name(k).alias("left"), name(k + 1).alias("right"), F.lit("chain").alias("reason"), F.lit("{}").alias("detail"))
+    star = base.where("c_custkey % 14 = 0").select(name(k).alias("left"), name(k + 7).alias("right"), F.lit("pair").alias("reason"), F.concat(F.lit('{"n":'), k.cast("string"), F.lit("}")).alias("detail"))
+    found = cluster.clusters(chain.unionByName(star))
+    return found.select("cluster_id", "member_count", F.array_join(F.slice("members", 1, 3), " ").alias("first"), F.size("evidence").alias("n_evidence"), F.get("evidence", F.lit(0))["reason"].alias("reason"), "review_status", "evidence_tier")
+
+
+SQL_EVIDENCE_CLUSTERS = """
+WITH e AS (
+  SELECT c_custkey AS a, c_custkey + 1 AS b FROM customer WHERE c_custkey % 7 <> 6 UNION ALL SELECT c_custkey, c_custkey + 7 FROM customer WHERE c_custkey % 14 = 0
+),
+n AS (SELECT DISTINCT x, x // 14 AS g FROM (SELECT a AS x FROM e UNION ALL SELECT b FROM e)),
+m AS (SELECT g, min(x) AS root, count(*)::INTEGER AS c, list_sort(list('d' || lpad(x::VARCHAR, 9, '0'))) AS ms FROM n GROUP BY g), p AS (SELECT a // 14 AS g, count(*)::INTEGER AS c FROM e GROUP BY 1)
+SELECT 'cluster-d' || lpad(root::VARCHAR, 9, '0') AS cluster_id, m.c AS member_count, array_to_string(ms[:3], ' ') AS first, p.c AS n_evidence, 'chain' AS reason, 'pending' AS review_status, 'inferred' AS evidence_tier FROM m JOIN p ON m.g = p.g
+"""
+
+
 def reviewed_blocklist(spark, sf):
     """The domains that review decisions stand for, whatever the shape of their ids."""
     ident = _pick("c_custkey", ("queue:discovered_domain:WWW.q{k}.example.", "cluster-{k}", "f{k}", "f{k}->  g{k}.example", "bare{k}.example", "queue:cluster:x", "f{k}->gone", "nodomain"))
@@ -635,5 +788,5 @@ ALL: dict[str, tuple] = {
     "import_candidates": (import_candidates, SQL_IMPORT), "import_duplicates": (import_duplicates, SQL_DUPLICATES), "import_review": (import_review, SQL_REVIEW), "import_counts": (import_counts, SQL_IMPORT_COUNTS), "promotion_operators": (promotion_operators, SQL_PROMOTION),
     "promotion_fingerprints": (promotion_fingerprints, SQL_PROMOTION_PRINTS), "promotion_edges": (promotion_edges, SQL_PROMOTION_EDGES), "dump_edges": (dump_edges, SQL_DUMP), "cluster_edges": (cluster_edges, SQL_CLUSTER_EDGES), "confirmed_operators": (confirmed_operators, SQL_CONFIRMED),
     "catalogue_keys": (catalogue_keys, SQL_CATALOGUE), "relationship_decisions": (relationship_decisions, SQL_RELATIONSHIPS), "cluster_decisions": (cluster_decisions, SQL_CLUSTERS), "fingerprint_decisions": (fingerprint_decisions, SQL_FINGERPRINTS),
-    "reviewed_blocklist": (reviewed_blocklist, SQL_BLOCKLIST), "canonical_hashes": (canonical_hashes, SQL_CANONICAL), "domain_records": (domain_records, SQL_RECORDS), "list_lines": (list_lines, SQL_LINES),
+    "entity_decisions": (entity_decisions, SQL_DECISIONS), "queue_decisions": (queue_decisions, SQL_QUEUE_DECISIONS), "evidence_clusters": (evidence_clusters, SQL_EVIDENCE_CLUSTERS), "reviewed_blocklist": (reviewed_blocklist, SQL_BLOCKLIST), "canonical_hashes": (canonical_hashes, SQL_CANONICAL), "domain_records": (domain_records, SQL_RECORDS), "list_lines": (list_lines, SQL_LINES),
 }
