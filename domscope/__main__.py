@@ -37,6 +37,7 @@ def parser() -> argparse.ArgumentParser:
     add("cluster", dump, ("--min-script-overlap", number | {"default": 2}), ("--fingerprints", {}), *trust)
     add("discover", ("--max-depth", number | {"default": 1}), ("--max-same-host-pages", number | {"default": 12}), ("--deny", {}), ("--allow", {}))
     add("extract", ("--urls-file", {}), ("--limit", number | {"default": 30}))
+    add("fetch", ("--out", {"required": True}), ("--urls-file", {}), ("--timeout", {"type": float, "default": 20}))
     add("import", ("--folder", {}))
     add("stage", ("--input-csv", {"default": "fingerprint_dump"}), dump)
     add("promote", ("--apply-to-seeds", flag))

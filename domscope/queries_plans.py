@@ -6,15 +6,18 @@ stage makes of them is written a second time in SQL.
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .functions import terms as t
 from .functions.hosts import monitor_host
 from .plans import affiliations, cluster, crawl, enrich, publish, review, seeds, signing, staging
 from .queries_text import _TAILS, _pick, _t, _tailed
-from .sources import files
+from .sources import files, shared
 
 RUN = "2026-01-02T03:04:05+00:00"
 
@@ -782,11 +785,56 @@ SELECT 'url' AS kind, CASE WHEN c_custkey % 5 = 1 THEN 'https://a' || c_nationke
 UNION ALL SELECT DISTINCT 'host', CASE WHEN c_custkey % 5 = 1 THEN 'https:' ELSE 'www.b' || c_nationkey || '.example' END, 0 FROM customer WHERE c_custkey % 5 IN (1, 3)
 """
 
+def _written_text(spark: SparkSession, lines: DataFrame) -> str:
+    """A text file in the shared folder, for queries that read files."""
+    folder = f"{shared.shared_dir(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    lines.coalesce(1).write.text(folder)
+    return folder
+
+
+_CSV_CELL = "concat('a \"q', c_custkey, '\", b', char({nl}), ' c ')"
+
+
+def csv_source(spark, sf):
+    """Cells with quotes, commas and line ends, written as CSV and read as a source."""
+    rows = _made(spark, sf, "customer", id="cast(c_custkey AS STRING)", name="CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END", cell=_CSV_CELL.format(nl=10))
+    folder = f"{shared.shared_dir(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    files.csv_file(rows, folder, ("id", "name", "cell"))
+    return files.csv_table(spark, folder, ("id", "cell", "missing"), trimmed=True).select("id", "name", "cell", "missing")
+
+
+SQL_CSV = "SELECT c_custkey::VARCHAR AS id, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END AS name, 'a \"q' || c_custkey || '\", b' || chr(10) || ' c' AS cell, '' AS missing FROM customer"
+
+
+def json_source(spark, sf):
+    """A document with a list of rows, read under a schema, with the place of each row."""
+    row = F.to_json(F.struct(F.col("n_nationkey").alias("id"), F.array("n_name", F.col("n_regionkey").cast("string")).alias("domains"), F.lit("x").alias("unknown")))
+    doc = _t(spark, sf, "nation").groupBy().agg(F.concat(F.lit('{"generated_at": null, "entities": ['), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", row.alias("r")))), lambda x: x["r"]), ",\n"), F.lit("]}")).alias("value"))
+    found = files.json_rows(spark, _written_text(spark, doc), T.StructType([T.StructField("id", T.LongType()), T.StructField("domains", T.ArrayType(T.StringType())), T.StructField("none", T.StringType())]), "entities")
+    return found.select("id", F.array_join("domains", "|").alias("domains"), "none", "ordinal")
+
+
+SQL_JSON = "SELECT n_nationkey::BIGINT AS id, n_name || '|' || n_regionkey AS domains, NULL::VARCHAR AS none, row_number() OVER (ORDER BY n_nationkey) - 1 AS ordinal FROM nation"
+
+
+def worklist(spark, sf):
+    """Addresses to extract: home pages of found domains, then pages seen, each once."""
+    k = F.col("s_suppkey")
+    domains = _t(spark, sf, "supplier").select(F.concat(F.lit("s"), (k % 40).cast("string"), F.lit(".example")).alias("domain")).distinct()
+    site = F.concat(F.lit("https://s"), (F.col("c_custkey") % 60).cast("string"), F.lit(".example/"))
+    visits = _t(spark, sf, "customer").select(F.when(F.col("c_custkey") % 4 == 0, "ftp://x").otherwise(site).alias("final_url"), F.concat(F.lit("http://p"), (F.col("c_custkey") % 90).cast("string"), F.lit(".example/")).alias("requested_url"))
+    return crawl.worklist(domains, visits, 1_000_000)
+
+
+SQL_WORKLIST = """
+SELECT 'https://s' || (s_suppkey % 40) || '.example/' AS url FROM supplier UNION SELECT 'https://s' || (c_custkey % 60) || '.example/' FROM customer WHERE c_custkey % 4 <> 0 UNION SELECT 'http://p' || (c_custkey % 90) || '.example/' FROM customer
+"""
+
 ALL: dict[str, tuple] = {
     "seed_entities": (seed_entities, SQL_ENTITIES), "seed_checks": (seed_checks, SQL_CHECKS), "enriched": (enriched, SQL_ENRICHED), "domain_affiliations": (domain_affiliations, SQL_DOMAINS), "entity_affiliations": (entity_affiliations, SQL_ENTITY_PAIRS),
     "monitor_candidates": (monitor_candidates, SQL_CANDIDATES), "monitor_edges": (monitor_edges, SQL_EDGES), "extracted_pages": (extracted_pages, SQL_EXTRACTED), "crawl_seeds": (crawl_seeds, SQL_CRAWL), "bounded_crawl": (bounded_crawl, SQL_SITES),
     "import_candidates": (import_candidates, SQL_IMPORT), "import_duplicates": (import_duplicates, SQL_DUPLICATES), "import_review": (import_review, SQL_REVIEW), "import_counts": (import_counts, SQL_IMPORT_COUNTS), "promotion_operators": (promotion_operators, SQL_PROMOTION),
     "promotion_fingerprints": (promotion_fingerprints, SQL_PROMOTION_PRINTS), "promotion_edges": (promotion_edges, SQL_PROMOTION_EDGES), "dump_edges": (dump_edges, SQL_DUMP), "cluster_edges": (cluster_edges, SQL_CLUSTER_EDGES), "confirmed_operators": (confirmed_operators, SQL_CONFIRMED),
     "catalogue_keys": (catalogue_keys, SQL_CATALOGUE), "relationship_decisions": (relationship_decisions, SQL_RELATIONSHIPS), "cluster_decisions": (cluster_decisions, SQL_CLUSTERS), "fingerprint_decisions": (fingerprint_decisions, SQL_FINGERPRINTS),
-    "entity_decisions": (entity_decisions, SQL_DECISIONS), "queue_decisions": (queue_decisions, SQL_QUEUE_DECISIONS), "evidence_clusters": (evidence_clusters, SQL_EVIDENCE_CLUSTERS), "reviewed_blocklist": (reviewed_blocklist, SQL_BLOCKLIST), "canonical_hashes": (canonical_hashes, SQL_CANONICAL), "domain_records": (domain_records, SQL_RECORDS), "list_lines": (list_lines, SQL_LINES),
+    "entity_decisions": (entity_decisions, SQL_DECISIONS), "queue_decisions": (queue_decisions, SQL_QUEUE_DECISIONS), "evidence_clusters": (evidence_clusters, SQL_EVIDENCE_CLUSTERS), "reviewed_blocklist": (reviewed_blocklist, SQL_BLOCKLIST), "canonical_hashes": (canonical_hashes, SQL_CANONICAL), "domain_records": (domain_records, SQL_RECORDS), "list_lines": (list_lines, SQL_LINES), "csv_source": (csv_source, SQL_CSV), "json_source": (json_source, SQL_JSON), "worklist": (worklist, SQL_WORKLIST),
 }
