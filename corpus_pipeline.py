@@ -41,7 +41,13 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     A null text stays null, with null n_chars; repeated rows stay repeated.
     """
     found = pii_crf.detect(docs.select(*COLUMNS), masked="masked")
-    return found.select("doc_id", F.col("masked").alias("text"), "lang", "source", F.length("masked").cast("long").alias("n_chars"))
+    return found.select(
+        "doc_id",
+        F.col("masked").alias("text"),
+        "lang",
+        "source",
+        F.length("masked").cast("long").alias("n_chars"),
+    )
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,10 +63,23 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document, and the hash of what they decode to. A null text has no ids and decodes to ''."""
     coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary_path(), decoded="decoded")
-    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
-
-
-STAGES = [("quality_rules", quality), ("near_dedup", near_duplicates), ("personal_data", personal_data), ("mixing", mixture), ("bpe", encoding)]
+    return coded.select(
+        "doc_id",
+        "lang",
+        "source",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("near_dedup", near_duplicates),
+    ("personal_data", personal_data),
+    ("mixing", mixture),
+    ("bpe", encoding),
+]
 
 #: Learned rules, a random mix and BPE are beyond SQL; tests/llm/test_pipeline.py holds the stages against
 #: brute force.

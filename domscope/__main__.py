@@ -28,23 +28,47 @@ def parser() -> argparse.ArgumentParser:
         return one
 
     flag, number = {"action": "store_true"}, {"type": int}
-    trust = (("--trust-store", {}), ("--require-signed", flag), ("--expected-key-id", {"default": "scout-fingerprint-key-v1"}))
+    trust = (
+        ("--trust-store", {}),
+        ("--require-signed", flag),
+        ("--expected-key-id", {"default": "scout-fingerprint-key-v1"}),
+    )
     for name in PLAIN:
         add(name)
     add("enrich", ("--fetch", flag))
     add("domain-affiliations", ("--fingerprints", {"required": True}), *trust)
-    dump = ("--dump", {"default": "affiliations_dump", "help": "name of the affiliation dump under research_candidates"})
+    dump = (
+        "--dump",
+        {"default": "affiliations_dump", "help": "name of the affiliation dump under research_candidates"},
+    )
     add("cluster", dump, ("--min-script-overlap", number | {"default": 2}), ("--fingerprints", {}), *trust)
-    add("discover", ("--max-depth", number | {"default": 1}), ("--max-same-host-pages", number | {"default": 12}), ("--deny", {}), ("--allow", {}))
+    add(
+        "discover",
+        ("--max-depth", number | {"default": 1}),
+        ("--max-same-host-pages", number | {"default": 12}),
+        ("--deny", {}),
+        ("--allow", {}),
+    )
     add("extract", ("--urls-file", {}), ("--limit", number | {"default": 30}))
     add("fetch", ("--out", {"required": True}), ("--urls-file", {}), ("--timeout", {"type": float, "default": 20}))
     add("import", ("--folder", {}))
     add("stage", ("--input-csv", {"default": "fingerprint_dump"}), dump)
     add("promote", ("--apply-to-seeds", flag))
-    add("export", ("--snapshot-key", {}), ("--snapshot-key-id", {"default": "intel-snapshot-key-v1"}), ("--blocklist-key", {}), ("--blocklist-key-id", {"default": "intel-blocklist-key-v1"}))
+    add(
+        "export",
+        ("--snapshot-key", {}),
+        ("--snapshot-key-id", {"default": "intel-snapshot-key-v1"}),
+        ("--blocklist-key", {}),
+        ("--blocklist-key-id", {"default": "intel-blocklist-key-v1"}),
+    )
     add("export-reviewed", ("--include-after-review", flag))
     key = stages.add_parser("trust-entry", help="print the trust store's entry of a public key file")
-    for name, kind in (("--pem", {"required": True}), ("--key-id", {"required": True}), ("--authorized-for", {"required": True, "nargs": "+"}), ("--issued-at", {})):
+    for name, kind in (
+        ("--pem", {"required": True}),
+        ("--key-id", {"required": True}),
+        ("--authorized-for", {"required": True, "nargs": "+"}),
+        ("--issued-at", {}),
+    ):
         key.add_argument(name, **kind)
     return top
 
@@ -58,7 +82,11 @@ def run(spark, given: argparse.Namespace) -> int:
     if stage in ("cluster", "domain-affiliations"):
         trust = {k: options.pop(k) for k in ("trust_store", "require_signed", "expected_key_id")}
         path = options.pop("fingerprints")
-        done = work.cluster(**options, fingerprints=path, **(trust if path else {})) if stage == "cluster" else work.domain_affiliations(path, **trust)
+        done = (
+            work.cluster(**options, fingerprints=path, **(trust if path else {}))
+            if stage == "cluster"
+            else work.domain_affiliations(path, **trust)
+        )
     else:
         done = getattr(work, {"import": "import_candidates"}.get(stage, stage.replace("-", "_")))(**options)
     for line in done.pop("warnings", []):

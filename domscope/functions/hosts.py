@@ -17,7 +17,10 @@ from .text import split_on, split_tokens, strip
 _URL = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?.*$"
 
 #: Shared infrastructure that says nothing about ownership.
-NOISE_NAMESERVERS = ("cloudflare.com", "googledomains.com", "google.com", "azure-dns.com", "dnsimple.com", "registrar-servers.com", "domaincontrol.com", "name-services.com")
+NOISE_NAMESERVERS = (
+    "cloudflare.com", "googledomains.com", "google.com", "azure-dns.com", "dnsimple.com", "registrar-servers.com",
+    "domaincontrol.com", "name-services.com",
+)
 NOISE_NAMESERVER_LABELS = ("awsdns-",)
 NOISE_MX = ("google.com", "googlemail.com", "outlook.com", "mail.protection.outlook.com")
 #: Fixed value: what counts as a bare domain name.
@@ -51,7 +54,10 @@ def _no_port(h: Column) -> Column:
 def seed_domain(c: Column) -> Column:
     """Seed cells: stripped, without www. and, unless it is a URL, without a path."""
     h = no_www(no_dots(strip(F.lower(c))))
-    return F.when(F.contains(h, F.lit("/")) & ~F.contains(h, F.lit("://")), strip(F.substring_index(h, "/", 1))).otherwise(h)
+    return F.when(
+        F.contains(h, F.lit("/")) & ~F.contains(h, F.lit("://")),
+        strip(F.substring_index(h, "/", 1)),
+    ).otherwise(h)
 
 
 def plain_domain(c: Column) -> Column:
@@ -90,7 +96,10 @@ def rule_domain(c: Column) -> Column:
 
 def seed_hosts(cell: Column) -> Column:
     """Hosts of a piped cell."""
-    return F.filter(F.transform(split_on(cell, "[|]"), lambda s: rule_domain(F.substring_index(s, "/", 1))), lambda h: h != "")
+    return F.filter(
+        F.transform(split_on(cell, "[|]"), lambda s: rule_domain(F.substring_index(s, "/", 1))),
+        lambda h: h != "",
+    )
 
 
 def pattern_cell(cell: Column) -> tuple[Column, Column]:
@@ -114,7 +123,11 @@ def _noise_form(c: Column) -> Column:
     return no_dots(strip(F.lower(F.coalesce(c, F.lit("")))))
 
 
-def noise_nameserver(c: Column, suffixes: Sequence[str] = NOISE_NAMESERVERS, labels: Sequence[str] = NOISE_NAMESERVER_LABELS) -> Column:
+def noise_nameserver(
+    c: Column,
+    suffixes: Sequence[str] = NOISE_NAMESERVERS,
+    labels: Sequence[str] = NOISE_NAMESERVER_LABELS,
+) -> Column:
     h = _noise_form(c)
     out = suffix_matches(h, suffixes)
     if labels:

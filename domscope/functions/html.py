@@ -31,7 +31,12 @@ SUPPORT_HOSTS = ("helpshift", "zendesk", "intercom", "freshdesk")
 _FIELDS = ("scripts", "iframes", "assets", "inline", "title", "footer")
 #: Anchors as written, and as absolute addresses (null where they can't be joined to the page's).
 _ANCHORS = ("hrefs", "joined")
-_PARSED = T.StructType([*(T.StructField(f, T.ArrayType(T.StringType(), False), False) for f in _FIELDS), *(T.StructField(f, T.ArrayType(T.StringType()), False) for f in _ANCHORS)])
+_PARSED = T.StructType(
+    [
+        *(T.StructField(f, T.ArrayType(T.StringType(), False), False) for f in _FIELDS),
+        *(T.StructField(f, T.ArrayType(T.StringType()), False) for f in _ANCHORS),
+    ]
+)
 
 
 class _Page(HTMLParser):
@@ -99,13 +104,24 @@ def parsed(pages: DataFrame, *, html: str = "html", url: str = "url") -> DataFra
     """pages with ``page``, the struct of lists of parse_page."""
     fields = [f for f in pages.schema.fields if f.name != "page"]
     schema = T.StructType([*fields, T.StructField("page", _PARSED, False)])
-    arrow = pa.struct([*(pa.field(f, pa.list_(pa.field("element", pa.string(), False)), False) for f in _FIELDS), *(pa.field(f, pa.list_(pa.string()), False) for f in _ANCHORS)])
+    arrow = pa.struct(
+        [
+            *(pa.field(f, pa.list_(pa.field("element", pa.string(), False)), False) for f in _FIELDS),
+            *(pa.field(f, pa.list_(pa.string()), False) for f in _ANCHORS),
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at = b.schema.get_field_index
-            made = [parse_page(h or "", u or "") for h, u in zip(b.column(at(html)).to_pylist(), b.column(at(url)).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(b.column(at(f.name)) for f in fields), pa.array(made, arrow)], names=[f.name for f in schema.fields])
+            made = [
+                parse_page(h or "", u or "")
+                for h, u in zip(b.column(at(html)).to_pylist(), b.column(at(url)).to_pylist(), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(at(f.name)) for f in fields), pa.array(made, arrow)],
+                names=[f.name for f in schema.fields],
+            )
 
     return pages.mapInArrow(run, schema)
 
@@ -113,21 +129,31 @@ def parsed(pages: DataFrame, *, html: str = "html", url: str = "url") -> DataFra
 def links(page: Column, url: Column, *, limit: int = 800, mail: bool = False) -> Column:
     """Absolute links in page order. By default mailto: goes (monitor); with mail it stays (crawler),
     and an address that only contains javascript: goes as well. ``url``: what the page was parsed with."""
-    rows = F.transform(F.arrays_zip(page["hrefs"], page["joined"]), lambda x: F.struct(strip(x["hrefs"]).alias("h"), x["joined"].alias("j")))
+    rows = F.transform(
+        F.arrays_zip(page["hrefs"], page["joined"]),
+        lambda x: F.struct(strip(x["hrefs"]).alias("h"), x["joined"].alias("j")),
+    )
     used = lambda h: (h != "") & ~F.startswith(h, F.lit("#"))
     if mail:
         kept = F.filter(rows, lambda x: used(x["h"]) & ~F.contains(F.lower(x["h"]), F.lit("javascript:")))
     else:
-        kept = F.filter(rows, lambda x: used(x["h"]) & ~F.startswith(F.lower(x["h"]), F.lit("javascript:")) & ~F.startswith(F.lower(x["h"]), F.lit("mailto:")))
+        kept = F.filter(
+            rows,
+            lambda x: used(x["h"]) & ~F.startswith(
+                F.lower(x["h"]), F.lit("javascript:"),
+            ) & ~F.startswith(F.lower(x["h"]), F.lit("mailto:")),
+        )
     return _present(F.transform(F.slice(kept, 1, limit), lambda x: x["j"]))
 
 
 def widget(host: Column) -> Column:
     h = F.lower(host)
     return (
-        F.when(contains_any(h, ("intercom.io", "intercomcdn.com")), "intercom").when(contains_any(h, ("zendesk",)), "zendesk")
-        .when(contains_any(h, ("driftt.com", "drift.com")), "drift").when(contains_any(h, ("livechatinc.com",)), "livechat")
-    )
+        F.when(contains_any(h, ("intercom.io", "intercomcdn.com")), "intercom")
+        .when(contains_any(h, ("zendesk",)), "zendesk")
+        .when(contains_any(h, ("driftt.com", "drift.com")), "drift")
+        .when(contains_any(h, ("livechatinc.com",)), "livechat")
+    )
 
 
 def _present(values: Column) -> Column:
@@ -138,21 +164,61 @@ def signals(page: Column, html: Column, providers: Sequence[str] = ()) -> Column
     """Struct of technical, content and flow lists; technical lists keep repeats, as they come."""
     hosts = lambda f: _present(F.transform(page[f], signal_host))
     scripts = page["scripts"]
-    ids = F.transform(F.flatten(F.transform(page["inline"], lambda s: F.concat(F.regexp_extract_all(s, F.lit(GTAG), F.lit(1)), F.regexp_extract_all(s, F.lit(UNIVERSAL), F.lit(1))))), F.lower)
-    tags = F.filter(F.transform(F.filter(scripts, lambda u: F.contains(F.lower(u), F.lit("googletagmanager.com"))), lambda u: F.regexp_extract(u, CONTAINER, 1)), lambda x: x != "")
+    ids = F.transform(
+        F.flatten(
+            F.transform(
+                page["inline"],
+                lambda s: F.concat(
+                    F.regexp_extract_all(s, F.lit(GTAG), F.lit(1)),
+                    F.regexp_extract_all(s, F.lit(UNIVERSAL), F.lit(1)),
+                ),
+            )
+        ),
+        F.lower,
+    )
+    tags = F.filter(
+        F.transform(
+            F.filter(scripts, lambda u: F.contains(F.lower(u), F.lit("googletagmanager.com"))),
+            lambda u: F.regexp_extract(u, CONTAINER, 1),
+        ),
+        lambda x: x != "",
+    )
     technical = F.struct(
-        ids.alias("analytics_ids"), tags.alias("tag_manager_ids"), hosts("scripts").alias("script_domains"), hosts("iframes").alias("iframe_domains"), hosts("assets").alias("asset_domains"),
+        ids.alias("analytics_ids"),
+        tags.alias("tag_manager_ids"),
+        hosts("scripts").alias("script_domains"),
+        hosts("iframes").alias("iframe_domains"),
+        hosts("assets").alias("asset_domains"),
         _present(F.transform(hosts("scripts"), widget)).alias("support_widget_providers"),
-    )
+    )
     words = F.filter(F.split(F.lower(F.array_join(page["title"], " ")), r"(?U)[^\w]+"), lambda w: F.length(w) >= 4)
-    lines = F.filter(F.transform(page["footer"], lambda s: strip(F.regexp_replace(s, r"(?U)\s+", " "))), lambda s: F.length(s) >= 12)
+    lines = F.filter(
+        F.transform(page["footer"], lambda s: strip(F.regexp_replace(s, r"(?U)\s+", " "))),
+        lambda s: F.length(s) >= 12,
+    )
     low = F.lower(F.coalesce(html, F.lit("")))
-    mentions = F.filter(strings(*(p.strip() for p in providers)), lambda p: (F.length(p) >= 3) & F.contains(low, F.lower(p)))
+    mentions = F.filter(
+        strings(*(p.strip() for p in providers)),
+        lambda p: (F.length(p) >= 3) & F.contains(low, F.lower(p)),
+    )
     content = F.struct(
-        dedupe_sorted(words, True).alias("title_terms"), F.slice(dedupe_sorted(F.transform(lines, lambda s: F.substring(s, 1, 500)), False), 1, 20).alias("footer_phrases"), dedupe_sorted(mentions, False).alias("provider_mentions"),
-    )
-    quoted = lambda word: F.transform(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(rf"(?i)['\"](/[^'\"]*{word}[^'\"]*)['\"]"), F.lit(1)), F.lower)
-    flow = F.struct(quoted("cashier").alias("cashier_paths"), strings().alias("signup_paths"), quoted("redeem").alias("redemption_paths"))
+        dedupe_sorted(words, True).alias("title_terms"),
+        F.slice(
+            dedupe_sorted(F.transform(lines, lambda s: F.substring(s, 1, 500)), False),
+            1,
+            20,
+        ).alias("footer_phrases"),
+        dedupe_sorted(mentions, False).alias("provider_mentions"),
+    )
+    quoted = lambda word: F.transform(
+        F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(rf"(?i)['\"](/[^'\"]*{word}[^'\"]*)['\"]"), F.lit(1)),
+        F.lower,
+    )
+    flow = F.struct(
+        quoted("cashier").alias("cashier_paths"),
+        strings().alias("signup_paths"),
+        quoted("redeem").alias("redemption_paths"),
+    )
     return F.struct(technical.alias("technical"), content.alias("content"), flow.alias("flow"))
 
 
@@ -165,7 +231,11 @@ def support_urls(urls: Column) -> Column:
 
 
 def _found(c: Column, pattern: str, most: int) -> Column:
-    return F.slice(F.array_sort(F.array_distinct(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(pattern), F.lit(0)))), 1, most)
+    return F.slice(
+        F.array_sort(F.array_distinct(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(pattern), F.lit(0)))),
+        1,
+        most,
+    )
 
 
 def emails(c: Column, most: int = 20) -> Column:

@@ -56,7 +56,10 @@ def confidence(*cells: Column) -> Column:
     def said(c: Column) -> Column:
         s = F.lower(text(c))
         number = parse_float(s, float("nan"))
-        value = F.when(s.isin("high", "hi"), 0.92).when(s.isin("medium", "med", "mid"), 0.8).when((s != "low") & ~F.isnan(number), number)
+        value = F.when(s.isin("high", "hi"), 0.92).when(s.isin("medium", "med", "mid"), 0.8).when(
+            (s != "low") & ~F.isnan(number),
+            number,
+        )
         return F.struct(value.alias("v"), (s == "low").alias("low"))
 
     every = F.filter(F.array(*(said(c) for c in cells)), lambda x: x["v"].isNotNull() | x["low"])
@@ -79,7 +82,9 @@ def first_nonempty(*cells: Column) -> Column:
 
 def legal_keys(c: Column) -> Column:
     """Distinct keys of a legal-name cell split on | ; and ,."""
-    return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "[|;,]+"), norm_key), lambda k: k != ""))
+    return F.array_distinct(
+        F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "[|;,]+"), norm_key), lambda k: k != "")
+    )
 
 
 def slug_domain(c: Column) -> Column:
@@ -98,7 +103,10 @@ def dedupe_sorted(values: Column, lower: bool) -> Column:
     if lower:
         return F.array_sort(F.array_distinct(F.transform(clean, F.lower)))
     keys = F.transform(clean, F.lower)
-    kept = F.filter(F.transform(clean, lambda x, i: F.struct(F.lower(x).alias("k"), i.alias("i"), x.alias("x"))), lambda s: F.array_position(keys, s["k"]) == s["i"] + 1)
+    kept = F.filter(
+        F.transform(clean, lambda x, i: F.struct(F.lower(x).alias("k"), i.alias("i"), x.alias("x"))),
+        lambda s: F.array_position(keys, s["k"]) == s["i"] + 1,
+    )
     return F.transform(F.array_sort(kept), lambda s: s["x"])
 
 

@@ -47,7 +47,10 @@ def _contracted(edges: DataFrame) -> DataFrame:
             schema = b.schema
             stars = contract([*stars, *zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)])
         if schema is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in stars], schema.types[0]), pa.array([y for _, y in stars], schema.types[1])], names=["u", "v"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x for x, _ in stars], schema.types[0]), pa.array([y for _, y in stars], schema.types[1])],
+                names=["u", "v"],
+            )
 
     return edges.select("u", "v").mapInArrow(run, edges.select("u", "v").schema)
 

@@ -38,33 +38,64 @@ def merge_first(parts: Sequence[DataFrame], keys: Sequence[str], order: str = "o
     return keep_first(ordered_union(*parts), keys, ["part", order]).drop("part")
 
 
-def lookup_first(left: DataFrame, index: DataFrame, left_key: str, index_key: str, order: Sequence[str], prefix: str = "hit_") -> DataFrame:
+def lookup_first(
+    left: DataFrame,
+    index: DataFrame,
+    left_key: str,
+    index_key: str,
+    order: Sequence[str],
+    prefix: str = "hit_",
+) -> DataFrame:
     """left with the first index row of its key (null: no hit)."""
     one = keep_first(index.where(F.col(index_key).isNotNull()), [index_key], order)
     named = one.select(*(F.col(c).alias(prefix + c) for c in one.columns))
     return left.join(named, F.col(left_key) == F.col(prefix + index_key), "left")
 
 
-def valid_edges(edges: DataFrame, nodes: DataFrame, *, a: str = "from_id", b: str = "to_id", node: str = "id") -> DataFrame:
+def valid_edges(
+    edges: DataFrame,
+    nodes: DataFrame,
+    *,
+    a: str = "from_id",
+    b: str = "to_id",
+    node: str = "id",
+) -> DataFrame:
     """Edges both of whose ends are known."""
     known = nodes.select(F.col(node).alias("_node")).where("_node IS NOT NULL").distinct()
-    return edges.join(known, F.col(a) == F.col("_node"), "left_semi").join(known, F.col(b) == F.col("_node"), "left_semi")
-
-
-def edge_errors(edges: DataFrame, nodes: DataFrame, *, a: str = "from_id", b: str = "to_id", node: str = "id") -> DataFrame:
+    return edges.join(
+        known,
+        F.col(a) == F.col("_node"),
+        "left_semi",
+    ).join(known, F.col(b) == F.col("_node"), "left_semi")
+
+
+def edge_errors(
+    edges: DataFrame,
+    nodes: DataFrame,
+    *,
+    a: str = "from_id",
+    b: str = "to_id",
+    node: str = "id",
+) -> DataFrame:
     """One error for each bad edge; an unknown start is told before an unknown end."""
     known = nodes.select(F.col(node).alias("_node")).where("_node IS NOT NULL").distinct()
     left = known.withColumnRenamed("_node", "_a")
     right = known.withColumnRenamed("_node", "_b")
     both = edges.join(left, F.col(a) == F.col("_a"), "left").join(right, F.col(b) == F.col("_b"), "left")
-    error = F.when(F.col("_a").isNull(), F.concat(F.lit("unknown from_id: "), F.coalesce(F.col(a).cast("string"), F.lit("")))).when(F.col("_b").isNull(), F.concat(F.lit("unknown to_id: "), F.coalesce(F.col(b).cast("string"), F.lit(""))))
+    error = F.when(
+        F.col("_a").isNull(),
+        F.concat(F.lit("unknown from_id: "), F.coalesce(F.col(a).cast("string"), F.lit(""))),
+    ).when(F.col("_b").isNull(), F.concat(F.lit("unknown to_id: "), F.coalesce(F.col(b).cast("string"), F.lit(""))))
     return both.withColumn("error", error).where("error IS NOT NULL").drop("_a", "_b")
 
 
 def sightings(rows: DataFrame, key: str, url: str, seen: str, order: Sequence[str]) -> DataFrame:
     """(key, first_seen, last_seen, urls in order of first sight)."""
     one = keep_first(rows, [key, url], order)
-    urls = F.transform(F.array_sort(F.collect_list(F.struct(*(F.col(c) for c in order), F.col(url).alias("_u")))), lambda s: s["_u"])
+    urls = F.transform(
+        F.array_sort(F.collect_list(F.struct(*(F.col(c) for c in order), F.col(url).alias("_u")))),
+        lambda s: s["_u"],
+    )
     spans = rows.groupBy(key).agg(F.min(seen).alias("first_seen"), F.max(seen).alias("last_seen"))
     return spans.join(one.groupBy(key).agg(urls.alias("seen_on_urls")), key)
 

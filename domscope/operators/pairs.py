@@ -11,11 +11,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def shared_keys(rows: DataFrame, key: str, member: str, *, order: str | None = None, max_members: int | None = None) -> DataFrame:
+def shared_keys(
+    rows: DataFrame,
+    key: str,
+    member: str,
+    *,
+    order: str | None = None,
+    max_members: int | None = None,
+) -> DataFrame:
     """(left, right, key) for members that share a key; left comes before right by ``order`` (or the
     member itself). Repeated (key, member) rows count once; null keys and members are left out."""
     order = order or member
-    one = rows.where(F.col(key).isNotNull() & F.col(member).isNotNull()).groupBy(F.col(key).alias("key"), F.col(member).alias("m")).agg(F.min(order).alias("o"))
+    one = rows.where(
+        F.col(key).isNotNull() & F.col(member).isNotNull()
+    ).groupBy(F.col(key).alias("key"), F.col(member).alias("m")).agg(F.min(order).alias("o"))
     if max_members is not None:
         few = one.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") <= max_members).select("key")
         one = one.join(few, "key", "left_semi")
@@ -24,7 +33,15 @@ def shared_keys(rows: DataFrame, key: str, member: str, *, order: str | None = N
     return a.join(b, "key").where("lo < ro OR (lo = ro AND left < right)").select("left", "right", "key")
 
 
-def overlaps(rows: DataFrame, key: str, member: str, *, least: int = 1, sample: int = 15, max_members: int | None = None) -> DataFrame:
+def overlaps(
+    rows: DataFrame,
+    key: str,
+    member: str,
+    *,
+    least: int = 1,
+    sample: int = 15,
+    max_members: int | None = None,
+) -> DataFrame:
     """(left, right, n, least_key, sample) for pairs that share ``least`` keys or more.
 
     Members with fewer keys can't be in such a pair and go first. With the keys of all members in one
@@ -32,32 +49,59 @@ def overlaps(rows: DataFrame, key: str, member: str, *, least: int = 1, sample:
     size - least + 1 keys of each. Only those are joined, so a key that everybody has makes pairs only
     of members that have little else; each candidate pair is then counted on the members' full lists.
     """
-    base = rows.select(F.col(key).alias("key"), F.col(member).alias("member")).where("key IS NOT NULL AND member IS NOT NULL").distinct()
+    base = rows.select(
+        F.col(key).alias("key"), F.col(member).alias("member"),
+    ).where("key IS NOT NULL AND member IS NOT NULL").distinct()
     if max_members is not None:
         few = base.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") <= max_members).select("key")
         base = base.join(few, "key", "left_semi")
     if least <= 1:
         pairs = shared_keys(base, "key", "member").groupBy("left", "right")
-        return pairs.agg(F.count("*").alias("n"), F.min("key").alias("least_key"), F.slice(F.array_sort(F.collect_set("key")), 1, sample).alias("sample"))
+        return pairs.agg(
+            F.count("*").alias("n"),
+            F.min("key").alias("least_key"),
+            F.slice(F.array_sort(F.collect_set("key")), 1, sample).alias("sample"),
+        )
     counted = base.join(base.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "key")
-    lists = counted.groupBy("member").agg(F.array_sort(F.collect_list(F.struct("c", "key"))).alias("keys")).where(F.size("keys") >= least)
+    lists = counted.groupBy("member").agg(
+        F.array_sort(F.collect_list(F.struct("c", "key"))).alias("keys")
+    ).where(F.size("keys") >= least)
     lists = lists.select("member", F.transform("keys", lambda k: k["key"]).alias("keys"))
     first = lists.select("member", F.explode(F.slice("keys", F.lit(1), F.size("keys") - least + 1)).alias("key"))
     candidates = shared_keys(first, "key", "member").select("left", "right").distinct()
-    both = candidates.join(lists.select(F.col("member").alias("left"), F.col("keys").alias("a")), "left").join(lists.select(F.col("member").alias("right"), F.col("keys").alias("b")), "right")
-    shared = both.select("left", "right", F.array_sort(F.array_intersect("a", "b")).alias("shared")).where(F.size("shared") >= least)
-    return shared.select("left", "right", F.size("shared").cast("long").alias("n"), F.get("shared", F.lit(0)).alias("least_key"), F.slice("shared", 1, sample).alias("sample"))
+    both = candidates.join(lists.select(F.col("member").alias("left"), F.col("keys").alias("a")), "left").join(
+        lists.select(F.col("member").alias("right"), F.col("keys").alias("b")),
+        "right",
+    )
+    shared = both.select(
+        "left",
+        "right",
+        F.array_sort(F.array_intersect("a", "b")).alias("shared"),
+    ).where(F.size("shared") >= least)
+    return shared.select(
+        "left",
+        "right",
+        F.size("shared").cast("long").alias("n"),
+        F.get("shared", F.lit(0)).alias("least_key"),
+        F.slice("shared", 1, sample).alias("sample"),
+    )
 
 
 def reciprocal(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(left, right, both): directed edges folded into unordered pairs; both: seen in either direction."""
-    pair = edges.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("left"), F.greatest(a, b).alias("right"), (F.col(a) < F.col(b)).alias("up"))
+    pair = edges.where(F.col(a) != F.col(b)).select(
+        F.least(a, b).alias("left"),
+        F.greatest(a, b).alias("right"),
+        (F.col(a) < F.col(b)).alias("up"),
+    )
     return pair.groupBy("left", "right").agg((F.max("up") & ~F.min("up")).alias("both"))
 
 
 def star(rows: DataFrame, key: str, member: str, order: str) -> DataFrame:
     """(head, member, key): every other member of a key with the key's first member."""
-    base = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(member).alias("member"), F.col(order).alias("o"))
+    base = rows.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("key"), F.col(member).alias("member"), F.col(order).alias("o"),
+    )
     head = base.groupBy("key").agg(F.min_by("member", "o").alias("head"), F.min("o").alias("first"))
     return base.join(head, "key").where("o <> first AND member <> head").select("head", "member", "key")
 
@@ -70,6 +114,12 @@ def complete(rows: DataFrame, key: str, member: str) -> DataFrame:
 def pair_scores(evidence: DataFrame, *, cap: int = 100) -> DataFrame:
     """(left, right, score, evidence): weights of (left, right, rank, type, value, weight) summed and capped,
     evidence in order of rank; pairs without a positive score go."""
-    e = F.transform(F.array_sort(F.collect_list(F.struct("rank", "type", "value", "weight"))), lambda s: F.struct(s["type"].alias("type"), s["value"].alias("value"), s["weight"].alias("weight")))
-    out = evidence.groupBy("left", "right").agg(F.least(F.sum("weight"), F.lit(cap)).cast("int").alias("score"), e.alias("evidence"))
+    e = F.transform(
+        F.array_sort(F.collect_list(F.struct("rank", "type", "value", "weight"))),
+        lambda s: F.struct(s["type"].alias("type"), s["value"].alias("value"), s["weight"].alias("weight")),
+    )
+    out = evidence.groupBy("left", "right").agg(
+        F.least(F.sum("weight"), F.lit(cap)).cast("int").alias("score"),
+        e.alias("evidence"),
+    )
     return out.where("score > 0")

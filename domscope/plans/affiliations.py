@@ -17,25 +17,45 @@ def _list(c: Column) -> Column:
 
 
 def _each(rows: DataFrame, values: Column) -> DataFrame:
-    return rows.select("id", "ord", F.explode(F.array_distinct(F.filter(values, lambda x: x.isNotNull() & (x != "")))).alias("key"))
+    return rows.select(
+        "id",
+        "ord",
+        F.explode(F.array_distinct(F.filter(values, lambda x: x.isNotNull() & (x != "")))).alias("key"),
+    )
 
 
 def entity_keys(entities: DataFrame, fingerprints: DataFrame, edges: DataFrame) -> dict[str, DataFrame]:
     """For each signal (id, ord, key): what active entities can share."""
-    active = entities.where("status = 'active'").withColumn("ord", F.struct("part", "ordinal") if "part" in entities.columns else F.struct("ordinal"))
+    active = entities.where("status = 'active'").withColumn(
+        "ord",
+        F.struct("part", "ordinal") if "part" in entities.columns else F.struct("ordinal"),
+    )
     rows = active.join(fingerprints.withColumnRenamed("entity_id", "_f"), F.col("id") == F.col("_f"), "left")
     low = lambda c: F.transform(_list(c), F.lower)
-    names = F.concat(_list(F.col("attributes.provider_names")), _list(F.col("content.provider_mentions")), _list(F.col("provider_signals.provider_names")), F.when(F.col("entity_type") == "provider", F.array("name")).otherwise(F.array().cast("array<string>")))
+    names = F.concat(
+        _list(F.col("attributes.provider_names")),
+        _list(F.col("content.provider_mentions")),
+        _list(F.col("provider_signals.provider_names")),
+        F.when(F.col("entity_type") == "provider", F.array("name")).otherwise(F.array().cast("array<string>")),
+    )
     tech = lambda x: F.col(f"technical.{x}")
     ends = active.select("id", "ord")
-    neighbours = lambda kind, own, other: edges.where(F.col("relationship").isin(*kind)).select(F.col(own).alias("id"), F.col(other).alias("key")).join(ends, "id").select("id", "ord", "key").distinct()
+    neighbours = lambda kind, own, other: edges.where(F.col("relationship").isin(*kind)).select(
+        F.col(own).alias("id"), F.col(other).alias("key"),
+    ).join(ends, "id").select("id", "ord", "key").distinct()
     return {
         "legal": _each(rows, F.array(norm_key(F.col("attributes.legal_entity")))),
         "ids": _each(rows, F.concat(_list(tech("analytics_ids")), _list(tech("tag_manager_ids")))),
         "provider": _each(rows, F.transform(names, lambda n: F.lower(strip(n)))),
         "provider_edge": neighbours(("uses_provider",), "from_id", "to_id"),
-        "flow": _each(rows, F.concat(*(low(F.col(f"flow.{x}")) for x in ("cashier_paths", "redemption_paths", "signup_paths")))),
-        "script": _each(rows, F.concat(*(low(tech(x)) for x in ("script_domains", "asset_domains", "support_widget_providers")))),
+        "flow": _each(
+            rows,
+            F.concat(*(low(F.col(f"flow.{x}")) for x in ("cashier_paths", "redemption_paths", "signup_paths"))),
+        ),
+        "script": _each(
+            rows,
+            F.concat(*(low(tech(x)) for x in ("script_domains", "asset_domains", "support_widget_providers"))),
+        ),
         "promoter": neighbours(("promotes",), "to_id", "from_id"),
         "registrar": _each(rows, F.array(F.lower(text(tech("registrar"))))),
         "nameserver": _each(rows, low(tech("nameservers"))),
@@ -50,20 +70,44 @@ def evidence(keys: dict[str, DataFrame], entities: DataFrame, *, max_members: in
     """(left, right, rank, type, value, weight): one row for each signal that a pair shares."""
     found = None
     for rank, (signal, kind, weight) in enumerate(t.ENTITY_EVIDENCE):
-        pairs = shared_keys(keys[signal], "key", "id", order="ord", max_members=max_members).groupBy("left", "right").agg(F.min("key").alias("value"))
-        pairs = pairs.select("left", "right", F.lit(rank).alias("rank"), F.lit(kind).alias("type"), "value", F.lit(weight).alias("weight"), F.lit(EXCLUSIVE.get(signal, signal)).alias("group"))
+        pairs = shared_keys(
+            keys[signal],
+            "key",
+            "id",
+            order="ord",
+            max_members=max_members,
+        ).groupBy("left", "right").agg(F.min("key").alias("value"))
+        pairs = pairs.select(
+            "left",
+            "right",
+            F.lit(rank).alias("rank"),
+            F.lit(kind).alias("type"),
+            "value",
+            F.lit(weight).alias("weight"),
+            F.lit(EXCLUSIVE.get(signal, signal)).alias("group"),
+        )
         found = pairs if found is None else found.unionByName(pairs)
     # The first of each exclusive group: a minimum by rank, combined before the shuffle.
-    one = found.groupBy("left", "right", "group").agg(F.min(F.struct("rank", "type", "value", "weight")).alias("e")).select("left", "right", "e.*")
+    one = found.groupBy("left", "right", "group").agg(
+        F.min(F.struct("rank", "type", "value", "weight")).alias("e")
+    ).select("left", "right", "e.*")
     raw = entities.select(F.col("id").alias("left"), text(F.col("attributes.legal_entity")).alias("_legal"))
     legal = F.when(F.col("type") == "shared_legal_entity", F.col("_legal")).otherwise(F.col("value"))
     return one.join(raw, "left", "left").withColumn("value", legal).drop("_legal")
 
 
-def entity_affiliations(entities: DataFrame, fingerprints: DataFrame, edges: DataFrame, *, max_members: int | None = None) -> DataFrame:
+def entity_affiliations(
+    entities: DataFrame,
+    fingerprints: DataFrame,
+    edges: DataFrame,
+    *,
+    max_members: int | None = None,
+) -> DataFrame:
     """(left, right, score, label, evidence), best first; left comes before right in file order."""
     scored = pair_scores(evidence(entity_keys(entities, fingerprints, edges), entities, max_members=max_members))
-    return scored.withColumn("label", score_label(F.col("score"))).select("left", "right", "score", "label", "evidence").orderBy(F.desc("score"), "left", "right")
+    return scored.withColumn("label", score_label(F.col("score"))).select(
+        "left", "right", "score", "label", "evidence",
+    ).orderBy(F.desc("score"), "left", "right")
 
 
 def signal_pairs(prints: DataFrame, *, nameservers: dict | None = None, mx: dict | None = None) -> DataFrame:
@@ -72,14 +116,29 @@ def signal_pairs(prints: DataFrame, *, nameservers: dict | None = None, mx: dict
     whole = prints.where("NOT coalesce(tls_partial, false)")
     known = whole.select(F.col("domain").alias("other"))
     lists = whole.select("domain", F.explode(F.array_distinct("sans")).alias("other")).join(known, "other")
-    san = reciprocal(lists, "domain", "other").select("left", "right", F.when(F.col("both"), "tls_san_reciprocal").otherwise("tls_san_one_way").alias("type"), F.array().cast("array<string>").alias("shared"))
+    san = reciprocal(lists, "domain", "other").select(
+        "left",
+        "right",
+        F.when(F.col("both"), "tls_san_reciprocal").otherwise("tls_san_one_way").alias("type"),
+        F.array().cast("array<string>").alias("shared"),
+    )
 
     def shared(name: str, values: Column) -> DataFrame:
         keys = prints.select("domain", F.explode(F.array_distinct(F.transform(values, F.lower))).alias("key"))
-        return shared_keys(keys, "key", "domain").groupBy("left", "right").agg(F.array_sort(F.collect_set("key")).alias("shared")).select("left", "right", F.lit(name).alias("type"), "shared")
+        return shared_keys(keys, "key", "domain").groupBy("left", "right").agg(
+            F.array_sort(F.collect_set("key")).alias("shared")
+        ).select(
+            "left", "right", F.lit(name).alias("type"), "shared",
+        )
 
     ns = shared("shared_nameserver_filtered", signal_nameservers(_list(F.col("nameservers")), **(nameservers or {})))
-    mail = shared("shared_mx_filtered", signal_mx_hosts(F.coalesce(F.col("mx"), F.array().cast("array<struct<host:string,priority:int>>")), **(mx or {})))
+    mail = shared(
+        "shared_mx_filtered",
+        signal_mx_hosts(
+            F.coalesce(F.col("mx"), F.array().cast("array<struct<host:string,priority:int>>")),
+            **(mx or {}),
+        ),
+    )
     return san.unionByName(ns).unionByName(mail)
 
 
@@ -87,6 +146,18 @@ def domain_affiliations(prints: DataFrame, weights: dict[str, int] = t.DOMAIN_WE
     """Domain pairs scored by the weights of their signals; evidence by type name."""
     weight = F.create_map(*(x for k, w in weights.items() for x in (F.lit(k), F.lit(w))))
     ends = lambda kind: F.concat_ws("|", "left", "right", F.lit(kind))
-    value = F.when(F.col("type") == "tls_san_reciprocal", ends("reciprocal_san")).when(F.col("type") == "tls_san_one_way", ends("one_way_san")).otherwise(F.get("shared", F.lit(0)))
-    rows = signal_pairs(prints).select("left", "right", F.col("type").alias("rank"), "type", value.alias("value"), weight[F.col("type")].alias("weight"))
-    return pair_scores(rows).withColumn("label", score_label(F.col("score"))).select("left", "right", "score", "label", "evidence").orderBy(F.desc("score"), "left", "right")
+    value = F.when(
+        F.col("type") == "tls_san_reciprocal",
+        ends("reciprocal_san"),
+    ).when(F.col("type") == "tls_san_one_way", ends("one_way_san")).otherwise(F.get("shared", F.lit(0)))
+    rows = signal_pairs(prints).select(
+        "left",
+        "right",
+        F.col("type").alias("rank"),
+        "type",
+        value.alias("value"),
+        weight[F.col("type")].alias("weight"),
+    )
+    return pair_scores(rows).withColumn("label", score_label(F.col("score"))).select(
+        "left", "right", "score", "label", "evidence",
+    ).orderBy(F.desc("score"), "left", "right")

@@ -91,7 +91,9 @@ def _body(pem: str, kind: str) -> bytes:
 
 def _pem(kind: str, der: bytes) -> str:
     text = base64.b64encode(der).decode()
-    return "\n".join([f"-----BEGIN {kind}-----", *(text[k : k + 64] for k in range(0, len(text), 64)), f"-----END {kind}-----", ""])
+    return "\n".join(
+        [f"-----BEGIN {kind}-----", *(text[k : k + 64] for k in range(0, len(text), 64)), f"-----END {kind}-----", ""]
+    )
 
 
 class Keys:
@@ -116,7 +118,9 @@ class Keys:
         # The key classes themselves are hidden from reflection; their specs are not.
         factory = self.jvm.java.security.KeyFactory.getInstance("Ed25519")
         spec = lambda name: self.jvm.java.lang.Class.forName(f"java.security.spec.{name}EncodedKeySpec")
-        private, public = factory.getKeySpec(pair.getPrivate(), spec("PKCS8")), factory.getKeySpec(pair.getPublic(), spec("X509"))
+        private, public = factory.getKeySpec(
+            pair.getPrivate(), spec("PKCS8"),
+        ), factory.getKeySpec(pair.getPublic(), spec("X509"))
         return _pem("PRIVATE KEY", bytes(private.getEncoded())), _pem("PUBLIC KEY", bytes(public.getEncoded()))
 
     def sign(self, data: bytes, private_pem: str) -> bytes:
@@ -173,14 +177,35 @@ class TrustStore:
             k = need(k, dict, "key")
             kinds = need(k.get("authorized_for"), list, "authorized_for")
             rest = {n: need(k[n], str, n) for n in ("revoked_at", "revocation_reason") if k.get(n) is not None}
-            keys.append(TrustedKey(*(need(k.get(n), str, n) for n in ("key_id", "algorithm", "public_key_pem", "issued_at")), tuple(need(x, str, "authorized_for") for x in kinds), **rest))
-        return cls(need(doc.get("schema_version"), int, "schema_version"), need(doc.get("updated_at"), str, "updated_at"), tuple(keys))
-
-
-def sign_envelope(keys: Keys, payload: Mapping[str, Any], private_pem: str, key_id: str, signed_at: str) -> dict[str, Any]:
+            keys.append(
+                TrustedKey(
+                    *(need(k.get(n), str, n) for n in ("key_id", "algorithm", "public_key_pem", "issued_at")),
+                    tuple(need(x, str, "authorized_for") for x in kinds),
+                    **rest,
+                )
+            )
+        return cls(
+            need(doc.get("schema_version"), int, "schema_version"),
+            need(doc.get("updated_at"), str, "updated_at"),
+            tuple(keys),
+        )
+
+
+def sign_envelope(
+    keys: Keys, payload: Mapping[str, Any], private_pem: str, key_id: str, signed_at: str,
+) -> dict[str, Any]:
     data = canonical_bytes(payload)
     seal = base64.urlsafe_b64encode(keys.sign(data, private_pem)).decode().rstrip("=")
-    return {"payload": payload, "signature": {"algorithm": ALGORITHM, "key_id": key_id, "signed_at": signed_at, "payload_hash_sha256": hashlib.sha256(data).hexdigest(), "signature_b64": seal}}
+    return {
+        "payload": payload,
+        "signature": {
+            "algorithm": ALGORITHM,
+            "key_id": key_id,
+            "signed_at": signed_at,
+            "payload_hash_sha256": hashlib.sha256(data).hexdigest(),
+            "signature_b64": seal,
+        },
+    }
 
 
 def is_envelope(doc: Any) -> bool:
@@ -215,7 +240,15 @@ def verify_envelope(keys: Keys, envelope: Any, store: TrustStore, artifact: str)
     return envelope["payload"]
 
 
-def opened(keys: Keys, doc: Any, *, store: TrustStore | None, artifact: str, require_signed: bool = False, expected_key_id: str | None = None) -> Any:
+def opened(
+    keys: Keys,
+    doc: Any,
+    *,
+    store: TrustStore | None,
+    artifact: str,
+    require_signed: bool = False,
+    expected_key_id: str | None = None,
+) -> Any:
     """The payload of a signed document, or an unsigned document itself unless a signature is required.
 
     A signature that can't be checked, because there is no trust store, is no signature where one is required.
@@ -254,7 +287,14 @@ def load_trust_store(path: str | Path) -> TrustStore:
     return TrustStore.parse(doc)
 
 
-def fingerprint_map(keys: Keys, path: str | Path, *, store: TrustStore | None = None, require_signed: bool = False, expected_key_id: str = "scout-fingerprint-key-v1") -> dict[str, Any]:
+def fingerprint_map(
+    keys: Keys,
+    path: str | Path,
+    *,
+    store: TrustStore | None = None,
+    require_signed: bool = False,
+    expected_key_id: str = "scout-fingerprint-key-v1",
+) -> dict[str, Any]:
     """{domain: record} of a file: a plain object, or the fingerprints in the payload of a signed one.
 
     A file that is missing, unreadable or no JSON object is an empty map with a warning; a signature that
@@ -285,5 +325,11 @@ def fingerprint_map(keys: Keys, path: str | Path, *, store: TrustStore | None =
 def trust_entry(path: str | Path, key_id: str, authorized_for: Sequence[str], issued_at: str) -> dict[str, Any]:
     """The entry of a public key file for a trust store."""
     return {
-        "key_id": key_id, "algorithm": ALGORITHM, "public_key_pem": read_pem(path), "issued_at": issued_at, "authorized_for": list(authorized_for), "revoked_at": None, "revocation_reason": None,
-    }
+        "key_id": key_id,
+        "algorithm": ALGORITHM,
+        "public_key_pem": read_pem(path),
+        "issued_at": issued_at,
+        "authorized_for": list(authorized_for),
+        "revoked_at": None,
+        "revocation_reason": None,
+    }

@@ -25,8 +25,14 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def host_normalize(spark, sf):
     u = F.col("url")
     return _t(spark, sf, "pages").select(
-        "page_id", hosts.monitor_host(u).alias("monitor"), hosts.crawl_host(u).alias("crawl"), hosts.signal_host(u).alias("signal"), hosts.cluster_host(u).alias("cluster"), hosts.rule_domain(hosts.crawl_host(u)).alias("rule"), hosts.seed_domain(F.concat(F.lit(" WWW."), hosts.crawl_host(u), F.lit("./x "))).alias("seed"),
-    )
+        "page_id",
+        hosts.monitor_host(u).alias("monitor"),
+        hosts.crawl_host(u).alias("crawl"),
+        hosts.signal_host(u).alias("signal"),
+        hosts.cluster_host(u).alias("cluster"),
+        hosts.rule_domain(hosts.crawl_host(u)).alias("rule"),
+        hosts.seed_domain(F.concat(F.lit(" WWW."), hosts.crawl_host(u), F.lit("./x "))).alias("seed"),
+    )
 
 
 _HOST = "regexp_replace(lower(regexp_extract(url, '^https?://([^/?#:@]*)', 1)), '^www[.]', '')"
@@ -37,11 +43,19 @@ SELECT page_id, {_HOST} AS monitor, {_HOST} AS crawl, {_HOST} AS signal, {_HOST}
 
 def _links(spark, sf):
     rows = html.parsed(_t(spark, sf, "pages").select("page_id", "url", "html"))
-    return rows.select("page_id", hosts.monitor_host(F.col("url")).alias("host"), F.explode(html.links(F.col("page"), F.col("url"))).alias("link"))
+    return rows.select(
+        "page_id",
+        hosts.monitor_host(F.col("url")).alias("host"),
+        F.explode(html.links(F.col("page"), F.col("url"))).alias("link"),
+    )
 
 
 def page_links(spark, sf):
-    return _links(spark, sf).groupBy("page_id", "host").agg(F.count("*").alias("n_links"), F.count_distinct("link").alias("n_distinct"), F.min("link").alias("least_link"))
+    return _links(spark, sf).groupBy("page_id", "host").agg(
+        F.count("*").alias("n_links"),
+        F.count_distinct("link").alias("n_distinct"),
+        F.min("link").alias("least_link"),
+    )
 
 
 _LINKS = f"""
@@ -64,7 +78,14 @@ def host_link_overlap(spark, sf):
     """Flagship: host pairs that share links, scored and labelled."""
     pair = pairs.overlaps(_host_paths(spark, sf), "path", "host", least=2)
     score = F.least(F.lit(100), 5 * F.col("n")).cast("int")
-    return pair.select("left", "right", F.col("n").alias("n_shared"), F.col("least_key").alias("value"), score.alias("score"), rules.score_label(score).alias("label"))
+    return pair.select(
+        "left",
+        "right",
+        F.col("n").alias("n_shared"),
+        F.col("least_key").alias("value"),
+        score.alias("score"),
+        rules.score_label(score).alias("label"),
+    )
 
 
 _PAIRS = f"""
@@ -86,9 +107,17 @@ SELECT "left", "right", n AS n_shared, value, least(100, 5 * n)::INTEGER AS scor
 def infra_filtered_overlap(spark, sf):
     """Shared nameservers (here: the parent domain of a host) after the denylist."""
     rows = _t(spark, sf, "pages").select(hosts.monitor_host(F.col("url")).alias("domain")).distinct()
-    prints = rows.select("domain", F.array(F.concat(F.lit("ns1."), F.regexp_extract("domain", r"([^.]+[.][^.]+)$", 1)), F.lit("ns.cloudflare.com")).alias("ns"))
+    prints = rows.select(
+        "domain",
+        F.array(
+            F.concat(F.lit("ns1."), F.regexp_extract("domain", r"([^.]+[.][^.]+)$", 1)),
+            F.lit("ns.cloudflare.com"),
+        ).alias("ns"),
+    )
     keys = prints.select("domain", F.explode(hosts.signal_nameservers(F.col("ns"))).alias("key"))
-    return pairs.shared_keys(keys, "key", "domain").groupBy("left", "right").agg(F.array_join(F.array_sort(F.collect_set("key")), ",").alias("shared"))
+    return pairs.shared_keys(keys, "key", "domain").groupBy("left", "right").agg(
+        F.array_join(F.array_sort(F.collect_set("key")), ",").alias("shared")
+    )
 
 
 SQL_INFRA = f"""
@@ -98,8 +127,18 @@ SELECT a.domain AS "left", b.domain AS "right", a.key AS shared FROM k a JOIN k
 
 
 def title_footer_signals(spark, sf):
-    rows = html.parsed(_t(spark, sf, "pages").select("page_id", "url", "html")).withColumn("s", html.signals(F.col("page"), F.col("html"), ("the", "Über GmbH")))
-    return rows.select("page_id", F.array_join("page.title", " ").alias("title"), F.size("page.inline").alias("n_inline"), F.size("s.content.footer_phrases").alias("n_footer"), F.size("s.technical.script_domains").alias("n_scripts"), F.array_join("s.content.provider_mentions", "|").alias("mentions"))
+    rows = html.parsed(_t(spark, sf, "pages").select("page_id", "url", "html")).withColumn(
+        "s",
+        html.signals(F.col("page"), F.col("html"), ("the", "Über GmbH")),
+    )
+    return rows.select(
+        "page_id",
+        F.array_join("page.title", " ").alias("title"),
+        F.size("page.inline").alias("n_inline"),
+        F.size("s.content.footer_phrases").alias("n_footer"),
+        F.size("s.technical.script_domains").alias("n_scripts"),
+        F.array_join("s.content.provider_mentions", "|").alias("mentions"),
+    )
 
 
 SQL_TITLE = """
@@ -111,7 +150,11 @@ FROM pages
 
 def contact_emails(spark, sf):
     found = html.emails(F.col("text"))
-    return _t(spark, sf, "documents").select("doc_id", found.alias("e")).where(F.size("e") > 0).select("doc_id", F.size("e").alias("n"), F.array_join("e", ",").alias("emails"))
+    return _t(spark, sf, "documents").select("doc_id", found.alias("e")).where(F.size("e") > 0).select(
+        "doc_id",
+        F.size("e").alias("n"),
+        F.array_join("e", ",").alias("emails"),
+    )
 
 
 SQL_EMAILS = r"""
@@ -124,7 +167,10 @@ TERMS = ("license", "@", "rights reserved", "key", "token", " the ", "apache")
 
 
 def term_hits(spark, sf):
-    return _t(spark, sf, "documents").select("doc_id", tx.term_hits(F.lower("text"), TERMS).alias("hits")).where("hits > 0")
+    return _t(spark, sf, "documents").select(
+        "doc_id",
+        tx.term_hits(F.lower("text"), TERMS).alias("hits"),
+    ).where("hits > 0")
 
 
 SQL_TERMS = f"""
@@ -136,7 +182,12 @@ MARKERS = (("token", "idiot", " clown "), ("licensed", " thing "), ("version", "
 
 def tier_of_documents(spark, sf):
     tier = rules.evidence_tier(F.col("text"), F.col("source"), *MARKERS)
-    return _t(spark, sf, "documents").select("doc_id", tier.alias("tier"), rules.tier_rank(tier).alias("rank"), rules.tier_level(tier).alias("level"))
+    return _t(spark, sf, "documents").select(
+        "doc_id",
+        tier.alias("tier"),
+        rules.tier_rank(tier).alias("rank"),
+        rules.tier_level(tier).alias("level"),
+    )
 
 
 def _any(x: str, words) -> str:
@@ -152,14 +203,29 @@ tiers AS (
 SELECT doc_id, tier, CASE tier WHEN '{t.FIRST}' THEN 100 WHEN '{t.SECONDARY}' THEN 50 ELSE 10 END AS rank, CASE tier WHEN '{t.FIRST}' THEN 'high' WHEN '{t.SECONDARY}' THEN 'medium' ELSE 'low' END AS level FROM tiers
 """
 
-TYPE_TERMS = {"operator_terms": ("the ", "of ", "and "), "promoter_terms": ("les ", "une "), "provider_terms": ("der ", "die "), "payment_terms": ("que ", "los ")}
+TYPE_TERMS = {
+    "operator_terms": ("the ", "of ", "and "),
+    "promoter_terms": ("les ", "une "),
+    "provider_terms": ("der ", "die "),
+    "payment_terms": ("que ", "los "),
+}
 
 
 def _typed(spark, sf):
     docs = _t(spark, sf, "documents").join(_t(spark, sf, "labels"), "doc_id", "left")
     docs = docs.withColumn("blob", tx.norm_blob(F.col("text"), F.col("source")))
     none = F.lit("")
-    kind, why = rules.entity_type(F.col("blob"), raw_type=none, provider_type=none, pattern_fields=F.lit(False), promotes=F.coalesce("toxic", F.lit(0)) * 2, uses_provider=F.lit(0), domain=F.lit("a.b"), legal_anchor=F.coalesce("quality", F.lit(0)) == 1, **TYPE_TERMS)
+    kind, why = rules.entity_type(
+        F.col("blob"),
+        raw_type=none,
+        provider_type=none,
+        pattern_fields=F.lit(False),
+        promotes=F.coalesce("toxic", F.lit(0)) * 2,
+        uses_provider=F.lit(0),
+        domain=F.lit("a.b"),
+        legal_anchor=F.coalesce("quality", F.lit(0)) == 1,
+        **TYPE_TERMS,
+    )
     return docs.withColumns({"kind": kind, "why": why})
 
 
@@ -193,10 +259,48 @@ def decision_cascade(spark, sf):
     rows = _typed(spark, sf)
     c = F.col
     tier = F.when(c("quality") == 1, t.FIRST).when(c("quality") == 0, t.SECONDARY).otherwise(t.INFERRED)
-    rows = rows.withColumns({"tier": tier, "hits": tx.term_hits(c("blob"), TYPE_TERMS["operator_terms"]), "legal": c("doc_id") % 3 == 0, "attach": c("doc_id") % 5 == 0, "strong": c("doc_id") % 7 == 0, "redirect": c("doc_id") % 11 == 0, "sure": c("doc_id") % 13 == 0, "weak": F.coalesce(c("toxic") == 1, F.lit(False))})
-    prom, prom_why = rules.promotion(kind=c("kind"), tier=c("tier"), legal=c("legal"), attach=c("attach"), strong_cluster=c("strong"), domain_ok=c("doc_id") % 17 != 0, weak=c("weak"), contradictory=c("doc_id") % 19 == 0, little_signal=F.lit(False), notes=c("source"))
-    block, why = rules.blocking(kind=c("kind"), tier=c("tier"), legal_level=F.lit("low"), redirect=c("redirect"), evidence_only=F.lit(False), confirmed=c("sure"), touches_confirmed=c("attach"), hits=c("hits"))
-    return rows.select("doc_id", "kind", prom.alias("promotion"), prom_why.alias("promotion_rule"), block.alias("block"), F.array_join(why, ";").alias("block_rules"))
+    rows = rows.withColumns(
+        {
+            "tier": tier,
+            "hits": tx.term_hits(c("blob"), TYPE_TERMS["operator_terms"]),
+            "legal": c("doc_id") % 3 == 0,
+            "attach": c("doc_id") % 5 == 0,
+            "strong": c("doc_id") % 7 == 0,
+            "redirect": c("doc_id") % 11 == 0,
+            "sure": c("doc_id") % 13 == 0,
+            "weak": F.coalesce(c("toxic") == 1, F.lit(False)),
+        }
+    )
+    prom, prom_why = rules.promotion(
+        kind=c("kind"),
+        tier=c("tier"),
+        legal=c("legal"),
+        attach=c("attach"),
+        strong_cluster=c("strong"),
+        domain_ok=c("doc_id") % 17 != 0,
+        weak=c("weak"),
+        contradictory=c("doc_id") % 19 == 0,
+        little_signal=F.lit(False),
+        notes=c("source"),
+    )
+    block, why = rules.blocking(
+        kind=c("kind"),
+        tier=c("tier"),
+        legal_level=F.lit("low"),
+        redirect=c("redirect"),
+        evidence_only=F.lit(False),
+        confirmed=c("sure"),
+        touches_confirmed=c("attach"),
+        hits=c("hits"),
+    )
+    return rows.select(
+        "doc_id",
+        "kind",
+        prom.alias("promotion"),
+        prom_why.alias("promotion_rule"),
+        block.alias("block"),
+        F.array_join(why, ";").alias("block_rules"),
+    )
 
 
 SQL_CASCADE = f"""
@@ -231,8 +335,15 @@ def _text_groups(spark, sf):
 
 def dup_group_star(spark, sf):
     """Each further copy of a text with the first one."""
-    rows = _text_groups(spark, sf).select(F.col("doc_id").cast("string").alias("candidate_id"), F.col("gid").alias("duplicate_group_id"), (F.col("doc_id") % 7 == 3).alias("is_canonical_candidate"), F.col("doc_id").alias("ordinal"))
-    return staging.duplicate_edges(rows, ["ordinal"]).select("from_candidate_id", "to_candidate_id", "duplicate_group_id")
+    rows = _text_groups(spark, sf).select(
+        F.col("doc_id").cast("string").alias("candidate_id"),
+        F.col("gid").alias("duplicate_group_id"),
+        (F.col("doc_id") % 7 == 3).alias("is_canonical_candidate"),
+        F.col("doc_id").alias("ordinal"),
+    )
+    return staging.duplicate_edges(rows, ["ordinal"]).select(
+        "from_candidate_id", "to_candidate_id", "duplicate_group_id",
+    )
 
 
 SQL_STAR = """
@@ -243,7 +354,9 @@ SELECT m.doc_id::VARCHAR AS from_candidate_id, h.doc_id::VARCHAR AS to_candidate
 
 def dup_components(spark, sf):
     edges = pairs.star(_text_groups(spark, sf), "gid", "doc_id", "doc_id")
-    return components(edges.select("head", "member"), "head", "member").select(F.col("node").alias("doc_id"), "component")
+    return components(
+        edges.select("head", "member"), "head", "member",
+    ).select(F.col("node").alias("doc_id"), "component")
 
 
 SQL_COMPONENTS = """
@@ -266,18 +379,44 @@ SELECT printf('s%09d', a.s_suppkey) AS "left", printf('s%09d', b.s_suppkey) AS "
 def supplier_affiliation(spark, sf):
     """Entity affiliation on suppliers: region as legal entity, nation as registrar, brands of large parts as scripts."""
     sup = _t(spark, sf, "supplier").join(_t(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    sup = sup.select(F.format_string("s%09d", "s_suppkey").alias("id"), F.col("n_name").alias("nation"), "s_acctbal", "s_suppkey")
+    sup = sup.select(
+        F.format_string("s%09d", "s_suppkey").alias("id"),
+        F.col("n_name").alias("nation"),
+        "s_acctbal",
+        "s_suppkey",
+    )
     keys = {
-        "legal": sup.where("s_acctbal > 8000").select("id", F.col("s_suppkey").alias("ord"), F.col("nation").alias("key")),
-        "ids": sup.select("id", F.col("s_suppkey").alias("ord"), F.floor(F.col("s_acctbal") / 10).cast("string").alias("key")),
+        "legal": sup.where("s_acctbal > 8000").select(
+            "id",
+            F.col("s_suppkey").alias("ord"),
+            F.col("nation").alias("key"),
+        ),
+        "ids": sup.select(
+            "id",
+            F.col("s_suppkey").alias("ord"),
+            F.floor(F.col("s_acctbal") / 10).cast("string").alias("key"),
+        ),
         "registrar": sup.select("id", F.col("s_suppkey").alias("ord"), F.col("nation").alias("key")),
-        "nameserver": sup.select("id", F.col("s_suppkey").alias("ord"), (F.col("s_suppkey") % 40).cast("string").alias("key")),
+        "nameserver": sup.select(
+            "id",
+            F.col("s_suppkey").alias("ord"),
+            (F.col("s_suppkey") % 40).cast("string").alias("key"),
+        ),
     }
     none = sup.where("false").select("id", F.col("s_suppkey").alias("ord"), F.col("nation").alias("key"))
     every = {s: keys.get(s, none) for s, _, _ in t.ENTITY_EVIDENCE}
     ents = sup.select("id", F.struct(F.col("nation").alias("legal_entity")).alias("attributes"))
     scored = pairs.pair_scores(affiliations.evidence(every, ents))
-    return scored.select("left", "right", "score", rules.score_label(F.col("score")).alias("label"), F.array_join(F.transform("evidence", lambda e: F.concat_ws(":", e["type"], e["value"], e["weight"].cast("string"))), ";").alias("evidence"))
+    return scored.select(
+        "left",
+        "right",
+        "score",
+        rules.score_label(F.col("score")).alias("label"),
+        F.array_join(
+            F.transform("evidence", lambda e: F.concat_ws(":", e["type"], e["value"], e["weight"].cast("string"))),
+            ";",
+        ).alias("evidence"),
+    )
 
 
 SQL_SUPPLIERS = f"""
@@ -307,8 +446,15 @@ SELECT x.a AS "left", x.b AS "right" FROM e x JOIN e y ON x.a = y.b AND x.b = y.
 
 
 def semi_anti_validate(spark, sf):
-    edges = _t(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("from_id"), F.col("o_custkey").cast("string").alias("to_id"))
-    nodes = _t(spark, sf, "customer").where("c_acctbal > 0").select(F.col("c_custkey").cast("string").alias("id")).unionByName(_t(spark, sf, "orders").where("o_orderkey % 10 <> 0").select(F.col("o_orderkey").cast("string").alias("id")))
+    edges = _t(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("from_id"),
+        F.col("o_custkey").cast("string").alias("to_id"),
+    )
+    nodes = _t(spark, sf, "customer").where("c_acctbal > 0").select(
+        F.col("c_custkey").cast("string").alias("id")
+    ).unionByName(
+        _t(spark, sf, "orders").where("o_orderkey % 10 <> 0").select(F.col("o_orderkey").cast("string").alias("id"))
+    )
     bad = keyed.edge_errors(edges, nodes).select("from_id", "to_id", "error")
     return keyed.valid_edges(edges, nodes).select("from_id", "to_id", F.lit("").alias("error")).unionByName(bad)
 
@@ -323,7 +469,9 @@ FROM orders
 
 def keyed_merge_first(spark, sf):
     e = _t(spark, sf, "events").select("user_id", "event_type", "event_id", F.col("event_id").alias("ordinal"))
-    return keyed.merge_first([e.where("value > 150"), e], ["user_id", "event_type"]).select("user_id", "event_type", "event_id")
+    return keyed.merge_first(
+        [e.where("value > 150"), e], ["user_id", "event_type"],
+    ).select("user_id", "event_type", "event_id")
 
 
 SQL_MERGE = """
@@ -334,7 +482,11 @@ SELECT user_id, event_type, event_id FROM (
 
 
 def keyed_last(spark, sf):
-    return keyed.keep_last(_t(spark, sf, "events").select("user_id", "event_id", "value"), ["user_id"], ["event_id"]).select("user_id", "event_id", "value")
+    return keyed.keep_last(
+        _t(spark, sf, "events").select("user_id", "event_id", "value"),
+        ["user_id"],
+        ["event_id"],
+    ).select("user_id", "event_id", "value")
 
 
 SQL_LAST = "SELECT user_id, max(event_id) AS event_id, max_by(value, event_id) AS value FROM events GROUP BY user_id"
@@ -342,8 +494,18 @@ SQL_LAST = "SELECT user_id, max(event_id) AS event_id, max_by(value, event_id) A
 
 def first_match_lookup(spark, sf):
     index = _t(spark, sf, "supplier").select(F.col("s_nationkey").alias("k"), "s_suppkey", "s_name")
-    hit = keyed.lookup_first(_t(spark, sf, "customer").select("c_custkey", "c_nationkey"), index, "c_nationkey", "k", ["s_suppkey"])
-    return hit.select("c_custkey", F.col("hit_s_suppkey").alias("s_suppkey"), F.coalesce("hit_s_name", F.lit("unknown")).alias("s_name"))
+    hit = keyed.lookup_first(
+        _t(spark, sf, "customer").select("c_custkey", "c_nationkey"),
+        index,
+        "c_nationkey",
+        "k",
+        ["s_suppkey"],
+    )
+    return hit.select(
+        "c_custkey",
+        F.col("hit_s_suppkey").alias("s_suppkey"),
+        F.coalesce("hit_s_name", F.lit("unknown")).alias("s_name"),
+    )
 
 
 SQL_LOOKUP = """
@@ -352,9 +514,19 @@ SELECT c_custkey, f.s_suppkey, coalesce(f.s_name, 'unknown') AS s_name FROM cust
 
 
 def event_sightings(spark, sf):
-    rows = _t(spark, sf, "events").select(F.col("user_id").cast("string").alias("k"), F.col("event_type").alias("url"), "ts", "event_id")
+    rows = _t(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("k"),
+        F.col("event_type").alias("url"),
+        "ts",
+        "event_id",
+    )
     s = keyed.sightings(rows, "k", "url", "ts", ["event_id"])
-    return s.select(F.col("k").alias("user"), "first_seen", "last_seen", F.array_join("seen_on_urls", ",").alias("urls"))
+    return s.select(
+        F.col("k").alias("user"),
+        "first_seen",
+        "last_seen",
+        F.array_join("seen_on_urls", ",").alias("urls"),
+    )
 
 
 SQL_SIGHTINGS = """
@@ -365,9 +537,15 @@ SELECT a.user_id::VARCHAR AS "user", a.first_seen, a.last_seen, u.urls FROM (SEL
 
 def promote_counts(spark, sf):
     rel = _t(spark, sf, "events").select(
-        F.when(F.col("event_type") == "click", "promotes").when(F.col("event_type") == "view", "uses_provider").otherwise("other").alias("relationship"), F.col("user_id").cast("string").alias("from_candidate_id"),
-        F.lit("").alias("from_domain"), F.get_json_object("props", "$.k").alias("to_candidate_id"), F.lit("").alias("to_domain"),
-    )
+        F.when(F.col("event_type") == "click", "promotes")
+        .when(F.col("event_type") == "view", "uses_provider")
+        .otherwise("other")
+        .alias("relationship"),
+        F.col("user_id").cast("string").alias("from_candidate_id"),
+        F.lit("").alias("from_domain"),
+        F.get_json_object("props", "$.k").alias("to_candidate_id"),
+        F.lit("").alias("to_domain"),
+    )
     return review.edge_counts(rel)
 
 
@@ -378,13 +556,47 @@ SELECT user_id::VARCHAR AS node, count(DISTINCT CASE WHEN event_type = 'click' T
 
 def review_queue(spark, sf):
     c = F.col
-    tiers = F.element_at(F.array(*(F.lit(x) for x in (t.FIRST, t.SECONDARY, t.INFERRED, "other"))), (c("k") % 4 + 1).cast("int"))
+    tiers = F.element_at(
+        F.array(*(F.lit(x) for x in (t.FIRST, t.SECONDARY, t.INFERRED, "other"))),
+        (c("k") % 4 + 1).cast("int"),
+    )
     status = F.lit("needs_review")
-    ents = _t(spark, sf, "supplier").withColumn("k", c("s_suppkey")).select(c("s_name").alias("candidate_id"), c("s_name").alias("domain"), tiers.alias("evidence_tier"), F.repeat("s_name", (c("k") % 30).cast("int")).alias("sources"), F.lit("n").alias("notes"), F.when(c("k") % 2 == 0, "x").otherwise("").alias("legal_entity"), F.when(c("k") % 3 == 0, "y").alias("parent_company"), status.alias("review_status"))
-    prints = _t(spark, sf, "part").withColumn("k", c("p_partkey")).select(c("p_partkey").cast("string").alias("candidate_id"), tiers.alias("evidence_tier"), F.lit("").alias("review_status"))
-    rels = _t(spark, sf, "customer").withColumn("k", c("c_custkey")).select(c("c_name").alias("from_candidate_id"), F.when(c("k") % 5 > 0, c("c_mktsegment")).alias("to_candidate_id"), tiers.alias("evidence_tier"), status.alias("review_status"), F.lit("s").alias("sources"), F.lit("n").alias("notes"), c("k").alias("ordinal"))
-    disc = _t(spark, sf, "pages").select(hosts.monitor_host(c("url")).alias("domain"), F.array("url", "url").alias("source_urls"), F.when(c("page_id") % 2 == 0, F.array("url", "url")).otherwise(F.array("url")).alias("redirect_chain"), c("page_id").alias("ordinal"))
-    return review.review_queue(entities=ents, fingerprints=prints, relationships=rels, discovered=disc).select("kind", "id", "priority_score", "review_status")
+    ents = _t(spark, sf, "supplier").withColumn("k", c("s_suppkey")).select(
+        c("s_name").alias("candidate_id"),
+        c("s_name").alias("domain"),
+        tiers.alias("evidence_tier"),
+        F.repeat("s_name", (c("k") % 30).cast("int")).alias("sources"),
+        F.lit("n").alias("notes"),
+        F.when(c("k") % 2 == 0, "x").otherwise("").alias("legal_entity"),
+        F.when(c("k") % 3 == 0, "y").alias("parent_company"),
+        status.alias("review_status"),
+    )
+    prints = _t(spark, sf, "part").withColumn("k", c("p_partkey")).select(
+        c("p_partkey").cast("string").alias("candidate_id"),
+        tiers.alias("evidence_tier"),
+        F.lit("").alias("review_status"),
+    )
+    rels = _t(spark, sf, "customer").withColumn("k", c("c_custkey")).select(
+        c("c_name").alias("from_candidate_id"),
+        F.when(c("k") % 5 > 0, c("c_mktsegment")).alias("to_candidate_id"),
+        tiers.alias("evidence_tier"),
+        status.alias("review_status"),
+        F.lit("s").alias("sources"),
+        F.lit("n").alias("notes"),
+        c("k").alias("ordinal"),
+    )
+    disc = _t(spark, sf, "pages").select(
+        hosts.monitor_host(c("url")).alias("domain"),
+        F.array("url", "url").alias("source_urls"),
+        F.when(c("page_id") % 2 == 0, F.array("url", "url")).otherwise(F.array("url")).alias("redirect_chain"),
+        c("page_id").alias("ordinal"),
+    )
+    return review.review_queue(
+        entities=ents,
+        fingerprints=prints,
+        relationships=rels,
+        discovered=disc,
+    ).select("kind", "id", "priority_score", "review_status")
 
 
 def _rank(k: str) -> str:
@@ -400,8 +612,19 @@ UNION ALL SELECT 'discovered_domain', h, (10 + CASE WHEN p % 2 = 0 THEN 25 ELSE
 
 
 def block_candidates(spark, sf):
-    one = lambda df, kind, ident, name, bal: df.select(F.col(ident).cast("string").alias("id"), F.lit(kind).alias("entity_type"), F.array(F.lower(F.concat(F.replace(F.col(name), F.lit("#"), F.lit("-")), F.lit(".example.net")))).alias("domains"), F.when(F.col(bal) > 0, "active").otherwise("inactive").alias("status"), (F.col(bal) / 10000).alias("confidence"), F.struct((F.col(ident) % 4 != 0).alias("blockable")).alias("attributes"))
-    ents = one(_t(spark, sf, "supplier"), "operator", "s_suppkey", "s_name", "s_acctbal").unionByName(one(_t(spark, sf, "customer"), "payment_path", "c_custkey", "c_name", "c_acctbal"))
+    one = lambda df, kind, ident, name, bal: df.select(
+        F.col(ident).cast("string").alias("id"),
+        F.lit(kind).alias("entity_type"),
+        F.array(
+            F.lower(F.concat(F.replace(F.col(name), F.lit("#"), F.lit("-")), F.lit(".example.net")))
+        ).alias("domains"),
+        F.when(F.col(bal) > 0, "active").otherwise("inactive").alias("status"),
+        (F.col(bal) / 10000).alias("confidence"),
+        F.struct((F.col(ident) % 4 != 0).alias("blockable")).alias("attributes"),
+    )
+    ents = one(_t(spark, sf, "supplier"), "operator", "s_suppkey", "s_name", "s_acctbal").unionByName(
+        one(_t(spark, sf, "customer"), "payment_path", "c_custkey", "c_name", "c_acctbal")
+    )
     return publish.block_candidates(ents)
 
 
@@ -414,7 +637,9 @@ SELECT DISTINCT domain FROM (
 
 
 def hosts_lines(spark, sf):
-    return publish.hosts_lines(_t(spark, sf, "pages").select(hosts.monitor_host(F.col("url")).alias("domain")).distinct())
+    return publish.hosts_lines(
+        _t(spark, sf, "pages").select(hosts.monitor_host(F.col("url")).alias("domain")).distinct()
+    )
 
 
 SQL_HOSTS = f"WITH h AS (SELECT DISTINCT {_HOST} AS d FROM pages) SELECT '0.0.0.0 ' || d AS value FROM h UNION ALL SELECT '0.0.0.0 www.' || d FROM h"
@@ -429,8 +654,16 @@ SQL_COUNTS = "SELECT event_type AS key, count(*) AS n FROM events GROUP BY 1 UNI
 
 
 def list_merge(spark, sf):
-    rows = _t(spark, sf, "part").select("p_partkey", F.split("p_name", " ").alias("a"), F.array(F.upper("p_type"), F.lower("p_type"), "p_brand", F.lit(" "), F.upper("p_name")).alias("b"))
-    return rows.select("p_partkey", F.array_join(tx.merge_lists(F.col("a"), F.col("b"), True), "|").alias("lowered"), F.array_join(tx.merge_lists(F.col("b"), F.col("a"), False), "|").alias("kept"))
+    rows = _t(spark, sf, "part").select(
+        "p_partkey",
+        F.split("p_name", " ").alias("a"),
+        F.array(F.upper("p_type"), F.lower("p_type"), "p_brand", F.lit(" "), F.upper("p_name")).alias("b"),
+    )
+    return rows.select(
+        "p_partkey",
+        F.array_join(tx.merge_lists(F.col("a"), F.col("b"), True), "|").alias("lowered"),
+        F.array_join(tx.merge_lists(F.col("b"), F.col("a"), False), "|").alias("kept"),
+    )
 
 
 SQL_LISTS = """
@@ -444,8 +677,18 @@ SELECT p.p_partkey, array_to_string(list_sort(list_distinct(list_transform(list_
 def script_clusters(spark, sf):
     """Clusters of hosts that share links, as script overlap makes them."""
     edges = pairs.overlaps(_host_paths(spark, sf), "path", "host", least=12)
-    rows = edges.select("left", "right", F.lit("script_domain_overlap").alias("reason"), F.col("n").cast("string").alias("detail"))
-    return cluster.clusters(rows).select("cluster_id", "member_count", F.array_join("members", ",").alias("members"), F.size("evidence").alias("n_evidence"))
+    rows = edges.select(
+        "left",
+        "right",
+        F.lit("script_domain_overlap").alias("reason"),
+        F.col("n").cast("string").alias("detail"),
+    )
+    return cluster.clusters(rows).select(
+        "cluster_id",
+        "member_count",
+        F.array_join("members", ",").alias("members"),
+        F.size("evidence").alias("n_evidence"),
+    )
 
 
 SQL_CLUSTERS = f"""
@@ -458,7 +701,14 @@ FROM (SELECT c, count(*)::INTEGER AS n, string_agg(x, ',' ORDER BY x) AS members
 
 
 def research_staging(spark, sf):
-    rows = _t(spark, sf, "customer").select(F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("-"))), F.lit(".test")).alias("domain"), F.lit("").alias("brand"), F.concat(F.lit(" "), F.upper("c_mktsegment"), F.col("c_nationkey").cast("string")).alias("legal_entity"), F.lit("").alias("notes"), F.lit("").alias("sources"), F.col("c_custkey").alias("ordinal"))
+    rows = _t(spark, sf, "customer").select(
+        F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("-"))), F.lit(".test")).alias("domain"),
+        F.lit("").alias("brand"),
+        F.concat(F.lit(" "), F.upper("c_mktsegment"), F.col("c_nationkey").cast("string")).alias("legal_entity"),
+        F.lit("").alias("notes"),
+        F.lit("").alias("sources"),
+        F.col("c_custkey").alias("ordinal"),
+    )
     entities, _ = staging.stage(rows)
     return staging.corporate_edges(entities).select("from_candidate_id", "to_candidate_id", "confidence", "notes")
 
@@ -469,13 +719,35 @@ SELECT a.id AS from_candidate_id, b.id AS to_candidate_id, 0.55::DOUBLE AS confi
 """
 
 _ALL = {
-    "host_normalize": (host_normalize, SQL_HOST), "page_links": (page_links, SQL_LINKS), "host_link_overlap": (host_link_overlap, SQL_OVERLAP), "infra_filtered_overlap": (infra_filtered_overlap, SQL_INFRA),
-    "title_footer_signals": (title_footer_signals, SQL_TITLE), "contact_emails": (contact_emails, SQL_EMAILS), "term_hits": (term_hits, SQL_TERMS), "evidence_tier": (tier_of_documents, SQL_TIER), "entity_type_infer": (entity_type_infer, SQL_TYPES),
-    "decision_cascade": (decision_cascade, SQL_CASCADE), "dup_group_star": (dup_group_star, SQL_STAR), "dup_components": (dup_components, SQL_COMPONENTS), "bucket_pairs": (bucket_pairs, SQL_BUCKETS), "supplier_affiliation": (supplier_affiliation, SQL_SUPPLIERS),
-    "reciprocal_pairs": (reciprocal_pairs, SQL_RECIPROCAL), "semi_anti_validate": (semi_anti_validate, SQL_VALIDATE), "keyed_merge_first": (keyed_merge_first, SQL_MERGE), "keyed_last": (keyed_last, SQL_LAST), "first_match_lookup": (first_match_lookup, SQL_LOOKUP),
-    "sightings": (event_sightings, SQL_SIGHTINGS), "promote_counts": (promote_counts, SQL_PROMOTES), "review_queue": (review_queue, SQL_QUEUE), "block_candidates": (block_candidates, SQL_BLOCK), "hosts_lines": (hosts_lines, SQL_HOSTS), "count_by_key": (count_by_key, SQL_COUNTS),
-    "list_merge": (list_merge, SQL_LISTS), "script_clusters": (script_clusters, SQL_CLUSTERS), "research_staging": (research_staging, SQL_STAGING),
-}
+    "host_normalize": (host_normalize, SQL_HOST),
+    "page_links": (page_links, SQL_LINKS),
+    "host_link_overlap": (host_link_overlap, SQL_OVERLAP),
+    "infra_filtered_overlap": (infra_filtered_overlap, SQL_INFRA),
+    "title_footer_signals": (title_footer_signals, SQL_TITLE),
+    "contact_emails": (contact_emails, SQL_EMAILS),
+    "term_hits": (term_hits, SQL_TERMS),
+    "evidence_tier": (tier_of_documents, SQL_TIER),
+    "entity_type_infer": (entity_type_infer, SQL_TYPES),
+    "decision_cascade": (decision_cascade, SQL_CASCADE),
+    "dup_group_star": (dup_group_star, SQL_STAR),
+    "dup_components": (dup_components, SQL_COMPONENTS),
+    "bucket_pairs": (bucket_pairs, SQL_BUCKETS),
+    "supplier_affiliation": (supplier_affiliation, SQL_SUPPLIERS),
+    "reciprocal_pairs": (reciprocal_pairs, SQL_RECIPROCAL),
+    "semi_anti_validate": (semi_anti_validate, SQL_VALIDATE),
+    "keyed_merge_first": (keyed_merge_first, SQL_MERGE),
+    "keyed_last": (keyed_last, SQL_LAST),
+    "first_match_lookup": (first_match_lookup, SQL_LOOKUP),
+    "sightings": (event_sightings, SQL_SIGHTINGS),
+    "promote_counts": (promote_counts, SQL_PROMOTES),
+    "review_queue": (review_queue, SQL_QUEUE),
+    "block_candidates": (block_candidates, SQL_BLOCK),
+    "hosts_lines": (hosts_lines, SQL_HOSTS),
+    "count_by_key": (count_by_key, SQL_COUNTS),
+    "list_merge": (list_merge, SQL_LISTS),
+    "script_clusters": (script_clusters, SQL_CLUSTERS),
+    "research_staging": (research_staging, SQL_STAGING),
+}
 
 
 _EVERY = _ALL | queries_text.ALL | queries_plans.ALL

@@ -34,31 +34,78 @@ def _words(df: DataFrame, *names: str, by: str = " ") -> DataFrame:
 # ---------------------------------------------------------------- seeds
 
 _OPERATORS = {
-    "ordinal": "s_suppkey", "id": "CASE WHEN s_suppkey % 10 = 9 THEN ' ' ELSE concat('op', s_suppkey) END", "name": "CASE WHEN s_suppkey % 7 = 0 THEN '' ELSE s_name END",
-    "domain": "CASE WHEN s_suppkey % 9 = 0 THEN '' ELSE concat('www.s', s_suppkey % 60, '.example,  S', s_suppkey, 'b.example./x') END", "categories": "' a | b|'", "status": "CASE s_suppkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'inactive' ELSE 'active' END",
+    "ordinal": "s_suppkey",
+    "id": "CASE WHEN s_suppkey % 10 = 9 THEN ' ' ELSE concat('op', s_suppkey) END",
+    "name": "CASE WHEN s_suppkey % 7 = 0 THEN '' ELSE s_name END",
+    "domain": "CASE WHEN s_suppkey % 9 = 0 THEN '' ELSE concat('www.s', s_suppkey % 60, '.example,  S', s_suppkey, 'b.example./x') END",
+    "categories": "' a | b|'",
+    "status": "CASE s_suppkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'inactive' ELSE 'active' END",
     "confidence": "CASE s_suppkey % 3 WHEN 0 THEN '0.5' WHEN 1 THEN 'bad' ELSE ' 0.75 ' END",
-}
-_PROMOTERS = {"ordinal": "n_nationkey", "id": "concat('pr', n_nationkey)", "name": "n_name", "domain": "CASE WHEN n_nationkey % 6 = 0 THEN '' ELSE concat('n', n_nationkey, '.example') END", "promotes_categories": "'c1|c2'", "status": "'active'", "confidence": "'1'"}
-_PROVIDERS = {"ordinal": "r_regionkey", "id": "concat('pv', r_regionkey)", "name": "r_name", "domain": "CASE WHEN r_regionkey % 2 = 0 THEN '' ELSE concat('r', r_regionkey, '.example') END", "blockable": "CASE r_regionkey % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'no' ELSE '' END", "status": "'active'", "confidence": "'0.9'"}
+}
+_PROMOTERS = {
+    "ordinal": "n_nationkey",
+    "id": "concat('pr', n_nationkey)",
+    "name": "n_name",
+    "domain": "CASE WHEN n_nationkey % 6 = 0 THEN '' ELSE concat('n', n_nationkey, '.example') END",
+    "promotes_categories": "'c1|c2'",
+    "status": "'active'",
+    "confidence": "'1'",
+}
+_PROVIDERS = {
+    "ordinal": "r_regionkey",
+    "id": "concat('pv', r_regionkey)",
+    "name": "r_name",
+    "domain": "CASE WHEN r_regionkey % 2 = 0 THEN '' ELSE concat('r', r_regionkey, '.example') END",
+    "blockable": "CASE r_regionkey % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'no' ELSE '' END",
+    "status": "'active'",
+    "confidence": "'0.9'",
+}
 _PAYMENTS = {
-    "ordinal": "n_nationkey", "id": "concat('py', n_nationkey)", "name": "n_name", "status": "'active'", "confidence": "'0.8'",
+    "ordinal": "n_nationkey",
+    "id": "concat('py', n_nationkey)",
+    "name": "n_name",
+    "status": "'active'",
+    "confidence": "'0.8'",
     "domain_or_pattern": "CASE n_nationkey % 4 WHEN 0 THEN '' WHEN 1 THEN '/pay/*' WHEN 2 THEN concat('https://pay', n_nationkey, '.example:444/x') ELSE concat('pay', n_nationkey, '.example /a|/b') END",
-}
-_EDGES = {"ordinal": "c_custkey", "from_id": "concat(' pr', c_custkey % 30)", "to_id": "concat('op', c_custkey % 120)", "relationship": "CASE WHEN c_custkey % 2 = 0 THEN '' ELSE 'promotes' END", "confidence": "'0.4'", "source": "''", "evidence_url": "''", "evidence_text": "''"}
+}
+_EDGES = {
+    "ordinal": "c_custkey",
+    "from_id": "concat(' pr', c_custkey % 30)",
+    "to_id": "concat('op', c_custkey % 120)",
+    "relationship": "CASE WHEN c_custkey % 2 = 0 THEN '' ELSE 'promotes' END",
+    "confidence": "'0.4'",
+    "source": "''",
+    "evidence_url": "''",
+    "evidence_text": "''",
+}
 
 
 def _normalised(spark, sf) -> dict[str, DataFrame]:
     tables = {
-        "operators": _made(spark, sf, "supplier", **_OPERATORS), "promoters": _made(spark, sf, "nation", **_PROMOTERS), "providers": _made(spark, sf, "region", **_PROVIDERS), "payment_paths": _made(spark, sf, "nation", **_PAYMENTS),
+        "operators": _made(spark, sf, "supplier", **_OPERATORS),
+        "promoters": _made(spark, sf, "nation", **_PROMOTERS),
+        "providers": _made(spark, sf, "region", **_PROVIDERS),
+        "payment_paths": _made(spark, sf, "nation", **_PAYMENTS),
         "relationships": _made(spark, sf, "customer", **_EDGES),
-    }
+    }
     return seeds.normalise(tables, RUN)
 
 
 def seed_entities(spark, sf):
     """The four seed loaders in one catalogue."""
     rows = _normalised(spark, sf)["entities"]
-    cells = rows.select("id", "name", "entity_type", "domains", "categories", "status", "confidence", F.col("attributes.blockable").alias("blockable"), F.coalesce("attributes.path_patterns", F.array().cast("array<string>")).alias("patterns"), F.coalesce("attributes.domains_pending_verification", F.lit(False)).alias("pending"))
+    cells = rows.select(
+        "id",
+        "name",
+        "entity_type",
+        "domains",
+        "categories",
+        "status",
+        "confidence",
+        F.col("attributes.blockable").alias("blockable"),
+        F.coalesce("attributes.path_patterns", F.array().cast("array<string>")).alias("patterns"),
+        F.coalesce("attributes.domains_pending_verification", F.lit(False)).alias("pending"),
+    )
     return _words(cells, "domains", "categories", "patterns")
 
 
@@ -76,9 +123,21 @@ SQL_ENTITIES = f"WITH {_SQL_ENTITIES.strip()} SELECT * EXCLUDE (part, k) FROM e"
 def seed_checks(spark, sf):
     """Valid edges, errors of the others, and domains that several entities claim."""
     found = _normalised(spark, sf)
-    edges = found["relationships"].select(F.lit("edge").alias("kind"), F.concat_ws(">", "from_id", "to_id").alias("what"), F.concat_ws(" ", "relationship", "source", F.col("confidence").cast("string")).alias("detail"))
-    errors = found["errors"].select(F.lit("error").alias("kind"), F.concat_ws(">", "from_id", "to_id").alias("what"), F.col("error").alias("detail"))
-    contested = found["contested"].select(F.lit("contested").alias("kind"), F.col("domain").alias("what"), F.array_join("owners", " ").alias("detail"))
+    edges = found["relationships"].select(
+        F.lit("edge").alias("kind"),
+        F.concat_ws(">", "from_id", "to_id").alias("what"),
+        F.concat_ws(" ", "relationship", "source", F.col("confidence").cast("string")).alias("detail"),
+    )
+    errors = found["errors"].select(
+        F.lit("error").alias("kind"),
+        F.concat_ws(">", "from_id", "to_id").alias("what"),
+        F.col("error").alias("detail"),
+    )
+    contested = found["contested"].select(
+        F.lit("contested").alias("kind"),
+        F.col("domain").alias("what"),
+        F.array_join("owners", " ").alias("detail"),
+    )
     return edges.unionByName(errors).unionByName(contested)
 
 
@@ -97,19 +156,61 @@ UNION ALL SELECT 'contested', domain, string_agg(owner, ' ' ORDER BY part, k) FR
 def enriched(spark, sf):
     """Fingerprints from a catalogue, a partial table and pages."""
     k = F.col("k")
-    sup = _t(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), F.concat(F.lit("e"), F.col("s_suppkey").cast("string")).alias("id"))
+    sup = _t(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("k"),
+        F.concat(F.lit("e"), F.col("s_suppkey").cast("string")).alias("id"),
+    )
     site = F.concat(F.lit("s"), k.cast("string"), F.lit(".example"))
-    entities = sup.select("id", F.col("id").alias("name"), F.when(k % 4 < 3, "operator").otherwise("payment_path").alias("entity_type"), F.when(k % 7 == 0, "inactive").otherwise("active").alias("status"), F.array(site).alias("domains"))
+    entities = sup.select(
+        "id",
+        F.col("id").alias("name"),
+        F.when(k % 4 < 3, "operator").otherwise("payment_path").alias("entity_type"),
+        F.when(k % 7 == 0, "inactive").otherwise("active").alias("status"),
+        F.array(site).alias("domains"),
+    )
     have = seeds.empty_fingerprints(sup.where("k % 2 = 0").select("id"))
     arr = lambda *x: F.array(*(F.lit(v) for v in x))
-    have = have.withColumn("technical", F.col("technical").withField("script_domains", arr("B.example", "a.example", "b.example")))
-    have = have.withColumn("flow", F.col("flow").withField("cashier_paths", arr("/Pay", "/pay"))).withColumn("content", F.col("content").withField("footer_phrases", arr("Zed", "alpha", "zed")))
-    last = sup.where("k % 3 = 0").select(F.col("id").alias("entity_id"), F.lit("C.example|b.example").alias("script_domains"), F.lit("/In").alias("cashier_paths"), F.lit("Beta| alpha ").alias("footer_phrases"), F.lit(2).alias("ordinal"))
-    early = last.select("entity_id", F.lit("old.example").alias("script_domains"), F.lit("/old").alias("cashier_paths"), F.lit("Old").alias("footer_phrases"), F.lit(1).alias("ordinal"))
+    have = have.withColumn(
+        "technical",
+        F.col("technical").withField("script_domains", arr("B.example", "a.example", "b.example")),
+    )
+    have = have.withColumn("flow", F.col("flow").withField("cashier_paths", arr("/Pay", "/pay"))).withColumn(
+        "content",
+        F.col("content").withField("footer_phrases", arr("Zed", "alpha", "zed")),
+    )
+    last = sup.where("k % 3 = 0").select(
+        F.col("id").alias("entity_id"),
+        F.lit("C.example|b.example").alias("script_domains"),
+        F.lit("/In").alias("cashier_paths"),
+        F.lit("Beta| alpha ").alias("footer_phrases"),
+        F.lit(2).alias("ordinal"),
+    )
+    early = last.select(
+        "entity_id",
+        F.lit("old.example").alias("script_domains"),
+        F.lit("/old").alias("cashier_paths"),
+        F.lit("Old").alias("footer_phrases"),
+        F.lit(1).alias("ordinal"),
+    )
     url = F.concat(F.when(k % 10 == 5, "http://").otherwise("https://"), site, F.lit("/"))
-    pages = sup.where("k % 5 = 0").select(url.alias("url"), F.lit('<title>Grand Casino Town of it</title><script src="https://D.example/x.js"></script>').alias("html"))
+    pages = sup.where("k % 5 = 0").select(
+        url.alias("url"),
+        F.lit('<title>Grand Casino Town of it</title><script src="https://D.example/x.js"></script>').alias("html"),
+    )
     out = enrich.enrich(entities, have, last.unionByName(early), pages)
-    return _words(out.select("entity_id", F.col("technical.script_domains").alias("scripts"), F.col("flow.cashier_paths").alias("cashier"), F.col("content.footer_phrases").alias("footer"), F.col("content.title_terms").alias("titles")), "scripts", "cashier", "footer", "titles")
+    return _words(
+        out.select(
+            "entity_id",
+            F.col("technical.script_domains").alias("scripts"),
+            F.col("flow.cashier_paths").alias("cashier"),
+            F.col("content.footer_phrases").alias("footer"),
+            F.col("content.title_terms").alias("titles"),
+        ),
+        "scripts",
+        "cashier",
+        "footer",
+        "titles",
+    )
 
 
 SQL_ENRICHED = """
@@ -130,11 +231,32 @@ def domain_affiliations(spark, sf):
     name = lambda x: F.concat(F.lit("d"), F.lpad(x.cast("string"), 9, "0"), F.lit(".example"))
     sans = F.when(k % 4 == 0, F.array(name(k + 1), name(k - 1))).otherwise(F.array(name(k + 1), name(k)))
     rows = _t(spark, sf, "supplier").select(
-        name(k).alias("domain"), sans.alias("sans"), F.array(F.concat(F.lit("NS"), (k % 25).cast("string"), F.lit(".host.example")), F.lit("x.cloudflare.com")).alias("nameservers"),
-        F.array(F.struct(F.concat(F.lit("mx"), (k % 30).cast("string"), F.lit(".example")).alias("host"), F.lit(1).alias("priority"))).alias("mx"), (k % 11 == 0).alias("tls_partial"), F.lit(False).alias("dns_partial"),
-    )
+        name(k).alias("domain"),
+        sans.alias("sans"),
+        F.array(
+            F.concat(F.lit("NS"), (k % 25).cast("string"), F.lit(".host.example")),
+            F.lit("x.cloudflare.com"),
+        ).alias("nameservers"),
+        F.array(
+            F.struct(
+                F.concat(F.lit("mx"), (k % 30).cast("string"), F.lit(".example")).alias("host"),
+                F.lit(1).alias("priority"),
+            )
+        ).alias("mx"),
+        (k % 11 == 0).alias("tls_partial"),
+        F.lit(False).alias("dns_partial"),
+    )
     out = affiliations.domain_affiliations(rows)
-    return out.select("left", "right", "score", "label", F.array_join(F.transform("evidence", lambda e: F.concat_ws(":", e["type"], e["value"], e["weight"].cast("string"))), ";").alias("evidence"))
+    return out.select(
+        "left",
+        "right",
+        "score",
+        "label",
+        F.array_join(
+            F.transform("evidence", lambda e: F.concat_ws(":", e["type"], e["value"], e["weight"].cast("string"))),
+            ";",
+        ).alias("evidence"),
+    )
 
 
 def _label(x: str) -> str:
@@ -159,15 +281,55 @@ def entity_affiliations(spark, sf):
     k = F.col("s_suppkey")
     mod = lambda p, n: F.concat(F.lit(p), (k % n).cast("string"))
     sup = _t(spark, sf, "supplier").withColumn("id", F.concat(F.lit("e"), F.lpad(k.cast("string"), 9, "0")))
-    attributes = F.struct(F.when(k % 3 == 0, F.concat(F.lit(" Corp "), mod("", 40))).alias("legal_entity"), F.array(mod(" P", 35)).alias("provider_names"))
-    entities = sup.select("id", F.col("s_name").alias("name"), F.lit("operator").alias("entity_type"), F.when(k % 11 == 0, "inactive").otherwise("active").alias("status"), attributes.alias("attributes"), k.alias("ordinal"))
-    prints = seeds.empty_fingerprints(sup.select("id", "s_suppkey").withColumnRenamed("id", "entity_id").select("entity_id"), "entity_id")
+    attributes = F.struct(
+        F.when(k % 3 == 0, F.concat(F.lit(" Corp "), mod("", 40))).alias("legal_entity"),
+        F.array(mod(" P", 35)).alias("provider_names"),
+    )
+    entities = sup.select(
+        "id",
+        F.col("s_name").alias("name"),
+        F.lit("operator").alias("entity_type"),
+        F.when(k % 11 == 0, "inactive").otherwise("active").alias("status"),
+        attributes.alias("attributes"),
+        k.alias("ordinal"),
+    )
+    prints = seeds.empty_fingerprints(
+        sup.select("id", "s_suppkey").withColumnRenamed("id", "entity_id").select("entity_id"),
+        "entity_id",
+    )
     prints = prints.join(sup.select(F.col("id").alias("entity_id"), "s_suppkey"), "entity_id")
-    tech = F.col("technical").withField("analytics_ids", F.array(mod("UA-", 45))).withField("script_domains", F.array(mod("CDN", 55))).withField("registrar", mod("R", 28)).withField("nameservers", F.array(mod("ns", 33)))
-    prints = prints.select("entity_id", tech.alias("technical"), "content", F.col("flow").withField("cashier_paths", F.array(mod("/C", 50))).alias("flow"), "provider_signals")
-    edges = sup.select(F.col("id").alias("from_id"), mod("prov", 30).alias("to_id"), F.lit("uses_provider").alias("relationship")).unionByName(sup.select(mod("prom", 32).alias("from_id"), F.col("id").alias("to_id"), F.lit("promotes").alias("relationship")))
+    tech = F.col("technical").withField("analytics_ids", F.array(mod("UA-", 45))).withField(
+        "script_domains", F.array(mod("CDN", 55)),
+    ).withField("registrar", mod("R", 28)).withField("nameservers", F.array(mod("ns", 33)))
+    prints = prints.select(
+        "entity_id",
+        tech.alias("technical"),
+        "content",
+        F.col("flow").withField("cashier_paths", F.array(mod("/C", 50))).alias("flow"),
+        "provider_signals",
+    )
+    edges = sup.select(
+        F.col("id").alias("from_id"),
+        mod("prov", 30).alias("to_id"),
+        F.lit("uses_provider").alias("relationship"),
+    ).unionByName(
+        sup.select(
+            mod("prom", 32).alias("from_id"),
+            F.col("id").alias("to_id"),
+            F.lit("promotes").alias("relationship"),
+        )
+    )
     out = affiliations.entity_affiliations(entities, prints, edges)
-    return out.select("left", "right", "score", "label", F.array_join(F.transform("evidence", lambda e: F.concat_ws(":", e["type"], e["value"], e["weight"].cast("string"))), ";").alias("evidence"))
+    return out.select(
+        "left",
+        "right",
+        "score",
+        "label",
+        F.array_join(
+            F.transform("evidence", lambda e: F.concat_ws(":", e["type"], e["value"], e["weight"].cast("string"))),
+            ";",
+        ).alias("evidence"),
+    )
 
 
 SQL_ENTITY_PAIRS = f"""
@@ -192,17 +354,43 @@ _OUTLINKS = "concat('<a href=\"https://Casino', page_id % 7, '.example/x\">a</a>
 
 
 def _monitored(spark, sf) -> tuple[DataFrame, DataFrame]:
-    pages = _t(spark, sf, "pages").select(F.col("page_id").alias("ordinal"), "url", F.concat("html", F.expr(_OUTLINKS)).alias("html"))
+    pages = _t(spark, sf, "pages").select(
+        F.col("page_id").alias("ordinal"),
+        "url",
+        F.concat("html", F.expr(_OUTLINKS)).alias("html"),
+    )
     k = F.col("r_regionkey")
-    known = _t(spark, sf, "region").where("r_regionkey < 4").select(F.concat(F.lit("k"), k.cast("string")).alias("id"), F.col("r_name").alias("name"), F.expr(_pick("r_regionkey", ("operator", "promoter", "provider", "payment_path"))).alias("entity_type"), F.array(F.concat(F.lit("known"), k.cast("string"), F.lit(".example"))).alias("domains"), k.cast("long").alias("ordinal"))
-    own = pages.groupBy(monitor_host(F.col("url")).alias("h")).agg(F.min("ordinal").alias("ordinal")).where("length(h) % 2 = 0").select(F.concat(F.lit("h:"), "h").alias("id"), F.col("h").alias("name"), F.lit("promoter").alias("entity_type"), F.array("h").alias("domains"), (F.col("ordinal") + 100).alias("ordinal"))
+    known = _t(spark, sf, "region").where("r_regionkey < 4").select(
+        F.concat(F.lit("k"), k.cast("string")).alias("id"),
+        F.col("r_name").alias("name"),
+        F.expr(_pick("r_regionkey", ("operator", "promoter", "provider", "payment_path"))).alias("entity_type"),
+        F.array(F.concat(F.lit("known"), k.cast("string"), F.lit(".example"))).alias("domains"),
+        k.cast("long").alias("ordinal"),
+    )
+    own = pages.groupBy(
+        monitor_host(F.col("url")).alias("h")
+    ).agg(F.min("ordinal").alias("ordinal")).where("length(h) % 2 = 0").select(
+        F.concat(F.lit("h:"), "h").alias("id"),
+        F.col("h").alias("name"),
+        F.lit("promoter").alias("entity_type"),
+        F.array("h").alias("domains"),
+        (F.col("ordinal") + 100).alias("ordinal"),
+    )
     return crawl.monitor(pages, known.unionByName(own), RUN, "run1")
 
 
 def monitor_candidates(spark, sf):
     """Unknown hosts that monitored pages link to, with their sightings."""
     c, _ = _monitored(spark, sf)
-    return c.select("domain", F.array_join("suggested_types", " ").alias("types"), "bucket", F.size("seen_on_urls").alias("n_urls"), F.get("seen_on_urls", F.lit(0)).alias("first_url"), "first_seen", "confidence")
+    return c.select(
+        "domain",
+        F.array_join("suggested_types", " ").alias("types"),
+        "bucket",
+        F.size("seen_on_urls").alias("n_urls"),
+        F.get("seen_on_urls", F.lit(0)).alias("first_url"),
+        "first_seen",
+        "confidence",
+    )
 
 
 def monitor_edges(spark, sf):
@@ -230,9 +418,25 @@ FROM l WHERE regexp_matches(link, '^known[0-3][.]') AND length(host) % 2 = 0 GRO
 
 def extracted_pages(spark, sf):
     """Signals and contact data of each page."""
-    rows = _tailed(spark, sf).drop("page").select("url", F.when(F.col("page_id") % 4 == 0, "").otherwise(F.col("url")).alias("final_url"), F.when(F.col("page_id") % 5 == 0, 403).when(F.col("page_id") % 5 == 1, -1).otherwise(200).alias("status"), F.concat("html", F.lit(" mail Info@x.example or info@x.example")).alias("html"))
+    rows = _tailed(spark, sf).drop("page").select(
+        "url",
+        F.when(F.col("page_id") % 4 == 0, "").otherwise(F.col("url")).alias("final_url"),
+        F.when(F.col("page_id") % 5 == 0, 403).when(F.col("page_id") % 5 == 1, -1).otherwise(200).alias("status"),
+        F.concat("html", F.lit(" mail Info@x.example or info@x.example")).alias("html"),
+    )
     got = crawl.extract(rows, ["The"])
-    return got.select("domain", "source_url", "final_url", "http_status", "review_status", "evidence_tier", F.size("legal_policy_urls").alias("n_legal"), F.array_join("support_help_urls", " ").alias("support"), F.array_contains("contact_emails", "Info@x.example").alias("mail"), F.array_join("fingerprint.technical.support_widget_providers", " ").alias("widgets"))
+    return got.select(
+        "domain",
+        "source_url",
+        "final_url",
+        "http_status",
+        "review_status",
+        "evidence_tier",
+        F.size("legal_policy_urls").alias("n_legal"),
+        F.array_join("support_help_urls", " ").alias("support"),
+        F.array_contains("contact_emails", "Info@x.example").alias("mail"),
+        F.array_join("fingerprint.technical.support_widget_providers", " ").alias("widgets"),
+    )
 
 
 SQL_EXTRACTED = f"""
@@ -250,10 +454,17 @@ FROM pages p LEFT JOIN g ON g.page_id = p.page_id WHERE p.page_id % 5 <> 1
 def crawl_seeds(spark, sf):
     """A crawl of the first page of each host, with denied hosts, that takes no further pages."""
     pages = _t(spark, sf, "pages").select("page_id", "url", F.concat("html", F.expr(_OUTLINKS)).alias("html"))
-    seeds_ = pages.groupBy(monitor_host(F.col("url")).alias("h")).agg(F.min_by("url", "page_id").alias("url"), F.min("page_id").alias("ordinal"))
+    seeds_ = pages.groupBy(monitor_host(F.col("url")).alias("h")).agg(
+        F.min_by("url", "page_id").alias("url"),
+        F.min("page_id").alias("ordinal"),
+    )
     deny = spark.createDataFrame([("casino3.example",), ("known1.example",)], "host string")
     domains, _ = crawl.discover(seeds_.select("url", "ordinal"), pages.select("url", "html"), max_depth=0, deny=deny)
-    return domains.select("domain", F.size("source_urls").alias("n_sources"), F.array_join("redirect_chain", " ").alias("chain"))
+    return domains.select(
+        "domain",
+        F.size("source_urls").alias("n_sources"),
+        F.array_join("redirect_chain", " ").alias("chain"),
+    )
 
 
 SQL_CRAWL = f"""
@@ -272,12 +483,24 @@ def bounded_crawl(spark, sf):
     k, host = F.col("c_custkey"), F.concat(F.lit("h"), (F.col("c_custkey") % 97).cast("string"), F.lit(".example"))
     url = F.concat(F.lit("https://"), host, F.lit("/"), k.cast("string"))
     after = F.concat(F.lit("/"), (k + 97).cast("string"))
-    html = F.concat(F.lit('<a href="'), after, F.lit('">n</a><a href="mailto:x@y.example">m</a><a href="https://out'), (k % 13).cast("string"), F.lit('.example/">o</a>'))
+    html = F.concat(
+        F.lit('<a href="'),
+        after,
+        F.lit('">n</a><a href="mailto:x@y.example">m</a><a href="https://out'),
+        (k % 13).cast("string"),
+        F.lit('.example/">o</a>'),
+    )
     pages = _t(spark, sf, "customer").select(url.alias("url"), html.alias("html"), k.alias("k"))
     start = pages.where("k < 97").select("url", F.col("k").alias("ordinal"))
     domains, visits = crawl.discover(start, pages.select("url", "html"), max_depth=1, max_same_host_pages=6)
-    seen = visits.where("http_status = 200").groupBy(monitor_host(F.col("requested_url")).alias("domain")).agg(F.count("*").alias("n_pages"))
-    return domains.join(seen, "domain", "left").select("domain", F.size("source_urls").alias("n_sources"), F.coalesce("n_pages", F.lit(0).cast("long")).alias("n_pages"))
+    seen = visits.where("http_status = 200").groupBy(
+        monitor_host(F.col("requested_url")).alias("domain")
+    ).agg(F.count("*").alias("n_pages"))
+    return domains.join(seen, "domain", "left").select(
+        "domain",
+        F.size("source_urls").alias("n_sources"),
+        F.coalesce("n_pages", F.lit(0).cast("long")).alias("n_pages"),
+    )
 
 
 SQL_SITES = """
@@ -289,24 +512,48 @@ SELECT domain, 1::INTEGER AS n_sources, n AS n_pages FROM a UNION ALL SELECT dom
 # ---------------------------------------------------------------- imports, staging, promotion
 
 _IMPORT = {
-    "Primary_Domain": "CASE WHEN c_custkey % 8 = 0 THEN '' ELSE concat('C', c_custkey % 400, '.example/x ') END", "domain": "concat('alt', c_custkey, '.example')", "alias_domains": "CASE WHEN c_custkey % 3 = 0 THEN ' a.example ' ELSE '' END",
-    "notes": "CASE c_custkey % 4 WHEN 0 THEN 'official site' WHEN 1 THEN 'reported x' WHEN 2 THEN 'blocked' ELSE '' END", "score": "CASE c_custkey % 5 WHEN 0 THEN 'high' WHEN 1 THEN '0.3' WHEN 2 THEN 'low' WHEN 3 THEN '0.75' ELSE '' END", "conf": "CASE WHEN c_custkey % 2 = 0 THEN '0.6' ELSE 'x' END",
-    "merge_group_id": "CASE WHEN c_custkey % 6 = 0 THEN '' ELSE concat('g', c_custkey % 90) END", "canonical": "CASE WHEN c_custkey % 50 = 7 THEN 'Yes' ELSE 'no' END", "name": "c_name", "ordinal": "c_custkey",
-}
+    "Primary_Domain": "CASE WHEN c_custkey % 8 = 0 THEN '' ELSE concat('C', c_custkey % 400, '.example/x ') END",
+    "domain": "concat('alt', c_custkey, '.example')",
+    "alias_domains": "CASE WHEN c_custkey % 3 = 0 THEN ' a.example ' ELSE '' END",
+    "notes": "CASE c_custkey % 4 WHEN 0 THEN 'official site' WHEN 1 THEN 'reported x' WHEN 2 THEN 'blocked' ELSE '' END",
+    "score": "CASE c_custkey % 5 WHEN 0 THEN 'high' WHEN 1 THEN '0.3' WHEN 2 THEN 'low' WHEN 3 THEN '0.75' ELSE '' END",
+    "conf": "CASE WHEN c_custkey % 2 = 0 THEN '0.6' ELSE 'x' END",
+    "merge_group_id": "CASE WHEN c_custkey % 6 = 0 THEN '' ELSE concat('g', c_custkey % 90) END",
+    "canonical": "CASE WHEN c_custkey % 50 = 7 THEN 'Yes' ELSE 'no' END",
+    "name": "c_name",
+    "ordinal": "c_custkey",
+}
 
 
 def _imported(spark, sf) -> DataFrame:
     hint = {"operator": 0, "promoter": 1, "corporate": 2}
     out = None
     for name, rest in hint.items():
-        part = staging.candidate_entities(_made(spark, sf, "customer", **_IMPORT).where(f"ordinal % 3 = {rest}"), name, f"{name}.csv", f"scout_{name}")
+        part = staging.candidate_entities(
+            _made(spark, sf, "customer", **_IMPORT).where(f"ordinal % 3 = {rest}"),
+            name,
+            f"{name}.csv",
+            f"scout_{name}",
+        )
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def import_candidates(spark, sf):
     """Candidates of three files, by whatever name their columns go."""
-    return _imported(spark, sf).select("candidate_id", "evidence_tier", "entity_type_hint", "is_canonical_candidate", "duplicate_group_id", "domain", "brand", "other_domains", "confidence", "alias_review_status", F.element_at("raw_row", "name").alias("raw_name"))
+    return _imported(spark, sf).select(
+        "candidate_id",
+        "evidence_tier",
+        "entity_type_hint",
+        "is_canonical_candidate",
+        "duplicate_group_id",
+        "domain",
+        "brand",
+        "other_domains",
+        "confidence",
+        "alias_review_status",
+        F.element_at("raw_row", "name").alias("raw_name"),
+    )
 
 
 _SQL_IMPORT = f"""
@@ -325,7 +572,9 @@ SELECT id AS candidate_id, evidence_tier, hint AS entity_type_hint, canon AS is_
 def import_duplicates(spark, sf):
     """Numbered edges from the members of a duplicate group to its flagged or first member."""
     edges = staging.duplicate_edges(_imported(spark, sf).withColumn("ordinal", F.col("scout_row_index")), ["ordinal"])
-    return staging.numbered(edges, ["ordinal"]).select("relationship_id", "from_candidate_id", "to_candidate_id", "duplicate_group_id")
+    return staging.numbered(edges, ["ordinal"]).select(
+        "relationship_id", "from_candidate_id", "to_candidate_id", "duplicate_group_id",
+    )
 
 
 SQL_DUPLICATES = f"""
@@ -363,20 +612,34 @@ SELECT count(*) AS entities, count_if(alias)::BIGINT AS with_aliases, count(DIST
 """
 
 _RESEARCH = {
-    "ordinal": "c_custkey", "domain": "CASE WHEN c_custkey % 7 = 0 THEN '' ELSE concat('Shop', c_custkey, '.example') END", "brand": "CASE WHEN c_custkey % 14 = 0 THEN '' ELSE c_name END", "legal_entity": "c_mktsegment", "jurisdiction": "'MT'",
-    "notes": "CASE c_custkey % 3 WHEN 0 THEN 'official terms' WHEN 1 THEN 'news article' ELSE 'likely x' END", "sources": "CASE WHEN c_custkey % 2 = 0 THEN 'a|b' ELSE 'c' END", "analytics_ids": "'UA-1| UA-2'", "cashier_path": "CASE WHEN c_custkey % 5 = 0 THEN '/pay' ELSE '' END", "provider_mentions": "'P1|P2'",
-}
+    "ordinal": "c_custkey",
+    "domain": "CASE WHEN c_custkey % 7 = 0 THEN '' ELSE concat('Shop', c_custkey, '.example') END",
+    "brand": "CASE WHEN c_custkey % 14 = 0 THEN '' ELSE c_name END",
+    "legal_entity": "c_mktsegment",
+    "jurisdiction": "'MT'",
+    "notes": "CASE c_custkey % 3 WHEN 0 THEN 'official terms' WHEN 1 THEN 'news article' ELSE 'likely x' END",
+    "sources": "CASE WHEN c_custkey % 2 = 0 THEN 'a|b' ELSE 'c' END",
+    "analytics_ids": "'UA-1| UA-2'",
+    "cashier_path": "CASE WHEN c_custkey % 5 = 0 THEN '/pay' ELSE '' END",
+    "provider_mentions": "'P1|P2'",
+}
 
 
 def _staged(spark, sf) -> tuple[DataFrame, DataFrame]:
     entities, prints = staging.stage(_made(spark, sf, "customer", **_RESEARCH))
-    return entities.withColumn("review_status", F.when(F.col("ordinal") % 4 == 0, "approved").otherwise("needs_review")), prints
+    return entities.withColumn(
+        "review_status",
+        F.when(F.col("ordinal") % 4 == 0, "approved").otherwise("needs_review"),
+    ), prints
 
 
 def promotion_operators(spark, sf):
     """What approval of staged entities would add."""
     entities, prints = _staged(spark, sf)
-    none = spark.createDataFrame([], "from_candidate_id string, to_candidate_id string, relationship string, confidence double, source string, review_status string")
+    none = spark.createDataFrame(
+        [],
+        "from_candidate_id string, to_candidate_id string, relationship string, confidence double, source string, review_status string",
+    )
     return staging.promotion_preview(entities, prints, none)[0]
 
 
@@ -394,8 +657,13 @@ SELECT op AS id, c_name AS name, domain, '' AS categories, 'inactive' AS status,
 
 def promotion_fingerprints(spark, sf):
     entities, prints = _staged(spark, sf)
-    none = spark.createDataFrame([], "from_candidate_id string, to_candidate_id string, relationship string, confidence double, source string, review_status string")
-    return staging.promotion_preview(entities, prints, none)[1].select("entity_id", "analytics_ids", "legal_entity_names", "provider_mentions", "cashier_paths")
+    none = spark.createDataFrame(
+        [],
+        "from_candidate_id string, to_candidate_id string, relationship string, confidence double, source string, review_status string",
+    )
+    return staging.promotion_preview(entities, prints, none)[1].select(
+        "entity_id", "analytics_ids", "legal_entity_names", "provider_mentions", "cashier_paths",
+    )
 
 
 SQL_PROMOTION_PRINTS = f"""
@@ -409,7 +677,14 @@ def promotion_edges(spark, sf):
     entities, prints = _staged(spark, sf)
     k = F.col("c_custkey")
     ident = lambda x: F.format_string("research_%04d", x)
-    rels = _t(spark, sf, "customer").select(ident(k).alias("from_candidate_id"), ident(k + 4).alias("to_candidate_id"), F.lit("related_to").alias("relationship"), F.when(k % 8 == 0, 0.7).alias("confidence"), F.lit("s").alias("source"), F.when(k % 3 > 0, "approved").otherwise("x").alias("review_status"))
+    rels = _t(spark, sf, "customer").select(
+        ident(k).alias("from_candidate_id"),
+        ident(k + 4).alias("to_candidate_id"),
+        F.lit("related_to").alias("relationship"),
+        F.when(k % 8 == 0, 0.7).alias("confidence"),
+        F.lit("s").alias("source"),
+        F.when(k % 3 > 0, "approved").otherwise("x").alias("review_status"),
+    )
     return staging.promotion_preview(entities, prints, rels)[2]
 
 
@@ -420,16 +695,24 @@ FROM r a JOIN r b ON b.k = a.k + 4 WHERE a.k % 4 = 0 AND a.k % 3 > 0
 """
 
 _DUMP = {
-    "ordinal": "s_suppkey", "left": "concat(' SHOP', s_suppkey * 2, '.example')", "to_domain": "CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE concat('shop', s_suppkey, '.example') END", "relationship": "CASE WHEN s_suppkey % 3 = 0 THEN ' ' ELSE 'sibling' END",
-    "confidence": "CASE WHEN s_suppkey % 2 = 0 THEN 0.8 END", "notes": "CASE WHEN s_suppkey % 4 = 0 THEN 'official terms' END", "sources": "'x'",
-}
+    "ordinal": "s_suppkey",
+    "left": "concat(' SHOP', s_suppkey * 2, '.example')",
+    "to_domain": "CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE concat('shop', s_suppkey, '.example') END",
+    "relationship": "CASE WHEN s_suppkey % 3 = 0 THEN ' ' ELSE 'sibling' END",
+    "confidence": "CASE WHEN s_suppkey % 2 = 0 THEN 0.8 END",
+    "notes": "CASE WHEN s_suppkey % 4 = 0 THEN 'official terms' END",
+    "sources": "'x'",
+}
 
 
 def dump_edges(spark, sf):
     """An external dump of affiliations, its ends looked up among staged candidates."""
     entities, _ = _staged(spark, sf)
     dump = files.dump_rows(_made(spark, sf, "supplier", **_DUMP))
-    return staging.resolved_dump(dump, entities).select("import_id", "from_candidate_id", "to_candidate_id", "from_domain", "to_domain", "relationship", "confidence", "evidence_tier", "resolution_status")
+    return staging.resolved_dump(dump, entities).select(
+        "import_id", "from_candidate_id", "to_candidate_id", "from_domain", "to_domain", "relationship", "confidence",
+        "evidence_tier", "resolution_status",
+    )
 
 
 SQL_DUMP = f"""
@@ -450,12 +733,46 @@ def cluster_edges(spark, sf):
     text = lambda p, x, s="": F.concat(F.lit(p), x.cast("string"), F.lit(s))
     sup = _t(spark, sf, "supplier")
     domain = text(" S", k, ".example")
-    entities = sup.select(text("e", k).alias("id"), F.array(domain).alias("domains"), F.struct(F.when(k % 2 == 0, text("Legal  ", k % 40)).alias("legal_entity"), F.when(k % 5 == 0, text("PARENT ", k % 30)).alias("parent_company")).alias("attributes"), k.alias("ordinal"))
-    prints = sup.select(text("e", k).alias("entity_id"), F.struct(F.array(text("cdn", k % 50), text("js", k % 50)).alias("script_domains"), F.array(text("fr", k % 25)).alias("iframe_domains"), F.array(F.lit("all.example")).alias("asset_domains")).alias("technical"))
-    staged = sup.where("s_suppkey % 10 = 1").select(text("t", k, ".example").alias("domain"), text("legal ", (k + 1) % 40).alias("legal_entity"), F.lit("").alias("parent_company"), k.alias("ordinal"))
-    dump = sup.where("s_suppkey % 20 = 3").select(text("s", k, ".example").alias("from_domain"), text("S", k + 1, ".EXAMPLE").alias("to_domain"), F.lit("x").alias("relationship"), F.lit(None).cast("string").alias("notes"))
-    discovered = sup.where("s_suppkey % 20 = 4").select(F.array(text("https://www.s", k, ".example:8/x"), text("http://r", k, ".example")).alias("redirect_chain"))
-    edges = cluster.evidence_edges(entities, prints, staged=staged, dump=dump, discovered=discovered, min_script_overlap=3)
+    entities = sup.select(
+        text("e", k).alias("id"),
+        F.array(domain).alias("domains"),
+        F.struct(
+            F.when(k % 2 == 0, text("Legal  ", k % 40)).alias("legal_entity"),
+            F.when(k % 5 == 0, text("PARENT ", k % 30)).alias("parent_company"),
+        ).alias("attributes"),
+        k.alias("ordinal"),
+    )
+    prints = sup.select(
+        text("e", k).alias("entity_id"),
+        F.struct(
+            F.array(text("cdn", k % 50), text("js", k % 50)).alias("script_domains"),
+            F.array(text("fr", k % 25)).alias("iframe_domains"),
+            F.array(F.lit("all.example")).alias("asset_domains"),
+        ).alias("technical"),
+    )
+    staged = sup.where("s_suppkey % 10 = 1").select(
+        text("t", k, ".example").alias("domain"),
+        text("legal ", (k + 1) % 40).alias("legal_entity"),
+        F.lit("").alias("parent_company"),
+        k.alias("ordinal"),
+    )
+    dump = sup.where("s_suppkey % 20 = 3").select(
+        text("s", k, ".example").alias("from_domain"),
+        text("S", k + 1, ".EXAMPLE").alias("to_domain"),
+        F.lit("x").alias("relationship"),
+        F.lit(None).cast("string").alias("notes"),
+    )
+    discovered = sup.where("s_suppkey % 20 = 4").select(
+        F.array(text("https://www.s", k, ".example:8/x"), text("http://r", k, ".example")).alias("redirect_chain")
+    )
+    edges = cluster.evidence_edges(
+        entities,
+        prints,
+        staged=staged,
+        dump=dump,
+        discovered=discovered,
+        min_script_overlap=3,
+    )
     return edges.select("left", "right", "reason")
 
 
@@ -481,8 +798,15 @@ def confirmed_operators(spark, sf):
     """Domains of sure operators, from the seed table and the catalogue."""
     status = ("", "active", "Inactive", "deprecated", "unknown")
     rows = _t(spark, sf, "supplier")
-    seeds_ = rows.select(F.expr("concat('www.s', s_suppkey, '.example/x| S', s_suppkey, 'b.example')").alias("domain"), F.expr(_pick("s_suppkey", status)).alias("status"))
-    ents = _t(spark, sf, "customer").select(F.array(F.expr("concat('C', c_custkey, '.example.')")).alias("domains"), F.expr(_pick("c_custkey", status)).alias("status"), F.expr(_pick("c_custkey", ("operator", "provider"))).alias("entity_type"))
+    seeds_ = rows.select(
+        F.expr("concat('www.s', s_suppkey, '.example/x| S', s_suppkey, 'b.example')").alias("domain"),
+        F.expr(_pick("s_suppkey", status)).alias("status"),
+    )
+    ents = _t(spark, sf, "customer").select(
+        F.array(F.expr("concat('C', c_custkey, '.example.')")).alias("domains"),
+        F.expr(_pick("c_custkey", status)).alias("status"),
+        F.expr(_pick("c_custkey", ("operator", "provider"))).alias("entity_type"),
+    )
     return review.confirmed_domains(seeds_, ents)
 
 
@@ -494,9 +818,29 @@ UNION SELECT 'c' || c_custkey || '.example' FROM customer WHERE c_custkey % 2 =
 
 def catalogue_keys(spark, sf):
     """Entities by the parts of their legal names, parent and company number."""
-    rows = _made(spark, sf, "customer", id="concat('e', c_custkey)", l="concat(c_mktsegment, ', Inc.| X  ', c_nationkey)", p="concat(' Group ', c_nationkey % 3)", n="CASE WHEN c_custkey % 9 = 0 THEN concat('N', c_custkey % 50) ELSE '' END")
-    ents = rows.select("id", F.struct(F.col("l").alias("legal_entity"), F.col("p").alias("parent_company"), F.col("n").alias("company_number")).alias("attributes"))
-    return review.catalogue_keys(ents).select("kind", "key", F.size("ids").alias("n"), F.get("ids", F.lit(0)).alias("first"))
+    rows = _made(
+        spark,
+        sf,
+        "customer",
+        id="concat('e', c_custkey)",
+        l="concat(c_mktsegment, ', Inc.| X  ', c_nationkey)",
+        p="concat(' Group ', c_nationkey % 3)",
+        n="CASE WHEN c_custkey % 9 = 0 THEN concat('N', c_custkey % 50) ELSE '' END",
+    )
+    ents = rows.select(
+        "id",
+        F.struct(
+            F.col("l").alias("legal_entity"),
+            F.col("p").alias("parent_company"),
+            F.col("n").alias("company_number"),
+        ).alias("attributes"),
+    )
+    return review.catalogue_keys(ents).select(
+        "kind",
+        "key",
+        F.size("ids").alias("n"),
+        F.get("ids", F.lit(0)).alias("first"),
+    )
 
 
 SQL_CATALOGUE = """
@@ -509,7 +853,16 @@ SELECT kind, key, count(DISTINCT id)::INTEGER AS n, min(id) AS first FROM k GROU
 
 
 def _decided(df: DataFrame) -> DataFrame:
-    return df.select("record_id", "source_type", "likely_entity_type", F.to_json("field_confidence").alias("fields"), "promotion_recommendation", "cluster_recommendation", "block_recommendation", F.array_join("reasoning", ";").alias("reasons"))
+    return df.select(
+        "record_id",
+        "source_type",
+        "likely_entity_type",
+        F.to_json("field_confidence").alias("fields"),
+        "promotion_recommendation",
+        "cluster_recommendation",
+        "block_recommendation",
+        F.array_join("reasoning", ";").alias("reasons"),
+    )
 
 
 _TIERS = (t.FIRST, t.SECONDARY, t.INFERRED, "other")
@@ -517,9 +870,15 @@ _TIERS = (t.FIRST, t.SECONDARY, t.INFERRED, "other")
 
 def relationship_decisions(spark, sf):
     rows = _made(
-        spark, sf, "customer", ordinal="c_custkey", relationship=_pick("c_custkey", ("Promotes", "affiliate_of", "uses_provider", "owns", "")), from_candidate_id="CASE WHEN c_custkey % 6 = 0 THEN '' ELSE concat('a', c_custkey) END", to_candidate_id="concat('b', c_nationkey)",
+        spark,
+        sf,
+        "customer",
+        ordinal="c_custkey",
+        relationship=_pick("c_custkey", ("Promotes", "affiliate_of", "uses_provider", "owns", "")),
+        from_candidate_id="CASE WHEN c_custkey % 6 = 0 THEN '' ELSE concat('a', c_custkey) END",
+        to_candidate_id="concat('b', c_nationkey)",
         evidence_tier=_pick("c_custkey", _TIERS),
-    )
+    )
     return _decided(review.relationship_decisions(rows))
 
 
@@ -531,9 +890,22 @@ SELECT CASE WHEN k % 6 = 0 THEN printf('relationship_%04d', k) ELSE 'a' || k ||
 
 
 def cluster_decisions(spark, sf):
-    rows = _made(spark, sf, "customer", ordinal="c_custkey", cluster_id="concat('cluster-', c_custkey)", evidence_tier=_pick("c_custkey", ("", t.FIRST, t.SECONDARY)), m="concat('www.S', c_custkey, '.example')")
+    rows = _made(
+        spark,
+        sf,
+        "customer",
+        ordinal="c_custkey",
+        cluster_id="concat('cluster-', c_custkey)",
+        evidence_tier=_pick("c_custkey", ("", t.FIRST, t.SECONDARY)),
+        m="concat('www.S', c_custkey, '.example')",
+    )
     rows = rows.withColumn("members", F.array("m", F.concat(F.lit("x"), "m")))
-    known = _made(spark, sf, "supplier", d="concat(' s', s_suppkey * 3, '.example')").select(F.array("d").alias("domains"))
+    known = _made(
+        spark,
+        sf,
+        "supplier",
+        d="concat(' s', s_suppkey * 3, '.example')",
+    ).select(F.array("d").alias("domains"))
     sure = _made(spark, sf, "supplier", domain="concat('s', s_suppkey * 2, '.example')")
     return _decided(review.cluster_decisions(rows, known, sure))
 
@@ -550,9 +922,20 @@ def fingerprint_decisions(spark, sf):
     k = F.col("c_custkey")
     one = lambda when, v: F.when(when, F.array(F.lit(v))).otherwise(F.array().cast("array<string>"))
     rows = _t(spark, sf, "customer").select(
-        F.concat(F.lit("f"), k.cast("string")).alias("candidate_id"), F.expr(_pick("c_custkey", _TIERS)).alias("evidence_tier"), F.struct(one(k % 2 == 0, "UA").alias("analytics_ids"), one(k % 3 == 0, "js").alias("script_domains"), one(k % 5 == 0, "w").alias("support_widget_providers")).alias("technical"),
-        F.struct(one(k % 7 == 0, "Social Casino").alias("title_terms"), one(k % 11 == 0, "top sweeps reviews").alias("footer_phrases"), one(k % 13 == 0, "x").alias("provider_mentions")).alias("content"), F.struct(one(k % 4 == 0, "/pay").alias("cashier_paths")).alias("flow"),
-    )
+        F.concat(F.lit("f"), k.cast("string")).alias("candidate_id"),
+        F.expr(_pick("c_custkey", _TIERS)).alias("evidence_tier"),
+        F.struct(
+            one(k % 2 == 0, "UA").alias("analytics_ids"),
+            one(k % 3 == 0, "js").alias("script_domains"),
+            one(k % 5 == 0, "w").alias("support_widget_providers"),
+        ).alias("technical"),
+        F.struct(
+            one(k % 7 == 0, "Social Casino").alias("title_terms"),
+            one(k % 11 == 0, "top sweeps reviews").alias("footer_phrases"),
+            one(k % 13 == 0, "x").alias("provider_mentions"),
+        ).alias("content"),
+        F.struct(one(k % 4 == 0, "/pay").alias("cashier_paths")).alias("flow"),
+    )
     staged = _made(spark, sf, "customer", candidate_id="concat('f', c_custkey * 3)")
     return _decided(review.fingerprint_decisions(rows, staged))
 
@@ -571,31 +954,99 @@ SELECT 'f' || k AS record_id, 'fingerprint' AS source_type, kind AS likely_entit
 """
 
 
-_NOTES = ("Social casino sweeps", "best casinos reviews", "slot studio x", "wallet deposit", "Not verified", "nothing", "poker slots redeem; top sweeps, promo code, affiliate", "evidence_only slot studio x", "rebrand of casino, 403")
+_NOTES = (
+    "Social casino sweeps",
+    "best casinos reviews",
+    "slot studio x",
+    "wallet deposit",
+    "Not verified",
+    "nothing",
+    "poker slots redeem; top sweeps, promo code, affiliate",
+    "evidence_only slot studio x",
+    "rebrand of casino, 403",
+)
 
 
 def _rules_input(spark, sf) -> dict[str, DataFrame]:
     """Staged candidates with a catalogue, clusters, edges, fingerprints and sure domains to be held against."""
     empty = F.array().cast("array<string>")
     staged = _made(
-        spark, sf, "customer", k="c_custkey", ordinal="c_custkey", rid="c_custkey", candidate_id="concat('c', c_custkey)", brand="''", jurisdiction="''", sources="''", notes=_pick("c_custkey", _NOTES), evidence_tier=_pick("(c_custkey div 3)", _TIERS),
-        domain="CASE WHEN c_custkey % 19 = 0 THEN '' WHEN c_custkey % 17 = 0 THEN concat('pending', c_custkey, '.example') ELSE concat('D', c_custkey, '.example') END", legal_entity="CASE WHEN c_custkey % 2 = 0 THEN concat('Legal ', c_custkey % 50) ELSE '' END",
-        parent_company="CASE WHEN c_custkey % 5 = 0 THEN concat('Par ', c_custkey % 40) ELSE '' END", company_number="CASE WHEN c_custkey % 9 = 0 THEN concat('N', c_custkey % 30) ELSE '' END",
-    ).withColumn("raw_row", F.create_map(F.lit("entity_type"), F.when(F.col("k") % 29 == 0, "provider").otherwise("")))
-    prints = _made(spark, sf, "customer", candidate_id="concat('c', c_custkey)", ordinal="c_custkey").where("ordinal % 3 = 0").select(
-        "candidate_id", "ordinal", F.struct(F.array(F.lit("UA")).alias("analytics_ids"), empty.alias("support_widget_providers")).alias("technical"), F.struct(F.array(F.lit("Poker")).alias("title_terms"), empty.alias("footer_phrases"), empty.alias("provider_mentions")).alias("content"),
+        spark,
+        sf,
+        "customer",
+        k="c_custkey",
+        ordinal="c_custkey",
+        rid="c_custkey",
+        candidate_id="concat('c', c_custkey)",
+        brand="''",
+        jurisdiction="''",
+        sources="''",
+        notes=_pick("c_custkey", _NOTES),
+        evidence_tier=_pick("(c_custkey div 3)", _TIERS),
+        domain="CASE WHEN c_custkey % 19 = 0 THEN '' WHEN c_custkey % 17 = 0 THEN concat('pending', c_custkey, '.example') ELSE concat('D', c_custkey, '.example') END",
+        legal_entity="CASE WHEN c_custkey % 2 = 0 THEN concat('Legal ', c_custkey % 50) ELSE '' END",
+        parent_company="CASE WHEN c_custkey % 5 = 0 THEN concat('Par ', c_custkey % 40) ELSE '' END",
+        company_number="CASE WHEN c_custkey % 9 = 0 THEN concat('N', c_custkey % 30) ELSE '' END",
+    ).withColumn("raw_row", F.create_map(F.lit("entity_type"), F.when(F.col("k") % 29 == 0, "provider").otherwise("")))
+    prints = _made(
+        spark,
+        sf,
+        "customer",
+        candidate_id="concat('c', c_custkey)",
+        ordinal="c_custkey",
+    ).where("ordinal % 3 = 0").select(
+        "candidate_id",
+        "ordinal",
+        F.struct(
+            F.array(F.lit("UA")).alias("analytics_ids"),
+            empty.alias("support_widget_providers"),
+        ).alias("technical"),
+        F.struct(
+            F.array(F.lit("Poker")).alias("title_terms"),
+            empty.alias("footer_phrases"),
+            empty.alias("provider_mentions"),
+        ).alias("content"),
         F.struct(F.array(F.lit("/pay")).alias("cashier_paths")).alias("flow"),
-    )
+    )
     j = _made(spark, sf, "nation", j="n_nationkey")
-    entities = j.select(F.concat(F.lit("e"), "j").alias("id"), F.array(F.concat(F.lit("d"), (F.col("j") * 6).cast("string"), F.lit(".example"))).alias("domains"), F.struct(F.concat(F.lit("LEGAL "), "j").alias("legal_entity"), F.concat(F.lit("par "), "j").alias("parent_company"), F.concat(F.lit("n"), "j").alias("company_number")).alias("attributes"))
+    entities = j.select(
+        F.concat(F.lit("e"), "j").alias("id"),
+        F.array(F.concat(F.lit("d"), (F.col("j") * 6).cast("string"), F.lit(".example"))).alias("domains"),
+        F.struct(
+            F.concat(F.lit("LEGAL "), "j").alias("legal_entity"),
+            F.concat(F.lit("par "), "j").alias("parent_company"),
+            F.concat(F.lit("n"), "j").alias("company_number"),
+        ).alias("attributes"),
+    )
     sup = _made(spark, sf, "supplier", s="s_suppkey")
     text = lambda p, x: F.concat(F.lit(p), x.cast("string"), F.lit(".example"))
     sk = F.col("s")
-    proof = F.when(sk % 2 == 0, F.array(F.struct(F.array(F.lit("x")).alias("domains"), F.lit("discovery_redirect_chain").alias("reason"), F.lit("{}").alias("detail")))).otherwise(F.array().cast("array<struct<domains:array<string>,reason:string,detail:string>>"))
-    groups = sup.select(sk.alias("ordinal"), F.array(text("d", sk * 3), text("x", sk)).alias("members"), proof.alias("evidence"))
-    sure = sup.where("s % 4 = 0").select(text("x", sk).alias("domain")).unionByName(staged.where("k % 23 = 0").select(text("d", F.col("k")).alias("domain")))
+    proof = F.when(
+        sk % 2 == 0,
+        F.array(
+            F.struct(
+                F.array(F.lit("x")).alias("domains"),
+                F.lit("discovery_redirect_chain").alias("reason"),
+                F.lit("{}").alias("detail"),
+            )
+        ),
+    ).otherwise(F.array().cast("array<struct<domains:array<string>,reason:string,detail:string>>"))
+    groups = sup.select(
+        sk.alias("ordinal"),
+        F.array(text("d", sk * 3), text("x", sk)).alias("members"),
+        proof.alias("evidence"),
+    )
+    sure = sup.where("s % 4 = 0").select(text("x", sk).alias("domain")).unionByName(
+        staged.where("k % 23 = 0").select(text("d", F.col("k")).alias("domain"))
+    )
     more = _made(spark, sf, "customer", k="c_custkey", n="c_nationkey").where("k % 11 = 0 OR k % 13 = 0")
-    edges = more.select(F.concat(F.lit("c"), "k").alias("from_candidate_id"), F.lit("").alias("from_domain"), F.explode(F.array(F.lit("a"), F.lit("b"))).alias("to_candidate_id"), F.lit("").alias("to_domain"), F.when(F.col("k") % 11 == 0, "promotes").otherwise("uses_provider").alias("relationship"))
+    edges = more.select(
+        F.concat(F.lit("c"), "k").alias("from_candidate_id"),
+        F.lit("").alias("from_domain"),
+        F.explode(F.array(F.lit("a"), F.lit("b"))).alias("to_candidate_id"),
+        F.lit("").alias("to_domain"),
+        F.when(F.col("k") % 11 == 0, "promotes").otherwise("uses_provider").alias("relationship"),
+    )
     return {"staged": staged, "prints": prints, "entities": entities, "clusters": groups, "sure": sure, "edges": edges}
 
 
@@ -603,7 +1054,16 @@ def entity_decisions(spark, sf):
     """Decisions on staged candidates: type, confidence of fields, promotion, cluster and block rules."""
     x = _rules_input(spark, sf)
     facts = review.cluster_facts(x["clusters"], x["entities"], x["sure"])
-    return _decided(review.entity_decisions(x["staged"], x["prints"], review.catalogue_keys(x["entities"]), facts, review.edge_counts(x["edges"]), x["sure"]))
+    return _decided(
+        review.entity_decisions(
+            x["staged"],
+            x["prints"],
+            review.catalogue_keys(x["entities"]),
+            facts,
+            review.edge_counts(x["edges"]),
+            x["sure"],
+        )
+    )
 
 
 def _level(present: str, weak: str = "") -> str:
@@ -612,10 +1072,21 @@ def _level(present: str, weak: str = "") -> str:
 
 
 _FIELDS = (
-    ("analytics_ids", _level("fp", "weak"), True), ("brand", "'low'", False), ("cashier_path", _level("fp", "weak"), True), ("company_number", _level("k % 9 = 0"), False), ("domain", _level("dom <> '' AND NOT hold"), False), ("jurisdiction", "'low'", False),
-    ("legal_entity", _level("k % 2 = 0"), False), ("parent_company", _level("k % 5 = 0", "weak"), False), ("provider_mentions", "'low'", True), ("support_widget", "'low'", True),
-)
-_OP, _PR, _PV, _PAY = ([sum(w in n.lower() for w in words) for n in _NOTES] for words in (t.OPERATOR_TERMS, t.PROMOTER_TERMS, ("slot studio", "studio "), t.PAYMENT_TERMS))
+    ("analytics_ids", _level("fp", "weak"), True),
+    ("brand", "'low'", False),
+    ("cashier_path", _level("fp", "weak"), True),
+    ("company_number", _level("k % 9 = 0"), False),
+    ("domain", _level("dom <> '' AND NOT hold"), False),
+    ("jurisdiction", "'low'", False),
+    ("legal_entity", _level("k % 2 = 0"), False),
+    ("parent_company", _level("k % 5 = 0", "weak"), False),
+    ("provider_mentions", "'low'", True),
+    ("support_widget", "'low'", True),
+)
+_OP, _PR, _PV, _PAY = (
+    [sum(w in n.lower() for w in words) for n in _NOTES]
+    for words in (t.OPERATOR_TERMS, t.PROMOTER_TERMS, ("slot studio", "studio "), t.PAYMENT_TERMS)
+)
 
 
 def _at(values, key: str = "c_custkey") -> str:
@@ -664,12 +1135,36 @@ def queue_decisions(spark, sf):
     """Decisions on discovered domains and extracted pages of the queue."""
     x = _rules_input(spark, sf)
     queue = _made(
-        spark, sf, "customer", kind=_pick("c_custkey", ("discovered_domain", "extracted_fingerprint")), id="CASE WHEN c_custkey % 17 = 0 THEN concat('tbd', c_custkey, '.example') ELSE concat('WWW.D', c_custkey, '.example/x.') END", notes=_pick("c_custkey", _NOTES), sources="''",
-        evidence_tier=_pick("(c_custkey div 3)", _TIERS), payload_ref="CASE WHEN c_custkey % 4 = 0 THEN concat('{\"domain\":\"d', c_custkey, '.example\"}') ELSE '{\"domain\":null}' END",
-    ).where("id NOT LIKE 'tbd%' OR payload_ref LIKE '%null%'")
-    words = lambda w: F.struct(F.struct(F.array(F.lit(w)).alias("title_terms"), F.array().cast("array<string>").alias("footer_phrases")).alias("content"), F.struct(F.array(F.lit("/pay")).alias("cashier_paths"), F.array().cast("array<string>").alias("redemption_paths")).alias("flow"))
-    pages = _made(spark, sf, "customer", ordinal="c_custkey", domain="concat('www.d', c_custkey, '.example')").where("ordinal % 3 = 0")
-    pages = pages.withColumn("fingerprint", words("Poker")).unionByName(pages.withColumns({"fingerprint": words("deposit wallet"), "ordinal": F.col("ordinal") - 1}))
+        spark,
+        sf,
+        "customer",
+        kind=_pick("c_custkey", ("discovered_domain", "extracted_fingerprint")),
+        id="CASE WHEN c_custkey % 17 = 0 THEN concat('tbd', c_custkey, '.example') ELSE concat('WWW.D', c_custkey, '.example/x.') END",
+        notes=_pick("c_custkey", _NOTES),
+        sources="''",
+        evidence_tier=_pick("(c_custkey div 3)", _TIERS),
+        payload_ref="CASE WHEN c_custkey % 4 = 0 THEN concat('{\"domain\":\"d', c_custkey, '.example\"}') ELSE '{\"domain\":null}' END",
+    ).where("id NOT LIKE 'tbd%' OR payload_ref LIKE '%null%'")
+    words = lambda w: F.struct(
+        F.struct(
+            F.array(F.lit(w)).alias("title_terms"),
+            F.array().cast("array<string>").alias("footer_phrases"),
+        ).alias("content"),
+        F.struct(
+            F.array(F.lit("/pay")).alias("cashier_paths"),
+            F.array().cast("array<string>").alias("redemption_paths"),
+        ).alias("flow"),
+    )
+    pages = _made(
+        spark,
+        sf,
+        "customer",
+        ordinal="c_custkey",
+        domain="concat('www.d', c_custkey, '.example')",
+    ).where("ordinal % 3 = 0")
+    pages = pages.withColumn("fingerprint", words("Poker")).unionByName(
+        pages.withColumns({"fingerprint": words("deposit wallet"), "ordinal": F.col("ordinal") - 1})
+    )
     facts = review.cluster_facts(x["clusters"], x["entities"], x["sure"])
     return _decided(review.queue_decisions(queue, pages, facts, x["sure"]))
 
@@ -708,10 +1203,25 @@ def evidence_clusters(spark, sf):
     k = F.col("c_custkey")
     name = lambda x: F.concat(F.lit("d"), F.lpad(x.cast("string"), 9, "0"))
     base = _t(spark, sf, "customer")
-    chain = base.where("c_custkey % 7 <> 6").select(name(k).alias("left"), name(k + 1).alias("right"), F.lit("chain").alias("reason"), F.lit("{}").alias("detail"))
-    star = base.where("c_custkey % 14 = 0").select(name(k).alias("left"), name(k + 7).alias("right"), F.lit("pair").alias("reason"), F.concat(F.lit('{"n":'), k.cast("string"), F.lit("}")).alias("detail"))
+    chain = base.where("c_custkey % 7 <> 6").select(
+        name(k).alias("left"), name(k + 1).alias("right"), F.lit("chain").alias("reason"), F.lit("{}").alias("detail"),
+    )
+    star = base.where("c_custkey % 14 = 0").select(
+        name(k).alias("left"),
+        name(k + 7).alias("right"),
+        F.lit("pair").alias("reason"),
+        F.concat(F.lit('{"n":'), k.cast("string"), F.lit("}")).alias("detail"),
+    )
     found = cluster.clusters(chain.unionByName(star))
-    return found.select("cluster_id", "member_count", F.array_join(F.slice("members", 1, 3), " ").alias("first"), F.size("evidence").alias("n_evidence"), F.get("evidence", F.lit(0))["reason"].alias("reason"), "review_status", "evidence_tier")
+    return found.select(
+        "cluster_id",
+        "member_count",
+        F.array_join(F.slice("members", 1, 3), " ").alias("first"),
+        F.size("evidence").alias("n_evidence"),
+        F.get("evidence", F.lit(0))["reason"].alias("reason"),
+        "review_status",
+        "evidence_tier",
+    )
 
 
 SQL_EVIDENCE_CLUSTERS = """
@@ -726,11 +1236,46 @@ SELECT 'cluster-d' || lpad(root::VARCHAR, 9, '0') AS cluster_id, m.c AS member_c
 
 def reviewed_blocklist(spark, sf):
     """The domains that review decisions stand for, whatever the shape of their ids."""
-    ident = _pick("c_custkey", ("queue:discovered_domain:WWW.q{k}.example.", "cluster-{k}", "f{k}", "f{k}->  g{k}.example", "bare{k}.example", "queue:cluster:x", "f{k}->gone", "nodomain"))
-    kind = _pick("c_custkey", ("entity", "cluster", "entity", "relationship", "entity", "entity", "relationship", "entity"))
-    rows = _made(spark, sf, "customer", record_id=f"replace({ident}, '{{k}}', cast(c_custkey AS STRING))", source_type=kind, block_recommendation=_pick("(c_custkey div 8)", ("block_now", "block_after_review", "do_not_block")))
-    staged = _made(spark, sf, "customer", candidate_id="concat('f', c_custkey)", domain="concat(' F', c_custkey, '.example')", ordinal="c_custkey")
-    groups = _made(spark, sf, "customer", cluster_id="concat('cluster-', c_custkey)", a="concat('m', c_custkey, '.example')").select("cluster_id", F.array("a", F.lit("WWW.shared.example")).alias("members"))
+    ident = _pick(
+        "c_custkey",
+        (
+            "queue:discovered_domain:WWW.q{k}.example.",
+            "cluster-{k}",
+            "f{k}",
+            "f{k}->  g{k}.example",
+            "bare{k}.example",
+            "queue:cluster:x",
+            "f{k}->gone",
+            "nodomain",
+        ),
+    )
+    kind = _pick(
+        "c_custkey",
+        ("entity", "cluster", "entity", "relationship", "entity", "entity", "relationship", "entity"),
+    )
+    rows = _made(
+        spark,
+        sf,
+        "customer",
+        record_id=f"replace({ident}, '{{k}}', cast(c_custkey AS STRING))",
+        source_type=kind,
+        block_recommendation=_pick("(c_custkey div 8)", ("block_now", "block_after_review", "do_not_block")),
+    )
+    staged = _made(
+        spark,
+        sf,
+        "customer",
+        candidate_id="concat('f', c_custkey)",
+        domain="concat(' F', c_custkey, '.example')",
+        ordinal="c_custkey",
+    )
+    groups = _made(
+        spark,
+        sf,
+        "customer",
+        cluster_id="concat('cluster-', c_custkey)",
+        a="concat('m', c_custkey, '.example')",
+    ).select("cluster_id", F.array("a", F.lit("WWW.shared.example")).alias("members"))
     return publish.reviewed_blocklist(rows, staged, groups, include_after_review=True)[0]
 
 
@@ -750,9 +1295,20 @@ def canonical_hashes(spark, sf):
     """Hashes of canonical JSON, as they are signed."""
     @F.pandas_udf("string")
     def hashed(rows: pd.DataFrame) -> pd.Series:
-        return pd.Series([signing.payload_hash({"turn": int(r.turn), "conv_id": int(r.conv_id), "role": r.role, "list": [1.5, None, True]}) for r in rows.itertuples()])
-
-    return _t(spark, sf, "conversations").select("conv_id", "turn", hashed(F.struct("conv_id", "turn", "role")).alias("hash"))
+        return pd.Series(
+            [
+                signing.payload_hash(
+                    {"turn": int(r.turn), "conv_id": int(r.conv_id), "role": r.role, "list": [1.5, None, True]}
+                )
+                for r in rows.itertuples()
+            ]
+        )
+
+    return _t(spark, sf, "conversations").select(
+        "conv_id",
+        "turn",
+        hashed(F.struct("conv_id", "turn", "role")).alias("hash"),
+    )
 
 
 SQL_CANONICAL = """
@@ -765,7 +1321,18 @@ _RECORDS = "concat('{\"WWW.S', s_suppkey, '.example.\": {\"san\": \"A', s_suppke
 def domain_records(spark, sf):
     """Fingerprints by domain from JSON objects, under whichever of their names fields stand."""
     rows = files.domain_records(_made(spark, sf, "supplier", value=_RECORDS))
-    return _words(rows.select("domain", "sans", "nameservers", F.get("mx.host", F.lit(0)).alias("mail"), "tls_partial", "dns_partial"), "sans", "nameservers")
+    return _words(
+        rows.select(
+            "domain",
+            "sans",
+            "nameservers",
+            F.get("mx.host", F.lit(0)).alias("mail"),
+            "tls_partial",
+            "dns_partial",
+        ),
+        "sans",
+        "nameservers",
+    )
 
 
 SQL_RECORDS = """
@@ -775,9 +1342,25 @@ SELECT 's' || s_suppkey || '.example' AS domain, 'a' || s_suppkey || '.example'
 
 def list_lines(spark, sf):
     """URLs and hosts of lists with comments and blanks."""
-    rows = _made(spark, sf, "customer", value=f"replace({_pick('c_custkey', ('# no', ' https://a{k}.example/x ', '', 'WWW.b{k}.Example./p', '  #x'))}, '{{k}}', cast(c_nationkey AS STRING))", ordinal="c_custkey")
-    urls = crawl.seed_urls(rows).select(F.lit("url").alias("kind"), F.col("url").alias("value"), F.col("ordinal").cast("long").alias("n"))
-    return urls.unionByName(crawl.domain_list(rows).select(F.lit("host").alias("kind"), F.col("host").alias("value"), F.lit(0).cast("long").alias("n")))
+    rows = _made(
+        spark,
+        sf,
+        "customer",
+        value=f"replace({_pick('c_custkey', ('# no', ' https://a{k}.example/x ', '', 'WWW.b{k}.Example./p', '  #x'))}, '{{k}}', cast(c_nationkey AS STRING))",
+        ordinal="c_custkey",
+    )
+    urls = crawl.seed_urls(rows).select(
+        F.lit("url").alias("kind"),
+        F.col("url").alias("value"),
+        F.col("ordinal").cast("long").alias("n"),
+    )
+    return urls.unionByName(
+        crawl.domain_list(rows).select(
+            F.lit("host").alias("kind"),
+            F.col("host").alias("value"),
+            F.lit(0).cast("long").alias("n"),
+        )
+    )
 
 
 SQL_LINES = """
@@ -797,10 +1380,22 @@ _CSV_CELL = "concat('a \"q', c_custkey, '\", b', char({nl}), ' c ')"
 
 def csv_source(spark, sf):
     """Cells with quotes, commas and line ends, written as CSV and read as a source."""
-    rows = _made(spark, sf, "customer", id="cast(c_custkey AS STRING)", name="CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END", cell=_CSV_CELL.format(nl=10))
+    rows = _made(
+        spark,
+        sf,
+        "customer",
+        id="cast(c_custkey AS STRING)",
+        name="CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END",
+        cell=_CSV_CELL.format(nl=10),
+    )
     folder = f"{shared.shared_dir(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
     files.csv_file(rows, folder, ("id", "name", "cell"))
-    return files.csv_table(spark, folder, ("id", "cell", "missing"), trimmed=True).select("id", "name", "cell", "missing")
+    return files.csv_table(
+        spark,
+        folder,
+        ("id", "cell", "missing"),
+        trimmed=True,
+    ).select("id", "name", "cell", "missing")
 
 
 SQL_CSV = "SELECT c_custkey::VARCHAR AS id, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END AS name, 'a \"q' || c_custkey || '\", b' || chr(10) || ' c' AS cell, '' AS missing FROM customer"
@@ -808,9 +1403,35 @@ SQL_CSV = "SELECT c_custkey::VARCHAR AS id, CASE WHEN c_custkey % 3 = 0 THEN ''
 
 def json_source(spark, sf):
     """A document with a list of rows, read under a schema, with the place of each row."""
-    row = F.to_json(F.struct(F.col("n_nationkey").alias("id"), F.array("n_name", F.col("n_regionkey").cast("string")).alias("domains"), F.lit("x").alias("unknown")))
-    doc = _t(spark, sf, "nation").groupBy().agg(F.concat(F.lit('{"generated_at": null, "entities": ['), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", row.alias("r")))), lambda x: x["r"]), ",\n"), F.lit("]}")).alias("value"))
-    found = files.json_rows(spark, _written_text(spark, doc), T.StructType([T.StructField("id", T.LongType()), T.StructField("domains", T.ArrayType(T.StringType())), T.StructField("none", T.StringType())]), "entities")
+    row = F.to_json(
+        F.struct(
+            F.col("n_nationkey").alias("id"),
+            F.array("n_name", F.col("n_regionkey").cast("string")).alias("domains"),
+            F.lit("x").alias("unknown"),
+        )
+    )
+    doc = _t(spark, sf, "nation").groupBy().agg(
+        F.concat(
+            F.lit('{"generated_at": null, "entities": ['),
+            F.array_join(
+                F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", row.alias("r")))), lambda x: x["r"]),
+                ",\n",
+            ),
+            F.lit("]}"),
+        ).alias("value")
+    )
+    found = files.json_rows(
+        spark,
+        _written_text(spark, doc),
+        T.StructType(
+            [
+                T.StructField("id", T.LongType()),
+                T.StructField("domains", T.ArrayType(T.StringType())),
+                T.StructField("none", T.StringType()),
+            ]
+        ),
+        "entities",
+    )
     return found.select("id", F.array_join("domains", "|").alias("domains"), "none", "ordinal")
 
 
@@ -820,9 +1441,14 @@ SQL_JSON = "SELECT n_nationkey::BIGINT AS id, n_name || '|' || n_regionkey AS do
 def worklist(spark, sf):
     """Addresses to extract: home pages of found domains, then pages seen, each once."""
     k = F.col("s_suppkey")
-    domains = _t(spark, sf, "supplier").select(F.concat(F.lit("s"), (k % 40).cast("string"), F.lit(".example")).alias("domain")).distinct()
+    domains = _t(spark, sf, "supplier").select(
+        F.concat(F.lit("s"), (k % 40).cast("string"), F.lit(".example")).alias("domain")
+    ).distinct()
     site = F.concat(F.lit("https://s"), (F.col("c_custkey") % 60).cast("string"), F.lit(".example/"))
-    visits = _t(spark, sf, "customer").select(F.when(F.col("c_custkey") % 4 == 0, "ftp://x").otherwise(site).alias("final_url"), F.concat(F.lit("http://p"), (F.col("c_custkey") % 90).cast("string"), F.lit(".example/")).alias("requested_url"))
+    visits = _t(spark, sf, "customer").select(
+        F.when(F.col("c_custkey") % 4 == 0, "ftp://x").otherwise(site).alias("final_url"),
+        F.concat(F.lit("http://p"), (F.col("c_custkey") % 90).cast("string"), F.lit(".example/")).alias("requested_url"),
+    )
     return crawl.worklist(domains, visits, 1_000_000)
 
 
@@ -831,10 +1457,38 @@ SELECT 'https://s' || (s_suppkey % 40) || '.example/' AS url FROM supplier UNION
 """
 
 ALL: dict[str, tuple] = {
-    "seed_entities": (seed_entities, SQL_ENTITIES), "seed_checks": (seed_checks, SQL_CHECKS), "enriched": (enriched, SQL_ENRICHED), "domain_affiliations": (domain_affiliations, SQL_DOMAINS), "entity_affiliations": (entity_affiliations, SQL_ENTITY_PAIRS),
-    "monitor_candidates": (monitor_candidates, SQL_CANDIDATES), "monitor_edges": (monitor_edges, SQL_EDGES), "extracted_pages": (extracted_pages, SQL_EXTRACTED), "crawl_seeds": (crawl_seeds, SQL_CRAWL), "bounded_crawl": (bounded_crawl, SQL_SITES),
-    "import_candidates": (import_candidates, SQL_IMPORT), "import_duplicates": (import_duplicates, SQL_DUPLICATES), "import_review": (import_review, SQL_REVIEW), "import_counts": (import_counts, SQL_IMPORT_COUNTS), "promotion_operators": (promotion_operators, SQL_PROMOTION),
-    "promotion_fingerprints": (promotion_fingerprints, SQL_PROMOTION_PRINTS), "promotion_edges": (promotion_edges, SQL_PROMOTION_EDGES), "dump_edges": (dump_edges, SQL_DUMP), "cluster_edges": (cluster_edges, SQL_CLUSTER_EDGES), "confirmed_operators": (confirmed_operators, SQL_CONFIRMED),
-    "catalogue_keys": (catalogue_keys, SQL_CATALOGUE), "relationship_decisions": (relationship_decisions, SQL_RELATIONSHIPS), "cluster_decisions": (cluster_decisions, SQL_CLUSTERS), "fingerprint_decisions": (fingerprint_decisions, SQL_FINGERPRINTS),
-    "entity_decisions": (entity_decisions, SQL_DECISIONS), "queue_decisions": (queue_decisions, SQL_QUEUE_DECISIONS), "evidence_clusters": (evidence_clusters, SQL_EVIDENCE_CLUSTERS), "reviewed_blocklist": (reviewed_blocklist, SQL_BLOCKLIST), "canonical_hashes": (canonical_hashes, SQL_CANONICAL), "domain_records": (domain_records, SQL_RECORDS), "list_lines": (list_lines, SQL_LINES), "csv_source": (csv_source, SQL_CSV), "json_source": (json_source, SQL_JSON), "worklist": (worklist, SQL_WORKLIST),
-}
+    "seed_entities": (seed_entities, SQL_ENTITIES),
+    "seed_checks": (seed_checks, SQL_CHECKS),
+    "enriched": (enriched, SQL_ENRICHED),
+    "domain_affiliations": (domain_affiliations, SQL_DOMAINS),
+    "entity_affiliations": (entity_affiliations, SQL_ENTITY_PAIRS),
+    "monitor_candidates": (monitor_candidates, SQL_CANDIDATES),
+    "monitor_edges": (monitor_edges, SQL_EDGES),
+    "extracted_pages": (extracted_pages, SQL_EXTRACTED),
+    "crawl_seeds": (crawl_seeds, SQL_CRAWL),
+    "bounded_crawl": (bounded_crawl, SQL_SITES),
+    "import_candidates": (import_candidates, SQL_IMPORT),
+    "import_duplicates": (import_duplicates, SQL_DUPLICATES),
+    "import_review": (import_review, SQL_REVIEW),
+    "import_counts": (import_counts, SQL_IMPORT_COUNTS),
+    "promotion_operators": (promotion_operators, SQL_PROMOTION),
+    "promotion_fingerprints": (promotion_fingerprints, SQL_PROMOTION_PRINTS),
+    "promotion_edges": (promotion_edges, SQL_PROMOTION_EDGES),
+    "dump_edges": (dump_edges, SQL_DUMP),
+    "cluster_edges": (cluster_edges, SQL_CLUSTER_EDGES),
+    "confirmed_operators": (confirmed_operators, SQL_CONFIRMED),
+    "catalogue_keys": (catalogue_keys, SQL_CATALOGUE),
+    "relationship_decisions": (relationship_decisions, SQL_RELATIONSHIPS),
+    "cluster_decisions": (cluster_decisions, SQL_CLUSTERS),
+    "fingerprint_decisions": (fingerprint_decisions, SQL_FINGERPRINTS),
+    "entity_decisions": (entity_decisions, SQL_DECISIONS),
+    "queue_decisions": (queue_decisions, SQL_QUEUE_DECISIONS),
+    "evidence_clusters": (evidence_clusters, SQL_EVIDENCE_CLUSTERS),
+    "reviewed_blocklist": (reviewed_blocklist, SQL_BLOCKLIST),
+    "canonical_hashes": (canonical_hashes, SQL_CANONICAL),
+    "domain_records": (domain_records, SQL_RECORDS),
+    "list_lines": (list_lines, SQL_LINES),
+    "csv_source": (csv_source, SQL_CSV),
+    "json_source": (json_source, SQL_JSON),
+    "worklist": (worklist, SQL_WORKLIST),
+}

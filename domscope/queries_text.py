@@ -41,16 +41,31 @@ _NAMES = ("Www.Shop-1.example.net/path", "  ", "A..b", "__x__", "Ünï.example",
 
 def cell_functions(spark, sf):
     rows = _t(spark, sf, "part").select(
-        F.col("p_partkey").alias("id"), F.expr(_pick("p_partkey", _CELLS)).alias("cell"), F.expr(_pick("p_partkey", _NUMBERS)).alias("number"), F.expr(_pick("p_partkey", _SURE)).alias("a"),
-        F.expr(_pick("(p_partkey div 8)", _SURE)).alias("b"), F.expr(_pick("p_partkey", _NAMES)).alias("name"), F.col("p_name"),
-    )
+        F.col("p_partkey").alias("id"),
+        F.expr(_pick("p_partkey", _CELLS)).alias("cell"),
+        F.expr(_pick("p_partkey", _NUMBERS)).alias("number"),
+        F.expr(_pick("p_partkey", _SURE)).alias("a"),
+        F.expr(_pick("(p_partkey div 8)", _SURE)).alias("b"),
+        F.expr(_pick("p_partkey", _NAMES)).alias("name"),
+        F.col("p_name"),
+    )
     c = F.col
     joined = lambda x: F.array_join(x, "#")
     return rows.select(
-        "id", joined(tx.split_pipe(c("cell"))).alias("piped"), joined(tx.split_tokens(c("cell"))).alias("tokens"), joined(tx.legal_keys(c("cell"))).alias("legal"), tx.parse_float(c("number")).alias("number"),
-        tx.confidence(c("a"), c("b")).alias("sure"), tx.norm_key(c("cell")).alias("key"), tx.first_nonempty(c("a"), c("cell"), c("p_name")).alias("first"), tx.slug_domain(c("name")).alias("slug"),
-        tx.operator_id(c("name")).alias("operator"), tx.text(F.nullif(c("cell"), F.lit(""))).alias("text"), tx.blank(c("name")).alias("blank"), tx.norm_blob(c("a"), c("name"), c("cell")).alias("blob"),
-    )
+        "id",
+        joined(tx.split_pipe(c("cell"))).alias("piped"),
+        joined(tx.split_tokens(c("cell"))).alias("tokens"),
+        joined(tx.legal_keys(c("cell"))).alias("legal"),
+        tx.parse_float(c("number")).alias("number"),
+        tx.confidence(c("a"), c("b")).alias("sure"),
+        tx.norm_key(c("cell")).alias("key"),
+        tx.first_nonempty(c("a"), c("cell"), c("p_name")).alias("first"),
+        tx.slug_domain(c("name")).alias("slug"),
+        tx.operator_id(c("name")).alias("operator"),
+        tx.text(F.nullif(c("cell"), F.lit(""))).alias("text"),
+        tx.blank(c("name")).alias("blank"),
+        tx.norm_blob(c("a"), c("name"), c("cell")).alias("blob"),
+    )
 
 
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -93,8 +108,19 @@ FROM (SELECT *, list_filter(list_transform(regexp_split_to_array(cell, '[|;,]+')
 # ---------------------------------------------------------------- hosts
 
 _FORMS = (
-    "HTTPS://User:pw@WWW.{h}:8080/x", "http://{h}./a?b", "ftp://www.{h}/y", "http://[2001:db8::1]:80/z", "{h}/path", "https://www.{h}..", " Www.{h}.", "", "http://", "https://a@www.{h}#f", "www.{h}|b.{h}/x| C.{h}. |", "/pay/*, https://www.{h}:81/p cash.{h}/q http:///none",
-)
+    "HTTPS://User:pw@WWW.{h}:8080/x",
+    "http://{h}./a?b",
+    "ftp://www.{h}/y",
+    "http://[2001:db8::1]:80/z",
+    "{h}/path",
+    "https://www.{h}..",
+    " Www.{h}.",
+    "",
+    "http://",
+    "https://a@www.{h}#f",
+    "www.{h}|b.{h}/x| C.{h}. |",
+    "/pay/*, https://www.{h}:81/p cash.{h}/q http:///none",
+)
 
 
 def _forms(key: str, host: str) -> str:
@@ -104,12 +130,26 @@ def _forms(key: str, host: str) -> str:
 
 def host_forms(spark, sf):
     """Every normaliser on addresses with user info, ports, trailing dots, IPv6 and without a scheme."""
-    rows = _t(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.expr(_forms("c_custkey", "lower(c_mktsegment) || '.example.net'")).alias("v"))
+    rows = _t(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.expr(_forms("c_custkey", "lower(c_mktsegment) || '.example.net'")).alias("v"),
+    )
     v = F.col("v")
     domains, patterns = hosts.pattern_cell(v)
-    made = {f.__name__: f(v) for f in (hosts.seed_domain, hosts.plain_domain, hosts.monitor_host, hosts.crawl_host, hosts.signal_host, hosts.cluster_host, hosts.rule_domain)}
+    made = {
+        f.__name__: f(v)
+        for f in (
+            hosts.seed_domain, hosts.plain_domain, hosts.monitor_host, hosts.crawl_host, hosts.signal_host,
+            hosts.cluster_host, hosts.rule_domain,
+        )
+    }
     lists = {"seed_hosts": hosts.seed_hosts(v), "domains": domains, "patterns": patterns}
-    return rows.select("id", *(c.alias(k) for k, c in made.items()), *(F.array_join(c, " ").alias(k) for k, c in lists.items()), hosts.domain_shaped(hosts.plain_domain(v)).alias("shaped"))
+    return rows.select(
+        "id",
+        *(c.alias(k) for k, c in made.items()),
+        *(F.array_join(c, " ").alias(k) for k, c in lists.items()),
+        hosts.domain_shaped(hosts.plain_domain(v)).alias("shaped"),
+    )
 
 
 _NET = "regexp_extract({v}, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://([^/?#]*))?', 1)"
@@ -146,18 +186,50 @@ SELECT id, {_seed("v")} AS seed_domain, {_clean("v")} AS plain_domain,
 FROM p
 """
 
-_SERVERS = ("ns1.cloudflare.com", "Cloudflare.com.", "notcloudflare.com", "ns-1.awsdns-12.org", "xawsdns-1.org", "", "dns.example.net", "a.Google.com", "ns.registrar-servers.com.example", "domaincontrol.com")
-_MAIL = ("aspmx.google.com", "mx.example.net", ".", "", "x.mail.protection.outlook.com.", "outlook.com.example", " googlemail.com ", "myoutlook.com")
+_SERVERS = (
+    "ns1.cloudflare.com",
+    "Cloudflare.com.",
+    "notcloudflare.com",
+    "ns-1.awsdns-12.org",
+    "xawsdns-1.org",
+    "",
+    "dns.example.net",
+    "a.Google.com",
+    "ns.registrar-servers.com.example",
+    "domaincontrol.com",
+)
+_MAIL = (
+    "aspmx.google.com",
+    "mx.example.net",
+    ".",
+    "",
+    "x.mail.protection.outlook.com.",
+    "outlook.com.example",
+    " googlemail.com ",
+    "myoutlook.com",
+)
 
 
 def infrastructure_filters(spark, sf):
-    rows = _t(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.expr(_pick("s_suppkey", _SERVERS)).alias("a"), F.expr(_pick("(s_suppkey * 3 + 1)", _SERVERS)).alias("b"), F.expr(_pick("s_suppkey", _MAIL)).alias("m"))
+    rows = _t(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("id"),
+        F.expr(_pick("s_suppkey", _SERVERS)).alias("a"),
+        F.expr(_pick("(s_suppkey * 3 + 1)", _SERVERS)).alias("b"),
+        F.expr(_pick("s_suppkey", _MAIL)).alias("m"),
+    )
     c = F.col
-    mx = F.array(F.struct(c("m").alias("host"), F.lit(10).alias("priority")), F.struct(F.lit("mail.example.org").alias("host"), F.lit(20).alias("priority")))
+    mx = F.array(
+        F.struct(c("m").alias("host"), F.lit(10).alias("priority")),
+        F.struct(F.lit("mail.example.org").alias("host"), F.lit(20).alias("priority")),
+    )
     return rows.select(
-        "id", hosts.noise_nameserver(c("a")).alias("noise"), hosts.noise_mx(c("m")).alias("mail_noise"), hosts.suffix_matches(F.lower("a"), ("cloudflare.com",)).alias("suffix"),
-        F.array_join(hosts.signal_nameservers(F.array("a", "b")), " ").alias("servers"), F.array_join(hosts.signal_mx_hosts(mx), "|").alias("mail"),
-    )
+        "id",
+        hosts.noise_nameserver(c("a")).alias("noise"),
+        hosts.noise_mx(c("m")).alias("mail_noise"),
+        hosts.suffix_matches(F.lower("a"), ("cloudflare.com",)).alias("suffix"),
+        F.array_join(hosts.signal_nameservers(F.array("a", "b")), " ").alias("servers"),
+        F.array_join(hosts.signal_mx_hosts(mx), "|").alias("mail"),
+    )
 
 
 def _noise(x: str, suffixes: Sequence[str], label: str = "") -> str:
@@ -166,7 +238,10 @@ def _noise(x: str, suffixes: Sequence[str], label: str = "") -> str:
     return f"({ends}{f' OR regexp_matches({h}, {_literal(label)})' if label else ''})"
 
 
-_NS_NOISE = ("cloudflare.com", "googledomains.com", "google.com", "azure-dns.com", "dnsimple.com", "registrar-servers.com", "domaincontrol.com", "name-services.com")
+_NS_NOISE = (
+    "cloudflare.com", "googledomains.com", "google.com", "azure-dns.com", "dnsimple.com", "registrar-servers.com",
+    "domaincontrol.com", "name-services.com",
+)
 _MX_NOISE = ("google.com", "googlemail.com", "outlook.com", "mail.protection.outlook.com")
 SQL_INFRASTRUCTURE = f"""
 WITH r AS (SELECT s_suppkey AS id, {_pick("s_suppkey", _SERVERS)} AS a, {_pick("(s_suppkey * 3 + 1)", _SERVERS)} AS b, {_pick("s_suppkey", _MAIL)} AS m FROM supplier)
@@ -180,10 +255,13 @@ FROM r
 
 #: What stands at the end of a page, by the remainder of its number.
 _TAILS = (
-    '<script src="https://widget.intercom.io/w/1.js"></script><iframe src="//www.tube.example/embed"></iframe>', '<script src="https://www.googletagmanager.com/gtm.js?x=1&amp;id=GTM-AB12"></script><script>gtag("config", "G-XY99Z"); a("UA-12-3")</script>',
-    '<link rel="stylesheet" href="https://cdn.example.org/a.css"><img src="/local.png"><link rel="icon" href="https://no.example/i">', '<footer>  Run by   Example Holdings Ltd  </footer><a href="mailto:a@b.example">m</a><a href="#top">t</a>',
-    '<a href="/Terms-of-use">t</a><a href="https://acme.zendesk.com/hc">h</a><script src="https://js.driftt.com/x"></script>', "<a href='/cashier/in'>c</a><a href='/Redeem'>r</a><a href=' JavaScript:x()'>j</a>",
-)
+    '<script src="https://widget.intercom.io/w/1.js"></script><iframe src="//www.tube.example/embed"></iframe>',
+    '<script src="https://www.googletagmanager.com/gtm.js?x=1&amp;id=GTM-AB12"></script><script>gtag("config", "G-XY99Z"); a("UA-12-3")</script>',
+    '<link rel="stylesheet" href="https://cdn.example.org/a.css"><img src="/local.png"><link rel="icon" href="https://no.example/i">',
+    '<footer>  Run by   Example Holdings Ltd  </footer><a href="mailto:a@b.example">m</a><a href="#top">t</a>',
+    '<a href="/Terms-of-use">t</a><a href="https://acme.zendesk.com/hc">h</a><script src="https://js.driftt.com/x"></script>',
+    "<a href='/cashier/in'>c</a><a href='/Redeem'>r</a><a href=' JavaScript:x()'>j</a>",
+)
 
 
 def _tailed(spark, sf):
@@ -196,9 +274,19 @@ def page_signals(spark, sf):
     s = html.signals(F.col("page"), F.col("html"), ("the", "Über GmbH"))
     rows = _tailed(spark, sf).withColumn("s", s)
     joined = lambda x: F.array_join(x, " ")
-    tech = {x: joined(F.col(f"s.technical.{x}")) for x in ("analytics_ids", "tag_manager_ids", "script_domains", "iframe_domains", "support_widget_providers")}
+    tech = {
+        x: joined(F.col(f"s.technical.{x}"))
+        for x in ("analytics_ids", "tag_manager_ids", "script_domains", "iframe_domains", "support_widget_providers")
+    }
     found = F.filter("s.technical.asset_domains", lambda x: x == "cdn.example.org")
-    return rows.select("page_id", *(c.alias(k) for k, c in tech.items()), joined(found).alias("assets"), joined("s.flow.cashier_paths").alias("cashier"), joined("s.flow.redemption_paths").alias("redeem"), F.array_contains("s.content.footer_phrases", "Run by Example Holdings Ltd").alias("footer"))
+    return rows.select(
+        "page_id",
+        *(c.alias(k) for k, c in tech.items()),
+        joined(found).alias("assets"),
+        joined("s.flow.cashier_paths").alias("cashier"),
+        joined("s.flow.redemption_paths").alias("redeem"),
+        F.array_contains("s.content.footer_phrases", "Run by Example Holdings Ltd").alias("footer"),
+    )
 
 
 SQL_SIGNALS = """
@@ -213,7 +301,13 @@ FROM pages
 def crawler_links(spark, sf):
     """The crawler's links (mail addresses stay), and those to legal and support pages."""
     rows = _tailed(spark, sf).withColumn("l", html.links(F.col("page"), F.col("url"), limit=600, mail=True))
-    return rows.select("page_id", F.size("l").alias("n"), F.size(html.legal_urls(F.col("l"))).alias("n_legal"), F.array_join(html.support_urls(F.col("l")), " ").alias("support"), F.array_max("l").alias("greatest"))
+    return rows.select(
+        "page_id",
+        F.size("l").alias("n"),
+        F.size(html.legal_urls(F.col("l"))).alias("n_legal"),
+        F.array_join(html.support_urls(F.col("l")), " ").alias("support"),
+        F.array_max("l").alias("greatest"),
+    )
 
 
 SQL_CRAWLER = f"""
@@ -231,7 +325,13 @@ g AS (
 SELECT p.page_id, coalesce(n, 0)::INTEGER AS n, coalesce(n_legal, 0)::INTEGER AS n_legal, coalesce(support, '') AS support, greatest FROM pages p LEFT JOIN g ON g.page_id = p.page_id
 """
 
-_PLACES = ("{k} Main Street, Salem, OR 97301", "no place", "{k} Elm Rd. Boston MA 02101-1234", "{k} Straße, Kiel, DE 24103x", "at {k} Oak Ave, Reno, NV 89501 and {k} Oak Ave, Reno, NV 89501 or 9 Pine, Troy, NY 12180.")
+_PLACES = (
+    "{k} Main Street, Salem, OR 97301",
+    "no place",
+    "{k} Elm Rd. Boston MA 02101-1234",
+    "{k} Straße, Kiel, DE 24103x",
+    "at {k} Oak Ave, Reno, NV 89501 and {k} Oak Ave, Reno, NV 89501 or 9 Pine, Troy, NY 12180.",
+)
 
 
 def address_hints(spark, sf):
@@ -245,20 +345,38 @@ SELECT o_orderkey, array_to_string(list_sort(list_distinct(regexp_extract_all(re
 
 # ---------------------------------------------------------------- markers and terms as shipped
 
-_DOMAINS = ("example.com", "a.example.org", "Localhost.", "shop.example.net", "", "my-placeholder.net", "tbd.io", "pending.example", " test ", "testing.io", "good.io")
-_NOTES = (*t.INFERRED_MARKERS, *t.SECONDARY_MARKERS, *t.FIRST_PARTY_MARKERS, "confirmed by the site", "Confirmed", "unconfirmed terms", "nothing", "Redirects to", "formerly X", "Now At y")
+_DOMAINS = (
+    "example.com", "a.example.org", "Localhost.", "shop.example.net", "", "my-placeholder.net", "tbd.io",
+    "pending.example", " test ", "testing.io", "good.io",
+)
+_NOTES = (
+    *t.INFERRED_MARKERS, *t.SECONDARY_MARKERS, *t.FIRST_PARTY_MARKERS, "confirmed by the site", "Confirmed",
+    "unconfirmed terms", "nothing", "Redirects to", "formerly X", "Now At y",
+)
 
 
 def shipped_markers(spark, sf):
     """Evidence tiers and note rules with the shipped marker lists."""
     note = F.concat(F.lit("Seen "), F.expr(_pick("c_custkey", _NOTES)), F.lit(" x"))
-    rows = _t(spark, sf, "customer").select(F.col("c_custkey").alias("id"), note.alias("n"), F.expr(_pick("(c_custkey div 7)", ("", "news article", "direct fetch", "nothing"))).alias("s"), F.expr(_pick("c_custkey", _DOMAINS)).alias("d"), ((F.col("c_custkey") % 11) / 10).alias("sure"))
+    rows = _t(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"),
+        note.alias("n"),
+        F.expr(_pick("(c_custkey div 7)", ("", "news article", "direct fetch", "nothing"))).alias("s"),
+        F.expr(_pick("c_custkey", _DOMAINS)).alias("d"),
+        ((F.col("c_custkey") % 11) / 10).alias("sure"),
+    )
     c = F.col
     tier = rules.evidence_tier(c("n"), c("s"))
     return rows.select(
-        "id", tier.alias("tier"), rules.row_tier(c("n"), c("s"), c("sure")).alias("row_tier"), rules.tier_cap(tier).alias("cap"), rules.downgraded(rules.tier_level(tier)).alias("downgraded"), rules.weak_notes(c("n"), c("s")).alias("weak"),
-        rules.redirect_shell(c("n"), c("s")).alias("redirect"), rules.placeholder_domain(c("d")).alias("placeholder"),
-    )
+        "id",
+        tier.alias("tier"),
+        rules.row_tier(c("n"), c("s"), c("sure")).alias("row_tier"),
+        rules.tier_cap(tier).alias("cap"),
+        rules.downgraded(rules.tier_level(tier)).alias("downgraded"),
+        rules.weak_notes(c("n"), c("s")).alias("weak"),
+        rules.redirect_shell(c("n"), c("s")).alias("redirect"),
+        rules.placeholder_domain(c("d")).alias("placeholder"),
+    )
 
 
 def _any(x: str, words: Sequence[str]) -> str:
@@ -285,13 +403,27 @@ _WORDS = (*t.OPERATOR_TERMS, *t.PROMOTER_TERMS, *t.PROVIDER_TERMS, *t.PAYMENT_TE
 def shipped_terms(spark, sf):
     """Entity types by the shipped term lists, with every kind of hint."""
     one = lambda shift: F.expr(_pick(f"(p_partkey * {shift} + p_partkey div 9)", _WORDS))
-    rows = _t(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.concat_ws(" and ", one(1), one(3), one(5)).alias("notes"))
+    rows = _t(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"),
+        F.concat_ws(" and ", one(1), one(3), one(5)).alias("notes"),
+    )
     k = F.col("id")
     kind, why = rules.entity_type(
-        tx.norm_blob(F.col("notes"), F.lit(None)), raw_type=F.when(k % 10 == 0, " Provider").otherwise("x"), provider_type=F.when(k % 14 == 0, "slots"), pattern_fields=k % 15 == 0, promotes=k % 4, uses_provider=(k + 1) % 5,
-        domain=F.when(k % 13 == 0, "nodot").otherwise("a.b"), legal_anchor=k % 3 == 0,
-    )
-    return rows.select("id", kind.alias("kind"), F.size(why).alias("n_reasons"), F.element_at(why, -1).alias("last_reason"))
+        tx.norm_blob(F.col("notes"), F.lit(None)),
+        raw_type=F.when(k % 10 == 0, " Provider").otherwise("x"),
+        provider_type=F.when(k % 14 == 0, "slots"),
+        pattern_fields=k % 15 == 0,
+        promotes=k % 4,
+        uses_provider=(k + 1) % 5,
+        domain=F.when(k % 13 == 0, "nodot").otherwise("a.b"),
+        legal_anchor=k % 3 == 0,
+    )
+    return rows.select(
+        "id",
+        kind.alias("kind"),
+        F.size(why).alias("n_reasons"),
+        F.element_at(why, -1).alias("last_reason"),
+    )
 
 
 def _hits(x: str, words: Sequence[str]) -> str:
@@ -320,7 +452,16 @@ FROM m
 def known_domains(spark, sf):
     """The first entity of a known kind that names a domain has it."""
     kind = F.expr(_pick("s_suppkey", ("operator", "promoter", "provider", "payment_path", "other")))
-    rows = _t(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("name"), kind.alias("entity_type"), F.array(F.concat(F.lit("d"), F.col("s_nationkey").cast("string"), F.lit(".example")), F.lit("")).alias("domains"), F.col("s_suppkey").alias("ordinal"))
+    rows = _t(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("id"),
+        F.col("s_name").alias("name"),
+        kind.alias("entity_type"),
+        F.array(
+            F.concat(F.lit("d"), F.col("s_nationkey").cast("string"), F.lit(".example")),
+            F.lit(""),
+        ).alias("domains"),
+        F.col("s_suppkey").alias("ordinal"),
+    )
     return crawl.domain_index(rows).select("domain", "kind", "entity_id")
 
 
@@ -330,6 +471,13 @@ SELECT domain, min_by(kind, k) AS kind, min(k)::VARCHAR AS entity_id FROM s GROU
 """
 
 ALL: dict[str, tuple] = {
-    "cell_functions": (cell_functions, SQL_CELLS), "host_forms": (host_forms, SQL_FORMS), "infrastructure_filters": (infrastructure_filters, SQL_INFRASTRUCTURE), "page_signals": (page_signals, SQL_SIGNALS), "crawler_links": (crawler_links, SQL_CRAWLER),
-    "address_hints": (address_hints, SQL_ADDRESSES), "shipped_markers": (shipped_markers, SQL_MARKERS), "shipped_terms": (shipped_terms, SQL_SHIPPED), "known_domains": (known_domains, SQL_KNOWN),
-}
+    "cell_functions": (cell_functions, SQL_CELLS),
+    "host_forms": (host_forms, SQL_FORMS),
+    "infrastructure_filters": (infrastructure_filters, SQL_INFRASTRUCTURE),
+    "page_signals": (page_signals, SQL_SIGNALS),
+    "crawler_links": (crawler_links, SQL_CRAWLER),
+    "address_hints": (address_hints, SQL_ADDRESSES),
+    "shipped_markers": (shipped_markers, SQL_MARKERS),
+    "shipped_terms": (shipped_terms, SQL_SHIPPED),
+    "known_domains": (known_domains, SQL_KNOWN),
+}

@@ -25,15 +25,31 @@ def csv_table(spark: SparkSession, path: str, columns: Sequence[str], *, trimmed
 
     The header names the columns; those of ``columns`` that the file lacks are empty.
     """
-    schema = T.StructType([*(T.StructField(c, T.StringType()) for c in columns), T.StructField("ordinal", T.LongType())])
+    schema = T.StructType(
+        [*(T.StructField(c, T.StringType()) for c in columns), T.StructField("ordinal", T.LongType())]
+    )
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    raw = spark.read.csv(path, header=True, multiLine=True, escape='"', enforceSchema=False, emptyValue="", nullValue="\0")
+    raw = spark.read.csv(
+        path,
+        header=True,
+        multiLine=True,
+        escape='"',
+        enforceSchema=False,
+        emptyValue="",
+        nullValue="\0",
+    )
     # A multi-line file is one partition, in which ids rise with the rows.
     rows = raw.withColumn("ordinal", F.monotonically_increasing_id() + 1)
     have = {c.strip(): c for c in raw.columns}
     cell = lambda c: F.coalesce(F.col(f"`{have[c]}`"), F.lit("")) if c in have else F.lit("")
-    return rows.select(*((strip(cell(c)) if trimmed else cell(c)).alias(c) for c in dict.fromkeys([*columns, *(h for h in have if h not in columns)])), "ordinal")
+    return rows.select(
+        *(
+            (strip(cell(c)) if trimmed else cell(c)).alias(c)
+            for c in dict.fromkeys([*columns, *(h for h in have if h not in columns)])
+        ),
+        "ordinal",
+    )
 
 
 def json_rows(spark: SparkSession, path: str, schema: T.StructType, field: str | None = None) -> DataFrame:
@@ -45,7 +61,10 @@ def json_rows(spark: SparkSession, path: str, schema: T.StructType, field: str |
         rows = spark.read.schema(schema).json(path, multiLine=True)
         return rows.withColumn("ordinal", F.monotonically_increasing_id())
     doc = spark.read.schema(T.StructType([T.StructField(field, T.ArrayType(schema))])).json(path, multiLine=True)
-    return doc.select(F.posexplode(field).alias("ordinal", "r")).select("r.*", F.col("ordinal").cast("long").alias("ordinal"))
+    return doc.select(F.posexplode(field).alias("ordinal", "r")).select(
+        "r.*",
+        F.col("ordinal").cast("long").alias("ordinal"),
+    )
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
@@ -66,7 +85,9 @@ def domain_records(documents: DataFrame, value: str = "value") -> DataFrame:
 
     doc = documents.select(F.try_parse_json(value).alias("d"))
     entry = doc.lateralJoin(documents.sparkSession.tvf.variant_explode(F.col("d").outer()))
-    rows = entry.where("key IS NOT NULL").withColumn("domain", plain_domain(F.col("key"))).where((F.col("domain") != "") & F.startswith(F.schema_of_variant("value"), F.lit("OBJECT")))
+    rows = entry.where("key IS NOT NULL").withColumn("domain", plain_domain(F.col("key"))).where(
+        (F.col("domain") != "") & F.startswith(F.schema_of_variant("value"), F.lit("OBJECT"))
+    )
 
     def strings(path: str):
         v = F.try_variant_get("value", path, "variant")
@@ -79,12 +100,23 @@ def domain_records(documents: DataFrame, value: str = "value") -> DataFrame:
         return F.coalesce(F.try_variant_get("value", path, "boolean"), F.lit(False))
 
     empty = F.array().cast("array<string>")
-    mail = lambda path: (lambda m: F.when(F.size(m) > 0, m))(F.filter(F.try_variant_get("value", path, "array<struct<host:string,priority:int>>"), lambda x: x.isNotNull()))
+    mail = lambda path: (lambda m: F.when(F.size(m) > 0, m))(
+        F.filter(F.try_variant_get("value", path, "array<struct<host:string,priority:int>>"), lambda x: x.isNotNull())
+    )
     sans = F.transform(F.coalesce(strings("$.sans"), strings("$.san"), strings("$.tls.sans"), empty), plain_domain)
     found = rows.select(
-        "domain", "pos" if "pos" in rows.columns else F.lit(0).alias("pos"), sans.alias("sans"), F.coalesce(strings("$.nameservers"), strings("$.dns.nameservers"), empty).alias("nameservers"),
-        F.coalesce(mail("$.mx"), mail("$.dns.mx"), F.array().cast("array<struct<host:string,priority:int>>")).alias("mx"), (flag("$.partial") | flag("$.tls.partial")).alias("tls_partial"), (flag("$.partial") | flag("$.dns.partial")).alias("dns_partial"),
-    )
+        "domain",
+        "pos" if "pos" in rows.columns else F.lit(0).alias("pos"),
+        sans.alias("sans"),
+        F.coalesce(strings("$.nameservers"), strings("$.dns.nameservers"), empty).alias("nameservers"),
+        F.coalesce(
+            mail("$.mx"),
+            mail("$.dns.mx"),
+            F.array().cast("array<struct<host:string,priority:int>>"),
+        ).alias("mx"),
+        (flag("$.partial") | flag("$.tls.partial")).alias("tls_partial"),
+        (flag("$.partial") | flag("$.dns.partial")).alias("dns_partial"),
+    )
     return keep_last(found, ["domain"], ["pos"]).drop("pos")
 
 
@@ -98,10 +130,14 @@ def dump_rows(rows: DataFrame) -> DataFrame:
     """Rows of an affiliation dump under fixed names: from_domain (or left), to_domain (or right),
     relationship (related_to), confidence (0.5), notes and sources. rows carry ``ordinal``."""
     return rows.select(
-        "ordinal", F.coalesce(_given(rows, "from_domain", "left"), F.lit("")).alias("from_domain"), F.coalesce(_given(rows, "to_domain", "right"), F.lit("")).alias("to_domain"),
-        F.coalesce(_given(rows, "relationship"), F.lit("related_to")).alias("relationship"), F.coalesce(_given(rows, "confidence").try_cast("double"), F.lit(0.5)).alias("confidence"),
-        F.coalesce(_given(rows, "notes"), F.lit("")).alias("notes"), F.coalesce(_given(rows, "sources"), F.lit("")).alias("sources"),
-    )
+        "ordinal",
+        F.coalesce(_given(rows, "from_domain", "left"), F.lit("")).alias("from_domain"),
+        F.coalesce(_given(rows, "to_domain", "right"), F.lit("")).alias("to_domain"),
+        F.coalesce(_given(rows, "relationship"), F.lit("related_to")).alias("relationship"),
+        F.coalesce(_given(rows, "confidence").try_cast("double"), F.lit(0.5)).alias("confidence"),
+        F.coalesce(_given(rows, "notes"), F.lit("")).alias("notes"),
+        F.coalesce(_given(rows, "sources"), F.lit("")).alias("sources"),
+    )
 
 
 def pretty_json(path: str, value) -> None:

@@ -10,8 +10,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", "/tmp/checkpoints/domscope-tests").getOrCreate()
-    )
+        SparkSession.builder.master("local[4]")
+        .appName("tests")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "4g")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", "/tmp/checkpoints/domscope-tests")
+        .getOrCreate()
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session

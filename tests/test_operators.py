@@ -30,7 +30,11 @@ def _brute_components(edges):
 @pytest.mark.parametrize("local", [7, 200_000])
 def test_components(spark, local):
     rng = random.Random(local)
-    edges = [(rng.randrange(120), rng.randrange(120)) for _ in range(70)] + [(200 + k, 201 + k) for k in range(25)] + [(9, 9), (3, 3)]
+    edges = (
+        [(rng.randrange(120), rng.randrange(120)) for _ in range(70)]
+        + [(200 + k, 201 + k) for k in range(25)]
+        + [(9, 9), (3, 3)]
+    )
     frame = spark.createDataFrame([*edges, (None, 1), (2, None)], "a long, b long").repartition(4)
     got = _rows(graph.components(frame, "a", "b", local_edges=local))
     assert got == _brute_components([e for e in edges if e[0] != e[1]])
@@ -41,9 +45,16 @@ def test_components_of_nothing(spark):
 
 
 def test_keep_first_and_last(spark):
-    df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 3, None), (None, 1, "n")], "k string, o int, v string")
-    assert sorted(map(repr, keyed.keep_first(df, ["k"], ["o"]).collect())) == sorted(map(repr, df.where("v IS NULL OR v <> 'x'").collect()))
-    assert {(r["k"], r["v"]) for r in keyed.keep_last(df, ["k"], ["o"]).collect()} == {("a", "x"), ("b", None), (None, "n")}
+    df = spark.createDataFrame(
+        [("a", 2, "x"), ("a", 1, "y"), ("b", 3, None), (None, 1, "n")],
+        "k string, o int, v string",
+    )
+    assert sorted(
+        map(repr, keyed.keep_first(df, ["k"], ["o"]).collect())
+    ) == sorted(map(repr, df.where("v IS NULL OR v <> 'x'").collect()))
+    assert {
+        (r["k"], r["v"]) for r in keyed.keep_last(df, ["k"], ["o"]).collect()
+    } == {("a", "x"), ("b", None), (None, "n")}
 
 
 def test_merge_first(spark):
@@ -56,26 +67,41 @@ def test_edges(spark):
     nodes = spark.createDataFrame([("a",), ("b",), (None,)], "id string")
     edges = spark.createDataFrame([("a", "b"), ("x", "y"), ("a", "y"), (None, "a")], "from_id string, to_id string")
     assert _rows(keyed.valid_edges(edges, nodes)) == [("a", "b")]
-    assert {r["error"] for r in keyed.edge_errors(edges, nodes).collect()} == {"unknown from_id: x", "unknown to_id: y", "unknown from_id: "}
+    assert {
+        r["error"] for r in keyed.edge_errors(edges, nodes).collect()
+    } == {"unknown from_id: x", "unknown to_id: y", "unknown from_id: "}
 
 
 def test_lookup_first(spark):
     left = spark.createDataFrame([("h",), ("g",), (None,)], "host string")
-    index = spark.createDataFrame([("h", "second", 2), ("h", "first", 1), (None, "no", 0)], "domain string, who string, o int")
-    assert sorted(((r["host"] or ""), r["hit_who"]) for r in keyed.lookup_first(left, index, "host", "domain", ["o"]).collect()) == [("", None), ("g", None), ("h", "first")]
+    index = spark.createDataFrame(
+        [("h", "second", 2), ("h", "first", 1), (None, "no", 0)],
+        "domain string, who string, o int",
+    )
+    assert sorted(
+        ((r["host"] or ""), r["hit_who"]) for r in keyed.lookup_first(left, index, "host", "domain", ["o"]).collect()
+    ) == [("", None), ("g", None), ("h", "first")]
 
 
 def test_shared_keys(spark):
-    rows = spark.createDataFrame([("k", "b", 1), ("k", "a", 2), ("k", "a", 3), ("j", "a", 1), (None, "a", 1), ("k", None, 1)], "key string, m string, o int")
+    rows = spark.createDataFrame(
+        [("k", "b", 1), ("k", "a", 2), ("k", "a", 3), ("j", "a", 1), (None, "a", 1), ("k", None, 1)],
+        "key string, m string, o int",
+    )
     assert _rows(pairs.shared_keys(rows, "key", "m")) == [("a", "b", "k")]
     assert _rows(pairs.shared_keys(rows, "key", "m", order="o")) == [("b", "a", "k")]
     assert _rows(pairs.shared_keys(rows, "key", "m", max_members=1)) == []
 
 
 def test_overlaps(spark):
-    rows = spark.createDataFrame([(m, k) for m, ks in {"x": "abc", "y": "bcd", "z": "d"}.items() for k in ks], "m string, k string")
+    rows = spark.createDataFrame(
+        [(m, k) for m, ks in {"x": "abc", "y": "bcd", "z": "d"}.items() for k in ks],
+        "m string, k string",
+    )
     got = pairs.overlaps(rows, "k", "m", least=2).collect()
-    assert [(r["left"], r["right"], r["n"], r["least_key"], r["sample"]) for r in got] == [("x", "y", 2, "b", ["b", "c"])]
+    assert [
+        (r["left"], r["right"], r["n"], r["least_key"], r["sample"]) for r in got
+    ] == [("x", "y", 2, "b", ["b", "c"])]
 
 
 def test_reciprocal(spark):
@@ -84,32 +110,65 @@ def test_reciprocal(spark):
 
 
 def test_star_and_complete(spark):
-    rows = spark.createDataFrame([("g", "n", 2), ("g", "m", 1), ("g", "o", 3), ("h", "z", 1), (None, "q", 1)], "k string, m string, o int")
+    rows = spark.createDataFrame(
+        [("g", "n", 2), ("g", "m", 1), ("g", "o", 3), ("h", "z", 1), (None, "q", 1)],
+        "k string, m string, o int",
+    )
     assert _rows(pairs.star(rows, "k", "m", "o")) == [("m", "n", "g"), ("m", "o", "g")]
     assert _rows(pairs.complete(rows, "k", "m")) == [("m", "n", "g"), ("m", "o", "g"), ("n", "o", "g")]
 
 
 def test_pair_scores(spark):
-    rows = spark.createDataFrame([("a", "b", 1, "t1", "v", 60), ("a", "b", 0, "t0", "w", 60), ("a", "c", 0, "t0", "w", 0)], "left string, right string, rank int, type string, value string, weight int")
+    rows = spark.createDataFrame(
+        [("a", "b", 1, "t1", "v", 60), ("a", "b", 0, "t0", "w", 60), ("a", "c", 0, "t0", "w", 0)],
+        "left string, right string, rank int, type string, value string, weight int",
+    )
     (r,) = pairs.pair_scores(rows).collect()
     assert (r["score"], [e["type"] for e in r["evidence"]]) == (100, ["t0", "t1"])
 
 
 def test_sightings(spark):
-    rows = spark.createDataFrame([("h", "u2", "t2", 2), ("h", "u1", "t1", 1), ("h", "u2", "t3", 3)], "k string, u string, t string, o int")
-    assert [tuple(r) for r in keyed.sightings(rows, "k", "u", "t", ["o"]).collect()] == [("h", "t1", "t3", ["u1", "u2"])]
+    rows = spark.createDataFrame(
+        [("h", "u2", "t2", 2), ("h", "u1", "t1", 1), ("h", "u2", "t3", 3)],
+        "k string, u string, t string, o int",
+    )
+    assert [
+        tuple(r) for r in keyed.sightings(rows, "k", "u", "t", ["o"]).collect()
+    ] == [("h", "t1", "t3", ["u1", "u2"])]
 
 
 def test_count_by(spark):
-    assert [tuple(r) for r in keyed.count_by(spark.range(5).select((F.col("id") % 2).alias("k")), "k").collect()] == [(0, 3), (1, 2)]
+    assert [
+        tuple(r) for r in keyed.count_by(spark.range(5).select((F.col("id") % 2).alias("k")), "k").collect()
+    ] == [(0, 3), (1, 2)]
 
 
 @pytest.mark.parametrize("least", [1, 2, 3, 5])
 def test_overlaps_against_all_pairs(spark, least):
     """The filter by first keys loses no pair, whatever the frequencies."""
     rng = random.Random(least)
-    sets = {f"m{k}": {f"k{min(int(rng.expovariate(0.15)), 30)}" for _ in range(rng.randrange(12))} | ({"all"} if k % 5 else set()) for k in range(60)}
-    rows = [(m, x) for m, s in sets.items() for x in s] + [("m1", None), (None, "all"), *(("m2", x) for x in sets["m2"])]
-    got = {(r["left"], r["right"]): (r["n"], r["least_key"], r["sample"]) for r in pairs.overlaps(spark.createDataFrame(rows, "member string, key string"), "key", "member", least=least, sample=2).collect()}
-    want = {(a, b): (len(s := sorted(sets[a] & sets[b])), s[0], s[:2]) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= least}
+    sets = {
+        f"m{k}": {f"k{min(int(rng.expovariate(0.15)), 30)}" for _ in range(rng.randrange(12))}
+        | ({"all"} if k % 5 else set())
+        for k in range(60)
+    }
+    rows = (
+        [(m, x) for m, s in sets.items() for x in s] + [("m1", None), (None, "all"), *(("m2", x) for x in sets["m2"])]
+    )
+    got = {
+        (r["left"], r["right"]): (r["n"], r["least_key"], r["sample"])
+        for r in pairs.overlaps(
+            spark.createDataFrame(rows, "member string, key string"),
+            "key",
+            "member",
+            least=least,
+            sample=2,
+        ).collect()
+    }
+    want = {
+        (a, b): (len(s := sorted(sets[a] & sets[b])), s[0], s[:2])
+        for a in sets
+        for b in sets
+        if a < b and len(sets[a] & sets[b]) >= least
+    }
     assert got == want

@@ -35,11 +35,21 @@ def site():
 
 
 def test_fetch(spark, site):
-    urls = [f"{site}/page", f"{site}/moved", f"{site}/none", f"{site}/page", "http://127.0.0.1:1/", "ftp://x/", "file:///etc/passwd", None, ""]
-    got = {r["url"]: (r["final_url"], r["status"], r["html"]) for r in fetch.pages(spark.createDataFrame([(u,) for u in urls], "url string"), timeout=5).collect()}
-    assert got[f"{site}/page"] == (f"{site}/page", 200, "<p>ü�") and got[f"{site}/moved"] == (f"{site}/page", 200, "<p>ü�")
+    urls = [
+        f"{site}/page", f"{site}/moved", f"{site}/none", f"{site}/page", "http://127.0.0.1:1/", "ftp://x/",
+        "file:///etc/passwd", None, "",
+    ]
+    got = {
+        r["url"]: (r["final_url"], r["status"], r["html"])
+        for r in fetch.pages(spark.createDataFrame([(u,) for u in urls], "url string"), timeout=5).collect()
+    }
+    assert got[f"{site}/page"] == (
+        f"{site}/page", 200, "<p>ü�",
+    ) and got[f"{site}/moved"] == (f"{site}/page", 200, "<p>ü�")
     assert got[f"{site}/none"] == (f"{site}/none", 404, "")
-    assert all(got[u] == (u, -1, "") for u in ("http://127.0.0.1:1/", "ftp://x/", "file:///etc/passwd", "")) and len(got) == 7
+    assert all(
+        got[u] == (u, -1, "") for u in ("http://127.0.0.1:1/", "ftp://x/", "file:///etc/passwd", "")
+    ) and len(got) == 7
     assert Site.asked.count("/moved") == 1
     assert fetch.pages(spark.createDataFrame([], "url string")).collect() == []
 

@@ -21,26 +21,53 @@ RESEARCH = (
 )
 IMPORT = "primary_domain,name,notes,confidence,duplicate_group_id,other_domains\nc1.example,C1,official site,high,g1,\nc2.example,C2,,0.7,g1,x.example\n"
 PAGES = [
-    ("https://best-review.example/", '<a href="https://one.example/x">a</a><a href="https://lucky-casino.example/">b</a><a href="/next">n</a><script src="https://cdn.example/a.js"></script>'),
-    ("https://best-review.example/next", '<a href="https://two.example/">c</a><title>Bonus Guide</title><footer>Run by somebody with care</footer>'), ("https://one.example/", "<title>One Casino</title><script src='//cdn2.example/x'></script>"),
-]
+    (
+        "https://best-review.example/",
+        '<a href="https://one.example/x">a</a><a href="https://lucky-casino.example/">b</a><a href="/next">n</a><script src="https://cdn.example/a.js"></script>',
+    ),
+    (
+        "https://best-review.example/next",
+        '<a href="https://two.example/">c</a><title>Bonus Guide</title><footer>Run by somebody with care</footer>',
+    ),
+    ("https://one.example/", "<title>One Casino</title><script src='//cdn2.example/x'></script>"),
+]
 
 
 @pytest.fixture(scope="module")
 def root(spark, tmp_path_factory):
     d = tmp_path_factory.mktemp("work")
-    for folder, tables in (("seeds", SEEDS), ("research_candidates", {"fingerprint_dump": RESEARCH}), ("research_candidates/scout_import", {"operators_candidates": IMPORT})):
+    for folder, tables in (
+        ("seeds", SEEDS),
+        ("research_candidates", {"fingerprint_dump": RESEARCH}),
+        ("research_candidates/scout_import", {"operators_candidates": IMPORT}),
+    ):
         (d / "data" / folder).mkdir(parents=True)
         for name, text in tables.items():
             (d / "data" / folder / f"{name}.csv").write_text(text, encoding="utf-8")
     (d / "data/seeds/seed_urls.txt").write_text("# seeds\nhttps://best-review.example/\n\n", encoding="utf-8")
-    (d / "data/research_candidates/affiliations_dump.json").write_text(json.dumps([{"left": "NEW.example", "right": "other.example"}, {"from_domain": "new.example", "to_domain": "none.example", "confidence": 0.9}]), encoding="utf-8")
+    (d / "data/research_candidates/affiliations_dump.json").write_text(
+        json.dumps(
+            [
+                {"left": "NEW.example", "right": "other.example"},
+                {"from_domain": "new.example", "to_domain": "none.example", "confidence": 0.9},
+            ]
+        ),
+        encoding="utf-8",
+    )
     spark.createDataFrame(PAGES, "url string, html string").write.parquet(str(d / "pages"))
     return d
 
 
 def _run(spark, root, *argv):
-    return cli.run(spark, cli.parser().parse_args([argv[0], "--root", str(root), "--run-time", "2026-01-02T03:04:05Z", "--pages", str(root / "pages"), *argv[1:]]))
+    return cli.run(
+        spark,
+        cli.parser().parse_args(
+            [
+                argv[0], "--root", str(root), "--run-time", "2026-01-02T03:04:05Z", "--pages", str(root / "pages"),
+                *argv[1:],
+            ]
+        ),
+    )
 
 
 def _read(root, name):
@@ -51,28 +78,65 @@ def test_chain(spark, root, capsys):
     """Every stage in order, each from the documents of those before."""
     assert _run(spark, root, "normalize") == 0
     said = capsys.readouterr()
-    assert "one.example belongs to operator:op1, operator:op4" in said.err and "unknown to_id: gone" in said.err and json.loads(said.out)["entities"] == 7
+    assert "one.example belongs to operator:op1, operator:op4" in said.err and "unknown to_id: gone" in said.err and json.loads(
+        said.out
+    )[
+        "entities"
+    ] == 7
     ents = _read(root, "normalized/entities")
-    assert [e["id"] for e in ents] == ["op1", "op2", "op3", "op4", "pr1", "pv1", "py1"] and ents[0]["notes"] == 'n, "q"' and "promoter_type" not in ents[0]["attributes"] and ents[0]["first_seen"] == "2026-01-02T03:04:05Z"
-    for stage in (["enrich", "--fetch"], ["affiliations"], ["export"], ["monitor"], ["discover"], ["extract", "--limit", "5"], ["import"], ["review-import"], ["stage"], ["cluster"], ["review-queue"], ["review-rules"], ["export-reviewed", "--include-after-review"], ["promote"]):
+    assert [e["id"] for e in ents] == [
+        "op1", "op2", "op3", "op4", "pr1", "pv1", "py1",
+    ] and ents[0]["notes"] == 'n, "q"' and "promoter_type" not in ents[0][
+        "attributes"
+    ] and ents[0]["first_seen"] == "2026-01-02T03:04:05Z"
+    for stage in (
+        ["enrich", "--fetch"],
+        ["affiliations"],
+        ["export"],
+        ["monitor"],
+        ["discover"],
+        ["extract", "--limit", "5"],
+        ["import"],
+        ["review-import"],
+        ["stage"],
+        ["cluster"],
+        ["review-queue"],
+        ["review-rules"],
+        ["export-reviewed", "--include-after-review"],
+        ["promote"],
+    ):
         assert _run(spark, root, *stage) == 0, stage
     prints = {f["entity_id"]: f for f in _read(root, "normalized/fingerprints")}
-    assert prints["op1"]["technical"]["script_domains"] == ["cdn.example", "cdn2.example"] and prints["op2"]["flow"]["cashier_paths"] == ["/pay"]
+    assert prints["op1"]["technical"]["script_domains"] == [
+        "cdn.example", "cdn2.example",
+    ] and prints["op2"]["flow"]["cashier_paths"] == ["/pay"]
     pair = _read(root, "normalized/affiliations")[0]
     assert (pair["left_id"], pair["right_id"], pair["score"], pair["label"]) == ("op1", "op2", 75, "strong_affiliation")
     block = _read(root, "published/block_candidates")
-    assert block["domains"] == ["one.example", "studio.example", "two.example"] and [r["entity_id"] for r in block["source_entities"]] == ["op1", "op2", "op4", "pv1"]
+    assert block["domains"] == ["one.example", "studio.example", "two.example"] and [
+        r["entity_id"] for r in block["source_entities"]
+    ] == ["op1", "op2", "op4", "pv1"]
     assert _read(root, "published/intel_snapshot")["affiliations"][0] == pair
     assert [r["domain"] for r in _read(root, "candidates/operators_candidates")] == ["lucky-casino.example"]
     assert _read(root, "candidates/relationships_suggested")[0]["relationship"] == "promotes"
-    assert {r["domain"] for r in _read(root, "candidates/discovered_domains")} == {"best-review.example", "one.example", "two.example", "lucky-casino.example"}
-    assert {r["domain"] for r in _read(root, "research_candidates/extracted_fingerprints")["fingerprints"]} == {"best-review.example", "one.example"}
+    assert {r["domain"] for r in _read(root, "candidates/discovered_domains")} == {
+        "best-review.example", "one.example", "two.example", "lucky-casino.example",
+    }
+    assert {
+        r["domain"] for r in _read(root, "research_candidates/extracted_fingerprints")["fingerprints"]
+    } == {"best-review.example", "one.example"}
     staged = _read(root, "research_candidates/staged_from_scout/promotion_review_summary")
-    assert staged["counts"]["duplicate_edges"] == 1 and staged["duplicate_group_ids"] == ["g1"] and staged["counts"]["by_hint"] == {"operator": 2}
+    assert staged["counts"]["duplicate_edges"] == 1 and staged[
+        "duplicate_group_ids"
+    ] == ["g1"] and staged["counts"]["by_hint"] == {"operator": 2}
     research = _read(root, "research_candidates/staged_entities")["entities"]
     assert [e["candidate_id"] for e in research] == ["research_0001", "research_0002", "research_0004"]
     edges = _read(root, "research_candidates/staged_relationships")["relationships"]
-    assert [(e["from_candidate_id"], e["to_candidate_id"]) for e in edges] == [("research_0001", "research_0002"), ("research_0001", "research_0002"), ("research_0001", None)] and edges[1]["resolution_status"] == "resolved" and edges[2]["confidence"] == 0.9
+    assert [(e["from_candidate_id"], e["to_candidate_id"]) for e in edges] == [
+        ("research_0001", "research_0002"),
+        ("research_0001", "research_0002"),
+        ("research_0001", None),
+    ] and edges[1]["resolution_status"] == "resolved" and edges[2]["confidence"] == 0.9
     groups = _read(root, "research_candidates/staged_clusters")["clusters"]
     assert any({"one.example", "two.example", "new.example", "other.example"} <= set(g["members"]) for g in groups)
     queue = _read(root, "research_candidates/review_queue")
@@ -82,7 +146,9 @@ def test_chain(spark, root, capsys):
     assert decisions["decision_count"] == len(decisions["decisions"]) > 5
     listed = _read(root, "published/reviewed_blocklist")
     lines = (root / "data/published/reviewed_domains.txt").read_text(encoding="utf-8").splitlines()
-    assert lines[0].startswith("# Generated") and lines[1:] == listed["domains"] and listed["domain_count"] == len(listed["domains"]) > 0
+    assert lines[0].startswith("# Generated") and lines[1:] == listed["domains"] and listed["domain_count"] == len(
+        listed["domains"]
+    ) > 0
     for folder in ("enrichment", "monthly/2026-01", "discovery", "extraction", "clusters", "review_rules"):
         [report] = list((root / "reports" / folder).iterdir())
         assert json.loads(report.read_text(encoding="utf-8"))["generated_at"] == "2026-01-02T03:04:05Z"
@@ -96,9 +162,15 @@ def test_promotion(spark, root):
     before = (root / "data/seeds/operators.csv").read_text(encoding="utf-8")
     assert _run(spark, root, "promote", "--apply-to-seeds") == 2
     assert (root / "data/seeds/operators.csv").read_text(encoding="utf-8") == before
-    rows = (root / "data/research_candidates/promotion_preview/proposed_operators.csv").read_text(encoding="utf-8").splitlines()
-    assert rows[0] == ",".join(OPERATORS) and rows[1].startswith("operator_new_example,New,new.example,,inactive,0.85,Acme Ltd")
-    prints = (root / "data/research_candidates/promotion_preview/proposed_fingerprints_partial.csv").read_text(encoding="utf-8").splitlines()
+    rows = (
+        root / "data/research_candidates/promotion_preview/proposed_operators.csv"
+    ).read_text(encoding="utf-8").splitlines()
+    assert rows[0] == ",".join(OPERATORS) and rows[1].startswith(
+        "operator_new_example,New,new.example,,inactive,0.85,Acme Ltd"
+    )
+    prints = (
+        root / "data/research_candidates/promotion_preview/proposed_fingerprints_partial.csv"
+    ).read_text(encoding="utf-8").splitlines()
     assert prints[0] == ",".join(PARTIAL) and prints[1].startswith("operator_new_example,")
 
 
@@ -109,16 +181,30 @@ def test_signed_documents(spark, root, tmp_path, caplog):
     for name, text in (("private.pem", private), ("public.pem", public)):
         (tmp_path / name).write_text(text, encoding="utf-8")
     work = Workspace(spark, root, run_time="2026-01-02T03:04:05Z")
-    entry = signing.trust_entry(tmp_path / "public.pem", "k1", ["intel_block_candidates", "domain_fingerprints"], "2026-01-01T00:00:00Z")
-    (tmp_path / "store.json").write_text(json.dumps({"schema_version": 1, "updated_at": "t", "keys": [entry]}), encoding="utf-8")
+    entry = signing.trust_entry(
+        tmp_path / "public.pem",
+        "k1",
+        ["intel_block_candidates", "domain_fingerprints"],
+        "2026-01-01T00:00:00Z",
+    )
+    (tmp_path / "store.json").write_text(
+        json.dumps({"schema_version": 1, "updated_at": "t", "keys": [entry]}),
+        encoding="utf-8",
+    )
     store = signing.load_trust_store(tmp_path / "store.json")
     work.export(blocklist_key=str(tmp_path / "private.pem"), blocklist_key_id="k1")
     signed = _read(root, "published/block_candidates")
-    assert signing.verify_envelope(keys, signed, store, "intel_block_candidates")["domains"] == ["one.example", "studio.example", "two.example"]
+    assert signing.verify_envelope(keys, signed, store, "intel_block_candidates")["domains"] == [
+        "one.example", "studio.example", "two.example",
+    ]
     with pytest.raises(signing.SigningKeyError):
         work.export(snapshot_key=str(tmp_path / "none.pem"))
 
-    records = {"one.example": {"sans": ["two.example"], "dns": {"nameservers": ["ns1.host.example"]}}, "two.example": {"san": "one.example"}, "bad": 3}
+    records = {
+        "one.example": {"sans": ["two.example"], "dns": {"nameservers": ["ns1.host.example"]}},
+        "two.example": {"san": "one.example"},
+        "bad": 3,
+    }
     path = tmp_path / "prints.json"
     path.write_text(json.dumps(records), encoding="utf-8")
     assert {r["domain"] for r in work.domain_fingerprints(str(path)).collect()} == {"one.example", "two.example"}
@@ -127,7 +213,13 @@ def test_signed_documents(spark, root, tmp_path, caplog):
     assert _run(spark, root, "cluster", "--fingerprints", str(path)) == 0
     with pytest.raises(signing.EnvelopeShapeError):
         work.domain_fingerprints(str(path), require_signed=True)
-    sealed = signing.sign_envelope(keys, {"artifact_type": "domain_fingerprints", "fingerprints": records}, private, "k1", "t")
+    sealed = signing.sign_envelope(
+        keys,
+        {"artifact_type": "domain_fingerprints", "fingerprints": records},
+        private,
+        "k1",
+        "t",
+    )
     path.write_text(json.dumps(sealed), encoding="utf-8")
     trust = {"trust_store": str(tmp_path / "store.json"), "expected_key_id": "k1"}
     assert work.domain_fingerprints(str(path), require_signed=True, **trust).count() == 2
@@ -159,9 +251,17 @@ def test_signed_documents(spark, root, tmp_path, caplog):
 def test_trust_entry(spark, tmp_path, capsys):
     _, public = signing.Keys(spark).generate()
     (tmp_path / "p.pem").write_text(public, encoding="utf-8")
-    assert cli.main(["trust-entry", "--pem", str(tmp_path / "p.pem"), "--key-id", "k", "--authorized-for", "a", "b", "--issued-at", "t"]) == 0
+    assert cli.main(
+        [
+            "trust-entry", "--pem", str(tmp_path / "p.pem"), "--key-id", "k", "--authorized-for", "a", "b",
+            "--issued-at", "t",
+        ]
+    ) == 0
     entry = json.loads(capsys.readouterr().out)
-    assert entry == {"key_id": "k", "algorithm": "ed25519", "public_key_pem": public, "issued_at": "t", "authorized_for": ["a", "b"], "revoked_at": None, "revocation_reason": None}
+    assert entry == {
+        "key_id": "k", "algorithm": "ed25519", "public_key_pem": public, "issued_at": "t", "authorized_for": ["a", "b"],
+        "revoked_at": None, "revocation_reason": None,
+    }
     (tmp_path / "p.pem").write_text("no key", encoding="utf-8")
     assert cli.main(["trust-entry", "--pem", str(tmp_path / "p.pem"), "--key-id", "k", "--authorized-for", "a"]) == 1
     assert cli.main(["trust-entry", "--pem", str(tmp_path / "none"), "--key-id", "k", "--authorized-for", "a"]) == 1
