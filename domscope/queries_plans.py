@@ -728,7 +728,7 @@ FROM x LEFT JOIN i a ON a.d = lower(f) LEFT JOIN i b ON b.d = t
 
 
 def cluster_edges(spark, sf):
-    """Evidence edges of every source but pages."""
+    """Evidence edges of every source."""
     k = F.col("s_suppkey")
     text = lambda p, x, s="": F.concat(F.lit(p), x.cast("string"), F.lit(s))
     sup = _t(spark, sf, "supplier")
@@ -762,6 +762,28 @@ def cluster_edges(spark, sf):
         F.lit("x").alias("relationship"),
         F.lit(None).cast("string").alias("notes"),
     )
+    staged_edges = sup.where("s_suppkey % 20 = 5").select(
+        F.lit("x").alias("relationship_type"),
+        F.create_map(
+            F.lit("note"),
+            F.concat(text("see U", k, ".Example, "), text("s", k, ".example and "), text("v", k, ".example ")),
+        ).alias("raw_row"),
+    )
+    mutual = sup.where("s_suppkey % 20 = 6").select(
+        text("s", k, ".example").alias("left"),
+        text("w", k, ".example").alias("right"),
+        F.when(k % 40 == 6, "tls_san_reciprocal").otherwise("tls_san_one_way").alias("type"),
+    )
+    pages = sup.where("s_suppkey % 20 < 2").select(
+        text("P", k, ".example").alias("domain"),
+        F.struct(
+            F.struct(
+                F.array(text("h", k % 3), text("i", k % 3)).alias("script_domains"),
+                F.array(text("j", k % 3)).alias("iframe_domains"),
+                F.array(F.lit("all.example")).alias("asset_domains"),
+            ).alias("technical")
+        ).alias("fingerprint"),
+    )
     discovered = sup.where("s_suppkey % 20 = 4").select(
         F.array(text("https://www.s", k, ".example:8/x"), text("http://r", k, ".example")).alias("redirect_chain")
     )
@@ -769,8 +791,11 @@ def cluster_edges(spark, sf):
         entities,
         prints,
         staged=staged,
+        extracted=pages,
+        staged_edges=staged_edges,
         dump=dump,
         discovered=discovered,
+        san_pairs=mutual,
         min_script_overlap=3,
     )
     return edges.select("left", "right", "reason")
@@ -789,6 +814,10 @@ e AS (
   UNION ALL SELECT st.d, s.d, 'staged_legal_entity_match_normalized' FROM st JOIN s ON s.k % 2 = 0 AND s.k % 40 = st.l
   UNION ALL SELECT d, 's' || (k + 1) || '.example', 'affiliation_dump_pair' FROM s WHERE k % 20 = 3
   UNION ALL SELECT d, 'r' || k || '.example', 'discovery_redirect_chain' FROM s WHERE k % 20 = 4
+  UNION ALL SELECT 's' || k || '.example', 'u' || k || '.example', 'staged_relationship_domain_cooccurrence' FROM s WHERE k % 20 = 5
+  UNION ALL SELECT 's' || k || '.example', 'v' || k || '.example', 'staged_relationship_domain_cooccurrence' FROM s WHERE k % 20 = 5
+  UNION ALL SELECT d, 'w' || k || '.example', 'scout_tls_san_reciprocal' FROM s WHERE k % 40 = 6
+  UNION ALL SELECT 'p' || x.k || '.example', 'p' || y.k || '.example', 'extracted_script_domain_overlap' FROM s x JOIN s y ON x.k < y.k AND x.k % 3 = y.k % 3 WHERE x.k % 20 < 2 AND y.k % 20 < 2
 )
 SELECT least(a, b) AS "left", greatest(a, b) AS "right", reason FROM e WHERE a <> b
 """
