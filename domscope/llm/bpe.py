@@ -66,7 +66,11 @@ def token_bounds(cp: np.ndarray) -> np.ndarray:
     first[last] = True
     joins = last[cp[last] == _BLANK] + 1
     first[joins] = False
-    quote = np.flatnonzero((cp[:-1] == _APOSTROPHE) & first[:n][:-1] & first[1:n] & (kind[1:] == LETTER)) if n > 1 else np.zeros(0, np.int64)
+    quote = (
+        np.flatnonzero((cp[:-1] == _APOSTROPHE) & first[:n][:-1] & first[1:n] & (kind[1:] == LETTER))
+        if n > 1
+        else np.zeros(0, np.int64)
+    )
     for q in quote.tolist():
         for c in CONTRACTIONS:
             if q + 1 + len(c) <= n and cp[q + 1 : q + 1 + len(c)].tolist() == list(map(ord, c)):
@@ -105,7 +109,15 @@ def refused(spec: dict) -> list[str]:
     out += ["normalizer"] if spec.get("normalizer") else []
     if before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
         out.append("pre_tokenizer")
-    return out + [f"{k} of {t['content']!r}" for t in spec.get("added_tokens", []) for k in ("lstrip", "rstrip", "single_word", "normalized") if t.get(k) and (k != "normalized" or spec.get("normalizer"))]
+    return (
+        out
+        + [
+            f"{k} of {t['content']!r}"
+            for t in spec.get("added_tokens", [])
+            for k in ("lstrip", "rstrip", "single_word", "normalized")
+            if t.get(k) and (k != "normalized" or spec.get("normalizer"))
+        ]
+    )
 
 
 class PairIndexBPE:
@@ -132,7 +144,11 @@ class PairIndexBPE:
         self.pair_of_rank, self.made_of_rank = keys, made
         self.order = np.argsort(keys, kind="stable")
         self.sorted_keys = keys[self.order]
-        self.split = regex.compile("(" + "|".join(regex.escape(x) for x in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
+        self.split = (
+            regex.compile("(" + "|".join(regex.escape(x) for x in sorted(self.special, key=len, reverse=True)) + ")")
+            if self.special
+            else None
+        )
         self.text = [str(i) for i in range(self.size)]
         self._clear()
 
@@ -221,7 +237,12 @@ class PairIndexBPE:
         if self.split is None or not any(s in text for s in self.special):
             return np.frombuffer(text.encode("utf-32-le"), np.uint32)
         number = {t: _STOP + 1 + k for k, t in enumerate(self.special)}
-        return np.concatenate([np.array([number[p]], np.uint32) if p in number else np.frombuffer(p.encode("utf-32-le"), np.uint32) for p in self.split.split(text)])
+        return np.concatenate(
+            [
+                np.array([number[p]], np.uint32) if p in number else np.frombuffer(p.encode("utf-32-le"), np.uint32)
+                for p in self.split.split(text)
+            ]
+        )
 
     def _slots(self, texts: list[str]) -> list[np.ndarray]:
         """The slots of the words of each text."""
@@ -248,10 +269,18 @@ class PairIndexBPE:
         cut = np.concatenate([[0], np.cumsum(size[where])]).tolist()
         head = cp[start[where]].tolist()
         slot = self.slot
-        ids = np.array([slot[flat[a:b]] if h < _STOP else -1 if h == _STOP else slot[special[h - _STOP - 1]] for a, b, h in zip(cut, cut[1:], head, strict=False)], np.int64)
+        ids = np.array(
+            [
+                slot[flat[a:b]] if h < _STOP else -1 if h == _STOP else slot[special[h - _STOP - 1]]
+                for a, b, h in zip(cut, cut[1:], head, strict=False)
+            ],
+            np.int64,
+        )
         got = ids[back]
         bounds = np.searchsorted(start, np.cumsum([len(p) + 1 for p in parts]) - 1)
-        return [got[a:b].astype(np.int32) for a, b in zip([0, *(bounds[:-1] + 1).tolist()], bounds.tolist(), strict=True)]
+        return [
+            got[a:b].astype(np.int32) for a, b in zip([0, *(bounds[:-1] + 1).tolist()], bounds.tolist(), strict=True)
+        ]
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text (int32)."""
@@ -315,13 +344,26 @@ def _without(batch: pa.RecordBatch, *names: str | None) -> tuple[list[pa.Array],
     return [batch.column(batch.schema.get_field_index(x)) for x in keep], keep
 
 
-def encode(docs: DataFrame, vocabulary: str, *, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+def encode(
+    docs: DataFrame,
+    vocabulary: str,
+    *,
+    text: str = "text",
+    ids: str = "ids",
+    decoded: str | None = None,
+) -> DataFrame:
     """docs with ``ids array<int>``. vocabulary: path of a JSON file, read on the driver (some MB).
 
     With ``decoded`` the ids are also decoded in the same Python worker, for round trips.
     """
     held = docs.sparkSession.sparkContext.broadcast(_read(vocabulary))
-    schema = T.StructType([*(f for f in docs.schema.fields if f.name not in (ids, decoded)), T.StructField(ids, T.ArrayType(T.IntegerType(), False), False), *([T.StructField(decoded, T.StringType(), False)] if decoded else [])])
+    schema = T.StructType(
+        [
+            *(f for f in docs.schema.fields if f.name not in (ids, decoded)),
+            T.StructField(ids, T.ArrayType(T.IntegerType(), False), False),
+            *([T.StructField(decoded, T.StringType(), False)] if decoded else []),
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(held.value)
@@ -334,7 +376,10 @@ def encode(docs: DataFrame, vocabulary: str, *, text: str = "text", ids: str = "
                 if decoded:
                     made.append(pa.array(bpe.decode_batch(got), pa.string()))
                 columns, names = _without(part, ids, decoded)
-                yield pa.RecordBatch.from_arrays([*columns, *made], names=[*names, ids, *([decoded] if decoded else [])])
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, *made],
+                    names=[*names, ids, *([decoded] if decoded else [])],
+                )
 
     return docs.mapInArrow(run, schema)
 
@@ -343,7 +388,9 @@ def decode(rows: DataFrame, vocabulary: str, *, ids: str = "ids", decoded: str =
     """rows with ``decoded string``, the text of ``ids``; null ids give an empty text. An id outside
     the vocabulary is an error."""
     held = rows.sparkSession.sparkContext.broadcast(_read(vocabulary))
-    schema = T.StructType([*(f for f in rows.schema.fields if f.name != decoded), T.StructField(decoded, T.StringType(), False)])
+    schema = T.StructType(
+        [*(f for f in rows.schema.fields if f.name != decoded), T.StructField(decoded, T.StringType(), False)]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(held.value)
@@ -351,7 +398,12 @@ def decode(rows: DataFrame, vocabulary: str, *, ids: str = "ids", decoded: str =
             k = batch.schema.get_field_index(ids)
             for part in _blocks(batch, batch.column(k).value_lengths().fill_null(0).to_numpy(zero_copy_only=False) * 4):
                 column = part.column(k)
-                made = pa.array(bpe.decode_batch(x.values.to_numpy(zero_copy_only=False) if x.is_valid else np.zeros(0, np.int32) for x in column), pa.string())
+                made = pa.array(
+                    bpe.decode_batch(
+                        x.values.to_numpy(zero_copy_only=False) if x.is_valid else np.zeros(0, np.int32) for x in column
+                    ),
+                    pa.string(),
+                )
                 columns, names = _without(part, decoded)
                 yield pa.RecordBatch.from_arrays([*columns, made], names=[*names, decoded])
 

@@ -82,7 +82,10 @@ class Model:
         f = index[code]
         known = f >= 0
         n = len(off) - 1
-        tf = np.bincount(doc[known] * len(self.codes) + f[known], minlength=n * len(self.codes)).reshape(n, -1).astype(np.float32)
+        tf = np.bincount(
+            doc[known] * len(self.codes) + f[known],
+            minlength=n * len(self.codes),
+        ).reshape(n, -1).astype(np.float32)
         np.log1p(tf, out=tf)
         tf *= self.idf
         size = np.linalg.norm(tf, axis=1, keepdims=True)
@@ -123,7 +126,15 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 25) -> np.ndarray:
     return c
 
 
-def fit(texts: list[str], languages: list[str], *, common: str | None = None, features: int = FEATURES, centroids: int = CENTROIDS, quantile: float = 0.01) -> Model | None:
+def fit(
+    texts: list[str],
+    languages: list[str],
+    *,
+    common: str | None = None,
+    features: int = FEATURES,
+    centroids: int = CENTROIDS,
+    quantile: float = 0.01,
+) -> Model | None:
     """A model of the texts, null if they have no trigram; common: the language of texts that have no known one."""
     if not texts:
         return None
@@ -138,8 +149,16 @@ def fit(texts: list[str], languages: list[str], *, common: str | None = None, fe
     top = np.sort(seen[np.lexsort((seen, -df[seen]))[:features]])
     if not len(top):
         return None
-    model = Model(top, np.log((1 + len(texts)) / (1 + df[top])).astype(np.float32) + np.float32(0.1), np.zeros((0, len(top)), np.float32), [], np.zeros(0))
-    x = np.concatenate([model.vectors(data[off[a] : off[b]], off[a : b + 1] - off[a]) for a, b in chunks(off, rows=ROWS)])
+    model = Model(
+        top,
+        np.log((1 + len(texts)) / (1 + df[top])).astype(np.float32) + np.float32(0.1),
+        np.zeros((0, len(top)), np.float32),
+        [],
+        np.zeros(0),
+    )
+    x = np.concatenate(
+        [model.vectors(data[off[a] : off[b]], off[a : b + 1] - off[a]) for a, b in chunks(off, rows=ROWS)]
+    )
     rows, names, radius = [], [], []
     lang = np.array(languages, dtype=object)
     for name in sorted(set(languages)):
@@ -160,23 +179,43 @@ def fold(ident: str = "doc_id", folds: int = 3):
     return F.pmod(F.crc32(F.coalesce(F.col(ident).cast("string"), F.lit(""))), F.lit(folds))
 
 
-def sample(docs: DataFrame, *, total: int = SAMPLE, per_language: int = PER_LANGUAGE, size: int = SAMPLE_BYTES, long: int = LONG) -> tuple[DataFrame, list[str]]:
+def sample(
+    docs: DataFrame,
+    *,
+    total: int = SAMPLE,
+    per_language: int = PER_LANGUAGE,
+    size: int = SAMPLE_BYTES,
+    long: int = LONG,
+) -> tuple[DataFrame, list[str]]:
     """((lang, r, text) of the bounded training sample, its languages by falling number of rows).
 
     A language's texts are thinned by hash before equal ones become one and before they are ranked; the
     shares follow the number of different texts, so copies neither crowd others out nor vanish together.
     """
     x1, x2 = F.xxhash64("text"), F.xxhash64(F.lit(20240607), "text")
-    train = docs.where((fold() != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", x1.alias("x1"), x2.alias("x2"))
-    counted = train.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("x1", 0.05).alias("d")).orderBy(F.desc("n"), "lang").limit(total).collect()
+    train = docs.where(
+        (fold() != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    ).select("lang", "text", x1.alias("x1"), x2.alias("x2"))
+    counted = train.groupBy("lang").agg(
+        F.count("*").alias("n"),
+        F.approx_count_distinct("x1", 0.05).alias("d"),
+    ).orderBy(F.desc("n"), "lang").limit(total).collect()
     each = max(1, min(per_language, total // max(1, len(counted))))
     limit = size // max(1, len(counted))
-    share = train.sparkSession.createDataFrame([(r["lang"], min(1.0, (2.0 * each + 50.0) / max(1, r["d"]))) for r in counted] or [], "lang string, share double")
-    thin = train.join(F.broadcast(share), "lang").where(F.shiftrightunsigned("x1", 11) / F.lit(float(1 << 53)) < F.col("share"))
+    share = train.sparkSession.createDataFrame(
+        [(r["lang"], min(1.0, (2.0 * each + 50.0) / max(1, r["d"]))) for r in counted] or [],
+        "lang string, share double",
+    )
+    thin = train.join(F.broadcast(share), "lang").where(
+        F.shiftrightunsigned("x1", 11) / F.lit(float(1 << 53)) < F.col("share")
+    )
     one = thin.groupBy("lang", "x1", "x2").agg(F.first("text").alias("text"))
     order = W.partitionBy("lang").orderBy(F.length("text") > long, F.shiftrightunsigned("x1", 1), "x1", "x2")
     ranked = one.withColumn("r", F.row_number().over(order)).where(F.col("r") <= each)
-    before = F.coalesce(F.sum(F.octet_length("text")).over(W.partitionBy("lang").orderBy("r").rowsBetween(W.unboundedPreceding, 0)), F.lit(0))
+    before = F.coalesce(
+        F.sum(F.octet_length("text")).over(W.partitionBy("lang").orderBy("r").rowsBetween(W.unboundedPreceding, 0)),
+        F.lit(0),
+    )
     kept = ranked.withColumn("before", before).where((F.col("r") == 1) | (F.col("before") <= limit))
     return kept.select("lang", "r", "text"), [r["lang"] for r in counted]
 
@@ -184,7 +223,12 @@ def sample(docs: DataFrame, *, total: int = SAMPLE, per_language: int = PER_LANG
 def train(docs: DataFrame, **options) -> Model | None:
     some, languages = sample(docs)
     rows = sorted(some.collect(), key=lambda r: (r["lang"], r["r"]))
-    return fit([r["text"] for r in rows], [r["lang"] for r in rows], common=languages[0] if languages else None, **options)
+    return fit(
+        [r["text"] for r in rows],
+        [r["lang"] for r in rows],
+        common=languages[0] if languages else None,
+        **options,
+    )
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -207,10 +251,25 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
                     far.append(np.ones(b - a, bool))
                     continue
                 at, score, out = model.predict(part, o)
-                best = [model.language[c] if s > 0 else model.common for c, s in zip(at.tolist(), score.tolist(), strict=True)]
+                best = [
+                    model.language[c] if s > 0 else model.common
+                    for c, s in zip(at.tolist(), score.tolist(), strict=True)
+                ]
                 names += [x if h else "und" for x, h in zip(best, has.tolist(), strict=True)]
                 scores.append(np.where(has, score, 0.0))
                 far.append(out | ~has)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(np.concatenate(scores) if scores else np.zeros(0)), pa.array(np.concatenate(far) if far else np.zeros(0, bool))], names=["doc_id", "held_out", "lang_pred", "score", "rejected"])
-
-    return docs.select("doc_id", (fold() == 1).alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(names, pa.string()),
+                    pa.array(np.concatenate(scores) if scores else np.zeros(0)),
+                    pa.array(np.concatenate(far) if far else np.zeros(0, bool)),
+                ],
+                names=["doc_id", "held_out", "lang_pred", "score", "rejected"],
+            )
+
+    return docs.select("doc_id", (fold() == 1).alias("held_out"), "text").mapInArrow(
+        run,
+        "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean",
+    )

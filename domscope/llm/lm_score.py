@@ -61,7 +61,11 @@ class Grams:
         self.one, self.two, self.counts = join(one, np.uint64), join(two, np.uint64), join(counts, np.int64)
         self.doc_one = np.repeat(np.arange(len(self.counts)), self.counts)
         self.doc_two = np.repeat(np.arange(len(self.counts)), np.maximum(self.counts - 1, 0))
-        self.distinct, self.at, self.times = np.unique(np.concatenate([self.one, self.two]), return_inverse=True, return_counts=True)
+        self.distinct, self.at, self.times = np.unique(
+            np.concatenate([self.one, self.two]),
+            return_inverse=True,
+            return_counts=True,
+        )
 
 
 def _own(doc: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
@@ -79,20 +83,31 @@ def _cuts(distinct: np.ndarray, bits: int) -> np.ndarray:
 def scores(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, log_sum, log_mean) for every row of docs (doc_id, text)."""
     spark = docs.sparkSession
-    size, total = sizes(docs.select("text")).agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    size, total = sizes(docs.select("text")).agg(
+        F.coalesce(F.sum(F.octet_length("text")), F.lit(0)),
+        F.coalesce(F.sum("size"), F.lit(0)),
+    ).first()
     buckets = max(1, -(-int(size) // BUCKET_BYTES))
     bits = max(0, math.ceil(math.log2(max(partitions(spark), buckets))))
-    dealt = docs.select(F.pmod(F.xxhash64(F.spark_partition_id(), "doc_id", "text"), F.lit(buckets)).cast("int").alias("b"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    dealt = docs.select(
+        F.pmod(F.xxhash64(F.spark_partition_id(), "doc_id", "text"), F.lit(buckets)).cast("int").alias("b"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "text",
+    )
 
     def ask(t: pa.Table) -> pa.Table:
         g = Grams(t["text"].combine_chunks())
         cut = _cuts(g.distinct, bits)
         full = np.flatnonzero(np.diff(cut))
         b = t["b"][0].as_py()
-        return pa.table({
-            "q": pa.array(full, pa.int32()), "b": pa.array([b] * len(full), pa.int32()),
-            "grams": pa.array([g.distinct[cut[k] : cut[k + 1]].tobytes() for k in full], pa.binary()), "times": pa.array([g.times[cut[k] : cut[k + 1]].astype(np.int32).tobytes() for k in full], pa.binary()),
-        })
+        return pa.table(
+            {
+                "q": pa.array(full, pa.int32()),
+                "b": pa.array([b] * len(full), pa.int32()),
+                "grams": pa.array([g.distinct[cut[k] : cut[k + 1]].tobytes() for k in full], pa.binary()),
+                "times": pa.array([g.times[cut[k] : cut[k + 1]].astype(np.int32).tobytes() for k in full], pa.binary()),
+            }
+        )
 
     asked = dealt.groupBy("b").applyInArrow(ask, "q int, b int, grams binary, times binary")
 
@@ -110,7 +125,9 @@ def scores(docs: DataFrame) -> DataFrame:
         g = Grams(left["text"].combine_chunks())
         order = np.argsort(right["q"].to_numpy()) if right.num_rows else []
         blobs = right["counts"].to_pylist()
-        count = np.concatenate([np.frombuffer(blobs[k], np.int64) for k in order]) if len(order) else np.zeros(0, np.int64)
+        count = (
+            np.concatenate([np.frombuffer(blobs[k], np.int64) for k in order]) if len(order) else np.zeros(0, np.int64)
+        )
         n_one = len(g.one)
         c = count[g.at]
         one = c[:n_one] - _own(g.doc_one, g.at[:n_one], len(g.distinct))
@@ -123,9 +140,23 @@ def scores(docs: DataFrame) -> DataFrame:
         later = np.flatnonzero(~first)
         context = one[later - 1]
         seen = two > 0
-        log[later] = np.where(seen, np.log10(np.maximum(two, 1) / np.maximum(context, 1)), math.log10(ALPHA) + low[later])
+        log[later] = np.where(
+            seen,
+            np.log10(np.maximum(two, 1) / np.maximum(context, 1)),
+            math.log10(ALPHA) + low[later],
+        )
         sums = np.bincount(g.doc_one, weights=log, minlength=len(g.counts))
         mean = [s / n if n else None for s, n in zip(sums.tolist(), g.counts.tolist(), strict=True)]
-        return pa.table({"doc_id": left["doc_id"], "n_words": pa.array(g.counts, pa.int64()), "log_sum": pa.array(sums, pa.float64()), "log_mean": pa.array(mean, pa.float64())})
-
-    return dealt.groupBy("b").cogroup(answered.groupBy("b")).applyInArrow(score, "doc_id long, n_words long, log_sum double, log_mean double")
+        return pa.table(
+            {
+                "doc_id": left["doc_id"],
+                "n_words": pa.array(g.counts, pa.int64()),
+                "log_sum": pa.array(sums, pa.float64()),
+                "log_mean": pa.array(mean, pa.float64()),
+            }
+        )
+
+    return dealt.groupBy("b").cogroup(answered.groupBy("b")).applyInArrow(
+        score,
+        "doc_id long, n_words long, log_sum double, log_mean double",
+    )

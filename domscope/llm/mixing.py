@@ -66,7 +66,11 @@ def sizes(docs: DataFrame, text: str = "text") -> DataFrame:
     return kept.mapInArrow(run, schema)
 
 
-def targets(source_sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = (1, 2, 3), cap: float = CAP) -> dict[str | None, float]:
+def targets(
+    source_sizes: list[tuple[str | None, int]],
+    weights: tuple[float, ...] = (1, 2, 3),
+    cap: float = CAP,
+) -> dict[str | None, float]:
     """The target of each source: weights repeat over the sources by code point, null last; no target
     is above cap times its source, and what is cut off is shared again by weight."""
     order = sorted(source_sizes, key=lambda x: (x[0] is None, x[0] or ""))
@@ -124,7 +128,9 @@ def nearest(words: np.ndarray, copies: np.ndarray, taken: np.ndarray, rest: int)
     return taken
 
 
-def fill_blocks(words: np.ndarray, rows: np.ndarray, rest: int, rng: np.random.Generator) -> tuple[np.ndarray, int, int]:
+def fill_blocks(
+    words: np.ndarray, rows: np.ndarray, rest: int, rng: np.random.Generator,
+) -> tuple[np.ndarray, int, int]:
     """(1 for each block taken, the block to go on in or -1, what is wanted of it)."""
     order = rng.permutation(len(words))
     taken = np.zeros(len(words), np.int64)
@@ -142,16 +148,28 @@ def mix(docs: DataFrame, *, text: str = "text", shards: int = SHARDS, **options)
     return mix_sized(sizes(docs, text), "doc_id", text, shards=shards, **options)
 
 
-def mix_sized(docs: DataFrame, *key: str, without: tuple[str, ...] = (), weights: tuple[float, ...] = (1, 2, 3), cap: int = CAP, shards: int = SHARDS, seed: int = 17) -> DataFrame:
+def mix_sized(
+    docs: DataFrame,
+    *key: str,
+    without: tuple[str, ...] = (),
+    weights: tuple[float, ...] = (1, 2, 3),
+    cap: int = CAP,
+    shards: int = SHARDS,
+    seed: int = 17,
+) -> DataFrame:
     """mix for documents with ``size``; the random order is keyed by the columns key; those named in
     without are not carried on."""
     spark = docs.sparkSession
     carried = [c for c in docs.columns if c not in RESULTS and c not in without]
     base = written(
         docs.select(
-            F.struct(*(F.col(f"`{c}`") for c in carried)).alias("row"), F.col("source").alias("s"), "size", F.xxhash64(F.lit(seed), *key).alias("k"), F.monotonically_increasing_id().alias("rid"),
+            F.struct(*(F.col(f"`{c}`") for c in carried)).alias("row"),
+            F.col("source").alias("s"),
+            "size",
+            F.xxhash64(F.lit(seed), *key).alias("k"),
+            F.monotonically_increasing_id().alias("rid"),
         )
-    )
+    )
     bits = lambda k, shift: F.pmod(F.shiftrightunsigned(k, shift), F.lit(BLOCKS)).cast("int")
     block, sub = bits(F.col("k"), 54), bits(F.col("k"), 44)
     blocks = written(base.groupBy("s", block.alias("b")).agg(F.sum("size").alias("words"), F.count("*").alias("rows")))
@@ -161,7 +179,10 @@ def mix_sized(docs: DataFrame, *key: str, without: tuple[str, ...] = (), weights
     want = targets([(r["s"], r["n"]) for r in found], weights, cap)
     order = {s: k for k, s in enumerate(sorted(want, key=lambda x: (x is None, x or "")))}
     few = lambda df, rows: F.broadcast(df) if rows <= MAX_BROADCAST else df
-    goal = spark.createDataFrame([(s, int(n), want[s], order[s]) for s, n in found] or [], "source_ string, source_size long, target double, number int")
+    goal = spark.createDataFrame(
+        [(s, int(n), want[s], order[s]) for s, n in found] or [],
+        "source_ string, source_size long, target double, number int",
+    )
     numbered = blocks.join(few(goal, len(found)), F.col("s").eqNullSafe(F.col("source_"))).drop("s", "source_")
 
     def plan(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -175,13 +196,21 @@ def mix_sized(docs: DataFrame, *key: str, without: tuple[str, ...] = (), weights
         edge = np.where(np.arange(len(pdf)) == at, wanted, 0)
         return pdf[["number", "b", "source_size", "target"]].assign(passes=(whole + more).astype("int32"), edge=edge)
 
-    planned = written(numbered.groupBy("number").applyInPandas(plan, "number int, b int, source_size long, target double, passes int, edge long"))
+    planned = written(
+        numbered.groupBy("number").applyInPandas(
+            plan,
+            "number int, b int, source_size long, target double, passes int, edge long",
+        )
+    )
     quota = planned.groupBy("number").agg(F.sum(F.col("passes") + (F.col("edge") > 0).cast("int")).alias("n")).collect()
     counts = np.zeros(len(order), np.int64)
     for r in quota:
         counts[r["number"]] = r["n"]
     deal = split_tree(counts, shards, np.random.default_rng(seed)) if len(order) else np.zeros((shards, 0), np.int64)
-    dealt = spark.createDataFrame([(int(k), deal[:, k].tolist()) for k in range(len(order))], "number int, quota array<long>")
+    dealt = spark.createDataFrame(
+        [(int(k), deal[:, k].tolist()) for k in range(len(order))],
+        "number int, quota array<long>",
+    )
 
     def assign(pdf: pd.DataFrame) -> pd.DataFrame:
         """The shards of each block's draws (at most (cap + 1) * BLOCKS draws of one source)."""
@@ -193,10 +222,14 @@ def mix_sized(docs: DataFrame, *key: str, without: tuple[str, ...] = (), weights
         return pdf.drop(columns="quota").assign(shards=[x.tolist() for x in parts])
 
     drawn = written(
-        planned.join(few(dealt, len(order)), "number").groupBy("number")
-        .applyInPandas(assign, "number int, b int, source_size long, target double, passes int, edge long, shards array<int>")
+        planned.join(few(dealt, len(order)), "number")
+        .groupBy("number")
+        .applyInPandas(
+            assign,
+            "number int, b int, source_size long, target double, passes int, edge long, shards array<int>",
+        )
         .join(few(goal.select("source_", "number"), len(found)), "number")
-    )
+    )
     plans = few(drawn.withColumnRenamed("b", "block"), len(order) * BLOCKS)
     rows = base.withColumn("c", sub).join(plans, F.col("s").eqNullSafe(F.col("source_")) & (block == F.col("block")))
     texts = written(_texts(rows.where("edge > 0").select("number", "c", "k", "size", "edge", "rid"), seed))
@@ -206,7 +239,10 @@ def mix_sized(docs: DataFrame, *key: str, without: tuple[str, ...] = (), weights
     rows = rows.join(few(chosen, n_texts), ["number", "k", "size"], "left").join(few(some, n_texts), "rid", "left")
     times = F.col("passes") + F.when(F.col("edge") > 0, F.coalesce("all", "one", F.lit(0))).otherwise(0)
     place = lambda k: F.xxhash64(F.lit(seed + 2), "k", k)
-    draws = F.transform(F.slice("shards", F.lit(1), times), lambda s, i: F.struct(s.alias("shard"), place(i).alias("place")))
+    draws = F.transform(
+        F.slice("shards", F.lit(1), times),
+        lambda s, i: F.struct(s.alias("shard"), place(i).alias("place")),
+    )
     out = rows.select("row", "size", "source_size", "target", draws.alias("draws"))
     taken = (F.col("size") * F.size("draws")).cast("long")
     return out.select("row.*", "size", "source_size", "target", taken.alias("taken"), "draws")
@@ -221,7 +257,10 @@ def _texts(rows: DataFrame, seed: int) -> DataFrame:
         pdf = pdf.sort_values("c", ignore_index=True)
         rng = np.random.default_rng([seed, 3, int(pdf["number"].iloc[0])])
         more, at, wanted = fill_blocks(pdf["words"].to_numpy(), pdf["rows"].to_numpy(), int(pdf["edge"].iloc[0]), rng)
-        return pdf[["number", "c"]].assign(whole=more.astype("int32"), wanted=np.where(np.arange(len(pdf)) == at, wanted, 0))
+        return pdf[["number", "c"]].assign(
+            whole=more.astype("int32"),
+            wanted=np.where(np.arange(len(pdf)) == at, wanted, 0),
+        )
 
     def last(pdf: pd.DataFrame) -> pd.DataFrame:
         """Of the last block: copies of each text, in the order of their keys."""
@@ -230,19 +269,35 @@ def _texts(rows: DataFrame, seed: int) -> DataFrame:
         took, rest = fill(words, copies, int(pdf["wanted"].iloc[0]))
         return pdf[["number", "k", "size", "m"]].assign(e=nearest(words, copies, took, rest))
 
-    by_part = rows.groupBy("number", "c").agg(F.sum("size").alias("words"), F.count("*").alias("rows"), F.first("edge").alias("edge"))
+    by_part = rows.groupBy("number", "c").agg(
+        F.sum("size").alias("words"), F.count("*").alias("rows"), F.first("edge").alias("edge"),
+    )
     planned = written(by_part.groupBy("number").applyInPandas(parts, "number int, c int, whole int, wanted long"))
     whole = rows.join(planned.where("whole > 0"), ["number", "c"], "left_semi").select("number", "k", "size").distinct()
     inside = rows.join(planned.where("wanted > 0").select("number", "c", "wanted"), ["number", "c"])
     units = inside.groupBy("number", "k", "size").agg(F.count("*").alias("m"), F.first("wanted").alias("wanted"))
-    units = written(units.groupBy("number").applyInPandas(last, "number int, k long, size long, m long, e long").where("e > 0"))
+    units = written(
+        units.groupBy("number").applyInPandas(last, "number int, k long, size long, m long, e long").where("e > 0")
+    )
     full = units.where("e = m").select("number", "k", "size")
     # Of a text taken in part the first e copies by rid, numbered in BLOCKS parts.
-    copies = inside.join(units.where("e < m"), ["number", "k", "size"]).select("number", "k", "size", "e", "rid").withColumn("p", F.pmod(F.xxhash64("rid"), F.lit(BLOCKS)))
+    copies = inside.join(
+        units.where("e < m"), ["number", "k", "size"],
+    ).select("number", "k", "size", "e", "rid").withColumn("p", F.pmod(F.xxhash64("rid"), F.lit(BLOCKS)))
     unit = ["number", "k", "size"]
     counts = copies.groupBy(*unit, "p").agg(F.count("*").alias("n"))
-    before = counts.select(*unit, "p", F.coalesce(F.sum("n").over(W.partitionBy(*unit).orderBy("p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    ranked = copies.join(before, [*unit, "p"]).withColumn("r", F.col("before") + F.row_number().over(W.partitionBy(*unit, "p").orderBy("rid")))
+    before = counts.select(
+        *unit,
+        "p",
+        F.coalesce(
+            F.sum("n").over(W.partitionBy(*unit).orderBy("p").rowsBetween(W.unboundedPreceding, -1)),
+            F.lit(0),
+        ).alias("before"),
+    )
+    ranked = copies.join(before, [*unit, "p"]).withColumn(
+        "r",
+        F.col("before") + F.row_number().over(W.partitionBy(*unit, "p").orderBy("rid")),
+    )
     none: Column = F.lit(None).cast("long")
     every = whole.unionByName(full).withColumn("some", none)
     return every.unionByName(ranked.where("r <= e").select(*unit, F.col("rid").alias("some")))
@@ -250,5 +305,8 @@ def _texts(rows: DataFrame, seed: int) -> DataFrame:
 
 def rows_of(mixed: DataFrame, shards: int = SHARDS) -> DataFrame:
     """One row for each draw: a partition is a shard, with its rows in random order."""
-    one = mixed.select(F.struct(*(F.col(f"`{c}`") for c in mixed.columns if c != "draws")).alias("row"), F.inline("draws"))
+    one = mixed.select(
+        F.struct(*(F.col(f"`{c}`") for c in mixed.columns if c != "draws")).alias("row"),
+        F.inline("draws"),
+    )
     return one.repartitionById(shards, F.col("shard")).sortWithinPartitions("place").select("row.*")

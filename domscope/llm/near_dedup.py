@@ -79,7 +79,9 @@ def shingle_sets(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndar
     doc, key = wdoc[at], gram[at]
     short = np.flatnonzero((counts > 0) & (counts < WORDS))
     if len(short):  # the whole sequence as one shingle
-        own = [int(mix(np.array([hash_words(words.hash[words.doc[d] : words.doc[d + 1]])], np.uint64))[0]) for d in short]
+        own = [
+            int(mix(np.array([hash_words(words.hash[words.doc[d] : words.doc[d + 1]])], np.uint64))[0]) for d in short
+        ]
         doc, key = np.concatenate([doc, short]), np.concatenate([key, np.array(own, np.uint64)])
     order = np.lexsort((key, doc))
     doc, key = doc[order], key[order]
@@ -129,7 +131,12 @@ def keys(sig: np.ndarray, scheme: Scheme = SCHEMES[85]) -> np.ndarray:
 
 def _rids(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) with r1 and r2, 128 bits of doc_id and text."""
-    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("r1"), F.xxhash64(F.lit(20240607), "doc_id", "text").alias("r2"), "text")
+    return docs.select(
+        "doc_id",
+        F.xxhash64("doc_id", "text").alias("r1"),
+        F.xxhash64(F.lit(20240607), "doc_id", "text").alias("r2"),
+        "text",
+    )
 
 
 def sketches(docs: DataFrame, scheme: Scheme) -> DataFrame:
@@ -141,9 +148,20 @@ def sketches(docs: DataFrame, scheme: Scheme) -> DataFrame:
             for a, b in chunks(off):
                 key, bounds = shingle_sets(data[off[a] : off[b]], off[a : b + 1] - off[a])
                 cut = bounds.tolist()
-                nodes = [hashlib.blake2b(key[i:j].tobytes(), digest_size=16).hexdigest() if j > i else None for i, j in zip(cut, cut[1:], strict=False)]
+                nodes = [
+                    hashlib.blake2b(key[i:j].tobytes(), digest_size=16).hexdigest() if j > i else None
+                    for i, j in zip(cut, cut[1:], strict=False)
+                ]
                 sigs = [x.tobytes() for x in signatures(key, bounds, scheme.symbols)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in range(3)), pa.array(np.diff(bounds)), pa.array(nodes, pa.string()), pa.array(sigs, pa.binary())], names=["doc_id", "r1", "r2", "n", "node", "sig"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(k).slice(a, b - a) for k in range(3)),
+                        pa.array(np.diff(bounds)),
+                        pa.array(nodes, pa.string()),
+                        pa.array(sigs, pa.binary()),
+                    ],
+                    names=["doc_id", "r1", "r2", "n", "node", "sig"],
+                )
 
     return _rids(docs).mapInArrow(run, "doc_id long, r1 long, r2 long, n long, node string, sig binary")
 
@@ -157,7 +175,10 @@ def _exploded(classes: DataFrame, scheme: Scheme) -> DataFrame:
             for a in range(0, len(sig), 2000):
                 k = keys(sig[a : a + 2000], scheme)
                 nid = np.repeat(batch.column(0).to_numpy()[a : a + 2000], scheme.symbols)
-                yield pa.RecordBatch.from_arrays([pa.array(k.reshape(-1).view(np.int64)), pa.array(nid)], names=["key", "nid"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(k.reshape(-1).view(np.int64)), pa.array(nid)],
+                    names=["key", "nid"],
+                )
 
     return classes.select("nid", "sig").mapInArrow(run, "key long, nid long")
 
@@ -252,46 +273,83 @@ def _linked(members: DataFrame, attached: Callable[[DataFrame], DataFrame], kind
             if hi - lo < 2:
                 continue
             if kind == "signature":
-                near = _near_signature(np.frombuffer(b"".join(blobs[lo:hi]), np.uint16).reshape(-1, scheme.symbols), n[lo:hi], scheme)
+                near = _near_signature(
+                    np.frombuffer(b"".join(blobs[lo:hi]), np.uint16).reshape(-1, scheme.symbols),
+                    n[lo:hi],
+                    scheme,
+                )
             else:
                 near = _near_sets(blobs[lo:hi], scheme.threshold)
-            got = forest(hi - lo, near) if rest[lo] is None or np.isnan(rest[lo]) else across(comp[lo:hi], rest[lo:hi] > 0, near)
+            got = (
+                forest(hi - lo, near)
+                if rest[lo] is None or np.isnan(rest[lo])
+                else across(comp[lo:hi], rest[lo:hi] > 0, near)
+            )
             a += [lo + x for x, _ in got]
             b += [lo + x for _, x in got]
-        return pa.RecordBatch.from_arrays([items.take(pa.array(a, pa.int64())), items.take(pa.array(b, pa.int64()))], names=["a", "b"])
+        return pa.RecordBatch.from_arrays(
+            [items.take(pa.array(a, pa.int64())), items.take(pa.array(b, pa.int64()))],
+            names=["a", "b"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in bucketed(batches, 0):
             yield compare(t)
 
     def compared(dealt: DataFrame) -> DataFrame:
-        dealt = attached(dealt.withColumn("g", F.xxhash64("group", "t", "u")).select(*PLACE, *more)).select(*PLACE, value)
-        return dealt.repartition(n_parts, "g").sortWithinPartitions("g", "group", "t", "u").mapInArrow(run, f"a {item}, b {item}")
+        dealt = attached(
+            dealt.withColumn("g", F.xxhash64("group", "t", "u")).select(*PLACE, *more)
+        ).select(*PLACE, value)
+        return dealt.repartition(n_parts, "g").sortWithinPartitions("g", "group", "t", "u").mapInArrow(
+            run, f"a {item}, b {item}",
+        )
 
     each = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") * 8 / TILE_BYTES) if kind == "sets" else F.lit(1))
     size = members.groupBy("group").agg(each.cast("int").alias("tiles")).where("tiles > 1")
     large = size.count()
     # One narrow row for each large group: sent to all tasks, so that no task gathers a group.
     of_group = lambda df: F.broadcast(df) if large <= MAX_BROADCAST else df
-    rows = members.join(of_group(size), "group", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1))) if large else members.withColumn("tiles", F.lit(1))
+    rows = (
+        members.join(of_group(size), "group", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+        if large
+        else members.withColumn("tiles", F.lit(1))
+    )
     tile = lambda salt: F.pmod(F.xxhash64("item", F.lit(salt)), F.col("tiles")).cast("int")
-    plain = rows.withColumns({"component": F.lit(0).cast("long"), "rest": F.lit(None).cast("double"), "t": tile(1), "u": F.lit(-1)})
+    plain = rows.withColumns(
+        {"component": F.lit(0).cast("long"), "rest": F.lit(None).cast("double"), "t": tile(1), "u": F.lit(-1)}
+    )
     if not large:
         return written(compared(plain))
     second = plain.where("tiles > 1").withColumns({"t": tile(2), "u": F.lit(-2)})
     links = written(compared(plain.unionByName(second)))
     joined = components(links, "a", "b")
     found = joined.select(F.col("node").alias("item"), F.xxhash64("component").alias("component"))
-    big = rows.where("tiles > 1").join(found, "item", "left").withColumn("component", F.coalesce("component", F.xxhash64("item")))
-    main = big.groupBy("group", "component").agg(F.count("*").alias("c")).groupBy("group").agg(F.max_by("component", F.struct("c", "component")).alias("main"))
-    split = written(big.join(of_group(main), "group").withColumn("rest", (F.col("component") != F.col("main")).cast("double")).withColumn("t", tile(1)), joined)
+    big = rows.where("tiles > 1").join(found, "item", "left").withColumn(
+        "component",
+        F.coalesce("component", F.xxhash64("item")),
+    )
+    main = big.groupBy("group", "component").agg(F.count("*").alias("c")).groupBy("group").agg(
+        F.max_by("component", F.struct("c", "component")).alias("main")
+    )
+    split = written(
+        big.join(of_group(main), "group")
+        .withColumn("rest", (F.col("component") != F.col("main")).cast("double"))
+        .withColumn("t", tile(1)),
+        joined,
+    )
     parts = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") * 8 / TILE_BYTES) if kind == "sets" else F.lit(1))
     few = split.where("rest > 0").groupBy("group").agg(parts.cast("int").alias("parts"))
     own = F.pmod(F.xxhash64("item", F.lit(3)), F.col("parts")).cast("int")
     sides = split.join(of_group(few), "group")
-    left = sides.where("rest > 0").withColumn("u", own).withColumn("t", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    left = sides.where("rest > 0").withColumn("u", own).withColumn(
+        "t",
+        F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)),
+    )
     # A rest item meets its own tile as a rest item already; it goes there once.
-    right = sides.withColumn("u", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where(~((F.col("rest") > 0) & (F.col("u") == own)))
+    right = sides.withColumn(
+        "u",
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)),
+    ).where(~((F.col("rest") > 0) & (F.col("u") == own)))
     right = right.withColumn("rest", F.lit(0.0))
     names = [*PLACE[1:], *more]
     return written(links.unionByName(compared(left.select(*names).unionByName(right.select(*names)))), links, split)
@@ -319,10 +377,18 @@ def _with_sets(docs: DataFrame, dealt: DataFrame) -> DataFrame:
                 key, bounds = shingle_sets(*buffers(part.column(3)))
                 cut = bounds.tolist()
                 items = [key[i:j].tobytes() for i, j in zip(cut, cut[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([part.column(2), *part.columns[4:], pa.array(items, pa.binary())], names=[*PLACE, "items"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(2), *part.columns[4:], pa.array(items, pa.binary())],
+                    names=[*PLACE, "items"],
+                )
 
-    joined = _rids(docs).select("r1", "r2", "text").join(dealt.hint("merge"), ["r1", "r2"]).select("r1", "r2", "g", "text", *PLACE[1:])
-    return joined.mapInArrow(run, f"g long, group {kind}, t int, u int, item {dict(dealt.dtypes)['item']}, n long, component long, rest double, items binary")
+    joined = _rids(docs).select("r1", "r2", "text").join(dealt.hint("merge"), ["r1", "r2"]).select(
+        "r1", "r2", "g", "text", *PLACE[1:],
+    )
+    return joined.mapInArrow(
+        run,
+        f"g long, group {kind}, t int, u int, item {dict(dealt.dtypes)['item']}, n long, component long, rest double, items binary",
+    )
 
 
 def dedup(docs: DataFrame, threshold: int = 85) -> DataFrame:
@@ -340,28 +406,61 @@ def _grouped(docs: DataFrame, threshold: int) -> DataFrame:
     rows = written(sketches(docs, scheme))
     rep = F.min(F.struct("r1", "r2"))
     classes = written(
-        rows.where("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.first("sig").alias("sig"), rep.alias("rep"), F.min("doc_id").alias("least"))
+        rows.where("n > 0")
+        .groupBy("node")
+        .agg(F.min("n").alias("n"), F.first("sig").alias("sig"), rep.alias("rep"), F.min("doc_id").alias("least"))
         .withColumn("nid", F.conv(F.substring("node", 1, 15), 16, 10).cast("long"))
-    )
+    )
     table = _exploded(classes, scheme)
     many = table.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     # Classes that share a nid by chance are members of each other's buckets, which costs a comparison.
-    buckets = written(table.join(many, "key").join(classes.select("nid", "node", "n"), "nid").select(F.col("key").alias("group"), F.col("node").alias("item"), "n"))
-    links = _linked(buckets, lambda dealt: dealt.join(classes.select(F.col("node").alias("item"), "sig"), "item"), "signature", scheme)
+    buckets = written(
+        table.join(many, "key")
+        .join(classes.select("nid", "node", "n"), "nid")
+        .select(F.col("key").alias("group"), F.col("node").alias("item"), "n")
+    )
+    links = _linked(
+        buckets,
+        lambda dealt: dealt.join(classes.select(F.col("node").alias("item"), "sig"), "item"),
+        "signature",
+        scheme,
+    )
     near = components(links, "a", "b")
-    family = written(near.join(classes, "node").select(F.col("component").alias("group"), F.col("node").alias("item"), "n", "rep.*"), near, links, buckets)
+    family = written(
+        near.join(classes, "node").select(F.col("component").alias("group"), F.col("node").alias("item"), "n", "rep.*"),
+        near,
+        links,
+        buckets,
+    )
     links = _linked(family, lambda dealt: _with_sets(docs, dealt), "sets", scheme)
     discard(family)
     found = components(links, "a", "b")
     # The smallest doc_id of each component, by way of its classes.
-    joined = written(classes.select("node", "least").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), found, links, classes)
+    joined = written(
+        classes.select("node", "least")
+        .join(found, "node", "left")
+        .withColumn("component", F.coalesce("component", "node")),
+        found,
+        links,
+        classes,
+    )
     ids = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_node = joined.select("node", "component").join(ids, "component").select(F.col("node").alias("of"), "component", "component_id")
+    of_node = joined.select("node", "component").join(ids, "component").select(
+        F.col("node").alias("of"), "component", "component_id",
+    )
     # An empty set joins nothing: a key of its own keeps such rows apart.
     own = F.coalesce("node", F.concat(F.lit("-"), F.col("r1").cast("string")))
     out = rows.withColumn("own", own).join(of_node, F.col("own") == F.col("of"), "left")
     id_ = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "r1", "r2", F.col("n").alias("n_shingles"), id_.alias("component_id"), F.col("doc_id").eqNullSafe(id_).alias("kept"), "component")
+    return out.select(
+        "doc_id",
+        "r1",
+        "r2",
+        F.col("n").alias("n_shingles"),
+        id_.alias("component_id"),
+        F.col("doc_id").eqNullSafe(id_).alias("kept"),
+        "component",
+    )
 
 
 def keep_one(docs: DataFrame, threshold: int = 85) -> DataFrame:
@@ -369,7 +468,9 @@ def keep_one(docs: DataFrame, threshold: int = 85) -> DataFrame:
     without words stay. Of rows with equal ids and texts any may be the one."""
     rows = _grouped(docs.select("doc_id", "text"), threshold)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "r1", "r2"))
-    one = rows.where("n_shingles > 0").groupBy("component").agg(first.alias("first")).select("first.r1", "first.r2", F.lit(True).alias("full"))
+    one = rows.where("n_shingles > 0").groupBy("component").agg(first.alias("first")).select(
+        "first.r1", "first.r2", F.lit(True).alias("full"),
+    )
     bare = rows.where("n_shingles = 0").select("r1", "r2", F.lit(False).alias("full")).distinct()
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", "text")
     keys = (F.xxhash64("doc_id", "text").alias("r1"), F.xxhash64(F.lit(20240607), "doc_id", "text").alias("r2"))

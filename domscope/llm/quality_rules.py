@@ -40,7 +40,13 @@ def _lut(chars: bytes) -> np.ndarray:
     return out
 
 
-_COUNTED = {"n_symbols": _lut(SYMBOLS), "n_upper": _lut(bytes(range(0x41, 0x5B))), "n_digits": _lut(b"0123456789"), "n_bars": _lut(b"|"), "n_marks": _lut(b"!")}
+_COUNTED = {
+    "n_symbols": _lut(SYMBOLS),
+    "n_upper": _lut(bytes(range(0x41, 0x5B))),
+    "n_digits": _lut(b"0123456789"),
+    "n_bars": _lut(b"|"),
+    "n_marks": _lut(b"!"),
+}
 
 
 def _sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -121,9 +127,16 @@ def feature(name: str) -> Column:
     chars = F.greatest(F.col("word_chars"), F.lit(1)).cast("double")
     lines = F.greatest(F.col("n_lines"), F.lit(1)).cast("double")
     return {
-        "words": F.col("n_words").cast("double"), "mean_word": F.col("word_chars") / words, "symbols": F.col("n_symbols") / chars, "dup_lines": F.col("n_dup_lines") / lines,
-        "repeats": F.col("n_repeat_words") / words, "upper": F.col("n_upper") / chars, "digits": F.col("n_digits") / chars, "bars": F.col("n_bars") / words, "marks": F.col("n_marks") / words,
-    }[name]
+        "words": F.col("n_words").cast("double"),
+        "mean_word": F.col("word_chars") / words,
+        "symbols": F.col("n_symbols") / chars,
+        "dup_lines": F.col("n_dup_lines") / lines,
+        "repeats": F.col("n_repeat_words") / words,
+        "upper": F.col("n_upper") / chars,
+        "digits": F.col("n_digits") / chars,
+        "bars": F.col("n_bars") / words,
+        "marks": F.col("n_marks") / words,
+    }[name]
 
 
 @dataclass(frozen=True)
@@ -164,7 +177,11 @@ def _grow(x: dict[str, np.ndarray], bad: np.ndarray, weight: np.ndarray, most: i
             n = np.concatenate([[0], np.cumsum((weight[live] * ~bad[live])[order])])[where]
             for sign, pp, nn in (("<=", p, n), (">", p0 - p, n0 - n)):
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    gain = np.where(pp > 0, pp * (np.log2(np.maximum(pp, 1e-9) / np.maximum(pp + nn, 1e-9)) - np.log2(p0 / (p0 + n0))), 0)
+                    gain = np.where(
+                        pp > 0,
+                        pp * (np.log2(np.maximum(pp, 1e-9) / np.maximum(pp + nn, 1e-9)) - np.log2(p0 / (p0 + n0))),
+                        0,
+                    )
                 k = int(np.argmax(gain))
                 if gain[k] > best:
                     best, found = gain[k], (name, sign, float(at[k]))
@@ -181,7 +198,16 @@ def _worth(rule: Rule, x: dict[str, np.ndarray], bad: np.ndarray) -> float:
     return (p - n) / (p + n) if p + n else -1.0
 
 
-def sequential_covering(x: dict[str, np.ndarray], bad: np.ndarray, *, max_rules: int = 12, max_conditions: int = 3, cuts: int = 64, precision: float = 0.97, support: int = 5) -> list[Rule]:
+def sequential_covering(
+    x: dict[str, np.ndarray],
+    bad: np.ndarray,
+    *,
+    max_rules: int = 12,
+    max_conditions: int = 3,
+    cuts: int = 64,
+    precision: float = 0.97,
+    support: int = 5,
+) -> list[Rule]:
     """Grow a rule on two thirds of the rows left, prune its last conditions on the other third, keep
     it while it is precise enough, remove what it covers, and go on."""
     rules: list[Rule] = []
@@ -209,7 +235,17 @@ def sequential_covering(x: dict[str, np.ndarray], bad: np.ndarray, *, max_rules:
 def _ratios(rows: np.ndarray, names: list[str]) -> dict[str, np.ndarray]:
     c = {k: rows[:, i].astype(float) for i, k in enumerate(names)}
     words, chars, lines = np.maximum(c["n_words"], 1), np.maximum(c["word_chars"], 1), np.maximum(c["n_lines"], 1)
-    return {"words": c["n_words"], "mean_word": c["word_chars"] / words, "symbols": c["n_symbols"] / chars, "dup_lines": c["n_dup_lines"] / lines, "repeats": c["n_repeat_words"] / words, "upper": c["n_upper"] / chars, "digits": c["n_digits"] / chars, "bars": c["n_bars"] / words, "marks": c["n_marks"] / words}
+    return {
+        "words": c["n_words"],
+        "mean_word": c["word_chars"] / words,
+        "symbols": c["n_symbols"] / chars,
+        "dup_lines": c["n_dup_lines"] / lines,
+        "repeats": c["n_repeat_words"] / words,
+        "upper": c["n_upper"] / chars,
+        "digits": c["n_digits"] / chars,
+        "bars": c["n_bars"] / words,
+        "marks": c["n_marks"] / words,
+    }
 
 
 def learn(docs: DataFrame, labels: DataFrame, *, sample: int = 8000, **options) -> list[Rule]:
@@ -217,12 +253,16 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample: int = 8000, **options)
 
     labels: doc_id and quality (0 or 1). Only the statistics of the sample reach the driver.
     """
-    one = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    one = labels.where(
+        F.col("quality").isNotNull() & F.col("doc_id").isNotNull()
+    ).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     least = one.select("doc_id", "quality", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(sample)
     names = [*BASE, *MORE]
     found = statistics(docs.select("doc_id", "text").join(F.broadcast(least.select("doc_id", "quality")), "doc_id"))
     # One row for each label, however many documents share its id.
-    rows = found.groupBy("doc_id", "quality").agg(F.min(F.struct(*names)).alias("s")).select("doc_id", "quality", "s.*").collect()
+    rows = found.groupBy("doc_id", "quality").agg(
+        F.min(F.struct(*names)).alias("s")
+    ).select("doc_id", "quality", "s.*").collect()
     if not rows:
         return []
     rows.sort(key=lambda r: (hash_order(r[0]), *r[1:]))
@@ -255,4 +295,6 @@ def fired(rules: list[Rule]) -> Column:
 
 def apply(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """docs with the statistics, base_failed, rule and kept."""
-    return statistics(docs).drop("base_failed", "rule", "kept").withColumns({"base_failed": base_failed(), "rule": fired(rules), "kept": verdict(rules)})
+    return statistics(docs).drop("base_failed", "rule", "kept").withColumns(
+        {"base_failed": base_failed(), "rule": fired(rules), "kept": verdict(rules)}
+    )

@@ -58,7 +58,12 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = bpe.encode(docs, vocabulary_path(), decoded="decoded")
     ids = F.concat_ws(",", F.col("ids").cast("array<string>"))
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +72,12 @@ def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     Wordless texts have sum 0 and a null mean; repeated rows are other documents to each other.
     """
     found = lm_score.scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_words", F.round("log_sum", 4).alias("log_sum"), F.round("log_mean", 6).alias("log_mean"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.round("log_sum", 4).alias("log_sum"),
+        F.round("log_mean", 6).alias("log_mean"),
+    )
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +109,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = quality_rules.learn(docs, table(spark, sf_dir, "labels"))
-    return quality_rules.apply(docs, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+    return quality_rules.apply(docs, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule",
+    )
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +120,9 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     Wordless texts have an empty set and are linked with nothing; repeated rows are linked; null ids take
     part, and a component without any id has a null one.
     """
-    return near_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id", "kept")
+    return near_dedup.dedup(
+        table(spark, sf_dir, "documents").select("doc_id", "text")
+    ).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,12 +133,21 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii_crf.detect(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "spans")
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
-        "doc_id", *(count(k).alias(f"n_{k}") for k in pii_crf.KINDS), F.sha2(pii_crf.joined("spans", pii_crf.KINDS), 256).alias("base_sha256"), pii_crf.joined("spans").alias("spans"),
-    )
+        "doc_id",
+        *(count(k).alias(f"n_{k}") for k in pii_crf.KINDS),
+        F.sha2(pii_crf.joined("spans", pii_crf.KINDS), 256).alias("base_sha256"),
+        pii_crf.joined("spans").alias("spans"),
+    )
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_top_k, op3_substring_dedup, op4_bpe_round_trip, op5_lm_scores, op6_language, op7_mixture, op8_quality_rules, op9_near_duplicates, op10_personal_data)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_suffix_dedup, op2_top_k, op3_substring_dedup, op4_bpe_round_trip, op5_lm_scores, op6_language,
+            op7_mixture, op8_quality_rules, op9_near_duplicates, op10_personal_data,
+        )
+    }
 
 
 #: Words of documents in order, one row each.
@@ -212,4 +235,9 @@ FROM documents d LEFT JOIN rest r ON r.doc_id = d.doc_id LEFT JOIN sums x ON x.d
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_top_k": SQL_TOP_K, "op5_lm_scores": SQL_LM, "op3_substring_dedup": SQL_SUBSTRINGS, "op9_near_duplicates": SQL_NEAR}
+    return {
+        "op2_top_k": SQL_TOP_K,
+        "op5_lm_scores": SQL_LM,
+        "op3_substring_dedup": SQL_SUBSTRINGS,
+        "op9_near_duplicates": SQL_NEAR,
+    }

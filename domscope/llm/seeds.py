@@ -175,7 +175,13 @@ def _key(did, x1):
 def keyed(docs: DataFrame) -> DataFrame:
     """(doc_id, did, x1, x2, key, text): did is never null (null ids come last)."""
     did = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
-    rows = docs.select("doc_id", did.alias("did"), F.xxhash64("text").alias("x1"), F.xxhash64(F.lit(20240607), "text").alias("x2"), "text")
+    rows = docs.select(
+        "doc_id",
+        did.alias("did"),
+        F.xxhash64("text").alias("x1"),
+        F.xxhash64(F.lit(20240607), "text").alias("x2"),
+        "text",
+    )
     return rows.select("doc_id", *IDENTITY, _key(F.col("did"), F.col("x1")).alias("key"), "text")
 
 
@@ -215,7 +221,10 @@ def anchor_rows(rows: DataFrame, anchors: Anchors, within: bool) -> DataFrame:
                 travels[sent(found, did[a:b], within).index] = 1
                 contexts = np.add.reduceat(travels[order], head) if len(head) else head
                 mark = marks(d[head], contexts, np.diff(np.append(head, len(v))))
-                yield pa.RecordBatch.from_arrays([pa.array(v[head].view(np.int64)), pa.array(k[head]), pa.array(mark)], names=["value", "key", "mark"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v[head].view(np.int64)), pa.array(k[head]), pa.array(mark)],
+                    names=["value", "key", "mark"],
+                )
 
     return rows.select("key", "did", "text").mapInArrow(run, "value long, key long, mark long")
 
@@ -230,7 +239,9 @@ def _folded(group: np.ndarray, values: np.ndarray, fold: np.ufunc) -> np.ndarray
     return out
 
 
-def candidates(value: np.ndarray, key: np.ndarray, mark: np.ndarray, within: bool, hot: int) -> tuple[np.ndarray, np.ndarray]:
+def candidates(
+    value: np.ndarray, key: np.ndarray, mark: np.ndarray, within: bool, hot: int,
+) -> tuple[np.ndarray, np.ndarray]:
     """(rows to keep, which of all rows are hot) of whole runs of grams, sorted by value. Kept are those with
     a stretch that occurs again (within), or again under another id."""
     v, times, ids = value.view(np.uint64), mark & _MANY, ids_of(key, mark)
@@ -323,7 +334,10 @@ def with_spans(rows: DataFrame, found: DataFrame) -> DataFrame:
     are shuffled as plain rows, which are smaller than partial lists of one or two.
     """
     names = (*IDENTITY, "first", "last")
-    dealt = found.select(_key(F.col("did"), F.col("x1")).alias("key"), *names).repartition(partitions(rows.sparkSession), "key")
+    dealt = found.select(
+        _key(F.col("did"), F.col("x1")).alias("key"),
+        *names,
+    ).repartition(partitions(rows.sparkSession), "key")
     spans = dealt.groupBy("key").agg(F.collect_set(F.struct(*names)).alias("spans"))
     return rows.join(spans, "key", "left").select("doc_id", *IDENTITY, "text", "spans")
 

@@ -44,7 +44,9 @@ def _word_units(size: int):
         rank = np.uint64(63) - np.minimum(length >> np.uint64(1), np.uint64(63))
 
         prefix = prefix_hash(words.hash)
-        return gram, (rank << np.uint64(58)) | (gram >> np.uint64(6)), words.doc, lambda first, last: span_hash(prefix, first, last), words
+        return gram, (
+            rank << np.uint64(58)
+        ) | (gram >> np.uint64(6)), words.doc, lambda first, last: span_hash(prefix, first, last), words
 
     return units
 
@@ -67,7 +69,14 @@ def _seeds(rows: DataFrame, anchors: Anchors, column: str) -> DataFrame:
                 go = sent(f, did[a:b], False)
                 doc, first, size = known_spans(f, go.known, anchors.width)
                 s = f.only(go.index)
-                around = [raw[i:j] for i, j in zip(words.start[s.first].tolist(), words.end[s.last + anchors.width - 1].tolist(), strict=True)]
+                around = [
+                    raw[i:j]
+                    for i, j in zip(
+                        words.start[s.first].tolist(),
+                        words.end[s.last + anchors.width - 1].tolist(),
+                        strict=True,
+                    )
+                ]
                 further, cut = f.at(go.places).astype(np.int32), np.cumsum(go.more)
                 for k in np.flatnonzero(go.more).tolist():
                     around[k] += further[cut[k] - go.more[k] : cut[k]].tobytes()
@@ -75,11 +84,21 @@ def _seeds(rows: DataFrame, anchors: Anchors, column: str) -> DataFrame:
                 none = np.zeros(len(doc), np.int64)
                 h = np.concatenate([s.gram.view(np.int64), x1[a + doc]])
                 at = np.concatenate([s.first - s.bounds[s.doc], first])
-                before, windows = np.concatenate([s.place - s.first, none]), np.concatenate([s.last - s.first + 1, none])
+                before, windows = np.concatenate([s.place - s.first, none]), np.concatenate(
+                    [s.last - s.first + 1, none]
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), *identity(batch, a + np.concatenate([s.doc, doc])), pa.array(at.astype(np.int32)), pa.array(before.astype(np.int16)), pa.array(windows.astype(np.int16)), pa.array(np.concatenate([go.more, size]).astype(np.int32)), pa.array(around, pa.binary())],
+                    [
+                        pa.array(h),
+                        *identity(batch, a + np.concatenate([s.doc, doc])),
+                        pa.array(at.astype(np.int32)),
+                        pa.array(before.astype(np.int16)),
+                        pa.array(windows.astype(np.int16)),
+                        pa.array(np.concatenate([go.more, size]).astype(np.int32)),
+                        pa.array(around, pa.binary()),
+                    ],
                     names=["h", *IDENTITY, "at", "before", "windows", "more", "around"],
-                )
+                )
 
     schema = f"h long, {IDENTITY_TYPE}, at int, before short, windows short, more int, around binary"
     # Both lists, so that the seeds of either share the exchange of the lists.
@@ -95,11 +114,17 @@ def unpacked(blobs: pa.Array, more: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     end = np.repeat(off[1:] - tail, size)
     place = np.arange(len(data)) >= end
     text_off = np.concatenate([[0], np.cumsum(size - tail)]).astype(np.int32)
-    texts = pa.Array.from_buffers(pa.binary(), len(more), [None, pa.py_buffer(text_off.tobytes()), pa.py_buffer(data[~place].tobytes())])
+    texts = pa.Array.from_buffers(
+        pa.binary(),
+        len(more),
+        [None, pa.py_buffer(text_off.tobytes()), pa.py_buffer(data[~place].tobytes())],
+    )
     return texts, np.frombuffer(data[place].tobytes(), np.int32).astype(np.int64)
 
 
-def _classes(group: np.ndarray, words: np.ndarray, place: np.ndarray, inside: np.ndarray, step: int, depth: int) -> list[np.ndarray]:
+def _classes(
+    group: np.ndarray, words: np.ndarray, place: np.ndarray, inside: np.ndarray, step: int, depth: int,
+) -> list[np.ndarray]:
     """Classes of rows that agree on the next 0, 1, ... depth words from ``place`` on in direction step."""
     out = [group]
     for d in range(depth):
@@ -124,7 +149,9 @@ def _word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([w.hash for w in parts]), np.concatenate([[0], np.cumsum(counts)])
 
 
-def removed_windows(h: np.ndarray, did: np.ndarray, texts: pa.Array, before: np.ndarray, windows: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+def removed_windows(
+    h: np.ndarray, did: np.ndarray, texts: pa.Array, before: np.ndarray, windows: np.ndarray, width: int, gram: int,
+) -> tuple[np.ndarray, np.ndarray]:
     """For each seed the least and largest start (relative to its text) of a window that a smaller
     doc_id has as well; -1 where there is none."""
     n = len(texts)
@@ -168,7 +195,14 @@ def _extended(seeds: DataFrame, width: int, gram: int) -> DataFrame:
             hit = np.flatnonzero(low[row] >= 0)
             row, at = row[hit], at[hit]
             first, last = at + low[row], at + high[row] + width
-            yield pa.RecordBatch.from_arrays([*(pa.array(t[x].to_numpy()[row]) for x in IDENTITY), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))], names=[*IDENTITY, "first", "last"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(pa.array(t[x].to_numpy()[row]) for x in IDENTITY),
+                    pa.array(first.astype(np.int32)),
+                    pa.array(last.astype(np.int32)),
+                ],
+                names=[*IDENTITY, "first", "last"],
+            )
 
     return seeds.repartition(n, "h").sortWithinPartitions("h").mapInArrow(run, f"{IDENTITY_TYPE}, first int, last int")
 
@@ -198,11 +232,25 @@ def _counted(seeds: DataFrame, width: int) -> DataFrame:
                             row.append(k)
                             first.append(int(at[k]) + s)
                 rows = pa.array(row, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), *(part.column(c).take(rows) for c in range(3)), pa.array(first, pa.int32())], names=["key", *IDENTITY, "first"])
-
-    windows = seeds.select(*IDENTITY, "at", "windows", "more", "around").mapInArrow(run, f"key binary, {IDENTITY_TYPE}, first int")
-    least = windows.groupBy("key").agg(F.min("did").alias("least"), F.max("did").alias("most")).where("least < most").select("key", "least")
-    hit = windows.where("key is null").select(*IDENTITY, "first").unionByName(windows.join(least, "key").where("did > least").select(*IDENTITY, "first"))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(key, pa.binary()),
+                        *(part.column(c).take(rows) for c in range(3)),
+                        pa.array(first, pa.int32()),
+                    ],
+                    names=["key", *IDENTITY, "first"],
+                )
+
+    windows = seeds.select(*IDENTITY, "at", "windows", "more", "around").mapInArrow(
+        run,
+        f"key binary, {IDENTITY_TYPE}, first int",
+    )
+    least = windows.groupBy("key").agg(
+        F.min("did").alias("least"), F.max("did").alias("most"),
+    ).where("least < most").select("key", "least")
+    hit = windows.where("key is null").select(*IDENTITY, "first").unionByName(
+        windows.join(least, "key").where("did > least").select(*IDENTITY, "first")
+    )
     return hit.withColumn("last", F.col("first") + width)
 
 
@@ -227,9 +275,17 @@ def joined(words: Words, keep: np.ndarray) -> pa.Array:
     inside = at < np.repeat(words.end[keep] - words.start[keep], size)
     out = np.full(len(at), 0x20, np.uint8)
     out[inside] = words.data[(np.repeat(words.start[keep], size) + at)[inside]]
-    length = np.bincount(doc, weights=size, minlength=len(words.doc) - 1).astype(np.int64) if len(keep) else np.zeros(len(words.doc) - 1, np.int64)
+    length = (
+        np.bincount(doc, weights=size, minlength=len(words.doc) - 1).astype(np.int64)
+        if len(keep)
+        else np.zeros(len(words.doc) - 1, np.int64)
+    )
     left = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
-    return pa.Array.from_buffers(pa.string(), len(length), [None, pa.py_buffer(left.tobytes()), pa.py_buffer(out.tobytes())])
+    return pa.Array.from_buffers(
+        pa.string(),
+        len(length),
+        [None, pa.py_buffer(left.tobytes()), pa.py_buffer(out.tobytes())],
+    )
 
 
 def dedup(docs: DataFrame, **options) -> DataFrame:
@@ -243,6 +299,9 @@ def dedup(docs: DataFrame, **options) -> DataFrame:
                 gone = covered(part, words.doc)
                 removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[words.doc])
                 kept = joined(words, np.flatnonzero(~gone))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(words.counts), pa.array(removed), kept], names=["doc_id", "n_words", "n_removed", "kept"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(words.counts), pa.array(removed), kept],
+                    names=["doc_id", "n_words", "n_removed", "kept"],
+                )
 
     return repeated_spans(docs, **options).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")

@@ -89,7 +89,9 @@ def neighbour_lcp(rows: np.ndarray, order: np.ndarray) -> np.ndarray:
     return out
 
 
-def repeated_windows(texts: pa.Array, before: np.ndarray, windows: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+def repeated_windows(
+    texts: pa.Array, before: np.ndarray, windows: np.ndarray, width: int, gram: int,
+) -> tuple[np.ndarray, np.ndarray]:
     """For each suffix the least and largest start (relative to its text) of a window that another
     suffix has as well; -1 where there is none.
 
@@ -151,7 +153,15 @@ def _splitters(rows: DataFrame, anchors: Anchors, parts: int) -> list[bytes]:
                 order = np.lexsort((found.gram, found.doc))
                 rank = np.arange(len(order)) - np.searchsorted(found.doc[order], found.doc[order])
                 raw = part.tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([raw[i : i + anchors.size] for i in found.place[order[rank < SAMPLE_LEADS]].tolist()], pa.binary())], names=["lead"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(
+                            [raw[i : i + anchors.size] for i in found.place[order[rank < SAMPLE_LEADS]].tolist()],
+                            pa.binary(),
+                        )
+                    ],
+                    names=["lead"],
+                )
 
     some = rows.select("text").sample(min(1.0, SAMPLE_DOCUMENTS / n), seed=11)
     leads = sorted(bytes(r[0]) for r in some.mapInArrow(run, "lead binary").collect())
@@ -175,16 +185,32 @@ def _suffixes(rows: DataFrame, anchors: Anchors, splitters: list[bytes]) -> Data
                 go = sent(f, did[a:b], True)
                 doc, first, size = known_spans(f, go.known, anchors.width)
                 s = f.only(go.index)
-                around = [raw[i : j + anchors.width] for i, j in zip(s.first.tolist(), s.last.tolist(), strict=True)] + [b""] * len(doc)
+                around = (
+                    [raw[i : j + anchors.width] for i, j in zip(s.first.tolist(), s.last.tolist(), strict=True)]
+                    + [b""] * len(doc)
+                )
                 lead = [raw[i : i + anchors.size] for i in s.place.tolist()]
                 where = [bisect_right(splitters, x) for x in lead] + [k % (len(splitters) + 1) for k in range(len(doc))]
                 lead += [int(k).to_bytes(8) for k in a + doc]
                 none = np.zeros(len(doc), np.int64)
-                numbers = [np.concatenate(x) for x in ([s.first - s.bounds[s.doc], first], [s.place - s.first, size], [s.last - s.first + 1, none])]
+                numbers = [
+                    np.concatenate(x)
+                    for x in (
+                        [s.first - s.bounds[s.doc], first],
+                        [s.place - s.first, size],
+                        [s.last - s.first + 1, none],
+                    )
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(where, pa.int32()), pa.array(lead, pa.binary()), *identity(batch, a + np.concatenate([s.doc, doc])), *(pa.array(x.astype(np.int32)) for x in numbers), pa.array(around, pa.binary())],
+                    [
+                        pa.array(where, pa.int32()),
+                        pa.array(lead, pa.binary()),
+                        *identity(batch, a + np.concatenate([s.doc, doc])),
+                        *(pa.array(x.astype(np.int32)) for x in numbers),
+                        pa.array(around, pa.binary()),
+                    ],
                     names=["part", "lead", *IDENTITY, "at", "before", "windows", "around"],
-                )
+                )
 
     schema = f"part int, lead binary, {IDENTITY_TYPE}, at int, before int, windows int, around binary"
     # Both lists, so that both ways share the exchange of the lists.
@@ -197,12 +223,21 @@ def _compared(suffixes: DataFrame, width: int, gram: int, parts: int) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in bucketed(batches, 1):
             windows, at, before = (t[x].to_numpy().astype(np.int64) for x in ("windows", "at", "before"))
-            low, high = repeated_windows(t["around"].combine_chunks(), np.where(windows, before, 0), windows, width, gram)
+            low, high = repeated_windows(
+                t["around"].combine_chunks(), np.where(windows, before, 0), windows, width, gram,
+            )
             known = windows == 0
             low[known], high[known] = 0, before[known] - width
             hit = np.flatnonzero(low >= 0)
             first, last = at[hit] + low[hit], at[hit] + high[hit] + width
-            yield pa.RecordBatch.from_arrays([*(pa.array(t[x].to_numpy()[hit]) for x in IDENTITY), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))], names=[*IDENTITY, "first", "last"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(pa.array(t[x].to_numpy()[hit]) for x in IDENTITY),
+                    pa.array(first.astype(np.int32)),
+                    pa.array(last.astype(np.int32)),
+                ],
+                names=[*IDENTITY, "first", "last"],
+            )
 
     dealt = suffixes.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "lead")
     return dealt.mapInArrow(run, f"{IDENTITY_TYPE}, first int, last int")
@@ -223,9 +258,19 @@ def _counted(rows: DataFrame, anchors: Anchors) -> DataFrame:
                 start = np.arange(size.sum()) + np.repeat(f.first - (np.cumsum(size) - size), size)
                 of = np.repeat(f.doc, size)
                 key = [hashlib.blake2b(raw[s : s + anchors.width], digest_size=16).digest() for s in start.tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), *identity(batch, a + of), pa.array((start - f.bounds[of]).astype(np.int32))], names=["key", *IDENTITY, "first"])
-
-    windows = rows.where(F.size("hots") > 0).select("doc_id", *IDENTITY, "text", "cool", "hots").mapInArrow(run, f"key binary, {IDENTITY_TYPE}, first int")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(key, pa.binary()),
+                        *identity(batch, a + of),
+                        pa.array((start - f.bounds[of]).astype(np.int32)),
+                    ],
+                    names=["key", *IDENTITY, "first"],
+                )
+
+    windows = rows.where(F.size("hots") > 0).select("doc_id", *IDENTITY, "text", "cool", "hots").mapInArrow(
+        run,
+        f"key binary, {IDENTITY_TYPE}, first int",
+    )
     many = windows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     return windows.join(many, "key").select(*IDENTITY, "first", (F.col("first") + anchors.width).alias("last"))
 
@@ -256,7 +301,17 @@ def dedup(docs: DataFrame, **options) -> DataFrame:
                 count = lambda mark, off=off: np.diff(np.concatenate([[0], np.cumsum(mark)])[off])
                 removed = count(gone)
                 left = np.concatenate([[0], np.cumsum(np.diff(off) - removed)]).astype(np.int32)
-                kept = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(left.tobytes()), pa.py_buffer(data[~gone].tobytes())])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(off)), pa.array(removed), pa.array(count(new)), kept], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-    return repeated_spans(docs, **options).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+                kept = pa.Array.from_buffers(
+                    pa.binary(),
+                    part.num_rows,
+                    [None, pa.py_buffer(left.tobytes()), pa.py_buffer(data[~gone].tobytes())],
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(np.diff(off)), pa.array(removed), pa.array(count(new)), kept],
+                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
+                )
+
+    return repeated_spans(docs, **options).mapInArrow(
+        run,
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary",
+    )

@@ -36,8 +36,19 @@ def quantised(rows: DataFrame, scale: float, ident: str = "vec_id", vector: str
     bad = F.exists(vector, lambda c: c.isNull() | F.isnan(c) | (F.abs(c.cast("double")) == float("inf")))
     used = rows.where(F.col(ident).isNotNull() & F.col(vector).isNotNull()).where(~bad)
     # Spark's floor() gives a long; doubles beyond its range are whole already.
-    whole = F.transform(vector, lambda c: F.when(F.abs(F.lit(float(scale)) * c.cast("double")) < 2.0**62, F.floor(F.lit(float(scale)) * c.cast("double")).cast("double")).otherwise(F.lit(float(scale)) * c.cast("double")))
-    return used.select(F.monotonically_increasing_id().alias("rid"), F.col(ident).cast("long").alias("id"), F.size(vector).alias("dim"), whole.alias("v"))
+    whole = F.transform(
+        vector,
+        lambda c: F.when(
+            F.abs(F.lit(float(scale)) * c.cast("double")) < 2.0**62,
+            F.floor(F.lit(float(scale)) * c.cast("double")).cast("double"),
+        ).otherwise(F.lit(float(scale)) * c.cast("double")),
+    )
+    return used.select(
+        F.monotonically_increasing_id().alias("rid"),
+        F.col(ident).cast("long").alias("id"),
+        F.size(vector).alias("dim"),
+        whole.alias("v"),
+    )
 
 
 def _packed(rows: DataFrame, key: str) -> DataFrame:
@@ -47,8 +58,18 @@ def _packed(rows: DataFrame, key: str) -> DataFrame:
         dim = t["dim"][0].as_py()
         ids = t["id"].to_numpy()
         order = np.lexsort((t["rid"].to_numpy(), ids))
-        values = t["v"].combine_chunks().flatten().to_numpy().reshape(-1, dim)[order] if dim else np.zeros((len(ids), 0))
-        return pa.table({"dim": pa.array([dim], pa.int32()), key: t[key].slice(0, 1), "rids": pa.array([t["rid"].to_numpy()[order].tobytes()]), "ids": pa.array([ids[order].tobytes()]), "m": pa.array([np.ascontiguousarray(values, np.float64).tobytes()])})
+        values = (
+            t["v"].combine_chunks().flatten().to_numpy().reshape(-1, dim)[order] if dim else np.zeros((len(ids), 0))
+        )
+        return pa.table(
+            {
+                "dim": pa.array([dim], pa.int32()),
+                key: t[key].slice(0, 1),
+                "rids": pa.array([t["rid"].to_numpy()[order].tobytes()]),
+                "ids": pa.array([ids[order].tobytes()]),
+                "m": pa.array([np.ascontiguousarray(values, np.float64).tobytes()]),
+            }
+        )
 
     return rows.groupBy("dim", key).applyInArrow(pack, f"dim int, {key} long, rids binary, ids binary, m binary")
 
@@ -62,7 +83,12 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(whole(a) @ whole(b).T, *_LONG).astype(np.int64)
 
 
-def best(scores: np.ndarray, ids: np.ndarray, k: int, alive: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+def best(
+    scores: np.ndarray,
+    ids: np.ndarray,
+    k: int,
+    alive: np.ndarray | None = None,
+) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each row of scores the k best (ids, scores), ties to the smaller id. ids: one row or one for each."""
     out = []
     for q in range(len(scores)):
@@ -83,14 +109,34 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int, alive: np.ndarray | None =
 
 
 def _lists(dim: int, block: int, part: int, rows: list[tuple[np.ndarray, np.ndarray]]) -> dict:
-    return {"dim": dim, "block": block, "part": part, "sizes": np.array([len(i) for i, _ in rows], np.int32).tobytes(), "ids": np.concatenate([i for i, _ in rows]).astype(np.int64).tobytes(), "scores": np.concatenate([s for _, s in rows]).astype(np.int64).tobytes()}
+    return {
+        "dim": dim,
+        "block": block,
+        "part": part,
+        "sizes": np.array([len(i) for i, _ in rows], np.int32).tobytes(),
+        "ids": np.concatenate([i for i, _ in rows]).astype(np.int64).tobytes(),
+        "scores": np.concatenate([s for _, s in rows]).astype(np.int64).tobytes(),
+    }
 
 
 _LISTS = "dim int, block long, part long, sizes binary, ids binary, scores binary"
-_ARROW = pa.schema([("dim", pa.int32()), ("block", pa.int64()), ("part", pa.int64()), ("sizes", pa.binary()), ("ids", pa.binary()), ("scores", pa.binary())])
-
-
-def top_k(rows: DataFrame, k: int, *, scale: float = 64, every: int = 20, tile: int = TILE, block: int = BLOCK) -> DataFrame:
+_ARROW = pa.schema(
+    [
+        ("dim", pa.int32()), ("block", pa.int64()), ("part", pa.int64()), ("sizes", pa.binary()), ("ids", pa.binary()),
+        ("scores", pa.binary()),
+    ]
+)
+
+
+def top_k(
+    rows: DataFrame,
+    k: int,
+    *,
+    scale: float = 64,
+    every: int = 20,
+    tile: int = TILE,
+    block: int = BLOCK,
+) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows for each row whose vec_id is divisible by ``every``."""
     spark = rows.sparkSession
     base = written(quantised(rows, scale))
@@ -103,13 +149,18 @@ def top_k(rows: DataFrame, k: int, *, scale: float = 64, every: int = 20, tile:
     asked = base.where(F.pmod("id", F.lit(every)) == 0)
     blocked = written(_packed(asked.withColumn("block", spread(blocks)), "block"))
     sent = blocked.withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
-    met = tiled.join(sent.select("dim", "tile", "block", F.col("rids").alias("q_rids"), F.col("m").alias("q")), ["dim", "tile"])
+    met = tiled.join(
+        sent.select("dim", "tile", "block", F.col("rids").alias("q_rids"), F.col("m").alias("q")),
+        ["dim", "tile"],
+    )
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 rids, ids, q_rids = (np.frombuffer(r[x], np.int64) for x in ("rids", "ids", "q_rids"))
-                m, q = np.frombuffer(r["m"]).reshape(len(ids), r["dim"]), np.frombuffer(r["q"]).reshape(len(q_rids), r["dim"])
+                m, q = np.frombuffer(r["m"]).reshape(len(ids), r["dim"]), np.frombuffer(r["q"]).reshape(
+                    len(q_rids), r["dim"],
+                )
                 out: list[tuple[np.ndarray, np.ndarray]] = []
                 for a in range(0, len(q), 256):
                     part: list[tuple[np.ndarray, np.ndarray]] | None = None
@@ -117,7 +168,14 @@ def top_k(rows: DataFrame, k: int, *, scale: float = 64, every: int = 20, tile:
                         scores = products(q[a : a + 256], m[b : b + _PIECE])
                         alive = q_rids[a : a + 256, None] != rids[None, b : b + _PIECE]
                         got = best(scores, ids[b : b + _PIECE], k, alive)
-                        part = got if part is None else [best(np.concatenate([x[1], y[1]])[None], np.concatenate([x[0], y[0]]), k)[0] for x, y in zip(part, got, strict=True)]
+                        part = (
+                            got
+                            if part is None
+                            else [
+                                best(np.concatenate([x[1], y[1]])[None], np.concatenate([x[0], y[0]]), k)[0]
+                                for x, y in zip(part, got, strict=True)
+                            ]
+                        )
                     out += part or []
                 yield pa.RecordBatch.from_pylist([_lists(r["dim"], r["block"], r["tile"], out)], _ARROW)
 
@@ -126,14 +184,27 @@ def top_k(rows: DataFrame, k: int, *, scale: float = 64, every: int = 20, tile:
     def merge(t: pa.Table) -> pa.Table:
         parts = t.to_pylist()
         sizes = [np.frombuffer(p["sizes"], np.int32) for p in parts]
-        ids = [np.split(np.frombuffer(p["ids"], np.int64), np.cumsum(z)[:-1]) for p, z in zip(parts, sizes, strict=True)]
-        scores = [np.split(np.frombuffer(p["scores"], np.int64), np.cumsum(z)[:-1]) for p, z in zip(parts, sizes, strict=True)]
-        rows = [best(np.concatenate(s)[None], np.concatenate(i), k)[0] for i, s in zip(zip(*ids, strict=True), zip(*scores, strict=True), strict=True)]
-        return pa.Table.from_pylist([_lists(parts[0]["dim"], parts[0]["block"], parts[0]["part"] // FAN_IN, rows)], _ARROW)
+        ids = [
+            np.split(np.frombuffer(p["ids"], np.int64), np.cumsum(z)[:-1]) for p, z in zip(parts, sizes, strict=True)
+        ]
+        scores = [
+            np.split(np.frombuffer(p["scores"], np.int64), np.cumsum(z)[:-1]) for p, z in zip(parts, sizes, strict=True)
+        ]
+        rows = [
+            best(np.concatenate(s)[None], np.concatenate(i), k)[0]
+            for i, s in zip(zip(*ids, strict=True), zip(*scores, strict=True), strict=True)
+        ]
+        return pa.Table.from_pylist(
+            [_lists(parts[0]["dim"], parts[0]["block"], parts[0]["part"] // FAN_IN, rows)],
+            _ARROW,
+        )
 
     left = tiles
     while left > 1:
-        lists = lists.withColumn("group", F.floor(F.col("part") / FAN_IN)).groupBy("dim", "block", "group").applyInArrow(lambda t: merge(t.drop_columns(["group"])), _LISTS)
+        lists = lists.withColumn("group", F.floor(F.col("part") / FAN_IN)).groupBy("dim", "block", "group").applyInArrow(
+            lambda t: merge(t.drop_columns(["group"])),
+            _LISTS,
+        )
         left = -(-left // FAN_IN)
     names = blocked.select("dim", "block", F.col("rids").alias("q_rids"), F.col("ids").alias("q_ids"))
 
@@ -142,6 +213,17 @@ def top_k(rows: DataFrame, k: int, *, scale: float = 64, every: int = 20, tile:
             for r in batch.to_pylist():
                 sizes = np.frombuffer(r["sizes"], np.int32)
                 rank = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.frombuffer(r["q_ids"], np.int64), sizes)), pa.array(rank.astype(np.int32)), pa.array(np.frombuffer(r["ids"], np.int64)), pa.array(np.frombuffer(r["scores"], np.int64))], names=["query_id", "rank", "vec_id", "score"])
-
-    return lists.join(names, ["dim", "block"]).select("sizes", "ids", "scores", "q_ids").mapInArrow(unfold, "query_id long, rank int, vec_id long, score long")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.repeat(np.frombuffer(r["q_ids"], np.int64), sizes)),
+                        pa.array(rank.astype(np.int32)),
+                        pa.array(np.frombuffer(r["ids"], np.int64)),
+                        pa.array(np.frombuffer(r["scores"], np.int64)),
+                    ],
+                    names=["query_id", "rank", "vec_id", "score"],
+                )
+
+    return lists.join(names, ["dim", "block"]).select("sizes", "ids", "scores", "q_ids").mapInArrow(
+        unfold,
+        "query_id long, rank int, vec_id long, score long",
+    )

@@ -56,7 +56,11 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offsets, data = column.buffers()
     size = 8 if wide else 4
-    off = np.frombuffer(offsets, np.int64 if wide else np.int32, len(column) + 1, column.offset * size).astype(np.int64) if len(column) else np.zeros(1, np.int64)
+    off = (
+        np.frombuffer(offsets, np.int64 if wide else np.int32, len(column) + 1, column.offset * size).astype(np.int64)
+        if len(column)
+        else np.zeros(1, np.int64)
+    )
     if data is None or off[-1] == off[0]:
         return np.zeros(0, np.uint8), off - off[0]
     return np.frombuffer(data, np.uint8, int(off[-1] - off[0]), int(off[0])), off - off[0]

@@ -14,7 +14,15 @@ SCHEMA = "doc_id long, text string, source string, size string"
 def _rows(n=3000):
     rng = random.Random(8)
     sources = ["a"] * 10 + ["b"] * 4 + ["c", "d", "", None, "é"]
-    return [(k, rng.choice(["w " * rng.randrange(1, 60), "", None, "x"]) if k % 40 else "z " * 900, rng.choice(sources), "old") for k in range(n)]
+    return [
+        (
+            k,
+            rng.choice(["w " * rng.randrange(1, 60), "", None, "x"]) if k % 40 else "z " * 900,
+            rng.choice(sources),
+            "old",
+        )
+        for k in range(n)
+    ]
 
 
 def _brute_targets(sizes):
@@ -77,7 +85,9 @@ def test_edge_cases(spark):
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).collect() == []
     got = mixing.mix(spark.createDataFrame([(1, None, None, "x"), (2, "", "a", "x")], SCHEMA)).collect()
     assert [(r["size"], r["target"], r["taken"]) for r in got] == [(0, 0.0, 0)] * 2
-    one = mixing.mix(spark.createDataFrame([(1, "a b", "s", "x"), (1, "a b", "s", "x"), (2, "long " * 50_000, "s", "x")], SCHEMA)).collect()
+    one = mixing.mix(
+        spark.createDataFrame([(1, "a b", "s", "x"), (1, "a b", "s", "x"), (2, "long " * 50_000, "s", "x")], SCHEMA)
+    ).collect()
     assert sorted(r["taken"] for r in one) == [2, 2, 50_000]
 
 
@@ -108,7 +118,11 @@ def test_repeated_rows(spark):
 def test_near_the_target(spark, kind):
     rng = random.Random(kind)
     if kind == "huge":  # one text holds much of a source
-        rows = [(k, "w " * rng.randrange(1, 30), "a") for k in range(400)] + [(900, "x " * 5000, "a")] + [(1000 + k, "y " * 20, "b") for k in range(900)]
+        rows = (
+            [(k, "w " * rng.randrange(1, 30), "a") for k in range(400)]
+            + [(900, "x " * 5000, "a")]
+            + [(1000 + k, "y " * 20, "b") for k in range(900)]
+        )
     elif kind == "tiny":
         rows = [(k, "w " * rng.randrange(1, 9), rng.choice("abcdefg")) for k in range(25)]
     else:
@@ -118,15 +132,26 @@ def test_near_the_target(spark, kind):
 
 def test_clashing_columns(spark):
     """Columns named like the operator's own pass through, result columns are replaced."""
-    names = ["s", "k", "b", "c", "row", "rid", "edge", "passes", "shards", "number", "shard", "place", "source_", "block", "all", "one", "some"]
-    docs = spark.createDataFrame([(k, f"w{k} w", "s1", "old", *[f"{n}{k}" for n in names]) for k in range(30)], f"doc_id long, text string, source string, taken string, {', '.join(f'`{n}` string' for n in names)}")
+    names = [
+        "s", "k", "b", "c", "row", "rid", "edge", "passes", "shards", "number", "shard", "place", "source_", "block",
+        "all", "one", "some",
+    ]
+    docs = spark.createDataFrame(
+        [(k, f"w{k} w", "s1", "old", *[f"{n}{k}" for n in names]) for k in range(30)],
+        f"doc_id long, text string, source string, taken string, {', '.join(f'`{n}` string' for n in names)}",
+    )
     for got in (mixing.mix(docs).collect(), mixing.rows_of(mixing.mix(docs)).collect()):
-        assert got and all(r[n] == f"{n}{r['doc_id']}" for r in got for n in names) and all(r["taken"] % 2 == 0 for r in got)
+        assert got and all(
+            r[n] == f"{n}{r['doc_id']}" for r in got for n in names
+        ) and all(r["taken"] % 2 == 0 for r in got)
 
 
 def test_shards(spark):
     """A shard is a partition; the draws of the shards are those of the documents."""
-    docs = spark.createDataFrame([(k, "w " * (k % 7 + 1), f"s{k % 3}") for k in range(2000)], "doc_id long, text string, source string")
+    docs = spark.createDataFrame(
+        [(k, "w " * (k % 7 + 1), f"s{k % 3}") for k in range(2000)],
+        "doc_id long, text string, source string",
+    )
     mixed = mixing.mix(docs, shards=5)
     parts = mixing.rows_of(mixed, 5).rdd.glom().map(lambda p: Counter(r["doc_id"] for r in p)).collect()
     rows = mixed.collect()

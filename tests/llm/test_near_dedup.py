@@ -14,7 +14,11 @@ def _set(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
     if not words:
         return frozenset()
-    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if len(words) >= 5 else frozenset([tuple(words)])
+    return (
+        frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+        if len(words) >= 5
+        else frozenset([tuple(words)])
+    )
 
 
 def _expected(rows):
@@ -58,7 +62,10 @@ def _rows():
             rows.append((k, joined.upper() if rng.random() < 0.2 else joined))
             k += 1
     rows += [(k + i, " ".join(word() for _ in range(rng.randrange(1, 80)))) for i in range(40)]
-    rows += [(None, rows[0][1]), (None, "only one here"), (7, rows[7][1]), (8, rows[50][1]), (900, None), (901, ""), (902, " \n"), (903, None)]
+    rows += [
+        (None, rows[0][1]), (None, "only one here"), (7, rows[7][1]), (8, rows[50][1]), (900, None), (901, ""),
+        (902, " \n"), (903, None),
+    ]
     rng.shuffle(rows)
     return rows
 
@@ -73,7 +80,17 @@ def test_all_pairs(spark, tile, monkeypatch):
 
 
 def test_keep_one(spark):
-    docs = spark.createDataFrame([(1, "a b c d e f g", "x"), (2, "A b c d e f  g", "y"), (2, "A b c d e f  g", "z"), (3, None, "x"), (4, "other words stand here now ok", "x"), (4, "other words stand here now ok", "x")], SCHEMA)
+    docs = spark.createDataFrame(
+        [
+            (1, "a b c d e f g", "x"),
+            (2, "A b c d e f  g", "y"),
+            (2, "A b c d e f  g", "z"),
+            (3, None, "x"),
+            (4, "other words stand here now ok", "x"),
+            (4, "other words stand here now ok", "x"),
+        ],
+        SCHEMA,
+    )
     assert sorted(r[0] for r in near_dedup.keep_one(docs).collect()) == [1, 3, 4]
 
 
@@ -110,9 +127,13 @@ def test_threshold(spark):
             rows.append((len(rows), " ".join(text), "x"))
     for k in range(0, 300, 2):
         a, b = _set(rows[k][1]), _set(rows[k + 1][1])
-        assert 80 * len(a | b) <= 100 * len(a & b) < 85 * len(a | b) if k // 2 % 3 else 100 * len(a & b) < 80 * len(a | b)
+        assert 80 * len(
+            a | b
+        ) <= 100 * len(a & b) < 85 * len(a | b) if k // 2 % 3 else 100 * len(a & b) < 80 * len(a | b)
     docs = spark.createDataFrame(rows, SCHEMA)
-    assert sorted(r[0] for r in near_dedup.keep_one(docs, threshold=80).collect()) == [k for k in range(300) if not (k % 2 and k // 2 % 3)]
+    assert sorted(
+        r[0] for r in near_dedup.keep_one(docs, threshold=80).collect()
+    ) == [k for k in range(300) if not (k % 2 and k // 2 % 3)]
     assert near_dedup.keep_one(docs.where("doc_id < 20")).count() == 20
 
 
@@ -135,7 +156,16 @@ def test_keep_one_of_each_group(spark):
     words = [f"w{k}" for k in range(60)]
     near = [" ".join([*words[:-1], x]) for x in ("a", "b", "c")]
     other = [" ".join(["o" + w for w in [*words[:-1], x]]) for x in ("a", "b", "c")]
-    rows = [*((None, t, "x") for t in near), (5, other[0], "x"), (5, other[1], "x"), (6, other[2], "x"), (None, other[2], "x"), (None, None, "x"), (None, "", "x"), (7, " ", "x")]
+    rows = [
+        *((None, t, "x") for t in near),
+        (5, other[0], "x"),
+        (5, other[1], "x"),
+        (6, other[2], "x"),
+        (None, other[2], "x"),
+        (None, None, "x"),
+        (None, "", "x"),
+        (7, " ", "x"),
+    ]
     got = near_dedup.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
     full = [r for r in got if (r["text"] or "").strip()]
     assert len(full) == 2 and sorted(r["doc_id"] or 0 for r in full) == [0, 5]
@@ -147,15 +177,31 @@ def test_long_sets_and_clashing_columns(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "TILE_BYTES", 20_000)
     names = ["row", "r1", "r2", "full", "component", "node", "n", "own", "of", "first"]
     base = [f"w{k}" for k in range(1500)]
-    rows = [(k, " ".join([*base[:-1], f"x{k}"]), *[f"{n}{k}" for n in names]) for k in range(12)] + [(50, "other " * 40, *names), (51, None, *names), (52, "", *names)]
-    docs = spark.createDataFrame(rows, f"doc_id long, text string, {', '.join(f'`{n}` string' for n in names)}").repartition(3)
+    rows = (
+        [(k, " ".join([*base[:-1], f"x{k}"]), *[f"{n}{k}" for n in names]) for k in range(12)]
+        + [(50, "other " * 40, *names), (51, None, *names), (52, "", *names)]
+    )
+    docs = spark.createDataFrame(
+        rows,
+        f"doc_id long, text string, {', '.join(f'`{n}` string' for n in names)}",
+    ).repartition(3)
     got = sorted(near_dedup.keep_one(docs).collect(), key=lambda r: r["doc_id"])
     assert [tuple(r) for r in got] == [rows[0], *rows[12:]]
-    assert sorted([tuple(r) for r in near_dedup.dedup(docs).select("doc_id", "n_shingles", "component_id", "kept").collect()], key=repr) == _expected([r[:2] for r in rows])
+    assert sorted(
+        [tuple(r) for r in near_dedup.dedup(docs).select("doc_id", "n_shingles", "component_id", "kept").collect()],
+        key=repr,
+    ) == _expected([r[:2] for r in rows])
 
 
 def test_many_equal_rows(spark):
-    rows = [(None, "a b c d e f g h", "x")] * 500 + [(9, "a b c d e f g h", "x")] * 300 + [(4, "a b c d e f g h", "x"), (1, "not like the others at all", "x")]
+    rows = (
+        [(None, "a b c d e f g h", "x")] * 500
+        + [(9, "a b c d e f g h", "x")] * 300
+        + [(4, "a b c d e f g h", "x"), (1, "not like the others at all", "x")]
+    )
     docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
     assert sorted(r["doc_id"] for r in near_dedup.keep_one(docs).collect()) == [1, 4]
-    assert sorted([tuple(r) for r in near_dedup.dedup(docs).select("doc_id", "n_shingles", "component_id", "kept").collect()], key=repr) == _expected([r[:2] for r in rows])
+    assert sorted(
+        [tuple(r) for r in near_dedup.dedup(docs).select("doc_id", "n_shingles", "component_id", "kept").collect()],
+        key=repr,
+    ) == _expected([r[:2] for r in rows])

@@ -27,9 +27,14 @@ def folder(spark, tmp_path_factory):
             words[3] = "mail.me@example.org"
         rows.append((k, " ".join(words), "en", f"src{k % 4}" if k % 9 else None, 0))
         labels.append((k, int(not junk), 0))
-    rows += [(300 + k, rows[k][1].replace(" ", "\n", 1), "en", "src1", 0) for k in (1, 2, 3)] + [(310, None, None, None, None), (311, "", "en", "src1", 0)]
+    rows += [
+        (300 + k, rows[k][1].replace(" ", "\n", 1), "en", "src1", 0) for k in (1, 2, 3)
+    ] + [(310, None, None, None, None), (311, "", "en", "src1", 0)]
     d = str(tmp_path_factory.mktemp("sf"))
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame(
+        rows,
+        "doc_id long, text string, lang string, source string, n_chars long",
+    ).write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
     return d
 
@@ -49,7 +54,10 @@ def test_stages(spark, folder):
     assert masked.columns == docs.columns
     crf = pii_crf.model()
     for r in masked.collect():
-        assert r["text"] == pii_crf.mask(texts[r["doc_id"]], pii_crf.find([texts[r["doc_id"]]], crf)[0]) and r["n_chars"] == len(r["text"]) and "@" not in r["text"]
+        assert r["text"] == pii_crf.mask(
+            texts[r["doc_id"]],
+            pii_crf.find([texts[r["doc_id"]]], crf)[0],
+        ) and r["n_chars"] == len(r["text"]) and "@" not in r["text"]
     mixed = p.mixture(spark, masked, folder)
     assert mixed.columns == docs.columns
     assert max(Counter(r["doc_id"] for r in mixed.collect()).values()) <= 3
@@ -66,13 +74,19 @@ def test_run_against_brute_force(spark, folder):
     masked, sources come near their targets, ids are those of the tokenizers library."""
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     library = Tokenizer.from_file(vocabulary_path())
-    expected = {k: re.sub(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "[EMAIL]", docs[k]["text"]) for k in range(240) if k % 6}
+    expected = {
+        k: re.sub(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "[EMAIL]", docs[k]["text"])
+        for k in range(240)
+        if k % 6
+    }
     got = p.run(spark, folder).collect()
     taken = Counter(r["doc_id"] for r in got)
     assert set(taken) <= set(expected) and max(taken.values()) <= 3
     for r in got:
         text = expected[r["doc_id"]]
-        assert tuple(r["ids"]) == _encoded(text, library) and r["n_tokens"] == len(r["ids"]) and r["source"] == docs[r["doc_id"]]["source"]
+        assert tuple(r["ids"]) == _encoded(
+            text, library,
+        ) and r["n_tokens"] == len(r["ids"]) and r["source"] == docs[r["doc_id"]]["source"]
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
     size = {k: len(t.split()) for k, t in expected.items()}
     total = Counter()
@@ -89,11 +103,24 @@ def test_run_against_brute_force(spark, folder):
         assert abs(have - share[s]) <= max(size.values()) / 2 + 1
 
 
-@pytest.mark.parametrize("rows", [[], [(None, None, None, None, None)] * 3, [(1, "", "en", None, 0), (1, "", "en", None, 0), (None, " \n", None, "s", 0)]])
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [],
+        [(None, None, None, None, None)] * 3,
+        [(1, "", "en", None, 0), (1, "", "en", None, 0), (None, " \n", None, "s", 0)],
+    ],
+)
 def test_edges_of_stages(spark, folder, rows):
     """Empty tables, nulls in every column, wordless and repeated rows, and clashing columns."""
-    names = ["masked", "ids", "decoded", "spans", "size", "draws", "kept", "rule", "row", "r1", "component", "shard", "_masked"]
-    docs = spark.createDataFrame([(*r, *names) for r in rows], f"doc_id long, text string, lang string, source string, n_chars long, {', '.join(f'{n} string' for n in names)}")
+    names = [
+        "masked", "ids", "decoded", "spans", "size", "draws", "kept", "rule", "row", "r1", "component", "shard",
+        "_masked",
+    ]
+    docs = spark.createDataFrame(
+        [(*r, *names) for r in rows],
+        f"doc_id long, text string, lang string, source string, n_chars long, {', '.join(f'{n} string' for n in names)}",
+    )
     for _, stage in p.STAGES:
         got = stage(spark, docs, folder)
         if stage is not p.encoding:
@@ -101,7 +128,9 @@ def test_edges_of_stages(spark, folder, rows):
         n = got.count()
         assert n == 0 if stage is p.quality or not rows else n >= 0
     assert p.near_duplicates(spark, docs, folder).count() == len(rows)
-    assert p.personal_data(spark, docs, folder).count() == len(rows) and p.encoding(spark, docs, folder).count() == len(rows)
+    assert p.personal_data(
+        spark, docs, folder,
+    ).count() == len(rows) and p.encoding(spark, docs, folder).count() == len(rows)
 
 
 def test_run(spark, folder):
@@ -114,7 +143,10 @@ def test_near_copies_of_the_stage(spark, folder):
     """A copy at similarity 0.815 goes."""
     words = [f"word{k}" for k in range(200)]
     copy = [f"new{k}" if k in (20, 60, 100, 140) else w for k, w in enumerate(words)]
-    docs = spark.createDataFrame([(1, " ".join(words), "en", "a", 0), (2, " ".join(copy), "en", "a", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = spark.createDataFrame(
+        [(1, " ".join(words), "en", "a", 0), (2, " ".join(copy), "en", "a", 0)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
     assert [r["doc_id"] for r in p.near_duplicates(spark, docs, folder).collect()] == [1]
 
 

@@ -24,8 +24,14 @@ def _expected(text):
 
 def test_statistics(spark):
     rng = random.Random(2)
-    texts = ["".join(rng.choice("ab é\n#|\t") for _ in range(rng.randrange(200))) for _ in range(400)] + [None, "", "\n", "a b c d e a b c d e", "a\na\n\na", " x\nx", "x\rx\nx\rx", "w " * 30_000]
-    docs = spark.createDataFrame([(k, t, "old") for k, t in enumerate(texts)] + [(0, texts[0], None)], SCHEMA).repartition(3)
+    texts = (
+        ["".join(rng.choice("ab é\n#|\t") for _ in range(rng.randrange(200))) for _ in range(400)]
+        + [None, "", "\n", "a b c d e a b c d e", "a\na\n\na", " x\nx", "x\rx\nx\rx", "w " * 30_000]
+    )
+    docs = spark.createDataFrame(
+        [(k, t, "old") for k, t in enumerate(texts)] + [(0, texts[0], None)],
+        SCHEMA,
+    ).repartition(3)
     for r in q.statistics(docs).collect():
         assert tuple(r[x] for x in q.BASE) == _expected(texts[r["doc_id"]])
 
@@ -38,11 +44,16 @@ def _corpus(spark):
         words = [word() for _ in range(rng.randrange(30, 200))]
         bad = k % 6 == 0
         if bad:
-            words = [w + rng.choice(("###", "$$$", "|")) for w in words] if k % 12 else [w.upper() + "!!" for w in words]
+            words = (
+                [w + rng.choice(("###", "$$$", "|")) for w in words] if k % 12 else [w.upper() + "!!" for w in words]
+            )
         rows.append((k, " ".join(words), "x"))
         if k % 2 == 0:
             labels.append((k, int(not bad)))
-    return spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([*labels, (None, 1), (4, None), (2, 1)], "doc_id long, quality int")
+    return spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(
+        [*labels, (None, 1), (4, None), (2, 1)],
+        "doc_id long, quality int",
+    )
 
 
 def test_rules_learn(spark):
@@ -56,8 +67,13 @@ def test_rules_learn(spark):
 
 def test_edge_cases(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
-    docs = spark.createDataFrame([(1, None, None), (2, "a " * 9, "x"), (3, "b c d e f g h i j k l", "x"), (3, "b c d e f g h i j k l", "x")], SCHEMA)
+    docs = spark.createDataFrame(
+        [(1, None, None), (2, "a " * 9, "x"), (3, "b c d e f g h i j k l", "x"), (3, "b c d e f g h i j k l", "x")],
+        SCHEMA,
+    )
     assert q.learn(docs, none) == []
-    assert sorted((r["doc_id"], r["base_failed"], r["kept"]) for r in q.apply(docs, []).collect()) == [(1, True, False), (2, True, False), (3, False, True), (3, False, True)]
+    assert sorted(
+        (r["doc_id"], r["base_failed"], r["kept"]) for r in q.apply(docs, []).collect()
+    ) == [(1, True, False), (2, True, False), (3, False, True), (3, False, True)]
     empty = spark.createDataFrame([], SCHEMA)
     assert q.apply(empty, q.learn(empty, none)).collect() == []

@@ -26,7 +26,9 @@ def _bytes_expected(rows, width):
             if where[t[i : i + width]] > 1:
                 gone[i : i + width] = True
         runs = int((gone[:-1] & ~np.concatenate([[False], gone[:-1]])[: len(t)]).sum()) if t else 0
-        out.append((d, len(t), int(gone.sum()), runs, bytes(c for c, g in zip(t, gone.tolist(), strict=False) if not g)))
+        out.append(
+            (d, len(t), int(gone.sum()), runs, bytes(c for c, g in zip(t, gone.tolist(), strict=False) if not g))
+        )
     return sorted(out, key=repr)
 
 
@@ -54,9 +56,15 @@ def _rows(seed, alphabet, count, longest):
     parts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(longest))) for _ in range(12)]
     rows = []
     for k in range(count):
-        text = "".join(rng.choice(parts) if rng.random() < 0.6 else "".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(rng.randrange(6)))
+        text = "".join(
+            rng.choice(parts) if rng.random() < 0.6 else "".join(rng.choice(alphabet) for _ in range(rng.randrange(40)))
+            for _ in range(rng.randrange(6))
+        )
         rows.append((k, text))
-    rows += [(None, parts[0] + parts[1]), (None, parts[0]), (3, rows[3][1]), (3, parts[2]), (count, None), (count + 1, ""), (count + 2, "ab" * 400), (count + 3, " \t\n ")]
+    rows += [
+        (None, parts[0] + parts[1]), (None, parts[0]), (3, rows[3][1]), (3, parts[2]), (count, None), (count + 1, ""),
+        (count + 2, "ab" * 400), (count + 3, " \t\n "),
+    ]
     rng.shuffle(rows)
     return rows
 
@@ -66,7 +74,13 @@ def test_bytes(spark, hot):
     for seed, alphabet, longest in ((1, "ab é", 60), (2, "abcdefghij klm\n", 300)):
         rows = _rows(seed, alphabet, 60, longest)
         docs = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA).repartition(3)
-        got = sorted([(r[0], r[1], r[2], r[3], bytes(r[4])) for r in suffix_dedup.dedup(docs, width=40, gram=8, hot=hot).collect()], key=repr)
+        got = sorted(
+            [
+                (r[0], r[1], r[2], r[3], bytes(r[4]))
+                for r in suffix_dedup.dedup(docs, width=40, gram=8, hot=hot).collect()
+            ],
+            key=repr,
+        )
         assert got == _bytes_expected(rows, 40)
 
 
@@ -83,7 +97,10 @@ def test_production_width(spark):
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
     passage = " ".join(word() for _ in range(50))
-    rows = [(k, " ".join(word() for _ in range(30)) + (" " + passage[k : k + 220 + k] + " " if k % 2 else " ") + word()) for k in range(20)]
+    rows = [
+        (k, " ".join(word() for _ in range(30)) + (" " + passage[k : k + 220 + k] + " " if k % 2 else " ") + word())
+        for k in range(20)
+    ]
     docs = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
     got = sorted([(r[0], r[1], r[2], r[3], bytes(r[4])) for r in suffix_dedup.dedup(docs).collect()], key=repr)
     assert got == _bytes_expected(rows, 200)
@@ -114,22 +131,43 @@ def test_runs(hot, within):
     """The streamed run lengths agree with counts over all rows, whatever the sizes of batches."""
     rng = random.Random(hot)
     ids = [0, 1, 1 << 50, (1 << 50) + 1, -3, (1 << 63) - 1, 77, 78]
-    rows = sorted({(rng.choice([0, 1, 7, 0xFFFFFFFF, *range(100, 130)]) << 32 | rng.choice([0, 1, 2]) << 16 | rng.choice([0, 5, 6]), rng.choice(ids)): rng.choice([1, 1, 1, 2, 1 << 30]) for _ in range(150)}.items())
+    rows = sorted(
+        {
+            (
+                rng.choice([0, 1, 7, 0xFFFFFFFF, *range(100, 130)]) << 32
+                | rng.choice([0, 1, 2]) << 16
+                | rng.choice([0, 5, 6]),
+                rng.choice(ids),
+            ): rng.choice([1, 1, 1, 2, 1 << 30])
+            for _ in range(150)
+        }.items()
+    )
     group = defaultdict(list)
     for (v, d), c in rows:
         for g in ((v >> 32,), (v >> 16, 0), (v >> 32, 1, v & 0xFFFF)):
             group[g].append((d, c))
     again = lambda g: sum(c for _, c in group[g]) > 1 if within else len({d for d, _ in group[g]}) > 1
-    sure = {(v, d) for (v, d), _ in rows if (v >> 16 & 0xFFFF and again((v >> 16, 0))) or (v & 0xFFFF and again((v >> 32, 1, v & 0xFFFF)))}
+    sure = {
+        (v, d)
+        for (v, d), _ in rows
+        if (v >> 16 & 0xFFFF and again((v >> 16, 0))) or (v & 0xFFFF and again((v >> 32, 1, v & 0xFFFF)))
+    }
     signed = lambda v: v - (1 << 64) if v >> 63 else v
     did = np.array([d for (_, d), _ in rows])
     keys = did ^ np.int64(0x1234 << 48)
     mark = marks(did, np.array([c % 4 for _, c in rows]), np.array([c for _, c in rows]))
     assert (ids_of(keys, mark) == did.view(np.uint64)).all()
-    table = pa.RecordBatch.from_arrays([pa.array([signed(v) for (v, _), _ in rows], pa.int64()), pa.array(keys), pa.array(mark)], names=["value", "key", "mark"])
+    table = pa.RecordBatch.from_arrays(
+        [pa.array([signed(v) for (v, _), _ in rows], pa.int64()), pa.array(keys), pa.array(mark)],
+        names=["value", "key", "mark"],
+    )
     back = dict(zip(keys.tolist(), did.tolist(), strict=True))
     for size in (1, 2, 7, 150):
-        got = [(r["value"] % (1 << 64), back[r["key"]], r["hot"]) for b in runs((table.slice(i, size) for i in range(0, len(rows), size)), within, hot) for r in b.to_pylist()]
+        got = [
+            (r["value"] % (1 << 64), back[r["key"]], r["hot"])
+            for b in runs((table.slice(i, size) for i in range(0, len(rows), size)), within, hot)
+            for r in b.to_pylist()
+        ]
         assert len(got) == len(set(got)) and {(v, d) for v, d, _ in got} >= sure
         for v, d, flag in got:
             assert flag == (sum(c % 4 for _, c in group[v >> 32,]) > hot) or len(group[v >> 32,]) > hot
@@ -139,7 +177,11 @@ def test_runs(hot, within):
 def test_equal_ids(spark):
     """Rows that share an id, null above all, are told apart by their texts."""
     words = lambda seed, n: " ".join(f"w{(seed * 7919 + k * 104729) % 1000003}" for k in range(n))
-    rows = [(None, words(k, 40)) for k in range(3000)] + [(7, words(k, 40)) for k in range(3000, 6000)] + [(1, words(5, 40)), (2, words(3005, 40))]
+    rows = (
+        [(None, words(k, 40)) for k in range(3000)]
+        + [(7, words(k, 40)) for k in range(3000, 6000)]
+        + [(1, words(5, 40)), (2, words(3005, 40))]
+    )
     docs = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA).repartition(5)
     got = sorted([(r[0], r[1], r[2], r[3], bytes(r[4])) for r in suffix_dedup.dedup(docs).collect()], key=repr)
     assert got == _bytes_expected(rows, 200)
@@ -150,12 +192,23 @@ def test_equal_ids(spark):
 def test_repeated_rows_and_one_hot_text(spark):
     """Many equal rows, and one text of equal grams, beside texts of their own."""
     own = [(k, " ".join(f"v{k}x{j}" for j in range(60))) for k in range(5)]
-    rows = [(None, own[0][1])] * 300 + [(4, own[1][1])] * 300 + own + [(90, "=" * 30_000), (91, "w " * 30_000), (92, "=" * 300 + " w w " * 10)]
+    rows = (
+        [(None, own[0][1])] * 300
+        + [(4, own[1][1])] * 300
+        + own
+        + [(90, "=" * 30_000), (91, "w " * 30_000), (92, "=" * 300 + " w w " * 10)]
+    )
     docs = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA).repartition(3)
     for hot in (100, 50_000):
-        got = sorted([(r[0], r[1], r[2], r[3], bytes(r[4])) for r in suffix_dedup.dedup(docs, hot=hot).collect()], key=repr)
+        got = sorted(
+            [(r[0], r[1], r[2], r[3], bytes(r[4])) for r in suffix_dedup.dedup(docs, hot=hot).collect()],
+            key=repr,
+        )
         assert got == _bytes_expected(rows, 200)
-        assert sorted([tuple(r) for r in substring_dedup.dedup(docs, hot=hot).collect()], key=repr) == _words_expected(rows, 13)
+        assert sorted(
+            [tuple(r) for r in substring_dedup.dedup(docs, hot=hot).collect()],
+            key=repr,
+        ) == _words_expected(rows, 13)
 
 
 def test_bucketed():
