@@ -69,13 +69,24 @@ def pattern_spans(text: str) -> list[Span]:
         out += [("email", a, b) for a, b in _emails(text)]
     if _DIGIT.search(text):
         if "." in text:
-            out += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(len(p) <= 3 and int(p) <= 255 or int(p.lstrip("0")[:4] or 0) <= 255 and len(p.lstrip("0")) <= 3 for p in m.group().split("."))]
+            out += [
+                ("ip", m.start(), m.end())
+                for m in IP.finditer(text)
+                if all(
+                    len(p) <= 3 and int(p) <= 255 or int(p.lstrip("0")[:4] or 0) <= 255 and len(p.lstrip("0")) <= 3
+                    for p in m.group().split(".")
+                )
+            ]
         for m in CARD.finditer(text):
             digits = m.group().replace(" ", "").replace("-", "")
             if 14 <= len(digits) <= 19 and luhn(digits):
                 out.append(("card", m.start(), m.end()))
         if "+" in text:
-            out += [("phone", m.start(), m.end()) for m in PHONE.finditer(text) if 10 <= sum(map(str.isdigit, m.group())) <= 15]
+            out += [
+                ("phone", m.start(), m.end())
+                for m in PHONE.finditer(text)
+                if 10 <= sum(map(str.isdigit, m.group())) <= 15
+            ]
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
@@ -186,24 +197,35 @@ LONG = 200
 DIM = 1 << 12
 
 
-def shape(token: str) -> str:
-    out = []
-    for c in token:
-        k = "9" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c
-        if not out or out[-1] != k:
-            out.append(k)
-    return "".join(out[:8])
+class _Kinds(dict):
+    """The kind of each code point: 9 a digit, A a capital, a another letter, other characters themselves."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = kind = "9" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c
+        return kind
+
+
+_kinds = _Kinds()
+_RUNS = re.compile(r"(.)\1+", re.S)
+_TURN = re.compile(r"(?=9[Aa]|A[9a]|a[9A])")
+
+
+def shape(kinds: str) -> str:
+    """Runs of one kind as one character, the first eight."""
+    return _RUNS.sub(r"\1", kinds)[:8]
 
 
-def turns(token: str) -> int:
+def turns(kinds: str) -> int:
     """Changes between capitals, small letters and digits that stand side by side, without a first capital's."""
-    kinds = ["9" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else "" for c in token]
-    return sum(bool(x and y and x != y) for x, y in zip(kinds[1:], kinds[2:], strict=False))
+    return len(_TURN.findall(kinds[1:]))
 
 
 def random_kind(token: str) -> str:
     """hex: 32 hexadecimal digits or more; id: 16 capitals and digits or more."""
-    if token[:4] in ("AKIA", "ASIA") and len(token) == 20 and token.isascii() and token.isalnum() and token == token.upper():
+    if token[:4] in (
+        "AKIA", "ASIA",
+    ) and len(token) == 20 and token.isascii() and token.isalnum() and token == token.upper():
         return "id"
     if token.isascii() and token.isalnum() and any(map(str.isdigit, token)) and any(map(str.isalpha, token)):
         if len(token) >= 32 and not token.lower().strip("0123456789abcdef"):
@@ -213,15 +235,33 @@ def random_kind(token: str) -> str:
     return ""
 
 
-def word_features(token: str) -> list[str]:
-    digits = sum(c.isdigit() for c in token)
-    letters = sum(c.isalpha() for c in token)
-    length = len(token)
-    return [
-        f"shape={'mixed' if len(shape(token)) > 4 else shape(token)}", f"length={0 if length < 2 else 1 if length < 5 else 2 if length < 8 else 3 if length < 14 else 4}",
-        f"both={bool(digits) and bool(letters)}", f"key={bool(_KEY.fullmatch(token))}", f"sign={token if length == 1 and not token.isalnum() else ''}", f"long={length >= 8 and bool(digits) and bool(letters)}",
-        f"kind={random_kind(token)}", f"turns={min(turns(token) // 2, 4)}", f"random={length >= 8 and turns(token) >= 4}",
-    ]
+def word_class(token: str) -> tuple[str, bool, str, str]:
+    """What the features of a token depend on: its kinds, whether it is a key word, how random it looks, and
+    itself if it is one sign. Most words share theirs with many."""
+    key = len(token) <= 20 and bool(_KEY.fullmatch(token))
+    return token.translate(
+        _kinds
+    ), key, random_kind(token) if len(token) >= 16 else "", token if len(token) == 1 and not token.isalnum() else ""
+
+
+def class_features(kinds: str, key: bool, random: str, sign: str) -> tuple[str, ...]:
+    length, digits = len(kinds), kinds.count("9")
+    both, form, changes = digits > 0 and kinds.count("A") + kinds.count("a") > 0, shape(kinds), turns(kinds)
+    return (
+        f"shape={'mixed' if len(form) > 4 else form}",
+        f"length={0 if length < 2 else 1 if length < 5 else 2 if length < 8 else 3 if length < 14 else 4}",
+        f"both={both}",
+        f"key={key}",
+        f"sign={sign}",
+        f"long={length >= 8 and both}",
+        f"kind={random}",
+        f"turns={min(changes // 2, 4)}",
+        f"random={length >= 8 and changes >= 4}",
+    )
+
+
+def word_features(token: str) -> tuple[str, ...]:
+    return class_features(*word_class(token))
 
 
 @cache
@@ -256,7 +296,7 @@ def _distance(key: np.ndarray, first: np.ndarray) -> np.ndarray:
 def features(tokens: list[str]) -> list[list[int]]:
     if not tokens:
         return []
-    own = [tuple(word_features(t)) for t in tokens]
+    own = [word_features(t) for t in tokens]
     near = _distance(np.array([bool(_KEY.fullmatch(t)) for t in tokens]), np.zeros(len(tokens), int)).tolist()
     return [_joint(a, b, c, d) for a, b, c, d in zip([None, *own], own, [*own[1:], None], near, strict=False)]
 
@@ -274,6 +314,7 @@ class CRF:
     def __init__(self, emission: np.ndarray, transition: np.ndarray):
         self.emission, self.transition = emission, transition
         self._token: dict[str, int] = {}
+        self._number: dict[tuple[str, bool, str, str], int] = {}
         self._class: dict[tuple[str, ...], int] = {}
         self._owns: list[tuple[str, ...]] = []
         self._gain: dict[int, float] = {}
@@ -282,7 +323,14 @@ class CRF:
         return CRF, (self.emission, self.transition)
 
     @classmethod
-    def train(cls, sentences: list[tuple[list[str], list[int]]], *, steps: int = 200, rate: float = 0.5, decay: float = 1e-3) -> CRF:
+    def train(
+        cls,
+        sentences: list[tuple[list[str], list[int]]],
+        *,
+        steps: int = 200,
+        rate: float = 0.5,
+        decay: float = 1e-3,
+    ) -> CRF:
         xs = [(_matrix(t), np.array(y)) for t, y in sentences if t]
         e, tr = np.zeros((DIM, 2)), np.zeros((2, 2))
         ge2, gt2 = np.full_like(e, 1e-8), np.full_like(tr, 1e-8)
@@ -317,15 +365,21 @@ class CRF:
             if t in known:
                 out[i] = known[t]
                 continue
-            own = tuple(word_features(t))
-            if own not in self._class:
-                self._class[own] = len(self._owns)
-                self._owns.append(own)
-            out[i] = self._class[own]
+            what = word_class(t)
+            number = self._number.get(what, -1)
+            if number < 0:
+                own = class_features(*what)
+                if own not in self._class:
+                    self._class[own] = len(self._owns)
+                    self._owns.append(own)
+                number = self._class[own]
+                if len(t) <= LONG and len(self._number) < CACHED:
+                    self._number[what] = number
+            out[i] = number
             if len(t) <= LONG:
                 if len(known) >= CACHED:
                     known.clear()
-                known[t] = self._class[own]
+                known[t] = number
         return out
 
     def _gains(self, tokens: list[str], first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -460,14 +514,40 @@ def find(texts: list[str], crf: CRF | None) -> list[list[Span]]:
     return out
 
 
-SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType(), False), T.StructField("start", T.IntegerType(), False), T.StructField("end", T.IntegerType(), False)]), False)
-_ARROW = pa.list_(pa.struct([pa.field("kind", pa.string(), False), pa.field("start", pa.int32(), False), pa.field("end", pa.int32(), False)]))
-
-
-def detect(docs: DataFrame, *, text: str = "text", spans: str = "spans", table: str = LABELLED, masked: str | None = None) -> DataFrame:
+SPANS = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("kind", T.StringType(), False),
+            T.StructField("start", T.IntegerType(), False),
+            T.StructField("end", T.IntegerType(), False),
+        ]
+    ),
+    False,
+)
+_ARROW = pa.list_(
+    pa.struct(
+        [pa.field("kind", pa.string(), False), pa.field("start", pa.int32(), False), pa.field("end", pa.int32(), False)]
+    )
+)
+
+
+def detect(
+    docs: DataFrame,
+    *,
+    text: str = "text",
+    spans: str = "spans",
+    table: str = LABELLED,
+    masked: str | None = None,
+) -> DataFrame:
     """docs with ``spans``; with ``masked`` also the text in which each span is ``[KIND]``."""
     fields = [f for f in docs.schema.fields if f.name not in (spans, masked)]
-    schema = T.StructType([*fields, T.StructField(spans, SPANS, False), *([T.StructField(masked, T.StringType(), True)] if masked else [])])
+    schema = T.StructType(
+        [
+            *fields,
+            T.StructField(spans, SPANS, False),
+            *([T.StructField(masked, T.StringType(), True)] if masked else []),
+        ]
+    )
     names = [f.name for f in fields]
     crf = model(table)  # a few KB of weights, sent with the tasks
 
@@ -478,8 +558,13 @@ def detect(docs: DataFrame, *, text: str = "text", spans: str = "spans", table:
                 found = find([x or "" for x in raw], crf)
                 made = [pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in s] for s in found], _ARROW)]
                 if masked:
-                    made.append(pa.array([x if x is None else mask(x, s) for x, s in zip(raw, found, strict=True)], pa.string()))
-                yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(x)) for x in names), *made], names=[f.name for f in schema.fields])
+                    made.append(
+                        pa.array([x if x is None else mask(x, s) for x, s in zip(raw, found, strict=True)], pa.string())
+                    )
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(part.schema.get_field_index(x)) for x in names), *made],
+                    names=[f.name for f in schema.fields],
+                )
 
     return docs.mapInArrow(run, schema)
 
@@ -497,4 +582,7 @@ def mask(text: str, spans: list[Span]) -> str:
 def joined(spans: str = "spans", kinds: tuple[str, ...] | None = None):
     """kind:start:end, comma-joined, as a Spark expression."""
     column = F.col(spans) if kinds is None else F.filter(spans, lambda s: s["kind"].isin(*kinds))
-    return F.concat_ws(",", F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+    return F.concat_ws(
+        ",",
+        F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))),
+    )
