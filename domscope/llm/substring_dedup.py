@@ -110,7 +110,6 @@ def unpacked(blobs: pa.Array, more: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     data, off = buffers(blobs)
     tail = 4 * more
     size = np.diff(off)
-    place = np.zeros(len(data), bool)
     end = np.repeat(off[1:] - tail, size)
     place = np.arange(len(data)) >= end
     text_off = np.concatenate([[0], np.cumsum(size - tail)]).astype(np.int32)
