@@ -328,12 +328,12 @@ def marked(doc: np.ndarray, value: np.ndarray, lists: pa.ListArray) -> np.ndarra
 
 
 def with_spans(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """rows (of keyed) with ``spans array<struct<did, x1, x2, first, last>>``; null: none.
+    """rows (of keyed) with ``spans array<struct<x1, x2, first, last>>``; null: none.
 
-    Joined by key, as the lists of anchors are, so that both joins share one exchange of the texts. Spans
-    are shuffled as plain rows, which are smaller than partial lists of one or two.
+    Joined by key, as the lists of anchors are, so that both joins share one exchange of the texts; key and
+    x1 give the id. Spans are shuffled as plain rows, which are smaller than partial lists of one or two.
     """
-    names = (*IDENTITY, "first", "last")
+    names = ("x1", "x2", "first", "last")
     dealt = found.select(
         _key(F.col("did"), F.col("x1")).alias("key"),
         *names,
@@ -348,8 +348,8 @@ def covered(part: pa.RecordBatch, bounds: np.ndarray) -> np.ndarray:
     row = np.repeat(np.arange(part.num_rows), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
     spans = lists.flatten()
     own = np.ones(len(row), bool)
-    for k, name in enumerate(IDENTITY):
-        own &= spans.field(name).to_numpy() == part.column(k + 1).to_numpy()[row]
+    for k, name in ((2, "x1"), (3, "x2")):
+        own &= spans.field(name).to_numpy() == part.column(k).to_numpy()[row]
     first, last = (bounds[row[own]] + spans.field(x).to_numpy()[own] for x in ("first", "last"))
     n = int(bounds[-1])
     return np.cumsum(np.bincount(first, minlength=n + 1) - np.bincount(last, minlength=n + 1))[:n] > 0
