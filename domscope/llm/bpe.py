@@ -27,9 +27,9 @@ from pyspark.sql import types as T
 
 from .vectext import buffers, mix, powers
 
-BLOCK_CHARS = 2_000_000
-SPLIT_CHARS = 250_000
-TABLE_WORDS = 100_000
+BLOCK_CHARS = 4_000_000
+SPLIT_CHARS = 500_000
+TABLE_WORDS = 200_000
 
 #: Classes of code points for the word pattern
 #: 's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
