@@ -580,7 +580,7 @@ def import_duplicates(spark, sf):
 SQL_DUPLICATES = f"""
 WITH {_SQL_IMPORT.strip()},
 r AS (SELECT *, first_value(id) OVER (PARTITION BY gid ORDER BY CASE WHEN canon THEN 0 ELSE 1 END, k) AS head FROM m WHERE gid <> '')
-SELECT printf('scout_dup_%04d', row_number() OVER (ORDER BY gid, k)) AS relationship_id, id AS from_candidate_id, head AS to_candidate_id, gid AS duplicate_group_id FROM r WHERE id <> head
+SELECT printf('{t.DUPLICATE_ID}', row_number() OVER (ORDER BY gid, k)) AS relationship_id, id AS from_candidate_id, head AS to_candidate_id, gid AS duplicate_group_id FROM r WHERE id <> head
 """
 
 
@@ -719,7 +719,7 @@ SQL_DUMP = f"""
 WITH {_SQL_RESEARCH.strip()},
 i AS (SELECT lower(domain) AS d, max_by(id, k) AS id FROM r GROUP BY 1),
 x AS (SELECT s_suppkey AS k, 'SHOP' || (s_suppkey * 2) || '.example' AS f, CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE 'shop' || s_suppkey || '.example' END AS t FROM supplier)
-SELECT printf('claude_aff_%04d', x.k) AS import_id, a.id AS from_candidate_id, b.id AS to_candidate_id, f AS from_domain, t AS to_domain, CASE WHEN x.k % 3 = 0 THEN 'related_to' ELSE 'sibling' END AS relationship, (CASE WHEN x.k % 2 = 0 THEN 0.8 ELSE 0.5 END)::DOUBLE AS confidence,
+SELECT printf('{t.DUMP_ID}', x.k) AS import_id, a.id AS from_candidate_id, b.id AS to_candidate_id, f AS from_domain, t AS to_domain, CASE WHEN x.k % 3 = 0 THEN 'related_to' ELSE 'sibling' END AS relationship, (CASE WHEN x.k % 2 = 0 THEN 0.8 ELSE 0.5 END)::DOUBLE AS confidence,
   CASE WHEN x.k % 4 = 0 THEN '{t.FIRST}' ELSE '{t.INFERRED}' END AS evidence_tier, CASE WHEN a.id IS NOT NULL AND b.id IS NOT NULL THEN 'resolved' ELSE 'unresolved_domain' END AS resolution_status
 FROM x LEFT JOIN i a ON a.d = lower(f) LEFT JOIN i b ON b.d = t
 """
