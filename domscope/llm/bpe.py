@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .vectext import buffers, mix, powers
+from .vectext import buffers, mix, powers, released
 
 BLOCK_CHARS = 2_000_000
 SPLIT_CHARS = 250_000
@@ -380,7 +380,7 @@ def encode(
                     names=[*names, ids, *([decoded] if decoded else [])],
                 )
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def decode(rows: DataFrame, vocabulary: str, *, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -406,4 +406,4 @@ def decode(rows: DataFrame, vocabulary: str, *, ids: str = "ids", decoded: str =
                 columns, names = _without(part, decoded)
                 yield pa.RecordBatch.from_arrays([*columns, made], names=[*names, decoded])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .vectext import LOWER, buffers, chunks
+from .vectext import LOWER, buffers, chunks, released
 
 SAMPLE = 4000
 PER_LANGUAGE = 600
@@ -270,6 +270,6 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
             )
 
     return docs.select("doc_id", (fold() == 1).alias("held_out"), "text").mapInArrow(
-        run,
+        released(run),
         "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean",
     )

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .mixing import sizes
 from .storage import partitions
-from .vectext import LOWER, Words, buffers, chunks, gram_hash, mix
+from .vectext import LOWER, Words, buffers, chunks, gram_hash, mix, release
 
 ALPHA = 0.4
 BUCKET_BYTES = 10 << 20
@@ -68,6 +68,14 @@ class Grams:
         )
 
 
+def trimmed(work, *tables: pa.Table) -> pa.Table:
+    """What work makes of a group, with the memory that it freed given back."""
+    try:
+        return work(*tables)
+    finally:
+        release()
+
+
 def _own(doc: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     """How often each occurrence's n-gram stands in its own document."""
     _, back, times = np.unique(doc * width + at, return_inverse=True, return_counts=True)
@@ -109,7 +117,7 @@ def scores(docs: DataFrame) -> DataFrame:
             }
         )
 
-    asked = dealt.groupBy("b").applyInArrow(ask, "q int, b int, grams binary, times binary")
+    asked = dealt.groupBy("b").applyInArrow(lambda t: trimmed(ask, t), "q int, b int, grams binary, times binary")
 
     def answer(t: pa.Table) -> pa.Table:
         grams = [np.frombuffer(x, np.uint64) for x in t["grams"].to_pylist()]
@@ -119,7 +127,7 @@ def scores(docs: DataFrame) -> DataFrame:
         parts = np.split(all_, np.cumsum([len(x) for x in grams])[:-1])
         return pa.table({"b": t["b"], "q": t["q"], "counts": pa.array([x.tobytes() for x in parts], pa.binary())})
 
-    answered = asked.groupBy("q").applyInArrow(answer, "b int, q int, counts binary")
+    answered = asked.groupBy("q").applyInArrow(lambda t: trimmed(answer, t), "b int, q int, counts binary")
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         g = Grams(left["text"].combine_chunks())
@@ -156,7 +164,6 @@ def scores(docs: DataFrame) -> DataFrame:
             }
         )
 
-    return dealt.groupBy("b").cogroup(answered.groupBy("b")).applyInArrow(
-        score,
+    return dealt.groupBy("b").cogroup(answered.groupBy("b")).applyInArrow(lambda t, counts: trimmed(score, t, counts),
         "doc_id long, n_words long, log_sum double, log_mean double",
     )

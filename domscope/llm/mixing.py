@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from .storage import written
-from .vectext import Words, buffers, chunks
+from .vectext import Words, buffers, chunks, released
 
 BLOCKS = 1024
 CAP = 3
@@ -63,7 +63,7 @@ def sizes(docs: DataFrame, text: str = "text") -> DataFrame:
             made = pa.array(np.concatenate(got).astype(np.int64) if got else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, "size"])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(released(run), schema)
 
 
 def targets(

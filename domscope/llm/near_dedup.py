@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ..operators.graph import components
 from .seeds import bucketed
 from .storage import discard, partitions, written
-from .vectext import LOWER, Words, buffers, chunks, gram_hash, mix, sliced
+from .vectext import LOWER, Words, buffers, chunks, gram_hash, mix, released, sliced
 
 WORDS = 5
 SYMBOLS = 40
@@ -163,7 +163,7 @@ def sketches(docs: DataFrame, scheme: Scheme) -> DataFrame:
                     names=["doc_id", "r1", "r2", "n", "node", "sig"],
                 )
 
-    return _rids(docs).mapInArrow(run, "doc_id long, r1 long, r2 long, n long, node string, sig binary")
+    return _rids(docs).mapInArrow(released(run), "doc_id long, r1 long, r2 long, n long, node string, sig binary")
 
 
 def _exploded(classes: DataFrame, scheme: Scheme) -> DataFrame:
@@ -180,7 +180,7 @@ def _exploded(classes: DataFrame, scheme: Scheme) -> DataFrame:
                     names=["key", "nid"],
                 )
 
-    return classes.select("nid", "sig").mapInArrow(run, "key long, nid long")
+    return classes.select("nid", "sig").mapInArrow(released(run), "key long, nid long")
 
 
 def _near_signature(sig: np.ndarray, n: np.ndarray, scheme: Scheme):
@@ -301,7 +301,7 @@ def _linked(members: DataFrame, attached: Callable[[DataFrame], DataFrame], kind
             dealt.withColumn("g", F.xxhash64("group", "t", "u")).select(*PLACE, *more)
         ).select(*PLACE, value)
         return dealt.repartition(n_parts, "g").sortWithinPartitions("g", "group", "t", "u").mapInArrow(
-            run, f"a {item}, b {item}",
+            released(run), f"a {item}, b {item}",
         )
 
     each = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") * 8 / TILE_BYTES) if kind == "sets" else F.lit(1))
@@ -386,7 +386,7 @@ def _with_sets(docs: DataFrame, dealt: DataFrame) -> DataFrame:
         "r1", "r2", "g", "text", *PLACE[1:],
     )
     return joined.mapInArrow(
-        run,
+        released(run),
         f"g long, group {kind}, t int, u int, item {dict(dealt.dtypes)['item']}, n long, component long, rest double, items binary",
     )
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .vectext import sliced
+from .vectext import released, sliced
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -566,7 +566,7 @@ def detect(
                     names=[f.name for f in schema.fields],
                 )
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def mask(text: str, spans: list[Span]) -> str:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .vectext import SEPARATOR, Words, buffers, chunks, gram_hash, mix, prefix_hash, span_hash
+from .vectext import SEPARATOR, Words, buffers, chunks, gram_hash, mix, prefix_hash, released, span_hash
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MORE = ("n_upper", "n_digits", "n_bars", "n_marks", "n_lines")
@@ -114,7 +114,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
             more = [pa.array(np.concatenate([p[x] for p in parts]) if parts else np.zeros(0, np.int64)) for x in names]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *names])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(released(run), schema)
 
 
 def base_failed() -> Column:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import partitions
-from .vectext import buffers, chunks, mix, sliding
+from .vectext import buffers, chunks, mix, released, sliding
 
 _PLACE = np.uint64(31)
 _MASK = np.uint64((1 << 31) - 1)
@@ -226,7 +226,7 @@ def anchor_rows(rows: DataFrame, anchors: Anchors, within: bool) -> DataFrame:
                     names=["value", "key", "mark"],
                 )
 
-    return rows.select("key", "did", "text").mapInArrow(run, "value long, key long, mark long")
+    return rows.select("key", "did", "text").mapInArrow(released(run), "value long, key long, mark long")
 
 
 def _folded(group: np.ndarray, values: np.ndarray, fold: np.ufunc) -> np.ndarray:
@@ -311,7 +311,7 @@ def repeated(rows: DataFrame, anchors: Anchors, within: bool, hot: int) -> DataF
     found = anchor_rows(rows, anchors, within).repartition(n, F.shiftrightunsigned("value", 32))
     # As unsigned numbers, so that the rows of a gram stand together.
     sorted_ = found.sortWithinPartitions(F.shiftrightunsigned("value", 32), "value")
-    both = sorted_.mapInArrow(lambda batches: runs(batches, within, hot), "key long, value long, hot boolean")
+    both = sorted_.mapInArrow(released(lambda batches: runs(batches, within, hot)), "key long, value long, hot boolean")
     one = lambda when: F.collect_set(F.when(when, F.col("value")))
     return both.groupBy("key").agg(one(~F.col("hot")).alias("cool"), one(F.col("hot")).alias("hots"))
 

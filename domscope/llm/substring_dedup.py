@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .seeds import HOT, IDENTITY, IDENTITY_TYPE, Anchors, bucketed, covered, identity, keyed, known_spans, marked, repeated, sent, with_spans
 from .storage import partitions
-from .vectext import Words, buffers, chunks, gram_hash, prefix_hash, sliced, span_hash
+from .vectext import Words, buffers, chunks, gram_hash, prefix_hash, released, sliced, span_hash
 
 WIDTH = 13
 GRAM = 3
@@ -102,7 +102,9 @@ def _seeds(rows: DataFrame, anchors: Anchors, column: str) -> DataFrame:
 
     schema = f"h long, {IDENTITY_TYPE}, at int, before short, windows short, more int, around binary"
     # Both lists, so that the seeds of either share the exchange of the lists.
-    return rows.where(F.size(column) > 0).select("doc_id", *IDENTITY, "text", "cool", "hots").mapInArrow(run, schema)
+    return rows.where(F.size(column) > 0).select(
+        "doc_id", *IDENTITY, "text", "cool", "hots",
+    ).mapInArrow(released(run), schema)
 
 
 def unpacked(blobs: pa.Array, more: np.ndarray) -> tuple[pa.Array, np.ndarray]:
@@ -203,7 +205,10 @@ def _extended(seeds: DataFrame, width: int, gram: int) -> DataFrame:
                 names=[*IDENTITY, "first", "last"],
             )
 
-    return seeds.repartition(n, "h").sortWithinPartitions("h").mapInArrow(run, f"{IDENTITY_TYPE}, first int, last int")
+    return seeds.repartition(n, "h").sortWithinPartitions("h").mapInArrow(
+        released(run),
+        f"{IDENTITY_TYPE}, first int, last int",
+    )
 
 
 def _counted(seeds: DataFrame, width: int) -> DataFrame:
@@ -241,7 +246,7 @@ def _counted(seeds: DataFrame, width: int) -> DataFrame:
                 )
 
     windows = seeds.select(*IDENTITY, "at", "windows", "more", "around").mapInArrow(
-        run,
+        released(run),
         f"key binary, {IDENTITY_TYPE}, first int",
     )
     least = windows.groupBy("key").agg(
@@ -303,4 +308,7 @@ def dedup(docs: DataFrame, **options) -> DataFrame:
                     names=["doc_id", "n_words", "n_removed", "kept"],
                 )
 
-    return repeated_spans(docs, **options).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+    return repeated_spans(docs, **options).mapInArrow(
+        released(run),
+        "doc_id long, n_words long, n_removed long, kept string",
+    )

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .seeds import HOT, IDENTITY, IDENTITY_TYPE, Anchors, bucketed, covered, identity, keyed, known_spans, marked, repeated, sent, with_spans
 from .storage import partitions
-from .vectext import buffers, chunks, prefix_hash, sliced, span_hash
+from .vectext import buffers, chunks, prefix_hash, released, sliced, span_hash
 
 WIDTH = 200
 GRAM = 32
@@ -164,7 +164,7 @@ def _splitters(rows: DataFrame, anchors: Anchors, parts: int) -> list[bytes]:
                 )
 
     some = rows.select("text").sample(min(1.0, SAMPLE_DOCUMENTS / n), seed=11)
-    leads = sorted(bytes(r[0]) for r in some.mapInArrow(run, "lead binary").collect())
+    leads = sorted(bytes(r[0]) for r in some.mapInArrow(released(run), "lead binary").collect())
     return sorted({leads[len(leads) * k // parts] for k in range(1, parts)}) if leads else []
 
 
@@ -214,7 +214,9 @@ def _suffixes(rows: DataFrame, anchors: Anchors, splitters: list[bytes]) -> Data
 
     schema = f"part int, lead binary, {IDENTITY_TYPE}, at int, before int, windows int, around binary"
     # Both lists, so that both ways share the exchange of the lists.
-    return rows.where(F.size("cool") > 0).select("doc_id", *IDENTITY, "text", "cool", "hots").mapInArrow(run, schema)
+    return rows.where(F.size("cool") > 0).select(
+        "doc_id", *IDENTITY, "text", "cool", "hots",
+    ).mapInArrow(released(run), schema)
 
 
 def _compared(suffixes: DataFrame, width: int, gram: int, parts: int) -> DataFrame:
@@ -240,7 +242,7 @@ def _compared(suffixes: DataFrame, width: int, gram: int, parts: int) -> DataFra
             )
 
     dealt = suffixes.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "lead")
-    return dealt.mapInArrow(run, f"{IDENTITY_TYPE}, first int, last int")
+    return dealt.mapInArrow(released(run), f"{IDENTITY_TYPE}, first int, last int")
 
 
 def _counted(rows: DataFrame, anchors: Anchors) -> DataFrame:
@@ -268,7 +270,7 @@ def _counted(rows: DataFrame, anchors: Anchors) -> DataFrame:
                 )
 
     windows = rows.where(F.size("hots") > 0).select("doc_id", *IDENTITY, "text", "cool", "hots").mapInArrow(
-        run,
+        released(run),
         f"key binary, {IDENTITY_TYPE}, first int",
     )
     many = windows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
@@ -312,6 +314,6 @@ def dedup(docs: DataFrame, **options) -> DataFrame:
                 )
 
     return repeated_spans(docs, **options).mapInArrow(
-        run,
+        released(run),
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary",
     )

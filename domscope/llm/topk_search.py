@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import partitions, written
+from .vectext import released
 
 TILE = 32_768
 BLOCK = 2048
@@ -179,7 +180,9 @@ def top_k(
                     out += part or []
                 yield pa.RecordBatch.from_pylist([_lists(r["dim"], r["block"], r["tile"], out)], _ARROW)
 
-    lists = written(met.select("dim", "tile", "block", "rids", "ids", "m", "q_rids", "q").mapInArrow(multiply, _LISTS))
+    lists = written(
+        met.select("dim", "tile", "block", "rids", "ids", "m", "q_rids", "q").mapInArrow(released(multiply), _LISTS)
+    )
 
     def merge(t: pa.Table) -> pa.Table:
         parts = t.to_pylist()

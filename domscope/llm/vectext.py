@@ -6,7 +6,8 @@ the working set stays near ``CHUNK_BYTES`` times a small constant; one document
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,31 @@ BYTE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def release() -> None:
+    """Give freed memory back to the system. A worker is kept after its task and serves later stages, and
+    the C library holds on to what numpy freed."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def released(run: Callable) -> Callable:
+    """run, which maps batches to batches, with release() when it ends and now and then before."""
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            for k, batch in enumerate(run(batches)):
+                yield batch
+                if k % 64 == 63:
+                    release()
+        finally:
+            release()
+
+    return mapped
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least n of each."""
     if len(_powers[0]) < n:
