@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, lm_score, mixing, near_dedup, pii_crf, quality_rules, substring_dedup, suffix_dedup, topk_search
+from . import (
+    bpe, langid, lexical_search, lm_score, mixing, near_dedup, pii_crf, quality_rules, substring_dedup, suffix_dedup,
+    topk_search,
+)
 
 #: The vocabulary of op4.
 VOCABULARY = "byte_bpe_50k.json"
@@ -140,12 +143,22 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 documents of highest score for each item of benchmark.
+
+    Null texts and those without a term take no part; an item whose terms are in no document has no rows; of
+    equal scores the smaller doc_id comes first, a null one last; repeated rows are ranked one by one.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_search.rank(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"), 10)
+
+
 def queries() -> dict:
     return {
         f.__name__: f
         for f in (
             op1_suffix_dedup, op2_top_k, op3_substring_dedup, op4_bpe_round_trip, op5_lm_scores, op6_language,
-            op7_mixture, op8_quality_rules, op9_near_duplicates, op10_personal_data,
+            op7_mixture, op8_quality_rules, op9_near_duplicates, op10_personal_data, op11_lexical_search,
         )
     }
 
@@ -234,10 +247,34 @@ FROM documents d LEFT JOIN rest r ON r.doc_id = d.doc_id LEFT JOIN sums x ON x.d
 """
 
 
+_LEXICAL_TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL_LEXICAL = f"""
+WITH found AS (SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '{_LEXICAL_TERM}')) AS term FROM documents),
+asked AS (SELECT item_id, unnest(regexp_extract_all({_LOWERED}, '{_LEXICAL_TERM}')) AS term FROM benchmark),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM found GROUP BY doc_id, term),
+sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM counts GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sizes),
+weights AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * count(*) + 1)))::BIGINT AS w FROM counts, whole GROUP BY term, docs
+),
+lengths AS (SELECT doc_id, 25 + (75 * n * docs) // terms AS m FROM sizes, whole),
+scored AS (
+  SELECT a.item_id, c.doc_id, sum(w.w * ((1000000000 * c.tf) // (1000 * c.tf + 8 * l.m)))::BIGINT AS score
+  FROM asked a JOIN counts c ON a.term = c.term JOIN weights w ON w.term = a.term JOIN lengths l ON l.doc_id = c.doc_id
+  GROUP BY a.item_id, c.doc_id
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM scored WHERE score > 0)
+SELECT item_id, r::INTEGER AS rank, doc_id, score FROM ranked WHERE r <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_top_k": SQL_TOP_K,
         "op5_lm_scores": SQL_LM,
         "op3_substring_dedup": SQL_SUBSTRINGS,
         "op9_near_duplicates": SQL_NEAR,
+        "op11_lexical_search": SQL_LEXICAL,
     }

@@ -110,16 +110,16 @@ def sliced(batch: pa.RecordBatch, column: int, limit: int = 1 << 20) -> Iterator
 
 
 class Words:
-    """The words ``[^\\x20\\x09-\\x0D]+`` of a range of documents.
+    """The words ``[^\\x20\\x09-\\x0D]+`` of a range of documents, or the runs between other separators.
 
     ``start`` and ``end`` are byte positions in ``data``; words of document i are those with
     index ``doc[i]`` up to ``doc[i + 1]``; ``hash`` is a 64-bit hash of each word's bytes.
     """
 
-    def __init__(self, data: np.ndarray, off: np.ndarray, hashed: bool = True):
+    def __init__(self, data: np.ndarray, off: np.ndarray, hashed: bool = True, separator: np.ndarray = SEPARATOR):
         self.data, self.off = data, off
         n = len(data)
-        inside = ~SEPARATOR[data]
+        inside = ~separator[data]
         edge = np.zeros(n + 1, dtype=bool)
         edge[off] = True
         before = np.zeros(n, dtype=bool)
