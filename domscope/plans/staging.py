@@ -9,12 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import terms as t
 from ..functions.rules import evidence_tier, row_tier, tier_cap
 from ..functions.text import cluster_key, confidence, first_nonempty, operator_id, split_pipe, strip, strings, text
+from ..operators import places
 from ..operators.keyed import keep_last
 from ..operators.pairs import complete
 
@@ -124,16 +124,18 @@ def duplicate_edges(entities: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def numbered(edges: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Duplicate edges with ids scout_dup_0001, ... in order of group and row (one sorted list, as the review file is)."""
-    k = F.row_number().over(W.orderBy("duplicate_group_id", *order))
-    return edges.select(
-        F.format_string(t.DUPLICATE_ID, k).alias("relationship_id"),
+    """Duplicate edges with ids scout_dup_0001, ... in order of group and row, and ``ordinal``, that order's places
+    (ids of more than four digits don't sort by it)."""
+    rows = places.numbered(edges, ["duplicate_group_id", *order], "_k")
+    return rows.select(
+        F.format_string(t.DUPLICATE_ID, "_k").alias("relationship_id"),
         F.lit(t.DUPLICATE_TYPE).alias("relationship_type"),
         "from_candidate_id",
         "to_candidate_id",
         "duplicate_group_id",
         F.lit(t.INFERRED).alias("evidence_tier"),
         F.lit("needs_review").alias("review_status"),
+        F.col("_k").alias("ordinal"),
     )
 
 

@@ -4,14 +4,20 @@ from __future__ import annotations
 
 import csv
 import json
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip
+from . import splits
+
+#: Lines that a CSV header may take.
+HEADER_LINES = 1000
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -21,28 +27,35 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def csv_table(spark: SparkSession, path: str, columns: Sequence[str], *, trimmed: bool = False) -> DataFrame:
-    """All cells as strings, blanks for missing ones, and ``ordinal``, the row's place in its file from 1 on.
+    """All cells as strings, blanks for missing ones, and ``ordinal``, the row's place from 1 on; rows of
+    several files are numbered by path.
 
-    The header names the columns; those of ``columns`` that the file lacks are empty.
+    The header, a file's first record, names the columns, of equal names the last one; those of ``columns``
+    that it lacks are empty. All files must have one header. Cells are quoted as Python's csv has it.
     """
     schema = T.StructType(
         [*(T.StructField(c, T.StringType()) for c in columns), T.StructField("ordinal", T.LongType())]
     )
-    if not exists(spark, path):
+    header = _header(spark, path) if exists(spark, path) else None
+    if header is None:
         return spark.createDataFrame([], schema)
-    raw = spark.read.csv(
-        path,
-        header=True,
-        multiLine=True,
-        escape='"',
-        enforceSchema=False,
-        emptyValue="",
-        nullValue="\0",
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit(sys.maxsize)
+        for batch in batches:
+            found = pa.array([_cells(x) for x in batch.column(1).to_pylist()], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), found], names=["ordinal", "cells"])
+
+    first = F.ltrim(F.rtrim("value", F.lit("\r")), F.lit("\ufeff"))
+    same = F.when(first != header, F.raise_error(F.lit(f"files of {path} have different headers")).cast("boolean"))
+    found = splits.records(spark, path, splits.Csv()).where(
+        F.when(F.col("place") == 0, F.coalesce(same, F.lit(False))).otherwise(F.lit(True))
+    )
+    rows = found.select((F.col("base") + F.col("place")).alias("ordinal"), "value").mapInArrow(
+        cells, "ordinal long, cells array<string>",
     )
-    # A multi-line file is one partition, in which ids rise with the rows.
-    rows = raw.withColumn("ordinal", F.monotonically_increasing_id() + 1)
-    have = {c.strip(): c for c in raw.columns}
-    cell = lambda c: F.coalesce(F.col(f"`{have[c]}`"), F.lit("")) if c in have else F.lit("")
+    have = {c.strip(): k for k, c in enumerate(_cells(header))}
+    cell = lambda c: F.coalesce(F.get("cells", F.lit(have[c])), F.lit("")) if c in have else F.lit("")
     return rows.select(
         *(
             (strip(cell(c)) if trimmed else cell(c)).alias(c)
@@ -52,21 +65,46 @@ def csv_table(spark: SparkSession, path: str, columns: Sequence[str], *, trimmed
     )
 
 
-def json_rows(spark: SparkSession, path: str, schema: T.StructType, field: str | None = None) -> DataFrame:
-    """Rows of a JSON array, or of the array ``field`` of one JSON object; with ``ordinal`` from 0 on."""
-    numbered = T.StructType([*schema.fields, T.StructField("ordinal", T.LongType())])
+def _cells(record: str) -> list[str]:
+    """A bare carriage return outside quotes is a blank."""
+    *lines_, last = record.rstrip("\r").split("\n")
+    rows = [*(x + "\n" for x in lines_), last]
+    try:
+        return next(csv.reader(rows), [])
+    except csv.Error:
+        return next(csv.reader([x.replace("\r", " ") for x in rows]), [])
+
+
+def _header(spark: SparkSession, path: str) -> str | None:
+    """The first record of the first file."""
+    csv.field_size_limit(sys.maxsize)
+    lines_ = spark.read.option("lineSep", "\n").text(path).select(
+        F.make_valid_utf8("value").alias("value"), F.col("_metadata.file_path").alias("path"),
+    ).where("_metadata.file_block_start = 0")
+    if not splits.one_split(spark, path):
+        lines_ = lines_.where(F.col("path") == lines_.agg(F.min("path")).first()[0])
+    found = [r.value for r in lines_.limit(HEADER_LINES).collect()]
+    if found:
+        found[0] = found[0].lstrip("\ufeff")
+    return next((text.rstrip("\r") for _, text, _ in splits.Csv().records(iter(found), splits.Csv.first)), None)
+
+
+def json_elements(spark: SparkSession, path: str, field: str | None = None) -> DataFrame:
+    """(value, ordinal): text of the elements of a JSON array, or of the array ``field`` of one JSON object;
+    ordinals from 0 on, those of several files by path."""
     if not exists(spark, path):
-        return spark.createDataFrame([], numbered)
-    if field is None:
-        rows = spark.read.schema(schema).json(path, multiLine=True)
-        return rows.withColumn("ordinal", F.monotonically_increasing_id())
-    doc = spark.read.schema(T.StructType([T.StructField(field, T.ArrayType(schema))])).json(path, multiLine=True)
-    return doc.select(F.posexplode(field).alias("ordinal", "r")).select(
-        "r.*",
-        F.col("ordinal").cast("long").alias("ordinal"),
+        return spark.createDataFrame([], "value string, ordinal long")
+    return splits.records(spark, path, splits.Json(field)).select(
+        "value", (F.col("base") + F.col("place")).alias("ordinal"),
     )
 
 
+def json_rows(spark: SparkSession, path: str, schema: T.StructType, field: str | None = None) -> DataFrame:
+    """``json_elements`` as rows, with ``ordinal``; an element that is no object is a row of nulls."""
+    rows = json_elements(spark, path, field).select(F.from_json("value", schema).alias("r"), "ordinal")
+    return rows.select(*(F.col(f"r.{f.name}").alias(f.name) for f in schema.fields), "ordinal")
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """(value, ordinal) of a text file."""
     if not exists(spark, path):

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from domscope.operators import graph, keyed, pairs
+from domscope.operators import graph, keyed, pairs, places
 
 
 def _rows(df):
@@ -172,3 +172,19 @@ def test_overlaps_against_all_pairs(spark, least):
         if a < b and len(sets[a] & sets[b]) >= least
     }
     assert got == want
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_numbered_without_one_task(spark, parts):
+    rng = random.Random(parts)
+    rows = [(rng.randrange(40) if rng.random() < 0.9 else None, k, f"r{k}") for k in range(500)]
+    rng.shuffle(rows)
+    had = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    frame = spark.createDataFrame(rows, "g int, k int, n string")
+    got = places.numbered(frame, ["g", "k"], "n")
+    spark.conf.set("spark.sql.shuffle.partitions", had)
+    assert got.columns == ["g", "k", "n"] and "SinglePartition" not in got._jdf.queryExecution().toString()
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert sorted((r.n, r.g, r.k) for r in got.collect()) == [(i, g, k) for i, (g, k, _) in enumerate(order, 1)]
+    assert places.numbered(frame.limit(0), ["g"], "n").collect() == []

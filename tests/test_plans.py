@@ -374,6 +374,13 @@ def test_candidates(spark, tmp_path):
         ("scout_dup_0001", "scout_operator_0001", "scout_operator_0002"),
         ("scout_dup_0002", "scout_operator_0003", "scout_operator_0002"),
     ]
+    many = spark.range(10_050).selectExpr(
+        "'g' AS duplicate_group_id", "format_string('c%06d', id) AS candidate_id", "id = 3 AS is_canonical_candidate", "id AS row",
+    )
+    made = staging.numbered(staging.duplicate_edges(many, ["row"]), ["row"])
+    assert "SinglePartition" not in made._jdf.queryExecution().toString()
+    ids = [(r.relationship_id, r.from_candidate_id) for r in made.orderBy("ordinal").collect()]
+    assert len(ids) == 10_049 and ids[9_999] == ("scout_dup_10000", "c010000") and ids[0][1] == "c000000" and ids[3][1] == "c000004"
     actions = staging.import_actions(ents)
     assert {r["candidate_id"][-1]: r["action"] for r in actions.collect()} == {
         "1": "needs_manual_verification",
