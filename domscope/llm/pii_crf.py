@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .vectext import released, sliced
+from .vectext import chunks, mix, prefix_hash, released, sliced, span_hash
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -189,8 +189,8 @@ _KEY = re.compile(r"(?i)(?:api_?|access_?|secret_?|auth_?)?(?:token|key|secret|a
 CONTEXT = 4
 #: A key word up to so many tokens back is a feature of its own; further ones count as none.
 FAR = 16
-#: Tokens that are decoded together, and entries of a cache.
-BLOCK = 1 << 17
+#: Code points that are decoded together (one text at least), and entries of a cache.
+BLOCK = 1 << 19
 CACHED = 1 << 16
 #: Longer tokens are not kept in a cache.
 LONG = 200
@@ -308,6 +308,62 @@ def _matrix(tokens: list[str]) -> np.ndarray:
     return x
 
 
+class Lines:
+    """Labelled lines side by side: all k-th tokens are one step, so that lines are summed in one go."""
+
+    def __init__(self, lines: list[tuple[list[str], list[int]]]):
+        size = np.array([len(y) for _, y in lines], np.int64)
+        steps = int(size.max(initial=0))
+        self.live = np.arange(steps)[None, :] < size[:, None]
+        x = np.concatenate([_matrix(t) for t, _ in lines]) if lines else np.zeros((0, DIM))
+        self.used = np.flatnonzero(x.any(axis=0))
+        self.x = x[:, self.used]
+        self.y = np.zeros((len(lines), steps), int)
+        self.y[self.live] = [v for _, y in lines for v in y]
+
+    def likelihood(self, e: np.ndarray, tr: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Log-likelihood of the labels and its gradient by the weights of the features used and of transitions."""
+        n, steps = self.live.shape
+        s, one = np.zeros((n, steps, 2)), np.eye(2)
+        s[self.live] = self.x @ e
+        a, b = np.zeros((steps, n, 2)), np.zeros((steps, n, 2))
+        a[0] = s[:, 0]
+        for k in range(1, steps):
+            going = self.live[:, k, None]
+            a[k] = np.where(going, s[:, k] + np.logaddexp.reduce(a[k - 1][:, :, None] + tr, axis=1), a[k - 1])
+        for k in range(steps - 2, -1, -1):
+            later = np.logaddexp.reduce(tr + (s[:, k + 1] + b[k + 1])[:, None, :], axis=2)
+            b[k] = np.where(self.live[:, k + 1, None], later, 0)
+        z = np.logaddexp.reduce(a[-1], axis=1)
+        share = np.exp(np.moveaxis(a + b, 0, 1) - z[:, None, None])
+        ge = self.x.T @ (one[self.y] - share)[self.live]
+        on = self.live[:, 1:]
+        both = a[:-1].swapaxes(0, 1)[:, :, :, None] + tr + (s[:, 1:] + b[1:].swapaxes(0, 1))[:, :, None, :]
+        gt = -np.exp(both - z[:, None, None, None])[on].sum(axis=0)
+        before, after = self.y[:, :-1][on], self.y[:, 1:][on]
+        np.add.at(gt, (before, after), 1)
+        own = (s[self.live] * one[self.y[self.live]]).sum() + tr[before, after].sum()
+        return float(own - z.sum()), ge, gt
+
+
+def code_hash(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each codes[start:end]."""
+    return span_hash(prefix_hash(mix(codes.astype(np.uint64))), start, end)
+
+
+def _hashes(words: list[str]) -> np.ndarray:
+    codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+    end = np.cumsum([len(w) for w in words])
+    return code_hash(codes, end - [len(w) for w in words], end)
+
+
+#: The key words of small letters alone.
+_KEY_HASHES = _hashes(
+    [a + b for a in ("", "api", "access", "secret", "auth") for b in ("token", "key", "secret", "auth")]
+    + ["password", "passwd", "pwd", "credential", "credentials"]
+)
+
+
 class CRF:
     """Labels 0 (other) and 1 (secret); emission and transition weights."""
 
@@ -331,30 +387,33 @@ class CRF:
         rate: float = 0.5,
         decay: float = 1e-3,
     ) -> CRF:
-        xs = [(_matrix(t), np.array(y)) for t, y in sentences if t]
-        e, tr = np.zeros((DIM, 2)), np.zeros((2, 2))
+        lines = Lines([(t, y) for t, y in sentences if t])
+        e, tr = np.zeros((len(lines.used), 2)), np.zeros((2, 2))
         ge2, gt2 = np.full_like(e, 1e-8), np.full_like(tr, 1e-8)
-        for _ in range(steps):
-            ge, gt = -decay * e, -decay * tr
-            for x, y in xs:
-                s = x @ e
-                n = len(y)
-                a, b = np.zeros((n, 2)), np.zeros((n, 2))
-                a[0] = s[0]
-                for k in range(1, n):
-                    a[k] = s[k] + np.logaddexp.reduce(a[k - 1][:, None] + tr, axis=0)
-                for k in range(n - 2, -1, -1):
-                    b[k] = np.logaddexp.reduce(tr + s[k + 1] + b[k + 1], axis=1)
-                z = np.logaddexp.reduce(a[-1])
-                ge += x.T @ (np.eye(2)[y] - np.exp(a + b - z))
-                for k in range(1, n):
-                    gt -= np.exp(a[k - 1][:, None] + tr + s[k] + b[k] - z)
-                    gt[y[k - 1], y[k]] += 1
+        for _ in range(steps if len(lines.used) else 0):
+            _, ge, gt = lines.likelihood(e, tr)
+            ge, gt = ge - decay * e, gt - decay * tr
             ge2 += ge**2
             gt2 += gt**2
             e += rate * ge / np.sqrt(ge2)
             tr += rate * gt / np.sqrt(gt2)
-        return cls(e, tr)
+        emission = np.zeros((DIM, 2))
+        emission[lines.used] = e
+        return cls(emission, tr)
+
+    def plain(self, codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The classes of tokens codes[start:end] of small letters a-z, but for a first capital; -1 for others and key words."""
+        small = np.zeros(len(codes) + 1, np.int64)
+        np.cumsum((codes >= 0x61) & (codes <= 0x7A), out=small[1:])
+        length, first = end - start, codes[start]
+        capital = ((first >= 0x41) & (first <= 0x5A)).astype(np.int64)
+        at = np.flatnonzero((small[end] - small[start] == length - capital) & (length > capital))
+        lowered = np.where((codes >= 0x41) & (codes <= 0x5A), codes + 32, codes)
+        at = at[~np.isin(code_hash(lowered, start[at], end[at]), _KEY_HASHES)]
+        made = [self._classes(["a" * n if not c else "A" + "a" * (n - 1) for n in (1, 2, 5, 8, 14)]) for c in (0, 1)]
+        out = np.full(len(start), -1, np.int64)
+        out[at] = np.array(made)[capital[at], np.searchsorted([2, 5, 8, 14], length[at], side="right")]
+        return out
 
     def _classes(self, tokens: list[str]) -> np.ndarray:
         """The number of each token's own features."""
@@ -382,9 +441,8 @@ class CRF:
                 known[t] = number
         return out
 
-    def _gains(self, tokens: list[str], first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Score of label 1 over label 0 for each token. Equal features are scored once."""
-        own = self._classes(tokens)
+    def _gains(self, own: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Score of label 1 over label 0 for tokens of these classes. Equal features are scored once."""
         key = np.array([x[3] == "key=True" for x in self._owns])[own]
         before, after = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
         before[1:], after[:-1] = own[:-1] + 1, own[1:] + 1
@@ -406,28 +464,31 @@ class CRF:
         return gain[index]
 
     def viterbi(self, sequences: list[list[str]]) -> list[np.ndarray]:
-        """The best labels of each sequence, of equally good ones 0.
+        """The best labels of each sequence, of equally good ones 0."""
+        size = np.array([len(x) for x in sequences], np.int64)
+        return np.split(self.labels(self._classes([t for x in sequences for t in x]), size), np.cumsum(size)[:-1])
+
+    def labels(self, own: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The best labels of tokens of the classes own, in sequences of these sizes.
 
         With two labels all that a step needs of its past is lead, the best score that ends in 1 over
         the one that ends in 0. What a past can add to the next lead is bounded, so most tokens are so
         far below that their successors do not depend on them; only the runs between are walked.
         """
-        size = np.array([len(x) for x in sequences], np.int64)
-        tokens = [t for x in sequences for t in x]
-        if not tokens:
-            return [np.zeros(0, int) for _ in sequences]
+        label = np.zeros(len(own), int)
+        if not len(own):
+            return label
         ends = np.cumsum(size)
         first, last = np.repeat(ends - size, size), np.repeat(ends - 1, size)
-        gain = self._gains(tokens, first, last)
+        gain = self._gains(own, first, last)
         (t00, t01), (t10, t11) = self.transition.tolist()
         # A lead below low adds t01 - t00 to the next one, exactly.
         low, most, base = min(t01 - t11, t00 - t10), max(t01 - t00, t11 - t10), t01 - t00
-        at = np.arange(len(tokens))
+        at = np.arange(len(own))
         start, end = at == first, at == last
         # Below low whatever came before; and 0 whatever comes after.
         highest = np.where(start, gain, gain + most)
         calm = (highest <= low) & (highest + np.where(end, 0.0, max(t10 - t00, t11 - t01)) <= 0)
-        label = np.zeros(len(tokens), int)
         open_ = np.flatnonzero(~calm)
         if len(open_):
             new = np.ones(len(open_), bool)
@@ -443,7 +504,7 @@ class CRF:
                 label[b] = y
                 for i in range(b - 1, a - 1, -1):
                     y = label[i] = int(leads[i - a] + (t11 - t01 if y else t10 - t00) > 0)
-        return np.split(label, ends[:-1])
+        return label
 
 
 def labelled(table: str = LABELLED) -> list[tuple[list[str], list[int]]]:
@@ -470,31 +531,52 @@ def model(table: str = LABELLED) -> CRF:
     return _models[key]
 
 
+#: Code points by what _TOKEN makes of them: 0 between tokens, 1 in a token of several, 2 a token of its own.
+#: The last stands for all from there on.
+_PLACE = np.array([0 if chr(c).isspace() else 2 for c in range(0x3002)], np.int8)
+_PLACE[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_+/&-"]] = 1
+
+
+def tokens(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(texts as one, their code points, start and end of each token, tokens of each text), as _TOKEN finds them."""
+    whole = "".join(texts)
+    off = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum([len(t) for t in texts], out=off[1:])
+    codes = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+    place = _PLACE[np.minimum(codes, len(_PLACE) - 1)]
+    edge = np.zeros(len(place) + 1, bool)
+    edge[off] = True
+    edge[1:-1] |= (place[1:] != place[:-1]) | (place[1:] == 2)
+    at = np.flatnonzero(edge)
+    some = place[at[:-1]] > 0 if len(place) else np.zeros(0, bool)
+    start, end = at[:-1][some], at[1:][some]
+    return whole, codes, start, end, np.diff(np.searchsorted(start, off))
+
+
 def crf_spans(texts: list[str], crf: CRF) -> list[list[Span]]:
     """Spans of kind secret: tokens labelled 1, those side by side as one. All tokens are labelled."""
     out: list[list[Span]] = [[] for _ in texts]
-
-    def label(block: list[int], sequences: list[list[str]]) -> None:
-        for k, labels in zip(block, crf.viterbi(sequences), strict=True):
-            if not labels.any():
-                continue
-            for m, y in zip(_TOKEN.finditer(texts[k]), labels.tolist(), strict=True):
-                if y and out[k] and out[k][-1][2] == m.start():
-                    out[k][-1] = ("secret", out[k][-1][1], m.end())
-                elif y:
-                    out[k].append(("secret", *m.span()))
-
-    block: list[int] = []
-    sequences: list[list[str]] = []
-    total = 0
-    for k, text in enumerate(texts):
-        block.append(k)
-        sequences.append(_TOKEN.findall(text))
-        total += len(sequences[-1])
-        if total >= BLOCK:
-            label(block, sequences)
-            block, sequences, total = [], [], 0
-    label(block, sequences)
+    sizes = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum([len(t) for t in texts], out=sizes[1:])
+    for a, b in chunks(sizes, BLOCK):
+        whole, codes, start, end, size = tokens(texts[a:b])
+        own = crf.plain(codes, start, end)
+        # Of the others, equal ones are classified once.
+        rest = np.flatnonzero(own < 0)
+        _, one, which = np.unique(code_hash(codes, start[rest], end[rest]), return_index=True, return_inverse=True)
+        one = rest[one]
+        own[rest] = crf._classes([whole[i:j] for i, j in zip(start[one].tolist(), end[one].tolist(), strict=True)])[which]
+        found = np.flatnonzero(crf.labels(own, size))
+        if not len(found):
+            continue
+        text = np.searchsorted(np.cumsum(size), found, side="right")
+        new = np.ones(len(found), bool)
+        new[1:] = (end[found[:-1]] != start[found[1:]]) | (text[1:] != text[:-1])
+        head = np.flatnonzero(new)
+        tail = np.append(head[1:], len(found)) - 1
+        before = sizes[a + text[head]] - sizes[a]
+        for k, i, j in zip(text[head], start[found[head]] - before, end[found[tail]] - before, strict=True):
+            out[a + int(k)].append(("secret", int(i), int(j)))
     return out
 
 
@@ -503,17 +585,27 @@ def find(texts: list[str], crf: CRF | None) -> list[list[Span]]:
     base = [pattern_spans(t) for t in texts]
     if crf is None:
         return base
+    place = {k: i for i, k in enumerate((*KINDS, "secret"))}
     out = []
     for b, more in zip(base, crf_spans(texts, crf), strict=True):
-        free, last = [], -1
-        for s in more:
-            if s[1] >= last and not any(x[1] < s[2] and s[1] < x[2] for x in b):
-                free.append(s)
-                last = s[2]
-        out.append(sorted([*b, *free], key=lambda s: (s[1], (*KINDS, "secret").index(s[0]))))
+        free = apart(more, b) if b and more else more
+        out.append(sorted([*b, *free], key=lambda s: (s[1], place[s[0]])))
     return out
 
 
+def apart(more: list[Span], base: list[Span]) -> list[Span]:
+    """The spans of more, which lie one behind the other, that meet none of base; one pass over both."""
+    taken = sorted((a, b) for _, a, b in base)
+    free, k, reach = [], 0, 0  # reach: the furthest end of the spans of base that begin before this one ends
+    for s in more:
+        while k < len(taken) and taken[k][0] < s[2]:
+            reach = max(reach, taken[k][1])
+            k += 1
+        if reach <= s[1]:
+            free.append(s)
+    return free
+
+
 SPANS = T.ArrayType(
     T.StructType(
         [
