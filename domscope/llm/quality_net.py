@@ -39,7 +39,7 @@ WINDOW = 2
 HIDDEN = 32
 SAMPLE = 12_000
 EPOCHS = 40
-BLOCK = 1 << 16
+BLOCK = 1 << 11
 FEATURES = 3 * DIM + 2
 
 #: Kind of each byte: 0 space and control characters, 1 letters, 2 digits, 3 others.
