@@ -20,6 +20,13 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
+def title(c: Column) -> Column:
+    """Letters behind a letter in lower case, others in upper case, as Python's title() has it."""
+    signs = F.split(c, "")
+    after = lambda i: F.coalesce(F.get(signs, i - 1).rlike(r"\p{L}"), F.lit(False))
+    return F.array_join(F.transform(signs, lambda x, i: F.when(after(i), F.lower(x)).otherwise(F.upper(x))), "")
+
+
 def blank(c: Column) -> Column:
     """Null or white space only."""
     return F.coalesce(strip(c) == "", F.lit(True))

@@ -91,13 +91,16 @@ def edge_errors(
 
 def sightings(rows: DataFrame, key: str, url: str, seen: str, order: Sequence[str]) -> DataFrame:
     """(key, first_seen, last_seen, urls in order of first sight)."""
-    one = keep_first(rows, [key, url], order)
-    urls = F.transform(
-        F.array_sort(F.collect_list(F.struct(*(F.col(c) for c in order), F.col(url).alias("_u")))),
-        lambda s: s["_u"],
+    # One row for each address of a key first, so a key's repeats are combined before the shuffle.
+    one = rows.groupBy(key, url).agg(
+        F.min(F.struct(*(F.col(c) for c in order))).alias("_at"),
+        F.min(seen).alias("_first"),
+        F.max(seen).alias("_last"),
+    )
+    urls = F.transform(F.array_sort(F.collect_list(F.struct("_at", F.col(url).alias("_u")))), lambda s: s["_u"])
+    return one.groupBy(key).agg(
+        F.min("_first").alias("first_seen"), F.max("_last").alias("last_seen"), urls.alias("seen_on_urls"),
     )
-    spans = rows.groupBy(key).agg(F.min(seen).alias("first_seen"), F.max(seen).alias("last_seen"))
-    return spans.join(one.groupBy(key).agg(urls.alias("seen_on_urls")), key)
 
 
 def count_by(df: DataFrame, *keys: str) -> DataFrame:

@@ -54,10 +54,15 @@ def monitor(
     *,
     limit: int = 800,
 ) -> tuple[DataFrame, DataFrame]:
-    """(candidates, edges): unknown hosts with their sightings, and edges between known entities."""
+    """(candidates, edges): unknown hosts with their sightings, and edges between known entities. Both parse the
+    pages; where both are wanted, write ``outbound`` and give it to ``monitored``."""
+    return monitored(outbound(pages, limit), entities, run_time, run_tag)
+
+
+def monitored(found: DataFrame, entities: DataFrame, run_time: str, run_tag: str) -> tuple[DataFrame, DataFrame]:
+    """(candidates, edges) of ``outbound`` links."""
     index = domain_index(entities)
     order = [c for c in ("part", "ordinal") if c in index.columns]
-    found = outbound(pages, limit)
     hits = lookup_first(
         lookup_first(found, index, "page_host", "domain", [*order, "entity_id"], "page_"),
         index,

@@ -1,4 +1,4 @@
-"""File sources and sinks. Schemas are explicit; a missing path gives an empty table."""
+"""File sources and sinks of tables (``documents`` has single files). Schemas are explicit; a missing path gives an empty table."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import csv
 import json
 import sys
 from collections.abc import Iterator, Sequence
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -178,22 +177,10 @@ def dump_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def pretty_json(path: str, value) -> None:
-    """A small document on the driver: sorted keys, two spaces, a newline at the end."""
-    Path(path).write_text(json.dumps(value, indent=2, sort_keys=True) + "\n", encoding="utf-8")
-
-
-def domain_lines(path: str, domains: Sequence[str], comment: str) -> None:
-    """A small text list on the driver: one comment line, then a domain a line."""
-    Path(path).write_text("".join(f"{x}\n" for x in (f"# {comment}", *domains)), encoding="utf-8")
-
-
-def csv_document(path: str, rows: Sequence[dict], header: Sequence[str]) -> None:
-    """A small CSV file on the driver, under a fixed header; cells that a row lacks are empty."""
-    with open(path, "w", newline="", encoding="utf-8") as f:
-        out = csv.DictWriter(f, fieldnames=list(header), restval="", extrasaction="ignore")
-        out.writeheader()
-        out.writerows({k: "" if v is None else v for k, v in r.items()} for r in rows)
+def whole_text(spark: SparkSession, path: str) -> str | None:
+    """A small file on the driver, from any store that Spark reads; null if it is not there."""
+    found = [r.value for r in spark.read.text(path, wholetext=True).collect()] if exists(spark, path) else [None]
+    return "".join(found) if found != [None] else None
 
 
 def json_lines(df: DataFrame, path: str) -> None:

@@ -1,11 +1,16 @@
 """The stages over a folder, from the command line's options to the documents."""
 
+import csv
 import json
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from domscope import __main__ as cli
+from domscope import workspace
 from domscope.plans import signing
+from domscope.sources import documents
 from domscope.workspace import OPERATORS, PARTIAL, Workspace
 
 SEEDS = {
@@ -154,6 +159,71 @@ def test_chain(spark, root, capsys):
         assert json.loads(report.read_text(encoding="utf-8"))["generated_at"] == "2026-01-02T03:04:05Z"
 
 
+def test_documents_are_those_expected(root):
+    """Byte for byte; the expected documents were written by json.dumps and csv on the driver."""
+    golden = Path(__file__).parent / "golden"
+    names = [p.relative_to(golden) for p in golden.rglob("*") if p.is_file()]
+    assert len(names) > 25
+    for name in names:
+        assert (root / name).read_bytes() == (golden / name).read_bytes(), name
+
+
+def test_pages_are_parsed_once_and_nothing_is_collected(spark, root, monkeypatch):
+    """Documents of a run are written from its tables; those of crawled pages from one table that holds them parsed."""
+    plans = []
+    write = documents._json_lines
+
+    def seen(rows, table, *args):
+        plans.append(table._jdf.queryExecution().optimizedPlan().toString())
+        return write(rows, table, *args)
+
+    monkeypatch.setattr(documents, "_json_lines", seen)
+    monkeypatch.setattr(workspace, "rows_of", None)
+    for stage in ("monitor", "extract", "affiliations", "export", "discover", "cluster", "review-queue"):
+        assert _run(spark, root, stage) == 0
+        if stage in ("monitor", "extract"):
+            assert plans and not any("html#" in p for p in plans)
+        plans.clear()
+
+
+def test_a_failed_document_leaves_the_one_before(spark, tmp_path):
+    path = str(tmp_path / "sub" / "d.json")
+    documents.json_document(spark, path, {"a": 1})
+    bad = documents.Rows(spark.range(3).select(F.raise_error(F.lit("no")).alias("x")))
+    with pytest.raises(Exception, match="no"):
+        documents.json_document(spark, path, {"a": bad})
+    assert [p.name for p in (tmp_path / "sub").iterdir()] == ["d.json"]
+    assert json.loads((tmp_path / "sub" / "d.json").read_text()) == {"a": 1}
+
+
+def test_documents_of_many_parts(spark, tmp_path):
+    """Order, nesting, chained and empty tables, key order and counts, against json and csv."""
+    table = spark.createDataFrame(
+        [(i, f"n\n{i}é,\"", [1.5, 2.0], {"b": "x", "a": None}, '{"z": [1, {}], "a": 2}', (1, None)) for i in range(50)],
+        "id int, name string, v array<double>, m map<string,string>, j string, s struct<x:int,y:string>",
+    ).repartition(7)
+    plain = [
+        {"id": i, "name": f"n\n{i}é,\"", "v": [1.5, 2.0], "m": {"b": "x", "a": None}, "j": {"z": [1, {}], "a": 2}, "s": {"x": 1}}
+        for i in range(50)
+    ]
+    rows = lambda df, **more: documents.Rows(df, order=["id"], sparse=["s"], parsed=["j"], **more)
+    one = rows(table, metrics={"big": F.count_if(F.col("id") > 10)})
+    value = {"z": {"rows": one, "none": rows(table.limit(0))}, "a": [1, {"k": []}], "e": {}, "n": lambda: one.counts["rows"]}
+    value["two"] = [rows(table.where("id < 3")), rows(table.limit(0)), rows(table.where("id >= 48"))]
+    value["ids"] = documents.Rows(table.select("id"), order=["id"], only="id")
+    documents.json_document(spark, str(tmp_path / "d.json"), value)
+    want = {"z": {"rows": plain, "none": []}, "a": [1, {"k": []}], "e": {}, "n": 50, "two": plain[:3] + plain[48:], "ids": [*range(50)]}
+    assert (tmp_path / "d.json").read_text(encoding="utf-8") == json.dumps(want, indent=2, sort_keys=True) + "\n"
+    assert one.counts == {"rows": 50, "big": 39} and rows(table.where("id = 1")).collected() == [plain[1]]
+    unsorted = {"z": 1, "a": documents.Rows(table.select("name", "id").where("id = 1"))}
+    documents.json_document(spark, str(tmp_path / "u.json"), unsorted, sort_keys=False)
+    want = json.dumps({"z": 1, "a": [{"name": plain[1]["name"], "id": 1}]}, indent=2) + "\n"
+    assert (tmp_path / "u.json").read_text(encoding="utf-8") == want
+    documents.csv_document(spark, str(tmp_path / "d.csv"), documents.Rows(table, order=["id"]), ["name", "gone", "id"])
+    with open(tmp_path / "d.csv", newline="", encoding="utf-8") as f:
+        assert list(csv.DictReader(f)) == [{"name": r["name"], "gone": "", "id": str(r["id"])} for r in plain]
+
+
 def test_promotion(spark, root):
     """Approved rows are previewed under fixed headers; seeds are never changed."""
     doc = _read(root, "research_candidates/staged_entities")
