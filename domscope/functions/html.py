@@ -7,7 +7,7 @@ repeated pages give repeated results; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -160,8 +160,19 @@ def _present(values: Column) -> Column:
     return F.filter(values, lambda x: x.isNotNull())
 
 
-def signals(page: Column, html: Column, providers: Sequence[str] = ()) -> Column:
-    """Struct of technical, content and flow lists; technical lists keep repeats, as they come."""
+def with_names(
+    rows: DataFrame, html: str, providers: Sequence[str] | Callable[[Column], Column], into: str,
+) -> tuple[DataFrame, Sequence[str] | Column]:
+    """(rows, what ``signals`` takes): names by a function of lower-cased texts (``matching.finder``) are found in a
+    column of their own."""
+    if not callable(providers):
+        return rows, providers
+    return rows.withColumn(into, providers(F.lower(F.coalesce(F.col(html), F.lit(""))))), F.col(into)
+
+
+def signals(page: Column, html: Column, providers: Sequence[str] | Column = ()) -> Column:
+    """Struct of technical, content and flow lists; technical lists keep repeats, as they come. providers: the names
+    to look for, or a column of those that were found (``with_names``)."""
     hosts = lambda f: _present(F.transform(page[f], signal_host))
     scripts = page["scripts"]
     ids = F.transform(
@@ -197,7 +208,7 @@ def signals(page: Column, html: Column, providers: Sequence[str] = ()) -> Column
         lambda s: F.length(s) >= 12,
     )
     low = F.lower(F.coalesce(html, F.lit("")))
-    mentions = F.filter(
+    mentions = providers if isinstance(providers, Column) else F.filter(
         strings(*(p.strip() for p in providers)),
         lambda p: (F.length(p) >= 3) & F.contains(low, F.lower(p)),
     )

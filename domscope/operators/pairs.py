@@ -1,8 +1,9 @@
 """Pairs by shared keys: inverted-index equi self-joins instead of nested loops.
 
 A key shared by n members makes n² pairs, because the result lists each pair; ``max_members`` leaves
-out keys with more members and is off by default. Skewed keys are split by AQE's skew join. Where pairs
-must share several keys (``overlaps``), common keys are looked at last: see there.
+out keys with more members and is off by default. The members of a key with more than ``CELL`` are dealt
+to blocks, and each two blocks meet in a cell of their own, so no task joins more than two blocks of a
+key. Where pairs must share several keys (``overlaps``), common keys are looked at last: see there.
 """
 
 from __future__ import annotations
@@ -10,6 +11,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Members of a key in one block.
+CELL = 2000
+
+
+def cells(one: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(left, right) sides of (key, m, o), each member with the cells (i, j), i <= j, of its key in which it is
+    on this side. In the cell the members of block i meet those of block j."""
+    hot = one.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > CELL)
+    # A row for each CELL members at most, so it is broadcast while it is small and joined by key beyond.
+    blocks = hot.select("key", F.ceil(F.col("c") / CELL).cast("int").alias("p"))
+    dealt = one.join(blocks, "key", "left").withColumn("p", F.coalesce("p", F.lit(1)))
+    dealt = dealt.withColumn("k", F.pmod(F.xxhash64("m"), F.col("p")).cast("int"))
+    left = dealt.select(
+        "key", F.col("m").alias("left"), F.col("o").alias("lo"), F.col("k").alias("i"),
+        F.explode(F.sequence("k", F.col("p") - 1)).alias("j"),
+    )
+    right = dealt.select(
+        "key", F.col("m").alias("right"), F.col("o").alias("ro"),
+        F.explode(F.sequence(F.lit(0), F.col("k"))).alias("i"), F.col("k").alias("j"),
+    )
+    return left, right
+
 
 def shared_keys(
     rows: DataFrame,
@@ -28,9 +51,14 @@ def shared_keys(
     if max_members is not None:
         few = one.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") <= max_members).select("key")
         one = one.join(few, "key", "left_semi")
-    a = one.select("key", F.col("m").alias("left"), F.col("o").alias("lo"))
-    b = one.select("key", F.col("m").alias("right"), F.col("o").alias("ro"))
-    return a.join(b, "key").where("lo < ro OR (lo = ro AND left < right)").select("left", "right", "key")
+    left, right = cells(one)
+    first = F.expr("lo < ro OR (lo = ro AND left < right)")
+    met = left.join(right, ["key", "i", "j"]).where((F.col("i") < F.col("j")) | first)
+    return met.select(
+        F.when(first, F.col("left")).otherwise(F.col("right")).alias("left"),
+        F.when(first, F.col("right")).otherwise(F.col("left")).alias("right"),
+        "key",
+    )
 
 
 def overlaps(

@@ -5,12 +5,14 @@ Fetching is outside the engine: the pages table stands for it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.hosts import crawl_host, monitor_host
-from ..functions.html import address_hints, emails, legal_urls, links, parsed, signals, support_urls
+from ..functions.html import address_hints, emails, legal_urls, links, parsed, signals, support_urls, with_names
 from ..functions.rules import evidence_tier
 from ..functions.text import strip
 from ..operators.keyed import keep_first, lookup_first, sightings
@@ -264,19 +266,21 @@ def worklist(domains: DataFrame, visits: DataFrame, limit: int = 30) -> DataFram
     return rows.orderBy("a", "b", "c").limit(limit).select("url")
 
 
-def extract(pages: DataFrame, providers: list[str]) -> DataFrame:
-    """Fingerprint, contact data and evidence tier of each page (url, final_url, status, html)."""
+def extract(pages: DataFrame, providers: Sequence[str] | Callable[[Column], Column]) -> DataFrame:
+    """Fingerprint, contact data and evidence tier of each page (url, final_url, status, html). providers: names, or
+    what finds them (``html.with_names``)."""
     read = pages.withColumn(
         "base",
         F.coalesce(F.nullif(F.col("final_url"), F.lit("")), F.col("url")),
     ).where("html <> '' AND status >= 0")
     rows = parsed(read, url="base").where(crawl_host(F.col("base")).isNotNull())
     urls = links(F.col("page"), F.col("base"), limit=400, mail=True)
+    rows, names = with_names(rows, "html", providers, "names")
     rows = rows.withColumns(
         {
             "domain": crawl_host(F.col("base")),
             "urls": urls,
-            "fingerprint": signals(F.col("page"), F.col("html"), providers),
+            "fingerprint": signals(F.col("page"), F.col("html"), names),
         }
     )
     return rows.select(

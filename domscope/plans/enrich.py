@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import parsed, signals
+from ..functions.html import parsed, signals, with_names
 from ..functions.text import dedupe_sorted, merge_lists, split_pipe, strip
 from ..operators.keyed import keep_first, keep_last
+from ..operators.matching import finder
 from ..schemas import FILLED, GROUPS, lowered_leaf
 from .seeds import empty_fingerprints
 
@@ -29,12 +32,10 @@ def normalised(fingerprints: DataFrame) -> DataFrame:
     return fingerprints.select("entity_id", *_rebuilt(leaf))
 
 
-def provider_names(entities: DataFrame) -> list[str]:
-    """Names of the provider catalogue (small: one row for each known provider)."""
-    names = entities.where("entity_type = 'provider'").select(
-        strip(F.col("name")).alias("n")
-    ).where("n <> ''").distinct()
-    return [r["n"] for r in names.orderBy(F.lower("n"), "n").collect()]
+def provider_finder(entities: DataFrame) -> Callable[[Column], Column]:
+    """The names of the provider catalogue, of three characters or more, that stand in a lower-cased text."""
+    names = entities.where("entity_type = 'provider'").select(strip(F.col("name")).alias("value"))
+    return finder(names.where(F.length("value") >= 3).select(F.lower("value").alias("key"), "value"))
 
 
 def enrich(
@@ -94,10 +95,9 @@ def enrich(
             ["entity_id"],
             ["try", "html"],
         )
-        found = parsed(hit.select("entity_id", "url", "html")).withColumn(
-            "s",
-            signals(F.col("page"), F.col("html"), provider_names(entities)),
-        )
+        read = parsed(hit.select("entity_id", "url", "html"))
+        read, names = with_names(read, "html", provider_finder(entities), "names")
+        found = read.withColumn("s", signals(F.col("page"), F.col("html"), names))
         from_page = [
             (g, x)
             for g, xs in {
