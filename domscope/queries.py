@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import queries_plans, queries_text
+from . import queries_files, queries_plans, queries_text
 from .functions import hosts, html, rules
 from .functions import terms as t
 from .functions import text as tx
@@ -750,7 +750,11 @@ _ALL = {
 }
 
 
-_EVERY = _ALL | queries_text.ALL | queries_plans.ALL
+_EVERY = _ALL | queries_text.ALL | queries_plans.ALL | queries_files.ALL
+_EVERY |= {
+    f"{name}_order": (queries_files.ranked(_EVERY[name][0]), queries_files.sql_ranked(_EVERY[name][1], order))
+    for name, order in queries_files.ORDERED.items()
+}
 
 
 def queries() -> dict:

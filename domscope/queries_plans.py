@@ -6,7 +6,6 @@ stage makes of them is written a second time in SQL.
 
 from __future__ import annotations
 
-import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -1399,8 +1398,8 @@ UNION ALL SELECT DISTINCT 'host', CASE WHEN c_custkey % 5 = 1 THEN 'https:' ELSE
 
 def _written_text(spark: SparkSession, lines: DataFrame) -> str:
     """A text file in the shared folder, for queries that read files."""
-    folder = f"{shared.shared_dir(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
-    lines.coalesce(1).write.text(folder)
+    folder = shared.new_folder(spark)
+    lines.coalesce(1).write.mode("append").text(folder)
     return folder
 
 
@@ -1417,14 +1416,10 @@ def csv_source(spark, sf):
         name="CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END",
         cell=_CSV_CELL.format(nl=10),
     )
-    folder = f"{shared.shared_dir(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    folder = shared.new_folder(spark)
     files.csv_file(rows, folder, ("id", "name", "cell"))
-    return files.csv_table(
-        spark,
-        folder,
-        ("id", "cell", "missing"),
-        trimmed=True,
-    ).select("id", "name", "cell", "missing")
+    found = files.csv_table(spark, folder, ("id", "cell", "missing"), trimmed=True)
+    return shared.held(found.select("id", "name", "cell", "missing"), folder)
 
 
 SQL_CSV = "SELECT c_custkey::VARCHAR AS id, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END AS name, 'a \"q' || c_custkey || '\", b' || chr(10) || ' c' AS cell, '' AS missing FROM customer"
@@ -1449,9 +1444,10 @@ def json_source(spark, sf):
             F.lit("]}"),
         ).alias("value")
     )
+    folder = _written_text(spark, doc)
     found = files.json_rows(
         spark,
-        _written_text(spark, doc),
+        folder,
         T.StructType(
             [
                 T.StructField("id", T.LongType()),
@@ -1461,7 +1457,7 @@ def json_source(spark, sf):
         ),
         "entities",
     )
-    return found.select("id", F.array_join("domains", "|").alias("domains"), "none", "ordinal")
+    return shared.held(found.select("id", F.array_join("domains", "|").alias("domains"), "none", "ordinal"), folder)
 
 
 SQL_JSON = "SELECT n_nationkey::BIGINT AS id, n_name || '|' || n_regionkey AS domains, NULL::VARCHAR AS none, row_number() OVER (ORDER BY n_nationkey) - 1 AS ordinal FROM nation"

@@ -27,6 +27,21 @@ def _hadoop(spark: SparkSession, folder: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own in the shared one, which goes when the application ends, if not before."""
+    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    fs, path = _hadoop(spark, folder)
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return folder
+
+
+def held(df: DataFrame, *folders: str) -> DataFrame:
+    """df, which reads these folders; discarding it discards them."""
+    _folders[df] = folders
+    return df
+
+
 def written(df: DataFrame, *spent: DataFrame) -> DataFrame:
     """df written as Parquet in the shared folder and read back, so that lineage ends there and a lost
     executor costs only tasks. Then the folders of ``spent``, which nothing reads any more, go.
