@@ -50,7 +50,10 @@ def parser() -> argparse.ArgumentParser:
         ("--allow", {}),
     )
     add("extract", ("--urls-file", {}), ("--limit", number | {"default": 30}))
-    add("fetch", ("--out", {"required": True}), ("--urls-file", {}), ("--timeout", {"type": float, "default": 20}))
+    add(
+        "fetch", ("--out", {"required": True}), ("--urls-file", {}), ("--timeout", {"type": float, "default": 20}),
+        ("--pace", {"type": float, "default": 1.0}), ("--tries", {"type": int, "default": 3}),
+    )
     add("import", ("--folder", {}))
     add("stage", ("--input-csv", {"default": "fingerprint_dump"}), dump)
     add("promote", ("--apply-to-seeds", flag))

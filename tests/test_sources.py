@@ -1,18 +1,38 @@
 """Fetching from a server of this test, and files."""
 
 import threading
-from http.server import BaseHTTPRequestHandler, HTTPServer
+import time
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import pytest
 
 from domscope.sources import fetch, shared
+from domscope.workspace import Workspace
 
 
 class Site(BaseHTTPRequestHandler):
     asked: list[str] = []
+    times: list[float] = []
+
+    def special(self):
+        if self.path == "/slow":
+            time.sleep(1.5)
+        body = {"/pdf": b"%PDF\x00\xff", "/large": b"x" * 20_000_000 + b"end", "/busy": b"at last", "/slow": b"late", "/plain": b"text"}[self.path]
+        self.send_response(503 if self.path == "/busy" and Site.asked.count("/busy") < 3 else 200)
+        if self.path != "/large":
+            self.send_header("Content-Type", {"/pdf": "application/pdf", "/plain": "Text/Plain"}.get(self.path, "text/html"))
+        self.end_headers()
+        try:
+            self.wfile.write(body)
+        except OSError:
+            pass
 
     def do_GET(self):
         Site.asked.append(self.path)
+        Site.times.append(time.monotonic())
+        if self.path in ("/pdf", "/large", "/busy", "/slow", "/plain"):
+            self.special()
+            return
         if self.path == "/moved":
             self.send_response(302)
             self.send_header("Location", "/page")
@@ -28,7 +48,7 @@ class Site(BaseHTTPRequestHandler):
 
 @pytest.fixture(scope="module")
 def site():
-    server = HTTPServer(("127.0.0.1", 0), Site)
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Site)
     threading.Thread(target=server.serve_forever, daemon=True).start()
     yield f"http://127.0.0.1:{server.server_port}"
     server.shutdown()
@@ -54,6 +74,42 @@ def test_fetch(spark, site):
     assert fetch.pages(spark.createDataFrame([], "url string")).collect() == []
 
 
+def test_slow_binary_large_and_busy_answers(spark, site):
+    frame = lambda *paths: spark.createDataFrame([(f"{site}{p}",) for p in paths], "url string").coalesce(1)
+    read = lambda df: {r["url"].removeprefix(site): r for r in df.collect()}
+    got = read(fetch.pages(frame("/pdf", "/large", "/slow", "/plain"), timeout=0.5))
+    assert len(got["/large"].html) == 20_000_003 and got["/large"].html.endswith("end") and got["/large"].content_type == ""
+    assert got["/pdf"].content_type == "application/pdf" and got["/pdf"].html.startswith("%PDF")
+    assert (got["/slow"].status, got["/slow"].html) == (-1, "") and "timed out" in got["/slow"].error
+    got = read(fetch.pages(frame("/pdf", "/large", "/plain"), timeout=5, only_html=True, most=1000))
+    assert (got["/pdf"].status, got["/pdf"].html, got["/pdf"].error) == (200, "", "not text")
+    assert (got["/large"].html, got["/large"].error) == ("", "more than 1000 bytes") and got["/plain"].html == "text"
+    assert read(fetch.pages(frame("/busy"), timeout=5))["/busy"].status == 503
+    Site.asked.clear()
+    assert read(fetch.pages(frame("/busy"), timeout=5, tries=4, wait=0.01))["/busy"].html == "at last"
+    assert Site.asked.count("/busy") == 3
+
+
+def test_pace_and_what_is_done(spark, site):
+    Site.asked.clear()
+    Site.times.clear()
+    urls = spark.createDataFrame([(f"{site}/p{k}",) for k in range(4)], "url string")
+    done = spark.createDataFrame([(f"{site}/p0", 200)], "url string, status int")
+    assert fetch.pages(urls, timeout=5, pace=0.3, done=done).count() == 3
+    assert sorted(Site.asked) == ["/p1", "/p2", "/p3"]
+    assert all(b - a >= 0.28 for a, b in zip(Site.times, Site.times[1:], strict=False))
+
+
+def test_a_broken_run_of_fetching_goes_on(spark, site, tmp_path):
+    (tmp_path / "urls.txt").write_text(f"{site}/page\n{site}/plain\nhttp://127.0.0.1:1/\n")
+    work = Workspace(spark, tmp_path)
+    out = str(tmp_path / "pages")
+    ask = lambda: work.fetch(out, urls_file=str(tmp_path / "urls.txt"), timeout=5, pace=0, tries=1)
+    assert ask() == {"pages": 3, "failed": 1}
+    Site.asked.clear()
+    assert ask() == {"pages": 3, "failed": 1} and Site.asked == []
+
+
 def test_shared_storage(spark):
     """Written tables go when they are discarded, and frames made of them with them."""
     import os
