@@ -17,8 +17,9 @@ own they would take some 1.4 GB out and 1.1 GB back, with the texts six times th
 Packed rows are never more than these n-grams, but where a bucket has fewer n-grams than the table has
 parts (beyond a TB or so) nothing is gained by packing any more.
 
-Documents are dealt by their contents and by the partition they are read in, so that equal rows, however
-many, do not meet in one bucket.
+Documents are dealt by their contents, so both readings of a bucket see the same documents wherever its rows
+come from. Rows that are equal more than ``REPEATED`` times are one document with a weight in their bucket,
+and as many results.
 
 Defined results: null, empty and wordless texts have no words, sum 0 and a null mean; repeated rows
 are other documents to each other; an empty table gives an empty result. Extra columns are not
@@ -40,6 +41,7 @@ from .vectext import LOWER, Words, buffers, chunks, gram_hash, mix, release
 
 ALPHA = 0.4
 BUCKET_BYTES = 10 << 20
+REPEATED = 100
 _ONE = np.uint64(0xA5A5A5A55A5A5A5A)
 
 
@@ -97,14 +99,19 @@ def scores(docs: DataFrame) -> DataFrame:
     ).first()
     buckets = max(1, -(-int(size) // BUCKET_BYTES))
     bits = max(0, math.ceil(math.log2(max(partitions(spark), buckets))))
-    dealt = docs.select(
-        F.pmod(F.xxhash64(F.spark_partition_id(), "doc_id", "text"), F.lit(buckets)).cast("int").alias("b"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        "text",
+    weighed, repeated = _weighed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    dealt = weighed.select(
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int").alias("b"), "doc_id", "text", "m",
     )
 
     def ask(t: pa.Table) -> pa.Table:
         g = Grams(t["text"].combine_chunks())
+        weight = t["m"].to_numpy()
+        times = g.times
+        if (weight > 1).any():
+            of = np.concatenate([g.doc_one, g.doc_two])
+            times = np.bincount(g.at, weights=weight[of], minlength=len(g.distinct)).astype(np.int64)
+        kind = np.int32 if times.max(initial=0) < 2**31 else np.int64
         cut = _cuts(g.distinct, bits)
         full = np.flatnonzero(np.diff(cut))
         b = t["b"][0].as_py()
@@ -113,7 +120,7 @@ def scores(docs: DataFrame) -> DataFrame:
                 "q": pa.array(full, pa.int32()),
                 "b": pa.array([b] * len(full), pa.int32()),
                 "grams": pa.array([g.distinct[cut[k] : cut[k + 1]].tobytes() for k in full], pa.binary()),
-                "times": pa.array([g.times[cut[k] : cut[k + 1]].astype(np.int32).tobytes() for k in full], pa.binary()),
+                "times": pa.array([times[cut[k] : cut[k + 1]].astype(kind).tobytes() for k in full], pa.binary()),
             }
         )
 
@@ -122,7 +129,13 @@ def scores(docs: DataFrame) -> DataFrame:
     def answer(t: pa.Table) -> pa.Table:
         grams = [np.frombuffer(x, np.uint64) for x in t["grams"].to_pylist()]
         _, back = np.unique(np.concatenate(grams), return_inverse=True)
-        times = np.concatenate([np.frombuffer(x, np.int32) for x in t["times"].to_pylist()])
+        # Four bytes a count, or eight, as there are for an n-gram.
+        times = np.concatenate(
+            [
+                np.frombuffer(x, np.int32 if len(x) == 4 * len(g) else np.int64)
+                for x, g in zip(t["times"].to_pylist(), grams, strict=True)
+            ]
+        )
         all_ = np.bincount(back, weights=times).astype(np.int64)[back]
         parts = np.split(all_, np.cumsum([len(x) for x in grams])[:-1])
         return pa.table({"b": t["b"], "q": t["q"], "counts": pa.array([x.tobytes() for x in parts], pa.binary())})
@@ -161,9 +174,30 @@ def scores(docs: DataFrame) -> DataFrame:
                 "n_words": pa.array(g.counts, pa.int64()),
                 "log_sum": pa.array(sums, pa.float64()),
                 "log_mean": pa.array(mean, pa.float64()),
+                "m": left["m"],
             }
         )
 
-    return dealt.groupBy("b").cogroup(answered.groupBy("b")).applyInArrow(lambda t, counts: trimmed(score, t, counts),
-        "doc_id long, n_words long, log_sum double, log_mean double",
+    found = dealt.groupBy("b").cogroup(answered.groupBy("b")).applyInArrow(lambda t, counts: trimmed(score, t, counts),
+        "doc_id long, n_words long, log_sum double, log_mean double, m long",
+    )
+    if repeated:
+        found = found.withColumn("m", F.explode(F.sequence(F.lit(1).cast("long"), "m")))
+    return found.drop("m")
+
+
+def _weighed(docs: DataFrame) -> tuple[DataFrame, int]:
+    """(doc_id, text, m) and how many rows stand for more than one: rows equal more than REPEATED times are one of
+    weight m. They are told apart by 128 bits of id and text, and combined before the shuffle."""
+    names = {f"h{k}": F.xxhash64(F.lit(k), "doc_id", "text") for k in (1, 2)}
+    marked = docs.withColumns(names)
+    often = marked.groupBy(*names).agg(F.count("*").alias("m")).where(F.col("m") > REPEATED)
+    n = often.count()
+    if not n:
+        return docs.withColumn("m", F.lit(1).cast("long")), 0
+    found = marked.join(often, list(names), "left")
+    rare = found.where("m IS NULL").select("doc_id", "text", F.lit(1).cast("long").alias("m"))
+    once = found.where("m IS NOT NULL").groupBy(*names).agg(
+        F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.first("m").alias("m"),
     )
+    return rare.unionByName(once.select("doc_id", "text", "m")), n

@@ -286,3 +286,16 @@ def test_lm_repeated_rows(spark, monkeypatch):
     rows = [(1, "a b a c")] * 400 + [(k, f"x{k} b a") for k in range(2, 60)]
     got = lm_score.scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))
     assert sorted([(r[0], r[1], round(r[2], 6), round(r[3], 8)) for r in got.collect()], key=repr) == _lm(rows)
+
+
+@pytest.mark.parametrize("repeated", [1, 3, 100])
+def test_lm_weighs_rows_that_repeat_often(spark, monkeypatch, repeated):
+    """Buckets follow from contents alone, so a row is in the same one however often its partition is made again."""
+    monkeypatch.setattr(lm_score, "REPEATED", repeated)
+    monkeypatch.setattr(lm_score, "BUCKET_BYTES", 300)
+    rows = [(1, "a b a c")] * 5 + [(None, "b b")] * 4 + [(2, None)] * 4 + [(2, "")] * 2 + [(k, f"x{k % 7} b a") for k in range(3, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = lm_score.scores(docs)
+    assert "SPARK_PARTITION_ID" not in found._jdf.queryExecution().toString().upper()
+    got = [(r[0], r[1], round(r[2], 6), None if r[3] is None else round(r[3], 8)) for r in found.collect()]
+    assert sorted(got, key=repr) == _lm(rows)
