@@ -358,33 +358,24 @@ def _linked(members: DataFrame, attached: Callable[[DataFrame], DataFrame], kind
 def _with_sets(docs: DataFrame, dealt: DataFrame) -> DataFrame:
     """dealt (PLACE, r1 and r2 of a class's representative row) with ``items``, the full sets.
 
-    Texts are joined by a merge, which keeps equal rows of a representative together: of those one is read.
+    Of equal rows one is read, so each place gets one text however many copies its representative has; texts are
+    dealt by the key of the join.
     """
     kind = dict(dealt.dtypes)["group"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[int, int] | None = None
-        seen: set[int] = set()
         for batch in batches:
-            keep = []
-            for k, (r1, r2, g) in enumerate(zip(*(batch.column(x).to_pylist() for x in range(3)), strict=True)):
-                if (r1, r2) != last:
-                    last, seen = (r1, r2), set()
-                if g not in seen:
-                    seen.add(g)
-                    keep.append(k)
-            for part in sliced(batch.take(pa.array(keep, pa.int64())), 3):
-                key, bounds = shingle_sets(*buffers(part.column(3)))
+            for part in sliced(batch, 1):
+                key, bounds = shingle_sets(*buffers(part.column(1)))
                 cut = bounds.tolist()
                 items = [key[i:j].tobytes() for i, j in zip(cut, cut[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(2), *part.columns[4:], pa.array(items, pa.binary())],
+                    [part.column(0), *part.columns[2:], pa.array(items, pa.binary())],
                     names=[*PLACE, "items"],
                 )
 
-    joined = _rids(docs).select("r1", "r2", "text").join(dealt.hint("merge"), ["r1", "r2"]).select(
-        "r1", "r2", "g", "text", *PLACE[1:],
-    )
+    texts = _rids(docs).groupBy("r1", "r2").agg(F.first("text").alias("text"))
+    joined = texts.join(dealt.hint("merge"), ["r1", "r2"]).select("g", "text", *PLACE[1:])
     return joined.mapInArrow(
         released(run),
         f"g long, group {kind}, t int, u int, item {dict(dealt.dtypes)['item']}, n long, component long, rest double, items binary",

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from domscope.llm import near_dedup
 
@@ -205,3 +206,18 @@ def test_many_equal_rows(spark):
         [tuple(r) for r in near_dedup.dedup(docs).select("doc_id", "n_shingles", "component_id", "kept").collect()],
         key=repr,
     ) == _expected([r[:2] for r in rows])
+
+
+def test_a_place_gets_one_text_of_equal_rows(spark):
+    """Rows equal in id and text, in any number, are read once for each place of their class."""
+    rng = random.Random(8)
+    text = " ".join(rng.choices("abcdefgh", k=60))
+    rows = [(1, text)] * 300 + [(2, text + " z"), (3, "other words " * 9), (None, text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    place = "r1 long, r2 long, group long, t int, u int, item long, n long, component long, rest double"
+    one = near_dedup._rids(docs).where("doc_id = 1").select("r1", "r2").first()
+    dealt = spark.createDataFrame([(one.r1, one.r2, g, 0, 0, 7, 56, 0, 0.0) for g in (4, 5)], place).withColumn("g", F.col("group"))
+    made = near_dedup._with_sets(docs, dealt.select("r1", "r2", "g", *near_dedup.PLACE[1:])).collect()
+    assert sorted(r["group"] for r in made) == [4, 5]
+    found = {(r.doc_id, r.component_id) for r in near_dedup.dedup(docs, threshold=80).collect()}
+    assert found == {(1, 1), (2, 1), (3, 3), (None, 1)}
