@@ -153,7 +153,7 @@ def evidence_edges(
         chain = F.col("redirect_chain")
         rows = discovered.where(F.size(chain) >= 2).select(
             cluster_host(F.get(chain, F.lit(0))).alias("a"),
-            cluster_host(F.try_element_at(chain, F.lit(-1))).alias("b"),
+            cluster_host(F.get(chain, F.size(chain) - 1)).alias("b"),
             chain.alias("chain"),
         )
         parts.append(_edge(rows, F.col("a"), F.col("b"), "discovery_redirect_chain", chain=F.col("chain")))
