@@ -188,3 +188,21 @@ def test_numbered_without_one_task(spark, parts):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     assert sorted((r.n, r.g, r.k) for r in got.collect()) == [(i, g, k) for i, (g, k, _) in enumerate(order, 1)]
     assert places.numbered(frame.limit(0), ["g"], "n").collect() == []
+
+
+def test_pair_counts_against_pairs(spark):
+    """Counts by places are the counts of the pairs, with repeated rows, nulls and keys of one member."""
+    rng = random.Random(5)
+    rows = [(rng.choice("aabbbcd") if rng.random() < 0.95 else None, rng.choice([None, *range(60)])) for _ in range(200)]
+    frame = spark.createDataFrame([*rows, ("one", 1), ("one", 1)], "key string, m int")
+    met = pairs.shared_keys(frame, "key", "m").groupBy("left", "key")
+    want = met.agg(F.count("*").alias("n"), F.min("right").alias("least"), F.max("right").alias("most"))
+    got = pairs.pair_counts(frame, "key", "m")
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_pair_counts_of_a_large_key(spark):
+    """200,000 members of one key: 20 billion pairs, which are counted and not made."""
+    got = pairs.pair_counts(spark.range(200_000).selectExpr("'all' AS key", "id AS m"), "key", "m")
+    total = got.agg(F.count("*"), F.sum("n"), F.min("least"), F.min("most"), F.max("most")).first()
+    assert tuple(total) == (199_999, 200_000 * 199_999 // 2, 1, 199_999, 199_999)
