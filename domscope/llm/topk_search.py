@@ -150,9 +150,11 @@ def top_k(
     asked = base.where(F.pmod("id", F.lit(every)) == 0)
     blocked = written(_packed(asked.withColumn("block", spread(blocks)), "block"))
     sent = blocked.withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
-    met = tiled.join(
-        sent.select("dim", "tile", "block", F.col("rids").alias("q_rids"), F.col("m").alias("q")),
-        ["dim", "tile"],
+    # ``sent`` holds the queries once for each tile, though Spark takes it for no larger than the file it comes from; the
+    # hint keeps it out of a broadcast, which the driver would have to hold. The tile, one row for each key, is what
+    # the merge buffers.
+    met = sent.select("dim", "tile", "block", F.col("rids").alias("q_rids"), F.col("m").alias("q")).hint("merge").join(
+        tiled, ["dim", "tile"],
     )
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -64,6 +64,22 @@ def test_top_k_tiles_by_bytes(spark, monkeypatch):
     assert sorted(tuple(r) for r in topk_search.top_k(frame, 7).collect()) == _top(rows, 7)
 
 
+def test_top_k_broadcasts_no_queries(spark, monkeypatch):
+    """Queries repeated for every tile, which Spark takes for as small as their file, don't go through the driver."""
+    plans = []
+    keep = topk_search.written
+    monkeypatch.setattr(topk_search, "TILE_BYTES", 4_000)
+    monkeypatch.setattr(
+        topk_search, "written",
+        lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), keep(df))[1],
+    )
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(400)]
+    got = topk_search.top_k(spark.createDataFrame([(i, v, "x") for i, v in rows], VECTORS), 5).collect()
+    assert sorted(tuple(r) for r in got) == _top(rows, 5)
+    assert plans and not any("BroadcastHashJoin" in p for p in plans) and "SortMergeJoin" in plans[-1]
+
+
 def test_top_k_edges(spark):
     assert topk_search.top_k(spark.createDataFrame([], VECTORS), 5).collect() == []
     big = spark.createDataFrame([(0, [3e30, 1.0], "x"), (1, [2e30, 5.0], "x"), (2, [-3e30, 1.0], "x")], VECTORS)
