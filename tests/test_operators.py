@@ -206,3 +206,11 @@ def test_pair_counts_of_a_large_key(spark):
     got = pairs.pair_counts(spark.range(200_000).selectExpr("'all' AS key", "id AS m"), "key", "m")
     total = got.agg(F.count("*"), F.sum("n"), F.min("least"), F.min("most"), F.max("most")).first()
     assert tuple(total) == (199_999, 200_000 * 199_999 // 2, 1, 199_999, 199_999)
+
+
+def test_places_as_given(spark):
+    """Rows in order are numbered as they come, by no second sort."""
+    frame = spark.range(900).selectExpr("(id * 7919) % 900 AS k", "'x' AS n").repartition(3).orderBy(F.desc("k"))
+    got = places.given(frame, "n")
+    assert sorted((r.n, r.k) for r in got.collect()) == [(i, 900 - i) for i in range(1, 901)]
+    assert places.given(frame.limit(0), "n").collect() == []
