@@ -208,6 +208,12 @@ def test_pair_counts_of_a_large_key(spark):
     assert tuple(total) == (199_999, 200_000 * 199_999 // 2, 1, 199_999, 199_999)
 
 
+def test_cells_stay_in_their_tasks(spark):
+    """Pairs are many more than the rows that meet, so tasks of few rows aren't put together."""
+    rows = spark.range(400).selectExpr("id % 9 AS k", "id AS m")
+    assert pairs.complete(rows, "k", "m").rdd.getNumPartitions() == 4
+
+
 def test_places_as_given(spark):
     """Rows in order are numbered as they come, by no second sort."""
     frame = spark.range(900).selectExpr("(id * 7919) % 900 AS k", "'x' AS n").repartition(3).orderBy(F.desc("k"))
