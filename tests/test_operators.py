@@ -208,6 +208,27 @@ def test_pair_counts_of_a_large_key(spark):
     assert tuple(total) == (199_999, 200_000 * 199_999 // 2, 1, 199_999, 199_999)
 
 
+def _members(seed):
+    rng = random.Random(seed)
+    sets = {
+        k: {f"k{min(int(rng.expovariate(0.12)), 40)}" for _ in range(rng.randrange(9))} | ({"all"} if k % 3 else set())
+        for k in range(70)
+    }
+    sets[7] |= {f"k{k}" for k in range(30)}
+    return sets
+
+
+@pytest.mark.parametrize("listed", [0, 3])
+def test_overlaps_of_long_lists(spark, monkeypatch, listed):
+    monkeypatch.setattr(pairs, "LISTED", listed)
+    sets = _members(listed + 1)
+    rows = spark.createDataFrame([(m, x) for m, s in sets.items() for x in s], "m int, k string")
+    got = pairs.overlaps(rows, "k", "m", least=2, sample=50).select("left", "right", "n", "sample")
+    assert _rows(got) == sorted(
+        (a, b, len(s), sorted(s)) for a in sets for b in sets if a < b and len(s := sets[a] & sets[b]) >= 2
+    )
+
+
 def test_cells_stay_in_their_tasks(spark):
     """Pairs are many more than the rows that meet, so tasks of few rows aren't put together."""
     rows = spark.range(400).selectExpr("id % 9 AS k", "id AS m")
