@@ -218,6 +218,26 @@ def _members(seed):
     return sets
 
 
+@pytest.mark.parametrize("listed", [0, 3, 100])
+def test_shared_lists_against_all_pairs(spark, monkeypatch, listed):
+    """Each pair once with all that it shares, in cells of any size, whether or not lists travel."""
+    monkeypatch.setattr(pairs, "LISTED", listed)
+    monkeypatch.setattr(pairs, "CELL", 9)
+    sets = _members(listed)
+    place = {k: (k * 37) % 70 for k in sets}
+    rows = [(f"m{k}", x, place[k], f"about {k}") for k, s in sets.items() for x in s]
+    frame = spark.createDataFrame([*rows, *rows[:9], ("m1", None, 0, "-"), (None, "all", 0, "-")], "m string, k string, o int, a string")
+    got = pairs.shared_lists(frame, "k", "m", order="o", about="a")
+    want = sorted(
+        (f"m{a}", f"m{b}", sorted(sets[a] & sets[b]), f"about {a}")
+        for a in sets for b in sets if place[a] < place[b] and sets[a] & sets[b]
+    )
+    assert _rows(got) == want
+    few = pairs.shared_lists(frame, "k", "m", order="o", max_members=12).select("left", "right", "shared")
+    rare = {x for x in set().union(*sets.values()) if sum(x in s for s in sets.values()) <= 12}
+    assert _rows(few) == [(a, b, s) for a, b, w, _ in want if (s := [x for x in w if x in rare])]
+
+
 @pytest.mark.parametrize("listed", [0, 3])
 def test_overlaps_of_long_lists(spark, monkeypatch, listed):
     monkeypatch.setattr(pairs, "LISTED", listed)
