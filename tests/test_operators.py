@@ -238,6 +238,31 @@ def test_shared_lists_against_all_pairs(spark, monkeypatch, listed):
     assert _rows(few) == [(a, b, s) for a, b, w, _ in want if (s := [x for x in w if x in rare])]
 
 
+@pytest.mark.parametrize(("listed", "common"), [(0, 1), (3, 1), (100, 1), (100, 40)])
+def test_first_shared_against_all_pairs(spark, monkeypatch, listed, common):
+    """Each pair once with its least shared key of each mark, also where all members meet in cells of the whole."""
+    monkeypatch.setattr(pairs, "LISTED", listed)
+    monkeypatch.setattr(pairs, "CELL", 9)
+    sets = {k: {f"{'ab'[int(x[1:]) % 2]}{x}" if x != "all" else "call" for x in s} for k, s in _members(listed).items()}
+    for s in sets.values():
+        s |= {f"c{k:02}" for k in range(common)} if common > 1 else set()
+    place = {k: (k * 37) % 70 for k in sets}
+    frame = spark.createDataFrame(
+        [(f"m{k}", x, place[k], f"about {k}") for k, s in sets.items() for x in s], "m string, k string, o int, a string",
+    )
+    got = pairs.first_shared(frame, "k", "m", ["a", "b", "c", "d"], order="o", about="a")
+    least = lambda both, mark: min((x for x in both if x[0] == mark), default=None)
+    want = {
+        (f"m{a}", f"m{b}", f"about {a}", *(least(both, mark) for mark in "abcd"))
+        for a in sets for b in sets if place[a] < place[b] and (both := sets[a] & sets[b])
+    }
+    rows = got.collect()
+    assert len(rows) == len(want) and {(r.left, r.right, r.about, r.a, r.b, r.c, r.d) for r in rows} == want
+    assert all(r.bits == sum(1 << x for x in range(4) if r["abcd"[x]]) for r in rows)
+    ends = [(r.left, r.right) for r in sorted(rows, key=lambda r: r.pair)]
+    assert ends == sorted(ends)
+
+
 @pytest.mark.parametrize("listed", [0, 3])
 def test_overlaps_of_long_lists(spark, monkeypatch, listed):
     monkeypatch.setattr(pairs, "LISTED", listed)
